@@ -64,11 +64,24 @@ def to_target(df: DataFrame, target: StructType) -> DataFrame:
     )
 
 
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add or replace columns whose expressions are evaluated once per row.
+
+    Catalyst copies a projected expression into every filter pushed below the
+    projection. For dear expressions, such as patterns over long text, that
+    repeats the work many times; a generator that yields one row stops it.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    once = F.inline(F.array(F.struct(*[v.alias(name) for name, v in columns.items()])))
+    order = [*df.columns, *[c for c in columns if c not in df.columns]]
+    return df.select(*kept, once).select(*order)
+
+
 def split_by_reason(
     df: DataFrame, reason: Column, name: str = "reject_reason"
 ) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with their reason."""
-    judged = df.withColumn(name, reason)
+    judged = computed_once(df, {name: reason})
     valid = judged.filter(F.col(name).isNull()).drop(name)
     return valid, judged.filter(F.col(name).isNotNull())
 

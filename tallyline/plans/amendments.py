@@ -23,7 +23,7 @@ from tallyline.functions.text import (
     render_template,
     text_length,
 )
-from tallyline.operators.projections import split_by_reason
+from tallyline.operators.projections import computed_once, split_by_reason
 from tallyline.operators.sets import union_all
 from tallyline.operators.windows import latest_per_key
 from tallyline.sources.writers import write_path
@@ -74,16 +74,16 @@ def first_reason(rules: Sequence[Rule]) -> Column:
 
 def extract_event_meta(landing: DataFrame, processing_ts: Column | None = None) -> DataFrame:
     """Header fields of the payload in front of the envelope."""
-    header = [json_string("payload_json", name).alias(name) for name in HEADER_FIELDS]
+    header = {name: json_string("payload_json", name) for name in HEADER_FIELDS}
     stamp = processing_timestamp(processing_ts).alias("processing_ts")
-    return landing.select(*header, *ENVELOPE, stamp)
+    return computed_once(landing, header).select(*HEADER_FIELDS, *ENVELOPE, stamp)
 
 
 def canonicalize(events: DataFrame, allow_quotes: bool = True) -> DataFrame:
     """Add the six amendment fields as text."""
     fields = {name: json_string("payload_json", name) for name in TEXT_FIELDS}
     fields |= {name: json_number("payload_json", name, allow_quotes) for name in NUMBER_FIELDS}
-    return events.withColumns(fields)
+    return computed_once(events, fields)
 
 
 # -- validation ---------------------------------------------------------------

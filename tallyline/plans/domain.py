@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import json_number
+from tallyline.operators.projections import computed_once
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -190,12 +191,13 @@ def landing(spark: SparkSession, folder: str) -> DataFrame:
         flawed(10, '""', (F.col("user_id") % 30 * 12 + 12).cast("string")),
         F.lit("}"),
     )
-    return events.select(
+    text = F.when(F.col("slot") != 3, payload)
+    return computed_once(events, {"payload_json": text, "ingest_ts": stamp}).select(
         F.concat(F.lit("key"), F.col("user_id")).alias("kafka_key"),
         (F.col("event_id") % 4).cast("int").alias("kafka_partition"),
         F.col("event_id").alias("kafka_offset"),
-        stamp.alias("ingest_ts"),
-        F.when(F.col("slot") != 3, payload).alias("payload_json"),
+        "ingest_ts",
+        "payload_json",
     )
 
 

@@ -9,6 +9,8 @@ from tallyline.plans import amendments, domain
 from tallyline.queries.registry import register
 from tallyline.queries.views import query
 from tallyline.sources.workspace import new_path
+from tallyline.sources.writers import write_pipe_csv
+from tallyline.streaming import amendments as stream
 
 _HEADER = "event_id, event_type, event_ts, loan_id, source_system"
 _ENVELOPE = "kafka_key, kafka_partition, kafka_offset, ingest_ts, payload_json"
@@ -223,3 +225,19 @@ def upsert_latest_event(spark, folder):
     return amendments.upsert_latest(existing, incoming).select(
         "event_id", "ingest_ts", "kafka_offset", "prior_rate"
     )
+
+
+@register(
+    "amendment_stream",
+    query("""SELECT outcome, coalesce(schema_reason, business_reason) AS reason, event_id, loan_id,
+                    kafka_offset FROM outcomes"""),
+)
+def amendment_stream(spark, folder):
+    """The landing rows as files, assessed in micro-batches."""
+    incoming, out = new_path(spark, "incoming"), new_path(spark, "stream")
+    write_pipe_csv(domain.landing(spark, folder), incoming, null_value="\\N")
+    landing = stream.landing_stream(spark, incoming, null_value="\\N")
+    stream.start(landing, domain.template(spark), out).awaitTermination()
+    return stream.assessed(spark, out).select(
+        "outcome", "reason", "event_id", "loan_id", "kafka_offset"
+    )

@@ -102,7 +102,7 @@ def sink_overwrite_evolving(spark, folder):
     """A report without the later columns, then one with them, under the same path."""
     path = new_path(spark, "evolving")
     writers.write_path(regulatory.report_types(_branch_summary(spark, folder)), path)
-    return writers.write_path(branch_report(spark, folder), path, mode="append")
+    return writers.write_evolving(branch_report(spark, folder), path)
 
 
 @register("sink_partitioned_verified", _AML)

@@ -51,7 +51,7 @@ def write_path(
     partition_by: Sequence[str] | None = None,
     even: bool = False,
 ) -> DataFrame:
-    """Write under a path and return the stored table, older columns united.
+    """Write under a path and return the stored table.
 
     ``even`` groups rows by the partition columns first. It costs a shuffle and
     pays when every task holds many partition values; few values need none.
@@ -59,13 +59,26 @@ def write_path(
     if partition_by and even:
         df = even_files(df, *partition_by)
     _writer(df, mode, fmt, partition_by).save(path)
-    return scan_path(df.sparkSession, path, fmt, merge_schema=fmt == "parquet")
+    return scan_path(df.sparkSession, path, fmt)
 
 
 def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Add rows to a stored table."""
     return write_path(df, path, mode="append", fmt=fmt)
 
 
+def write_evolving(
+    df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet"
+) -> DataFrame:
+    """Write rows that may have new columns and return the table with all of them.
+
+    Older rows read NULL in the new columns. For parquet the schemas are united
+    on reading, which looks at every file; other sinks do without that.
+    """
+    write_path(df, path, mode, fmt)
+    return scan_path(df.sparkSession, path, fmt, merge_schema=fmt == "parquet")
+
+
 def write_verified(
     df: DataFrame,
     path: str,
@@ -113,7 +126,13 @@ def write_pipe_csv(
     ``null_value`` is written for NULL and keeps it apart from empty text, which
     is written as a pair of quotes.
     """
-    writer = df.write.mode(mode).option("sep", "|").option("header", "false")
+    writer = (
+        df.write.mode(mode)
+        .option("sep", "|")
+        .option("header", "false")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
+    )
     if null_value is not None:
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
