@@ -202,8 +202,8 @@ def landing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def resent(spark: SparkSession, folder: str) -> DataFrame:
-    """Landing rows sent again a day later with a new rate: those of even partitions."""
-    sent = landing(spark, folder).filter(F.col("kafka_partition").isin(0, 2))
+    """Rate changes sent again later with another prior rate."""
+    sent = landing(spark, folder).filter(F.contains("payload_json", F.lit("RATE_CHANGE")))
     return sent.withColumns(
         {
             "kafka_offset": F.col("kafka_offset") + 1_000_000_000,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,15 +48,23 @@ def distinct_users(
 
     First one row per group and user says which conditions the user met, then the
     groups add these up. Both steps combine before their shuffle and the first is
-    spread by user, so a group with a third of all events is no hot spot. A row
-    without user, or with an unknown condition, counts for nothing.
+    spread by user, so a group with a third of all events is no hot spot. Rows
+    that meet no condition lose their user, which leaves one row per group and
+    task of them. A row without user, or with an unknown condition, counts for
+    nothing.
     """
-    met = [
-        F.max(F.when(F.expr(condition) & F.col(user).isNotNull(), 1).otherwise(0)).alias(name)
-        for name, condition in measures.items()
-    ]
-    per_user = events.groupBy(by, user).agg(*met)
-    return per_user.groupBy(by).agg(*[F.sum(name).alias(name) for name in measures])
+    met = {name: F.coalesce(F.expr(sql), F.lit(False)) for name, sql in measures.items()}
+    counted = reduce(or_, met.values())
+    flagged = events.select(
+        by,
+        F.when(counted, F.col(user)).alias(user),
+        *[condition.cast("int").alias(name) for name, condition in met.items()],
+    )
+    per_user = flagged.groupBy(by, user).agg(*[F.max(name).alias(name) for name in met])
+    known = F.col(user).isNotNull()
+    return per_user.groupBy(by).agg(
+        *[F.sum(F.when(known, F.col(name)).otherwise(0)).alias(name) for name in met]
+    )
 
 
 def tile_counts(tile_events: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def _extracted(spark, folder, records=None):
                      AS DOUBLE) AS new_source_column3,
                 {stamp("created_date")} AS effective_start_date, {_FOUR_WAY} AS record_status,
                 'NEW_SOURCE' AS source_system, {_NOW} AS created_timestamp, true AS is_current,
-                '9999-12-31 23:59:59.000000' AS effective_end_date, 98.5 AS data_quality_score,
+                '9999-12-31 23:59:59.000000' AS effective_end_date, CAST(98.5 AS DOUBLE) AS data_quality_score,
                 md5(concat_ws('|', CAST(id AS VARCHAR), column1, column2,
                               CAST(column3 AS VARCHAR))) AS source_checksum,
                 'BATCH_1' AS batch_id, 'INTERNAL' AS data_classification,
@@ -213,7 +213,7 @@ def lineage_columns(spark, folder):
     "lineage_rows",
     query(f"""SELECT md5('target|' || id || '|BATCH_1') AS lineage_id, 'orders' AS source_table,
                 'target' AS target_table, id AS record_id, 'mapping v2' AS transformation_applied,
-                {_NOW} AS processed_timestamp, 'BATCH_1' AS batch_id, 98.5 AS data_quality_score
+                {_NOW} AS processed_timestamp, 'BATCH_1' AS batch_id, CAST(98.5 AS DOUBLE) AS data_quality_score
               FROM source_records"""),
 )
 def lineage_rows(spark, folder):
@@ -233,9 +233,9 @@ def lineage_rows(spark, folder):
 @register(
     "audit_rows",
     query(f"""SELECT 'WRITE' AS operation, 'transactions' AS table_name, count(*) AS record_count,
-                1.5 AS processing_time_seconds, 'loader' AS user, {_NOW} AS timestamp,
+                CAST(1.5 AS DOUBLE) AS processing_time_seconds, 'loader' AS user, {_NOW} AS timestamp,
                 'reporting' AS application, '1.0' AS version FROM transactions
-              UNION ALL SELECT 'WRITE', 'branch_summary', count(*), 1.5, 'loader', {_NOW},
+              UNION ALL SELECT 'WRITE', 'branch_summary', count(*), CAST(1.5 AS DOUBLE), 'loader', {_NOW},
                 'reporting', '1.0' FROM summary"""),
 )
 def audit_rows(spark, folder):

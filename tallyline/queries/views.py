@@ -77,8 +77,8 @@ VIEWS = {
                    AS LAST_AUDIT_DATE
         FROM summary s LEFT JOIN details d ON s.BRANCH_ID = d.BRANCH_ID""",
     "sentinel_report": """
-        SELECT s.BRANCH_ID, BRANCH_NAME, TOTAL_TRANSACTIONS, TOTAL_AMOUNT,
-               coalesce(REGION, 'UNKNOWN') AS REGION,
+        SELECT CAST(s.BRANCH_ID AS BIGINT) AS BRANCH_ID, BRANCH_NAME, TOTAL_TRANSACTIONS,
+               TOTAL_AMOUNT, coalesce(REGION, 'UNKNOWN') AS REGION,
                coalesce(CAST(LAST_AUDIT_DATE AS VARCHAR), 'NOT_AVAILABLE') AS LAST_AUDIT_DATE
         FROM summary s LEFT JOIN details d ON s.BRANCH_ID = d.BRANCH_ID""",
     "landing_parts": r"""
@@ -115,7 +115,7 @@ VIEWS = {
         SELECT kafka_key, kafka_partition, kafka_offset + 1000000000 AS kafka_offset,
                '2024-02-01T00:00:00Z' AS ingest_ts,
                replace(payload_json, '"prior_rate":3.75', '"prior_rate":3.25') AS payload_json
-        FROM landing WHERE kafka_partition IN (0, 2)""",
+        FROM landing WHERE payload_json LIKE '%RATE_CHANGE%'""",
     "meta": "SELECT {header}, * FROM landing",
     "canonical": "SELECT *, {fields} FROM meta",
     "judged": """

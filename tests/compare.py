@@ -24,13 +24,9 @@ def sql_engine(folder: str):
 
 
 def _cell(value):
-    if isinstance(value, bool) or value is None:
-        return value
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(f"{value:.12g}")
-    if isinstance(value, int):
-        return float(value)
-    return value
+        value = "nan" if math.isnan(value) else float(f"{value:.12g}")
+    return type(value).__name__, value
 
 
 def rows_of(names, rows) -> Counter:
