@@ -16,19 +16,20 @@ CHECKSUM = "source_checksum"
 SURROGATE = "surrogate_key"
 
 
-def surrogate_key(key: Column, start: Column) -> Column:
-    """Key of one version: a hash of business key and start.
+def surrogate_key() -> Column:
+    """Key of one version: a hash of business key, start and content.
 
     It is the same on every run and needs no counter shared between tasks.
     """
-    return checksum_md5([key, F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS")])
+    start = F.date_format(START, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return checksum_md5([F.col(KEY), start, F.col(CHECKSUM)])
 
 
 def first_versions(incoming: DataFrame) -> DataFrame:
     """Open history rows for records never seen before."""
     kind = incoming.schema[START].dataType
     rows = incoming.withColumns({END: F.lit(OPEN_END).cast(kind), CURRENT: F.lit(True)})
-    return rows.select(surrogate_key(F.col(KEY), F.col(START)).alias(SURROGATE), "*")
+    return rows.select(surrogate_key().alias(SURROGATE), "*")
 
 
 def scd2_merge(history: DataFrame, incoming: DataFrame) -> DataFrame:

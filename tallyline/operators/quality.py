@@ -84,6 +84,13 @@ def integrity_check(
     return counted.select(F.lit(table).alias("table_name"), "*", passed.alias("passed"))
 
 
+def require(check: DataFrame, column: str = "passed") -> None:
+    """Fail unless the flag of a one-row check is true."""
+    found = check.first()
+    if not found[column]:
+        raise ValueError(f"data quality check failed: {found.asDict()}")
+
+
 class Rule(NamedTuple):
     """A condition in SQL that every row should meet."""
 

@@ -26,7 +26,7 @@ from tallyline.functions.text import (
 from tallyline.operators.projections import computed_once, split_by_reason
 from tallyline.operators.sets import union_all
 from tallyline.operators.windows import latest_per_key
-from tallyline.sources.writers import write_path
+from tallyline.sources.writers import write_path, write_pipe_csv
 
 # Payload keys.
 HEADER_FIELDS = ("event_id", "event_type", "event_ts", "loan_id", "source_system")
@@ -285,6 +285,12 @@ def run_batch(
     )
 
 
+def write_outputs(assessed: DataFrame, folder: str, null_value: str | None = None) -> None:
+    """Reject records and documents of an assessed table as pipe-delimited files."""
+    write_pipe_csv(rejects_of(assessed), f"{folder}/rejects", null_value=null_value)
+    write_pipe_csv(rendered_of(assessed), f"{folder}/documents", null_value=null_value)
+
+
 # -- checks ------------------------------------------------------------------------
 
 

@@ -91,7 +91,8 @@ def branch_details_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumn("k", json_number("props", "k").cast("int"))
+    number = json_number("props", "k").cast("int")
+    return computed_once(table(spark, folder, "events"), {"k": number})
 
 
 def tile_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,8 +271,15 @@ def source_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_changes(spark: SparkSession, folder: str) -> DataFrame:
-    """A later state of the records: those of status PENDING have a new text."""
-    text = F.when(
-        F.col("status") == "PENDING", F.concat(F.col("column1"), F.lit(" changed"))
-    ).otherwise(F.col("column1"))
-    return source_records(spark, folder).withColumn("column1", text)
+    """A later state of the records: those of status PENDING have a new text and date."""
+    records, pending = source_records(spark, folder), F.col("status") == "PENDING"
+    return records.withColumns(
+        {
+            "column1": F.when(pending, F.concat("column1", F.lit(" changed"))).otherwise(
+                F.col("column1")
+            ),
+            "updated_date": F.when(
+                pending, F.col("updated_date") + F.expr("INTERVAL 1 DAY")
+            ).otherwise(F.col("updated_date")),
+        }
+    )

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tallyline.functions.cleansing import UNKNOWN, or_unknown
 from tallyline.functions.measures import safe_ratio
 from tallyline.operators.projections import default_zero, on_date, only_active, with_constants
 from tallyline.operators.windows import latest_per_key
+from tallyline.sources.writers import replace_partition
 
 # Measures of the daily summary and the rows they count users of.
 TILE_MEASURES = {
@@ -137,3 +139,30 @@ def category_distribution(summary: DataFrame, date: str | dt.date) -> DataFrame:
     """Number of tiles per category on one day."""
     day = summary.filter(F.col("date") == F.lit(date).cast("date"))
     return day.groupBy("tile_category").agg(F.count("*").alias("tile_count"))
+
+
+class Reports(NamedTuple):
+    daily: DataFrame
+    kpis: DataFrame
+
+
+def run_day(
+    tile_events: DataFrame,
+    interstitial_events: DataFrame,
+    folder: str,
+    date: str | dt.date,
+    metadata: DataFrame | None = None,
+    fmt: str = "parquet",
+) -> Reports:
+    """Replace one day of the daily summary and of the global report.
+
+    The global report is made from the stored summary of the day, so the events
+    are read and counted once. Without metadata the summary has no category.
+    """
+    summary = daily_summary(tile_events, interstitial_events, date)
+    if metadata is not None:
+        summary = with_category(summary, metadata)
+    daily = replace_partition(summary, f"{folder}/daily_summary", "date", date, fmt)
+    stored = daily.filter(F.col("date") == F.lit(date).cast("date"))
+    kpis = replace_partition(global_kpis(stored), f"{folder}/global_kpis", "date", date, fmt)
+    return Reports(daily, kpis)

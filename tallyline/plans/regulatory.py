@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from tallyline.functions.cleansing import UNKNOWN, upper_trim
 from tallyline.functions.measures import count_where
 from tallyline.operators.layout import order_by_keys
 from tallyline.operators.projections import cast_columns, having
+from tallyline.operators.quality import integrity_check, require
+from tallyline.sources.writers import write_path
 
 # Flag and default texts of the operational details.
 ACTIVE = "Y"
@@ -171,3 +175,37 @@ def audit_coverage(report: DataFrame) -> DataFrame:
     )
     share = F.col("audited_branches") * 100.0 / F.col("total_branches")
     return counted.withColumn("audit_coverage_pct", F.round(share.cast("double"), 2))
+
+
+class Reports(NamedTuple):
+    customer_transactions: DataFrame
+    branch_summary: DataFrame
+
+
+def run_reports(
+    customers: DataFrame,
+    accounts: DataFrame,
+    transactions: DataFrame,
+    branches: DataFrame,
+    details: DataFrame,
+    folder: str,
+    policy: str = "active_null",
+    fmt: str = "parquet",
+) -> Reports:
+    """Write both reports and check what is stored; a failed check fails the run.
+
+    The checks read the stored reports, so nothing is computed twice.
+    """
+    aml = write_path(
+        customer_transactions(customers, accounts, transactions),
+        f"{folder}/aml_customer_transactions",
+        fmt=fmt,
+    )
+    report = write_path(
+        branch_summary_report(transactions, accounts, branches, details, policy),
+        f"{folder}/branch_summary_report",
+        fmt=fmt,
+    )
+    require(integrity_check(aml, "AML_CUSTOMER_TRANSACTIONS", ["TRANSACTION_ID"]))
+    require(integrity_check(report, "BRANCH_SUMMARY_REPORT", ["BRANCH_ID"]))
+    return Reports(aml, report)

@@ -204,27 +204,34 @@ def min_records_guard(spark, folder):
     return amendments.record_guard(domain.landing(spark, folder), 100)
 
 
+def _sent_sql() -> str:
+    fields = ", ".join(
+        rf"""coalesce(regexp_extract(payload_json, '"{key}"\s*:\s*"?([^",}}]*)', 1), '') AS {key}"""
+        for key in ("event_id", "loan_id", "event_type", "prior_rate")
+    )
+    return f"""SELECT ingest_ts, kafka_offset, {fields}
+               FROM (SELECT * FROM landing UNION ALL SELECT * FROM resent)"""
+
+
 @register(
     "upsert_latest_event",
-    query(r"""SELECT event_id, ingest_ts, kafka_offset, prior_rate FROM (
-                SELECT *, row_number() OVER (PARTITION BY event_id
-                       ORDER BY ingest_ts DESC, kafka_offset DESC) AS n
-                FROM (SELECT ingest_ts, kafka_offset,
-                         coalesce(regexp_extract(payload_json, '"event_id"\s*:\s*"([^"]*)"', 1), '')
-                             AS event_id,
-                         coalesce(regexp_extract(payload_json, '"prior_rate"\s*:\s*"?([0-9.\-]+)', 1), '')
-                             AS prior_rate
-                      FROM (SELECT * FROM landing UNION ALL SELECT * FROM resent)))
-              WHERE n = 1"""),
+    query("""SELECT event_id, ingest_ts, kafka_offset, prior_rate FROM (
+               SELECT *, row_number() OVER (PARTITION BY event_id
+                      ORDER BY ingest_ts DESC, kafka_offset DESC) AS n
+               FROM sent WHERE event_id <> '' AND loan_id <> ''
+                           AND event_type = 'MORTGAGE_AMENDMENT') WHERE n = 1""",
+          sent=_sent_sql()),
 )
 def upsert_latest_event(spark, folder):
-    existing = _canonical(spark, folder)
-    incoming = amendments.canonicalize(
-        amendments.extract_event_meta(domain.resent(spark, folder)).drop("processing_ts")
-    )
-    return amendments.upsert_latest(existing, incoming).select(
-        "event_id", "ingest_ts", "kafka_offset", "prior_rate"
-    )
+    """Valid events and the ones sent again, of which the later stay."""
+
+    def valid(landing):
+        events = amendments.extract_event_meta(landing).drop("processing_ts")
+        return amendments.canonicalize(amendments.schema_split(events, strict=True)[0])
+
+    return amendments.upsert_latest(
+        valid(domain.landing(spark, folder)), valid(domain.resent(spark, folder))
+    ).select("event_id", "ingest_ts", "kafka_offset", "prior_rate")
 
 
 @register(

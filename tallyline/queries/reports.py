@@ -10,6 +10,7 @@ from tallyline.plans import amendments, domain, engagement, regulatory
 from tallyline.queries.basics import _branch_summary
 from tallyline.queries.registry import DAY, register
 from tallyline.queries.views import daily_summary, interstitial_counts, query, tile_counts
+from tallyline.sources.workspace import new_path
 
 _MEASURES = """unique_tile_views, unique_tile_clicks, unique_interstitial_views,
     unique_interstitial_primary_clicks, unique_interstitial_secondary_clicks"""
@@ -388,3 +389,64 @@ def category_distribution(spark, folder):
 def null_counts(spark, folder):
     columns = ["id", "column2", "updated_date", "data_classification"]
     return quality.null_counts(domain.source_records(spark, folder), columns)
+
+
+# -- the jobs as a whole ---------------------------------------------------------------------
+
+
+@register(
+    "regulatory_job",
+    query(f"""SELECT {_REPORT}, CAST(NULL AS BIGINT) AS TRANSACTION_ID FROM report
+              UNION ALL SELECT a.BRANCH_ID, NAME, NULL, CAST(AMOUNT AS DOUBLE), TRANSACTION_TYPE,
+                     CAST(TRANSACTION_DATE AS VARCHAR), TRANSACTION_ID
+              FROM transactions x JOIN accounts a ON x.ACCOUNT_ID = a.ACCOUNT_ID
+              JOIN customers c ON a.CUSTOMER_ID = c.CUSTOMER_ID"""),
+)
+def regulatory_job(spark, folder):
+    """Both reports of the job, written, checked and read back."""
+    transactions, accounts, branches = regulatory_tables(spark, folder)
+    written = regulatory.run_reports(
+        domain.customers(spark, folder),
+        accounts,
+        transactions,
+        branches,
+        domain.branch_details(spark, folder),
+        new_path(spark, "regulatory"),
+    )
+    rows = written.customer_transactions.join(
+        accounts.select("ACCOUNT_ID", "BRANCH_ID"), "ACCOUNT_ID"
+    ).select(
+        F.col("BRANCH_ID").cast("bigint").alias("BRANCH_ID"),
+        F.col("NAME").alias("BRANCH_NAME"),
+        F.lit(None).cast("bigint").alias("TOTAL_TRANSACTIONS"),
+        F.col("AMOUNT").cast("double").alias("TOTAL_AMOUNT"),
+        F.col("TRANSACTION_TYPE").alias("REGION"),
+        F.col("TRANSACTION_DATE").cast("string").alias("LAST_AUDIT_DATE"),
+        "TRANSACTION_ID",
+    )
+    report = written.branch_summary.withColumn("TRANSACTION_ID", F.lit(None).cast("bigint"))
+    return report.unionByName(rows)
+
+
+@register(
+    "engagement_job",
+    query(f"""SELECT {_DATED}, tile_category, CAST(sum(unique_tile_views) AS BIGINT)
+                     AS unique_tile_views, total_tile_views, overall_ctr
+              FROM enriched JOIN (SELECT *, {_RATES} FROM (SELECT {_TOTALS} FROM day_summary))
+              ON true GROUP BY enriched.date, tile_category, total_tile_views, overall_ctr""",
+          **_DAY),
+)
+def engagement_job(spark, folder):
+    """One day of both reports, written and read back: categories beside the totals."""
+    written = engagement.run_day(
+        domain.tile_events(spark, folder),
+        domain.interstitial_events(spark, folder),
+        new_path(spark, "engagement"),
+        DAY,
+        domain.tile_metadata_history(spark, folder),
+    )
+    categories = written.daily.groupBy("date", "tile_category").agg(
+        F.sum("unique_tile_views").alias("unique_tile_views")
+    )
+    kpis = written.kpis.select("date", "total_tile_views", "overall_ctr")
+    return categories.join(kpis, "date")
