@@ -18,7 +18,11 @@ AMOUNT_RANGE = (0, "999999.99")
 RETENTION_DAYS = 2555
 RETENTION_MONTHS = 84
 
+# Default text and patterns of region names and dates.
 UNKNOWN = "UNKNOWN"
+REGION_NAME = r"^[A-Z\s]+$"
+NOT_IN_REGION_NAME = r"[^A-Z\s]"
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def _col(value: Column | str) -> Column:
@@ -62,15 +66,15 @@ def clean_region(value: Column | str) -> Column:
     region = _col(value)
     return (
         F.when(F.length(region) == 0, F.lit(UNKNOWN))
-        .when(region.rlike(r"^[A-Z\s]+$"), region)
-        .otherwise(F.regexp_replace(region, r"[^A-Z\s]", ""))
+        .when(region.rlike(REGION_NAME), region)
+        .otherwise(F.regexp_replace(region, NOT_IN_REGION_NAME, ""))
     )
 
 
 def iso_date_text(value: Column | str) -> Column:
     """Text of the form yyyy-MM-dd, anything else NULL."""
     text = _col(value)
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text)
+    return F.when(text.rlike(ISO_DATE), text)
 
 
 def retention_date(

@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters kept by a mask and what follows them.
+PARTIAL = (2, "***")
+PREFIX = (4, "****")
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -37,11 +41,11 @@ def mask_prefix(value: Column | str, keep: int, filler: str) -> Column:
 
 
 def mask_partial(value: Column | str) -> Column:
-    return mask_prefix(value, 2, "***")
+    return mask_prefix(value, *PARTIAL)
 
 
 def mask_prefix4(value: Column | str) -> Column:
-    return mask_prefix(value, 4, "****")
+    return mask_prefix(value, *PREFIX)
 
 
 def encrypt(value: Column | str, key: Column) -> Column:

@@ -12,8 +12,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode whitespace plus the four ASCII separators; needs the (?U) flag.
-_SPACE = r"[\s\x1C-\x1F]"
+# Patterns. A value follows its key, a colon and optional spaces.
+TEXT_VALUE = r'"([^"]*)"'
+BARE_NUMBER = r"([0-9.\-]+)"
+NUMBER = r'"?([0-9.\-]+)'
+DECIMAL = r"[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)"
 
 # Template tokens and the field each one takes, in replacement order.
 TEMPLATE_TOKENS = {
@@ -25,6 +28,9 @@ TEMPLATE_TOKENS = {
     "{{NEW_TERM_MONTHS}}": "new_term_months",
 }
 
+# Unicode whitespace plus the four ASCII separators; needs the (?U) flag.
+_SPACE = r"[\s\x1C-\x1F]"
+
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -35,13 +41,13 @@ def _after_key(key: str) -> str:
     return rf'(?U)"\Q{literal}\E"{_SPACE}*:{_SPACE}*'
 
 
-def _first_group(payload: Column | str, pattern: str) -> Column:
-    return F.coalesce(F.regexp_extract(_col(payload), pattern, 1), F.lit(""))
+def _first_value(payload: Column | str, key: str, value: str) -> Column:
+    return F.coalesce(F.regexp_extract(_col(payload), _after_key(key) + value, 1), F.lit(""))
 
 
 def json_string(payload: Column | str, key: str) -> Column:
     """First quoted value stored under ``key``; empty text when there is none."""
-    return _first_group(payload, _after_key(key) + r'"([^"]*)"')
+    return _first_value(payload, key, TEXT_VALUE)
 
 
 def json_number(payload: Column | str, key: str, allow_quotes: bool = True) -> Column:
@@ -49,8 +55,7 @@ def json_number(payload: Column | str, key: str, allow_quotes: bool = True) -> C
 
     ``allow_quotes=False`` accepts bare numbers only.
     """
-    opening = '"?' if allow_quotes else ""
-    return _first_group(payload, _after_key(key) + opening + r"([0-9.\-]+)")
+    return _first_value(payload, key, NUMBER if allow_quotes else BARE_NUMBER)
 
 
 def is_blank(value: Column | str) -> Column:
@@ -70,8 +75,7 @@ def parse_rate(value: Column | str) -> Column:
 
     The shape is checked by pattern because a Java parse also takes ``3.5d``.
     """
-    number = r"[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)"
-    shape = rf"(?i)(?U)\A{_SPACE}*({number}){_SPACE}*\z"
+    shape = rf"(?i)(?U)\A{_SPACE}*({DECIMAL}){_SPACE}*\z"
     return F.regexp_extract(_col(value), shape, 1).try_cast("double")
 
 

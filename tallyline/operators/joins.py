@@ -78,7 +78,10 @@ def referential_integrity(
 def safe_dimension_join(
     base: DataFrame, dimension: DataFrame, key: str, newest: Sequence[Column | str]
 ) -> DataFrame:
-    """Left join to the latest dimension row per key; an empty base is an error."""
+    """Left join to the latest dimension row per key; an empty base is an error.
+
+    Give a stored base: the test for emptiness then reads its first row only.
+    """
     if base.isEmpty():
         raise ValueError("the base of the join has no rows")
     return base.join(latest_per_key(dimension, [key], newest), key, "left")

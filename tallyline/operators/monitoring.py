@@ -25,12 +25,23 @@ class Limit(NamedTuple):
     label: str
     bound: float
     minimum: bool = True
+    unit: str = "%"
 
 
+# Type and limits of the coverage alerts, and the other limits a
+# run can be held against.
+COVERAGE_ALERT = "DATA_COVERAGE_WARNING"
 COVERAGE_LIMITS = {
     "region_coverage_percent": Limit("Region coverage", 85.0),
     "audit_date_coverage_percent": Limit("Audit date coverage", 90.0),
 }
+RUN_LIMITS = {
+    "stale_percentage": Limit("Stale audits", 20.0, minimum=False),
+    "duration_seconds": Limit("Processing time", 1800.0, minimum=False, unit=" s"),
+    "quality_score_percentage": Limit("Data quality score", 95.0),
+    "record_count_variance": Limit("Record count variance", 20.0, minimum=False),
+    "job_failure_rate": Limit("Job failure rate", 5.0, minimum=False),
+}
 
 
 class StepMetrics:
@@ -133,25 +144,36 @@ def audit_freshness(
     )
 
 
-def alerts(metrics: DataFrame, limits: Mapping[str, Limit] = COVERAGE_LIMITS) -> DataFrame:
-    """One row per metric of a one-row frame that breaks its limit."""
+def alerts(
+    metrics: DataFrame,
+    limits: Mapping[str, Limit] = COVERAGE_LIMITS,
+    kind: str = COVERAGE_ALERT,
+) -> DataFrame:
+    """One row per metric of a one-row frame that breaks its limit.
+
+    Limits of metrics the frame does not have are passed over.
+    """
     rows = [
         F.struct(
             F.lit(name).alias("metric"),
             F.col(name).cast("double").alias("value"),
             F.lit(limit.bound).alias("bound"),
-            F.lit("DATA_COVERAGE_WARNING").alias("type"),
+            F.lit(kind).alias("type"),
             F.format_string(
-                f"%s is %.1f%%, {'below' if limit.minimum else 'above'} threshold of %s%%",
+                "%s is %.1f%s, %s threshold of %s%s",
                 F.lit(limit.label),
                 F.col(name).cast("double"),
+                F.lit(limit.unit),
+                F.lit("below" if limit.minimum else "above"),
                 F.lit(str(limit.bound)),
+                F.lit(limit.unit),
             ).alias("message"),
             (
                 F.col(name) < limit.bound if limit.minimum else F.col(name) > limit.bound
             ).alias("broken"),
         )
         for name, limit in limits.items()
+        if name in metrics.columns
     ]
     judged = metrics.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
     return judged.filter("broken").drop("broken")

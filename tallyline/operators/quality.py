@@ -259,25 +259,29 @@ def quality_gate(
     The checks are the NULL profile, duplicate keys, value ranges, dates and
     references to the parent. Each is one row, so their union stays small.
     """
-    ranges = range_and_date_check(df, as_of)
+    def check(name: str, ok: Column) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), ok.alias("ok"))
+
     checks = [
-        null_profile(df).agg(
-            F.lit("null_check").alias("check_name"), F.bool_and(F.col("status") == PASSED).alias("ok")
-        ),
-        duplicate_check(df, keys).agg(
-            F.lit("duplicate_check").alias("check_name"), (F.count("*") == 0).alias("ok")
-        ),
-        ranges.select(
-            F.lit("value_range_check").alias("check_name"), (F.col("out_of_range") == 0).alias("ok")
-        ),
-        ranges.select(
-            F.lit("date_range_check").alias("check_name"), (F.col("future_dated") == 0).alias("ok")
+        null_profile(df)
+        .agg(F.bool_and(F.col("status") == PASSED).alias("ok"))
+        .select(check("null_check", F.col("ok")).alias("row")),
+        duplicate_check(df, keys)
+        .agg(F.count("*").alias("found"))
+        .select(check("duplicate_check", F.col("found") == 0).alias("row")),
+        range_and_date_check(df, as_of).select(
+            F.explode(
+                F.array(
+                    check("value_range_check", F.col("out_of_range") == 0),
+                    check("date_range_check", F.col("future_dated") == 0),
+                )
+            ).alias("row")
         ),
         referential_integrity(df, parent, child_key, parent_key).select(
-            F.lit("referential_integrity").alias("check_name"),
-            (F.col("orphan_keys") == 0).alias("ok"),
+            check("referential_integrity", F.col("orphan_keys") == 0).alias("row")
         ),
     ]
+    checks = [c.select("row.*") for c in checks]
     score = F.avg(F.col("ok").cast("double"))
     return union_all(checks).agg(
         F.count("*").alias("checks"),

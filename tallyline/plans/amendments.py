@@ -42,6 +42,20 @@ RATE_BOUNDS = (0, 50)
 SCHEMA, BUSINESS, RENDERED = "SCHEMA", "BUSINESS", "RENDERED"
 MAX_REJECT_PERCENTAGE = 10.0
 
+# Reject reasons.
+MISSING_EVENT_ID = "Missing event_id"
+NULL_EVENT_ID = "Null event_id"
+MISSING_LOAN_ID = "Missing loan_id"
+NULL_LOAN_ID = "Null loan_id"
+UNEXPECTED_EVENT_TYPE = "Unexpected event_type"
+NULL_PAYLOAD = "Null payload_json"
+MISSING_EFFECTIVE_DATE = "Missing effective_date"
+MISSING_AMENDMENT_TYPE = "Missing amendment_type"
+MISSING_NEW_RATE = "Missing new_rate for RATE_CHANGE"
+MISSING_NEW_TERM = "Missing new_term_months for TERM_CHANGE"
+INVALID_RATE_RANGE = "Invalid rate range (must be 0-50%)"
+INVALID_RATE_FORMAT = "Invalid rate format"
+
 # Column order of the reject records.
 REJECT_COLUMNS = (
     "reject_type",
@@ -95,16 +109,16 @@ def schema_reason(strict: bool = False) -> Column:
     The basic rules let a NULL id pass, as a comparison with NULL is not true;
     the strict rules name it.
     """
-    event_id, loan_id = F.col("event_id"), F.col("loan_id")
     rules = [
-        Rule("Missing event_id", event_id == ""),
-        Rule("Null event_id", event_id.isNull()),
-        Rule("Missing loan_id", loan_id == ""),
-        Rule("Null loan_id", loan_id.isNull()),
-        Rule("Unexpected event_type", F.col("event_type") != EVENT_TYPE),
-        Rule("Null payload_json", F.col("payload_json").isNull()),
+        Rule(MISSING_EVENT_ID, F.col("event_id") == ""),
+        Rule(NULL_EVENT_ID, F.col("event_id").isNull()),
+        Rule(MISSING_LOAN_ID, F.col("loan_id") == ""),
+        Rule(NULL_LOAN_ID, F.col("loan_id").isNull()),
+        Rule(UNEXPECTED_EVENT_TYPE, F.col("event_type") != EVENT_TYPE),
+        Rule(NULL_PAYLOAD, F.col("payload_json").isNull()),
     ]
-    return first_reason([r for r in rules if strict or not r.reason.startswith("Null ")])
+    strict_only = {NULL_EVENT_ID, NULL_LOAN_ID, NULL_PAYLOAD}
+    return first_reason([r for r in rules if strict or r.reason not in strict_only])
 
 
 def business_reason(strict: bool = False) -> Column:
@@ -116,9 +130,9 @@ def business_reason(strict: bool = False) -> Column:
     missing = is_blank if strict else is_empty
     changes_rate = F.col("amendment_type") == RATE_CHANGE
     rules = [
-        Rule("Missing effective_date", missing("effective_date")),
-        Rule("Missing amendment_type", missing("amendment_type")),
-        Rule(f"Missing new_rate for {RATE_CHANGE}", changes_rate & missing("new_rate")),
+        Rule(MISSING_EFFECTIVE_DATE, missing("effective_date")),
+        Rule(MISSING_AMENDMENT_TYPE, missing("amendment_type")),
+        Rule(MISSING_NEW_RATE, changes_rate & missing("new_rate")),
     ]
     if strict:
         changes_term = F.col("amendment_type") == TERM_CHANGE
@@ -126,12 +140,9 @@ def business_reason(strict: bool = False) -> Column:
         low, high = RATE_BOUNDS
         outside = ~F.isnan(rate) & ((rate < low) | (rate > high))
         rules += [
-            Rule(
-                f"Missing new_term_months for {TERM_CHANGE}",
-                changes_term & missing("new_term_months"),
-            ),
-            Rule(f"Invalid rate range (must be {low}-{high}%)", changes_rate & outside),
-            Rule("Invalid rate format", changes_rate & rate.isNull()),
+            Rule(MISSING_NEW_TERM, changes_term & missing("new_term_months")),
+            Rule(INVALID_RATE_RANGE, changes_rate & outside),
+            Rule(INVALID_RATE_FORMAT, changes_rate & rate.isNull()),
         ]
     return first_reason(rules)
 

@@ -11,6 +11,7 @@ from tallyline.queries.basics import _branch_summary
 from tallyline.queries.registry import DAY, register
 from tallyline.queries.views import daily_summary, interstitial_counts, query, tile_counts
 from tallyline.sources.workspace import new_path
+from tallyline.sources.writers import write_path
 
 _MEASURES = """unique_tile_views, unique_tile_clicks, unique_interstitial_views,
     unique_interstitial_primary_clicks, unique_interstitial_secondary_clicks"""
@@ -243,8 +244,9 @@ def referential_integrity(spark, folder):
              ON s.BRANCH_ID = d.BRANCH_ID"""),
 )
 def safe_dimension_join(spark, folder):
+    base = write_path(_branch_summary(spark, folder), new_path(spark, "branch_summary"))
     return joins.safe_dimension_join(
-        _branch_summary(spark, folder),
+        base,
         domain.branch_details_history(spark, folder),
         "BRANCH_ID",
         ["LAST_AUDIT_DATE", "MANAGER_NAME"],

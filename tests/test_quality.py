@@ -143,6 +143,14 @@ def test_coverage_and_alerts(report):
     )
 
 
+def test_run_limits(spark):
+    slow = spark.sql("select 1800.5D as duration_seconds, 96.0D as quality_score_percentage")
+    found = monitoring.alerts(slow, monitoring.RUN_LIMITS, "RUN_WARNING").collect()
+    assert [(r["type"], r["message"]) for r in found] == [
+        ("RUN_WARNING", "Processing time is 1800.5 s, above threshold of 1800.0 s")
+    ]
+
+
 def test_freshness_counts_inactive_audits_over_active_branches(spark):
     frame = spark.createDataFrame(
         [("2024-01-01", "Y"), ("2024-01-01", "N"), ("2024-05-30", "Y"), (None, "Y")],
