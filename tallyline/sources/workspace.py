@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -20,9 +21,13 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallyline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(spark.conf.get("spark.app.id", ""))
+
+
+@cache
+def _local_folder(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix="tallyline-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

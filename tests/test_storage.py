@@ -121,3 +121,12 @@ def test_shared_folder_is_required_on_a_cluster(spark):
         workspace.shared_folder(cluster)
     cluster.conf.get = lambda key, default=None: {"spark.checkpoint.dir": "s3a://b/x/"}.get(key, default)
     assert workspace.shared_folder(cluster) == "s3a://b/x"
+
+
+def test_local_session_without_the_setting_gets_one_folder():
+    local = MagicMock()
+    local.conf.get = lambda key, default=None: {"spark.master": "local[2]", "spark.app.id": "a-1"}.get(key, default)
+    folder = workspace.shared_folder(local)
+    assert folder == workspace.shared_folder(local)
+    assert workspace.new_path(local, "x").startswith(folder)
+    assert workspace.new_path(local, "x") != workspace.new_path(local, "x")
