@@ -228,7 +228,8 @@ def assess(
     """Every event once, with its outcome, reason and, if valid, its document.
 
     Outcomes are SCHEMA, BUSINESS and RENDERED. Written as one table with the
-    outcome as partition, it yields all outputs from a single pass.
+    outcome as partition, it yields all outputs from a single pass. Only schema
+    rejects keep their payload.
     """
     judged = canonicalize(events).withColumns({"__schema": schema_reason(strict)})
     judged = judged.withColumn(
@@ -242,25 +243,21 @@ def assess(
     judged = judged.withColumns(
         {"outcome": outcome, "reason": F.coalesce("__schema", "__business")}
     ).drop("__schema", "__business")
+    kept = F.when(F.col("outcome") == SCHEMA, F.col("payload_json")).otherwise(F.lit(""))
     text = F.when(F.col("outcome") == RENDERED, render_template("template_text"))
     return (
         attach_template(judged, template)
-        .withColumn("xml_text", text)
+        .withColumns({"payload_json": kept, "xml_text": text})
         .drop("template_key", "template_text")
     )
 
 
 def rejects_of(assessed: DataFrame) -> DataFrame:
     """Reject records of an assessed table."""
-    rows = assessed.filter(F.col("outcome").isin(SCHEMA, BUSINESS)).withColumns(
-        {
-            "reject_type": F.col("outcome"),
-            "payload_json": F.when(F.col("outcome") == BUSINESS, F.lit("")).otherwise(
-                F.col("payload_json")
-            ),
-        }
+    rejected = assessed.filter(F.col("outcome").isin(SCHEMA, BUSINESS))
+    return rejected.withColumnRenamed("outcome", "reject_type").select(
+        *REJECT_COLUMNS, "processing_ts"
     )
-    return rows.select(*REJECT_COLUMNS, "processing_ts")
 
 
 def rendered_of(assessed: DataFrame) -> DataFrame:

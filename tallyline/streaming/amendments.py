@@ -9,8 +9,6 @@ from tallyline import schemas
 from tallyline.plans.amendments import assess, extract_event_meta
 from tallyline.sources.readers import scan_path
 
-BATCH = "batch_id"
-
 
 def landing_stream(
     spark: SparkSession, folder: str, null_value: str | None = None, files_per_batch: int = 1000
@@ -35,17 +33,14 @@ def start(
 ) -> StreamingQuery:
     """Assess what has arrived since the last run, then stop.
 
-    Each micro-batch overwrites the folder of its own number. A batch that is
-    run again after a failure therefore leaves its rows exactly once.
+    The file sink logs which files belong to a finished micro-batch, so a batch
+    that is run again after a failure leaves its rows exactly once.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        assessed = assess(extract_event_meta(batch), template, strict)
-        target = f"{folder}/assessed/{BATCH}={number}"
-        assessed.write.format(fmt).mode("overwrite").save(target)
-
+    rows = assess(extract_event_meta(landing), template, strict)
     return (
-        landing.writeStream.foreachBatch(write)
+        rows.writeStream.format(fmt)
+        .partitionBy("outcome")
+        .option("path", f"{folder}/assessed")
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
