@@ -86,11 +86,12 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         at = to
 
 
-def words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, between: np.ndarray = _SPACE) -> Iterator[Words]:
+    """Words of the texts; ``between`` flags the bytes that are not part of words."""
     for first, data, edges in pieces(column):
         if lower:
             data = _LOWER[data]
-        inside = ~_SPACE[data]
+        inside = ~between[data]
         before = np.zeros(len(data) + 1, dtype=bool)
         before[1:] = inside
         begins = edges[:-1][edges[:-1] < len(data)]
@@ -105,9 +106,10 @@ def words(column: pa.Array, lower: bool = False) -> Iterator[Words]:
         yield Words(first, data, edges, start, end, np.searchsorted(start, edges))
 
 
-def word_hashes(found: Words) -> np.ndarray:
+def word_hashes(found: Words, between: np.ndarray = _SPACE) -> np.ndarray:
     """A 64-bit hash of each word: random numbers for its bytes, weighted by place."""
-    return run_hashes(_BYTE_IN_WORD[found.data], found.start, found.end)
+    values = _BYTE_IN_WORD if between is _SPACE else np.where(between, np.uint64(0), _BYTE)
+    return run_hashes(values[found.data], found.start, found.end)
 
 
 def run_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -167,6 +169,13 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
                 yield found.first + k, np.unique(runs[a : b - SHINGLE + 1])
 
 
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    """A list column of the bits of 64-bit numbers."""
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(flat)))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as Spark's longs."""
     return np.ascontiguousarray(x, dtype=np.uint64).view(np.int64)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import ngram_join
+from tallyline.llm import archives, bpe, licenses, mixing, ngram_join, paragraphs, quality, token_counts, topk
+
+# Tokens of a document beyond which it is marked.
+TOKEN_LIMIT = 1024
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +52,160 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
 """
+
+
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counted = token_counts.count_tokens(_table(spark, folder, "documents"), path)
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+QUERIES["op1_token_counts"] = op1_token_counts
+
+
+def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of all documents takes of each, sources weighing 3, 1, 2 in turn."""
+    mixture = mixing.mix(_table(spark, folder, "documents"))
+    return mixture.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES["op3_mix_sources"] = op3_mix_sources
+SQL["op3_mix_sources"] = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, text,
+    md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS place FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+rounds AS (
+  SELECT 0 AS round, 1.5::DOUBLE * sum(source_size)::DOUBLE / sum(weight) AS level FROM sources
+  UNION ALL
+  SELECT round + 1, (SELECT (1.5::DOUBLE * sum(source_size)::DOUBLE
+      - coalesce(sum(2 * source_size) FILTER (2 * source_size < level * weight), 0)::DOUBLE)
+      / sum(weight) FILTER (NOT 2 * source_size < level * weight) FROM sources)
+  FROM rounds WHERE round < (SELECT count(*) FROM sources)),
+final AS (SELECT arg_max(level, round) AS level FROM rounds),
+targets AS (
+  SELECT source, source_size, least(2.0::DOUBLE * source_size, level * weight) AS target FROM sources, final),
+parts AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS words,
+    CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS whole FROM targets),
+placed AS (
+  SELECT doc_id, size, source_size, target, whole, words - whole * source_size AS part,
+    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY place, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+  (whole * size + greatest(least(part - before, size), 0))::BIGINT AS taken FROM placed
+"""
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Line and document rules on all documents."""
+    rated = quality.rate(_table(spark, folder, "documents"))
+    return rated.select("doc_id", *quality.ADDED, "base_failed", "kept")
+
+
+QUERIES["op7_quality_rules"] = op7_quality_rules
+SQL["op7_quality_rules"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]') AS symbols
+  FROM documents),
+triples AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM texts, unnest(range(1, greatest(len(w) - 1, 1))) AS r(i)),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+  FROM triples, unnest([0, 1, 2]) AS o(k) WHERE n > 1 GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
+  FROM texts),
+parsed AS (
+  SELECT doc_id, k, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
+    row_number() OVER (PARTITION BY doc_id, line ORDER BY k) > 1 AS again
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT doc_id, again, len(list_aggregate(w, 'string_agg', '')) AS chars,
+    again OR NOT regexp_matches(w[-1], '[.!?:;"'')\]…”»。！？]$')
+      OR len([x for x in w if x IN ('|', '>', '»', '·', '•', '/', '::', '<', '›')]) > 0.2 * len(w)
+      OR regexp_matches(line, '(?i)lorem ipsum|enable javascript|javascript is disabled|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|sign in to|log in to|subscribe to our newsletter|skip to content') AS fails
+  FROM parsed),
+by_doc AS (
+  SELECT doc_id, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars
+  FROM judged GROUP BY doc_id),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(list_aggregate(w, 'string_agg', '')), 0)::BIGINT AS word_chars,
+    len(symbols)::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(lost_chars, 0)::BIGINT AS lost_chars
+  FROM texts LEFT JOIN by_doc USING (doc_id) LEFT JOIN covered USING (doc_id)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND lost_chars <= 0.5 * word_chars AS kept FROM failed
+"""
+
+
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector."""
+    return topk.top_k(_table(spark, folder, "embeddings"))
+
+
+QUERIES["op8_exact_top_k"] = op8_exact_top_k
+SQL["op8_exact_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
+def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.round_trip(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+QUERIES["op9_byte_level_bpe"] = op9_byte_level_bpe
+
+
+def op5_legacy_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to an ARC archive, converted to WARC and read back."""
+    return archives.archive_pages(_table(spark, folder, "pages"))
+
+
+QUERIES["op5_legacy_archives"] = op5_legacy_archives
+SQL["op5_legacy_archives"] = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+firsts AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest, n >= 100) ELSE page_id END AS first_id
+  FROM payloads)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan(_table(spark, folder, "documents"), licenses.notices(spark))
+
+
+QUERIES["op6_license_scans"] = op6_license_scans
+
+
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Paragraphs and passages that several documents hold."""
+    return paragraphs.repeated_paragraphs(_table(spark, folder, "documents"))
+
+
+QUERIES["op10_substring_dedup"] = op10_substring_dedup
