@@ -3,8 +3,8 @@
 A bucket is a set of rows with one key. Its pairs are never all listed: each row is first
 compared with the smallest row of its bucket, and rows that these links already put into
 one component need no further comparison. Only rows of different components that still
-share a bucket are compared with each other. A bucket that holds many such rows is first
-divided by every second key that its rows share.
+share a bucket are compared with each other. A bucket of many components is first divided
+by the other crowded buckets that its rows are in.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.storing import stored
 
-# Members of different components above which a bucket is divided by a second key.
+# Components of a bucket above which it is divided.
 CROWD = 100
 # Times a bucket is divided. What is left of it is then compared as it is.
-DIVISIONS = 3
+DIVISIONS = 2
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -69,32 +69,33 @@ def shared(buckets: DataFrame) -> DataFrame:
     return buckets.join(several, "key")
 
 
-def linked(
-    members: DataFrame, keys: DataFrame, confirm: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(uid, component) by the confirmed links between rows of a bucket.
 
-    ``members`` are the rows of ``shared``, ``keys`` the keys of each uid as an array, and
-    ``confirm`` keeps of pairs (a, b), a < b, those that link.
+    ``members`` are the rows of ``shared``, and ``confirm`` keeps of pairs (a, b), a < b,
+    those that link. Rows of a crowded bucket that meet in a bucket without a crowd are
+    compared there; a crowd itself is divided only by the other crowded keys of its rows, so
+    two rows that share nothing but one crowded key are not compared.
     """
     star = members.where("uid <> center").select(F.col("center").alias("a"), F.col("uid").alias("b")).distinct()
     star = stored(star, "star-pairs")
     links = stored(confirm(star), "star-links")
     rest = _apart(members.select("key", "uid"), components(links))
-    pairs = None
+    rest = rest.withColumn("last", F.col("key"))
+    base = pairs = None
     for division in range(DIVISIONS + 1):
         rest = stored(rest, "apart")
-        crowded = rest.groupBy("key").count().where(F.col("count") > CROWD).select("key")
-        crowded = stored(crowded, "crowded")
+        crowded = rest.select("key", "component").distinct().groupBy("key").count()
+        crowded = stored(crowded.where(F.col("count") > CROWD).select("key"), "crowded")
         last = division == DIVISIONS or crowded.isEmpty()
-        kept = rest if last else rest.join(crowded, "key", "left_anti")
-        found = _across(kept)
+        found = _across(rest if last else rest.join(crowded, "key", "left_anti"))
         pairs = found if pairs is None else pairs.union(found)
         if last:
             break
-        wide = rest.join(crowded, "key").join(keys, "uid").withColumn("more", F.explode("keys"))
-        wide = wide.where("more <> key").withColumn("key", F.xxhash64("key", "more"))
-        rest = _mixed(wide.select("key", "uid", "component").distinct())
+        rest = rest.join(crowded, "key")
+        base = rest.select("uid", F.col("key").alias("more")) if base is None else base
+        rest = rest.join(base, "uid").where("more > last")
+        rest = _mixed(rest.select(F.xxhash64("key", "more").alias("key"), "uid", "component", F.col("more").alias("last")))
     pairs = pairs.distinct().join(star, ["a", "b"], "left_anti")
     return components(stored(links.union(confirm(stored(pairs, "rest-pairs"))), "links"))
 

@@ -11,7 +11,9 @@ difference, and last with the exact sets.
 Words without n-grams agree too, so such empty words give no key. Small sets, which may
 have nothing but an empty word in common, therefore get several sketches with different
 hashes, and large sets use the first PROBES of their words: at the limit of similarity a
-word agrees with a probability of about 0.4, and a pair is missed with one below 1e-7.
+word agrees with a probability of about 0.4, and a pair is missed with one below 1e-7. Where
+it shares its buckets with crowds of other texts it must agree in three words, and the
+probability is below 1e-5.
 """
 
 from __future__ import annotations
@@ -114,19 +116,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.array(n, dtype=np.int64)),
                 pa.array(arrays.signed(np.array(d1, dtype=np.uint64))),
                 pa.array(arrays.signed(np.array(d2, dtype=np.uint64))),
-                _lists(keys),
-                _lists(sketches),
+                arrays.lists(keys),
+                arrays.lists(sketches),
             ],
             names=["doc_id", "row", "n_shingles", "d1", "d2", "keys", "sketch"],
         )
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(arrays.signed(flat)))
-
-
 def _sets(picker: Picker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +135,7 @@ def _sets(picker: Picker):
                 found = [s for _, s in arrays.shingle_sets(batch.column(2).take(part))]
                 sums = np.array([arrays.mixed(s).sum(dtype=np.uint64) for s in found], dtype=np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(part), pa.array(arrays.signed(sums)), _lists(found)],
+                    [batch.column(0).take(part), pa.array(arrays.signed(sums)), arrays.lists(found)],
                     names=["row", "d1", "shingles"],
                 )
 
@@ -169,7 +165,48 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     Equal sets are one class from the start: only the first row of a class has buckets
     and is compared, so copies cost one row each.
     """
-    source = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    features, of_class = _classed(docs)
+    return (
+        features.select("doc_id", "n_shingles", "d1", "d2")
+        .join(of_class, ["d1", "d2"], "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        )
+    )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """Of each component of ``similar_documents`` the row of ``docs`` with the smallest doc_id.
+
+    A null doc_id comes last; of rows with that doc_id and different texts the one with the
+    smallest hash stays, and one of equal rows. Rows without shingles all stay. All columns
+    are returned.
+    """
+    features, of_class = _classed(docs)
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row")
+    chosen = (
+        features.where("n_shingles > 0")
+        .join(of_class, ["d1", "d2"])
+        .groupBy("component")
+        .agg(F.min(place).alias("first"))
+        .select(F.col("first.row").alias("row"))
+    )
+    # the row as one column, so that no name of it meets a name used here
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), _row().alias("row"))
+    full = rows.join(chosen, "row", "left_semi").dropDuplicates(["row"])
+    none = rows.where(~F.coalesce(F.col("doc.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    return full.unionByName(none).select("doc.*")
+
+
+def _row():
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of every row, and component and component_id of every set."""
+    source = docs.select(F.col("doc_id").cast("long"), _row().alias("row"), "text")
     features = source.mapInArrow(_features, FEATURES).withColumn("uid", F.monotonically_increasing_id())
     features = stored(features, "features")
     classes = stored(
@@ -206,17 +243,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         near = near.withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
         return near.where("100 * common >= 75 * (n_a + n_b - common)").select("a", "b")
 
-    labels = linked(members, one.select("uid", "keys"), confirm)
+    labels = linked(members, confirm)
     named = classes.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     named = stored(named, "named-classes")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = named.join(least, "component").select("d1", "d2", "component_id")
-    return (
-        features.select("doc_id", "n_shingles", "d1", "d2")
-        .join(of_class, ["d1", "d2"], "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-    )
+    return features, stored(named.join(least, "component").select("d1", "d2", "component", "component_id"), "components")
