@@ -73,55 +73,50 @@ def mix(
     """
     docs = docs.drop("size", "source_size", "target", "taken")
     order = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    ranged = docs.withColumn("_order", order).withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
-    sums = stored(
-        ranged.groupBy("source", "_range").agg(F.sum(word_count("text")).alias("range_size")), "range-sizes"
+    # the row as one column, so that no name of it meets a name used here
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "source", order.alias("place"))
+    rows = rows.withColumn("range", F.substring("place", 1, RANGE_DIGITS))
+    size = word_count("doc.text")
+    sums = stored(rows.groupBy("source", "range").agg(F.sum(size).alias("range_size")), "range-sizes")
+    wanted = targets(weigh(sums.groupBy("source").agg(F.sum("range_size").alias("source_size"))), share, epochs)
+    plan = stored(_plan(wanted, sums), "mix-plan")
+    joined = rows.withColumnRenamed("source", "own").join(plan, F.col("own").eqNullSafe(F.col("source")))
+    at_border = F.coalesce(F.col("range") == F.col("border"), F.lit(False))
+    plain = joined.where(~at_border).withColumn("size", size)
+    plain = plain.withColumn("extra", F.when(F.col("range") < F.col("border"), F.col("size")).otherwise(0))
+    running = F.sum("size").over(
+        Window.partitionBy("source")
+        .orderBy("place", "doc.doc_id", "size", F.xxhash64("doc.text"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    sizes = sums.groupBy("source").agg(F.sum("range_size").alias("source_size"))
-    wanted = targets(weigh(sizes), share, epochs)
-    words = F.floor(F.col("target") + 0.5)
+    left = F.col("part") - F.col("before") - F.coalesce(running, F.lit(0))
+    near = joined.where(at_border).withColumn("size", size)
+    near = near.withColumn("extra", F.greatest(F.least(left, F.col("size")), F.lit(0)))
+    return plain.unionByName(near).select(
+        "doc.*", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken")
+    )
+
+
+def _plan(wanted: DataFrame, sums: DataFrame) -> DataFrame:
+    """Per source its whole repetitions, the words beyond them, and the range in which these end."""
     plan = wanted.select(
         "source",
         "source_size",
         "target",
-        F.coalesce(F.expr("floor(target + 0.5) div source_size"), F.lit(0)).alias("_whole"),
-    ).withColumn("_part", words - F.col("_whole") * F.col("source_size"))
+        F.coalesce(F.expr("floor(target + 0.5) div source_size"), F.lit(0)).alias("whole"),
+    )
+    plan = plan.withColumn("part", F.floor(F.col("target") + 0.5) - F.col("whole") * F.col("source_size"))
     before = F.sum("range_size").over(
-        Window.partitionBy("s").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("own").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     )
     border = (
-        sums.withColumnRenamed("source", "s")
-        .withColumn("_before", F.coalesce(before, F.lit(0)))
-        .join(plan, F.col("s").eqNullSafe(F.col("source")))
-        .where("_before < _part and _part <= _before + range_size")
-        .select("s", F.col("_range").alias("_border"), "_before")
-    )
-    plan = stored(
-        plan.join(border, F.col("source").eqNullSafe(F.col("s")), "left")
-        .drop("s")
-        .withColumnRenamed("source", "_source"),
-        "mix-plan",
-    )
-    joined = ranged.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    at_border = F.coalesce(F.col("_range") == F.col("_border"), F.lit(False))
-    size = word_count("text")
-    plain = joined.where(~at_border).withColumn("size", size).withColumn(
-        "_extra", F.when(F.col("_range") < F.col("_border"), F.col("size")).otherwise(0)
-    )
-    running = F.sum("size").over(
-        Window.partitionBy("_source")
-        .orderBy("_order", "doc_id", "size", F.xxhash64("text"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    left = F.col("_part") - F.col("_before") - F.coalesce(running, F.lit(0))
-    near = joined.where(at_border).withColumn("size", size).withColumn(
-        "_extra", F.greatest(F.least(left, F.col("size")), F.lit(0))
-    )
-    return (
-        plain.unionByName(near)
-        .withColumn("taken", F.col("_whole") * F.col("size") + F.col("_extra"))
-        .select(*docs.columns, "size", "source_size", "target", "taken")
+        sums.withColumnRenamed("source", "own")
+        .withColumn("before", F.coalesce(before, F.lit(0)))
+        .join(plan, F.col("own").eqNullSafe(F.col("source")))
+        .where("before < part and part <= before + range_size")
+        .select("own", F.col("range").alias("border"), "before")
     )
+    return plan.join(border, F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
 
 
 def mixed_documents(mixture: DataFrame) -> DataFrame:
@@ -130,10 +125,8 @@ def mixed_documents(mixture: DataFrame) -> DataFrame:
     wholes = F.array_repeat(F.col("size"), F.expr("int(taken div greatest(size, 1))"))
     part = F.expr("taken % greatest(size, 1)")
     each = F.when(part > 0, F.concat(wholes, F.array(part))).otherwise(wholes)
-    cut = F.array_join(F.slice(F.split("text", WORD_END, -1), 1, F.col("_words").cast("int")), "")
-    return mixture.withColumn("_words", F.explode(each)).select(
-        *[
-            F.when(F.col("_words") == F.col("size"), F.col("text")).otherwise(cut).alias("text") if c == "text" else c
-            for c in columns
-        ]
-    )
+    rows = mixture.select(F.struct(*columns).alias("doc"), "size", F.explode(each).alias("words"))
+    text = F.col("doc.text")
+    cut = F.array_join(F.slice(F.split(text, WORD_END, -1), F.lit(1), F.col("words").cast("int")), "")
+    whole = F.col("words") == F.col("size")
+    return rows.select(F.col("doc").withField("text", F.when(whole, text).otherwise(cut)).alias("doc")).select("doc.*")

@@ -1,7 +1,8 @@
 """Quality rules that look at lines first and then at what is left of a document.
 
-Each line is judged for itself: it fails when it does not end in punctuation, when it looks
-like navigation, when it holds a boilerplate phrase, or when it repeats an earlier line.
+Each line is judged for itself: it fails when it does not end in punctuation or is full of
+symbols, when it looks like navigation, when it holds a boilerplate phrase, or when it
+repeats an earlier line.
 Failing lines are removed, and a document that loses more than a share of its text, or that
 fails the base rules as it came, is rejected.
 """
@@ -25,6 +26,7 @@ class Limits(NamedTuple):
     least_words: int = 50
     repeated_percent: int = 50
     separator_share: float = 0.2
+    symbol_share: float = 0.3
     lost_share: float = 0.5
 
 
@@ -123,6 +125,9 @@ def judge(found: arrays.Words, limits: Limits) -> Judged:
     separators = np.zeros(len(found.start) + 1, dtype=np.int64)
     np.cumsum(_is_separator(found), out=separators[1:])
     stays &= separators[last] - separators[first] <= limits.separator_share * (last - first)
+    symbols = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(_SYMBOL[data], out=symbols[1:])
+    stays &= symbols[end] - symbols[start] <= limits.symbol_share * (last - first)
     lower = arrays._LOWER[data].tobytes()
     for phrase in BOILERPLATE:
         at = lower.find(phrase)

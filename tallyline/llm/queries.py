@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import archives, bpe, licenses, mixing, ngram_join, paragraphs, quality, token_counts, topk
+from tallyline.llm import (
+    archives,
+    bpe,
+    licenses,
+    mixing,
+    ngram_join,
+    paragraphs,
+    quality,
+    surrogates,
+    token_counts,
+    topk,
+)
 
 # Tokens of a document beyond which it is marked.
 TOKEN_LIMIT = 1024
@@ -131,6 +143,7 @@ judged AS (
   SELECT doc_id, again, len(list_aggregate(w, 'string_agg', '')) AS chars,
     again OR NOT regexp_matches(w[-1], '[.!?:;"'')\]…”»。！？]$')
       OR len([x for x in w if x IN ('|', '>', '»', '·', '•', '/', '::', '<', '›')]) > 0.2 * len(w)
+      OR len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.3 * len(w)
       OR regexp_matches(line, '(?i)lorem ipsum|enable javascript|javascript is disabled|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|sign in to|log in to|subscribe to our newsletter|skip to content') AS fails
   FROM parsed),
 by_doc AS (
@@ -209,3 +222,21 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op10_substring_dedup"] = op10_substring_dedup
+
+
+def op4_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with personal data replaced."""
+    return surrogates.pseudonymise(_table(spark, folder, "documents")).select("doc_id", "text", "n_entities")
+
+
+QUERIES["op4_pii_surrogates"] = op4_pii_surrogates
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
