@@ -30,6 +30,15 @@ def checksum_md5(
     return F.md5(F.concat_ws(separator, *parts))
 
 
+def change_hash(columns: Sequence[Column | str], key: str = "change") -> Column:
+    """Keyed hash that differs whenever any column differs, a NULL and its place included."""
+    parts = []
+    for c in columns:
+        text = _col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
+
+
 def mask_hash(value: Column | str) -> Column:
     """SHA-256 of the text form, in hexadecimal."""
     return F.sha2(_col(value).cast("string"), 256)

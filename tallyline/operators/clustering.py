@@ -4,48 +4,94 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, NumericType
+from pyspark.sql.types import NumericType
 
 from tallyline.operators.layout import partition_by_key
+from tallyline.sources.workspace import new_path
+from tallyline.sources.writers import write_path
 
 _FEATURES = "__features"
+Centers = list[list[float]]
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
-    kinds = (DoubleType, FloatType, IntegerType, LongType)
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def _clustered(
-    df: DataFrame, columns: Sequence[str], k: int, seed: int, name: str
-) -> tuple[DataFrame, KMeansModel]:
-    filled = df.withColumns(
-        {f"__x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns}
-    )
-    inputs = [f"__x_{c}" for c in columns]
-    vectors = VectorAssembler(inputCols=inputs, outputCol=_FEATURES).transform(filled)
-    model = KMeans(k=k, seed=seed, featuresCol=_FEATURES, predictionCol=name).fit(vectors)
-    return model.transform(vectors), model
+def _value(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+
+
+def fit_centers(df: DataFrame, columns: Sequence[str], k: int, seed: int) -> Centers:
+    """Centres of the clusters; only the features are read.
+
+    The first centres are sampled by partition, so another file layout may give others.
+    """
+    inputs = df.select(*[_value(c).alias(c) for c in columns])
+    vectors = VectorAssembler(inputCols=list(columns), outputCol=_FEATURES).transform(inputs)
+    model = KMeans(k=k, seed=seed, featuresCol=_FEATURES).fit(vectors.select(_FEATURES))
+    return [[float(x) for x in center] for center in model.clusterCenters()]
+
+
+def distance(columns: Sequence[str], center: Sequence[float]) -> Column:
+    squares = [F.pow(_value(c) - F.lit(x), F.lit(2.0)) for c, x in zip(columns, center, strict=True)]
+    return F.sqrt(sum(squares[1:], squares[0]))
+
+
+def distance_to_own(columns: Sequence[str], centers: Centers, name: str = "prediction") -> Column:
+    return F.coalesce(*[F.when(F.col(name) == i, distance(columns, c)) for i, c in enumerate(centers)])
+
+
+def clustered(
+    df: DataFrame, columns: Sequence[str], k: int = 10, seed: int = 1, name: str = "prediction"
+) -> tuple[DataFrame, Centers]:
+    """Rows with the number of the nearest centre, the first of several, and the centres."""
+    centers = fit_centers(df, columns, k, seed)
+    each = F.array(*[distance(columns, c) for c in centers])
+    number = (F.array_position(each, F.array_min(each)) - 1).cast("int")
+    return df.withColumn(name, number), centers
+
+
+def by_cluster(rows: DataFrame, name: str = "prediction") -> DataFrame:
+    """Rows laid out by cluster; a large cluster is split."""
+    return partition_by_key(rows, [name])
 
 
 def kmeans_partitioning(
     df: DataFrame, columns: Sequence[str], k: int = 10, seed: int = 1, name: str = "prediction"
 ) -> DataFrame:
-    """Rows with their cluster, laid out by it; a large cluster is split."""
-    rows, _ = _clustered(df, columns, k, seed, name)
-    return partition_by_key(rows.select(*df.columns, name), [name])
+    """Rows with their cluster, laid out by it."""
+    return by_cluster(clustered(df, columns, k, seed, name)[0], name)
 
 
-def _distance(columns: Sequence[str], center: Sequence[float]) -> Column:
-    squares = [
-        F.pow(F.col(f"__x_{c}") - F.lit(float(x)), F.lit(2.0))
-        for c, x in zip(columns, center, strict=True)
-    ]
-    return F.sqrt(sum(squares[1:], squares[0]))
+def scored(
+    df: DataFrame,
+    columns: Sequence[str],
+    k: int = 3,
+    seed: int = 42,
+    quantile: float = 0.99,
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """Every row with cluster, distance, the limit of its cluster, and whether it is beyond that.
+
+    Rows are scored once, into the shared folder; the limits and the result read that.
+    """
+    if not all(isinstance(df.schema[c].dataType, NumericType) for c in columns):
+        raise ValueError("K-means needs numeric columns")
+    rows, centers = clustered(df, columns, k, seed, "cluster")
+    measured = rows.withColumn("distance", distance_to_own(columns, centers, "cluster"))
+    measured = write_path(measured, new_path(df.sparkSession, "scored"))
+    limits = measured.groupBy("cluster").agg(
+        F.percentile_approx("distance", F.lit(quantile), F.lit(accuracy)).alias("limit")
+    )
+    # the limits are k rows at most, whatever the size of the input
+    return measured.join(F.broadcast(limits), "cluster").select(
+        *df.columns, "cluster", "distance", "limit", (F.col("distance") > F.col("limit")).alias("is_anomaly")
+    )
 
 
 def kmeans_anomalies(
@@ -58,8 +104,7 @@ def kmeans_anomalies(
 ) -> DataFrame:
     """Rows farther from the centre of their cluster than a quantile of its rows.
 
-    With fewer than two numeric columns the result is empty. The centres are a
-    handful of literals; distances and quantiles stay native columns.
+    With fewer than two numeric columns the result is empty.
     """
     used = list(columns) if columns is not None else numeric_columns(df)
     if not all(isinstance(df.schema[c].dataType, NumericType) for c in used):
@@ -68,20 +113,5 @@ def kmeans_anomalies(
         return df.filter(F.lit(False)).withColumns(
             {"cluster": F.lit(None).cast("int"), "distance": F.lit(None).cast("double")}
         )
-    rows, model = _clustered(df, used, k, seed, "cluster")
-    distance = F.coalesce(
-        *[
-            F.when(F.col("cluster") == i, _distance(used, center))
-            for i, center in enumerate(model.clusterCenters())
-        ]
-    )
-    measured = rows.withColumn("distance", distance).select(*df.columns, "cluster", "distance")
-    limits = measured.groupBy("cluster").agg(
-        F.percentile_approx("distance", F.lit(quantile), F.lit(accuracy)).alias("__limit")
-    )
-    # the limits are k rows at most, whatever the size of the input
-    return (
-        measured.join(F.broadcast(limits), "cluster")
-        .filter(F.col("distance") > F.col("__limit"))
-        .select(*df.columns, "cluster", "distance")
-    )
+    rows = scored(df, used, k, seed, quantile, accuracy)
+    return rows.filter("is_anomaly").select(*df.columns, "cluster", "distance")

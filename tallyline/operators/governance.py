@@ -19,7 +19,7 @@ from tallyline.functions.cleansing import (
     retention_date,
     upper_trim,
 )
-from tallyline.functions.protection import checksum_md5, encrypt, mask_hash, mask_partial, mask_prefix4
+from tallyline.functions.protection import change_hash, checksum_md5, encrypt, mask_hash, mask_partial, mask_prefix4
 from tallyline.operators.joins import scalar_backfill, single_row_lookup
 from tallyline.operators.windows import latest_per_key
 
@@ -58,9 +58,12 @@ def map_source_secure(
 ) -> DataFrame:
     """Masked record with history, checksum, batch and retention columns.
 
+    ``source_checksum`` covers the masked values as the target holds them; ``change_hash`` is
+    taken before masking and over all tracked columns, and tells one version from another.
     The input carries ``data_quality_score`` and ``extraction_batch_id``.
     """
-    masked = mask_columns(df, masks or {})
+    tracked = ["id", "column1", "column2", "column3", "status"]
+    masked = mask_columns(df.withColumn("__change", change_hash(tracked)), masks or {})
     start_type = masked.schema["created_date"].dataType
     checked = ["id", "column1", "column2", "column3"]
     return masked.select(
@@ -76,6 +79,7 @@ def map_source_secure(
         F.lit(OPEN_END).cast(start_type).alias("effective_end_date"),
         "data_quality_score",
         checksum_md5(checked).alias("source_checksum"),
+        F.col("__change").alias("change_hash"),
         F.col("extraction_batch_id").alias("batch_id"),
         F.lit(DATA_CLASS).alias("data_classification"),
         retention_date(as_of).alias("retention_date"),
@@ -137,10 +141,12 @@ def changed_since(
 
 
 def new_watermark(
-    batch: DataFrame, table: str, column: str, now: Column | None = None
+    batch: DataFrame, table: str, columns: str | Sequence[str], now: Column | None = None
 ) -> DataFrame:
-    """One control row: the highest value of the batch."""
-    return batch.agg(F.max(column).alias("last_processed_date")).select(
+    """One control row: the highest value of the batch in any of the columns; NULL of no rows."""
+    names = [columns] if isinstance(columns, str) else list(columns)
+    newest = F.greatest(*[F.max(c) for c in names]) if len(names) > 1 else F.max(names[0])
+    return batch.agg(newest.alias("last_processed_date")).select(
         F.lit(table).alias("table_name"),
         "last_processed_date",
         processing_timestamp(now).alias("updated_timestamp"),
@@ -148,10 +154,12 @@ def new_watermark(
 
 
 def upsert_watermark(control: DataFrame, update: DataFrame) -> DataFrame:
-    """Control table with the update in place of the older row of the same table."""
-    return latest_per_key(
-        control.unionByName(update), ["table_name"], ["updated_timestamp", "last_processed_date"]
-    )
+    """Control table with the greatest processed value of each table.
+
+    An empty batch, whose value is NULL, and a batch that comes late change nothing.
+    """
+    known = control.unionByName(update).filter(F.col("last_processed_date").isNotNull())
+    return latest_per_key(known, ["table_name"], ["last_processed_date", "updated_timestamp"])
 
 
 # -- lineage ---------------------------------------------------------------------------
@@ -232,7 +240,12 @@ def backfill_branch_details(report: DataFrame, details: DataFrame) -> DataFrame:
 def evolve_schema(
     df: DataFrame, target: StructType, defaults: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """Columns of the target in its order; new ones hold their default or NULL."""
+    """Columns of the target in its order; new ones hold their default or NULL.
+
+    A column that the target lacks is an error: evolving adds columns and drops none.
+    """
+    if extra := [c for c in df.columns if c not in target.fieldNames()]:
+        raise ValueError(f"the target schema has no column {', '.join(extra)}")
     values = defaults or {}
     return df.select(
         *[

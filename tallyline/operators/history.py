@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.protection import checksum_md5
 from tallyline.operators.governance import OPEN_END
+from tallyline.sources.readers import scan_path
+from tallyline.sources.writers import write_path
 
 KEY = "business_key"
 START, END, CURRENT = "effective_start_date", "effective_end_date", "is_current"
 CHECKSUM = "source_checksum"
+CHANGE = "change_hash"
 SURROGATE = "surrogate_key"
+BUCKET = "key_bucket"
+BUCKETS = 64
 
 
 def surrogate_key() -> Column:
@@ -22,7 +25,11 @@ def surrogate_key() -> Column:
     It is the same on every run and needs no counter shared between tasks.
     """
     start = F.date_format(START, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return checksum_md5([F.col(KEY), start, F.col(CHECKSUM)])
+    return checksum_md5([F.col(KEY), start, F.col(CHANGE)])
+
+
+def key_bucket(buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
 
 
 def first_versions(incoming: DataFrame) -> DataFrame:
@@ -33,26 +40,65 @@ def first_versions(incoming: DataFrame) -> DataFrame:
 
 
 def scd2_merge(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """History after a batch of records, one per business key.
+    """History after a batch of versions, any number per business key.
+
+    A version is new when its change hash differs from that of the version before it by start
+    date. Each version ends where the next one of its key starts, and the last is open; so a
+    version that arrives late becomes a closed row between its neighbours. Running the same
+    batch again changes nothing. Rows of keys that the batch does not name pass through; only
+    keys are needed to find them.
+    """
+    columns = history.columns
+    keys = incoming.select(KEY).distinct()
+    touched = history.join(keys, KEY, "left_semi").select(*columns, F.lit(0).alias("__origin"))
+    fresh = first_versions(incoming).select(*columns, F.lit(1).alias("__origin"))
+    by_start = Window.partitionBy(KEY).orderBy(START, "__origin", CHANGE)
+    versions = touched.unionByName(fresh).withColumn("__before", F.lag(CHANGE).over(by_start))
+    same = F.coalesce(F.col(CHANGE) == F.col("__before"), F.lit(False))
+    versions = versions.filter(~((F.col("__origin") == 1) & same))
+    following = F.lead(START).over(by_start)
+    kind = history.schema[END].dataType
+    ended = versions.withColumn("__next", following).withColumns(
+        {
+            END: F.coalesce(F.col("__next"), F.lit(OPEN_END).cast(kind)),
+            CURRENT: F.col("__next").isNull(),
+        }
+    )
+    rest = history.join(keys, KEY, "left_anti")
+    return rest.select(*columns).unionByName(ended.select(*columns))
+
+
+def merge_stored(
+    incoming: DataFrame, path: str, staging: str, buckets: int = BUCKETS, fmt: str = "parquet"
+) -> DataFrame:
+    """Merge a batch into the history below ``path`` and return the whole history.
 
-    A key whose checksum differs gets its open row closed at the new start and a
-    new open row; a new key gets an open row; all else stays. Running the same
-    batch again changes nothing. Only open rows take part in the join, and they
-    are unique per key on both sides.
+    The table is partitioned by a bucket of its keys. Only buckets that the batch names are
+    read and written: merged under ``staging`` first, then put in place of the old ones, so a
+    failure before that leaves the history as it was and one after it is mended by running the
+    batch again. The list of buckets is bounded by their number.
     """
-    columns: Sequence[str] = history.columns
-    fresh = first_versions(incoming).select(*columns)
-    old = history.filter(F.col(CURRENT)).select(F.col(KEY), F.struct(*columns).alias("old"))
-    new = fresh.select(F.col(KEY), F.struct(*columns).alias("new"))
-    pairs = old.join(new, KEY, "full_outer")
-
-    known, arrived = F.col("old").isNotNull(), F.col("new").isNotNull()
-    same = F.col(f"old.{CHECKSUM}").eqNullSafe(F.col(f"new.{CHECKSUM}"))
-    replaced = known & arrived & ~same
-    closed = F.col("old").withField(END, F.col(f"new.{START}")).withField(CURRENT, F.lit(False))
-    versions = F.array(
-        F.when(replaced, closed).when(known, F.col("old")),
-        F.when(arrived & ~(known & same), F.col("new")),
+    spark = incoming.sparkSession
+    versions = incoming.withColumn(BUCKET, key_bucket(buckets))
+    if not exists(incoming, path):
+        merged = scd2_merge(first_versions(versions).limit(0), versions)
+    else:
+        named = [r[0] for r in versions.select(BUCKET).distinct().collect()]
+        stored = scan_path(spark, path, fmt, first_versions(versions).schema)
+        merged = scd2_merge(stored.filter(F.col(BUCKET).isin(named)), versions)
+    staged = write_path(merged, staging, fmt=fmt)
+    (
+        staged.write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET)
+        .save(path)
     )
-    merged = pairs.select(F.explode(versions).alias("row")).filter(F.col("row").isNotNull())
-    return history.filter(~F.col(CURRENT)).unionByName(merged.select("row.*"))
+    return scan_path(spark, path, fmt, staged.schema).drop(BUCKET)
+
+
+def exists(df: DataFrame, path: str) -> bool:
+    """Whether anything is stored below a path of any file system that Spark reads."""
+    jvm = df.sparkSession._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(folder)

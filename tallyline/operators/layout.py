@@ -32,12 +32,19 @@ def partition_by_key(
 
 
 def clustered_rewrite(
-    df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    fmt: str = "parquet",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Rewrite a table so that each file holds a narrow range of the keys.
 
-    Readers that filter on a leading key then skip most files. Give more than
-    one key: rows of a hot first key are split by the next one.
+    Readers that filter on a leading key then skip most files. End the keys with a
+    unique column: equal keys, NULLs and empty text among them, cannot be split between
+    files. The ranges are found by sampling, which reads the input once more, so give a
+    stored table. ``num_partitions`` is the number of files.
     """
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys])
+    columns = [F.col(k) for k in keys]
+    ranged = df.repartitionByRange(num_partitions, *columns) if num_partitions else df.repartitionByRange(*columns)
     return write_path(ranged.sortWithinPartitions(*keys), path, fmt=fmt)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -50,15 +51,24 @@ class StepMetrics:
     ``watch`` counts the rows of a frame while a later action computes it. Watch
     frames that reach the write of the action without a shuffle in between: a
     task before a shuffle can run twice when an executor is lost, and its rows
-    would be counted twice.
+    would be counted twice. The steps of an action run together, so the duration of
+    each is that of the action: wrap it in ``action()``.
     """
 
     def __init__(self) -> None:
-        self._steps: list[tuple[str, Observation, float]] = []
+        self._steps: list[tuple[str, Observation]] = []
+        self._seconds: float | None = None
+
+    @contextmanager
+    def action(self) -> Iterator[None]:
+        """Time what is done inside, and nothing before or after it."""
+        start = time.monotonic()
+        yield
+        self._seconds = time.monotonic() - start
 
     def watch(self, df: DataFrame, step: str) -> DataFrame:
         seen = Observation(step)
-        self._steps.append((step, seen, time.monotonic()))
+        self._steps.append((step, seen))
         part = "__partition"
         counted = df.withColumn(part, F.spark_partition_id())
         return counted.observe(
@@ -68,11 +78,13 @@ class StepMetrics:
         ).drop(part)
 
     def frame(self, spark: SparkSession, now: dt.datetime | None = None) -> DataFrame:
-        """One row per step, after the action has run."""
-        end, stamp = time.monotonic(), now or dt.datetime.now()
+        """One row per step, after the action has run; ``duration_seconds`` is that of the action."""
+        if self._seconds is None:
+            raise ValueError("no action has been timed")
+        stamp = now or dt.datetime.now()
         rows = [
-            (step, seen.get["row_count"], seen.get["partition_count"], end - start, stamp)
-            for step, seen, start in self._steps
+            (step, seen.get["row_count"], seen.get["partition_count"], self._seconds, stamp)
+            for step, seen in self._steps
         ]
         return spark.createDataFrame(
             rows,

@@ -15,8 +15,7 @@ from pyspark.sql.types import StructType
 
 from tallyline.functions.cleansing import AMOUNT_RANGE
 from tallyline.functions.measures import count_where, percent
-from tallyline.operators.joins import referential_integrity
-from tallyline.operators.sets import duplicated_keys, union_all
+from tallyline.operators.sets import duplicated_keys
 
 # Result words, share of NULLs that is too high, columns that must
 # not be NULL, accepted score, allowed regions.
@@ -256,38 +255,49 @@ def quality_gate(
 ) -> DataFrame:
     """One row: share of passed checks and whether it reaches the threshold.
 
-    The checks are the NULL profile, duplicate keys, value ranges, dates and
-    references to the parent. Each is one row, so their union stays small.
+    The checks are that there are rows, the NULL profile, duplicate keys, value ranges, dates
+    and references to the parent. Each passes or fails as a whole, so one bad row fails its
+    check; an empty table is never valid. The table is read once: per key and reference its
+    rows, NULLs and values out of range are counted, then the reference is looked up.
     """
-    def check(name: str, ok: Column) -> Column:
-        return F.struct(F.lit(name).alias("check_name"), ok.alias("ok"))
-
-    checks = [
-        null_profile(df)
-        .agg(F.bool_and(F.col("status") == PASSED).alias("ok"))
-        .select(check("null_check", F.col("ok")).alias("row")),
-        duplicate_check(df, keys)
-        .agg(F.count("*").alias("found"))
-        .select(check("duplicate_check", F.col("found") == 0).alias("row")),
-        range_and_date_check(df, as_of).select(
-            F.explode(
-                F.array(
-                    check("value_range_check", F.col("out_of_range") == 0),
-                    check("date_range_check", F.col("future_dated") == 0),
-                )
-            ).alias("row")
-        ),
-        referential_integrity(df, parent, child_key, parent_key).select(
-            check("referential_integrity", F.col("orphan_keys") == 0).alias("row")
-        ),
-    ]
-    checks = [c.select("row.*") for c in checks]
-    score = F.avg(F.col("ok").cast("double"))
-    return union_all(checks).agg(
-        F.count("*").alias("checks"),
-        count_where(F.col("ok")).alias("passed_checks"),
+    low, high = (F.lit(b).cast("decimal(18,2)") for b in AMOUNT_RANGE)
+    today = F.current_timestamp() if as_of is None else as_of
+    nulls = {f"__null_{i}": count_where(F.col(c).isNull()) for i, c in enumerate(df.columns)}
+    group = list(dict.fromkeys([*keys, child_key]))
+    counted = df.groupBy(*group).agg(
+        F.count("*").alias("__rows"),
+        *[n.alias(name) for name, n in nulls.items()],
+        count_where(~F.col("column3").between(low, high)).alias("__out"),
+        count_where(F.col("created_date") > today).alias("__future"),
+    )
+    known = parent.select(F.col(parent_key).alias("__parent")).distinct()
+    found = counted.join(known, F.col(child_key) == F.col("__parent"), "left")
+    orphan = F.col(child_key).isNotNull() & F.col("__parent").isNull()
+    if set(group) != set(keys):
+        found = found.groupBy(*keys).agg(
+            *[F.sum(c).alias(c) for c in ("__rows", *nulls, "__out", "__future")],
+            count_where(orphan).alias("__orphans"),
+        )
+    else:
+        found = found.withColumn("__orphans", orphan.cast("long"))
+    whole = found.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("__rows", *nulls, "__out", "__future", "__orphans")],
+        count_where(F.col("__rows") > 1).alias("__duplicates"),
+    )
+    critical = [f"__null_{i}" for i, c in enumerate(df.columns) if c in CRITICAL_COLUMNS]
+    few_nulls = F.lit(True)
+    for name in critical:
+        share = percent(F.col(name), F.col("__rows"))
+        few_nulls = few_nulls & ~F.coalesce(share > NULL_LIMIT_PERCENT, F.lit(False))
+    some = F.col("__rows") > 0
+    passed = [some, few_nulls, *[F.col(c) == 0 for c in ("__duplicates", "__out", "__future", "__orphans")]]
+    n = sum((p.cast("int") for p in passed), F.lit(0)).cast("bigint")
+    score = n.cast("double") / len(passed)
+    return whole.select(
+        F.lit(len(passed)).cast("bigint").alias("checks"),
+        n.alias("passed_checks"),
         score.alias("data_quality_score"),
-        (score >= threshold).alias("is_valid"),
+        (some & (score >= threshold)).alias("is_valid"),
     )
 
 

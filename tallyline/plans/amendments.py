@@ -26,7 +26,7 @@ from tallyline.functions.text import (
 from tallyline.operators.projections import computed_once, split_by_reason
 from tallyline.operators.sets import union_all
 from tallyline.operators.windows import latest_per_key
-from tallyline.sources.writers import write_path, write_pipe_csv
+from tallyline.sources.writers import publish, write_path, write_pipe_csv
 
 # Payload keys.
 HEADER_FIELDS = ("event_id", "event_type", "event_ts", "loan_id", "source_system")
@@ -49,6 +49,7 @@ MISSING_LOAN_ID = "Missing loan_id"
 NULL_LOAN_ID = "Null loan_id"
 UNEXPECTED_EVENT_TYPE = "Unexpected event_type"
 NULL_PAYLOAD = "Null payload_json"
+MALFORMED_LINE = "Malformed line"
 MISSING_EFFECTIVE_DATE = "Missing effective_date"
 MISSING_AMENDMENT_TYPE = "Missing amendment_type"
 MISSING_NEW_RATE = "Missing new_rate for RATE_CHANGE"
@@ -87,10 +88,11 @@ def first_reason(rules: Sequence[Rule]) -> Column:
 
 
 def extract_event_meta(landing: DataFrame, processing_ts: Column | None = None) -> DataFrame:
-    """Header fields of the payload in front of the envelope."""
+    """Header fields of the payload in front of the envelope, and the mark of malformed lines."""
     header = {name: json_string("payload_json", name) for name in HEADER_FIELDS}
     stamp = processing_timestamp(processing_ts).alias("processing_ts")
-    return computed_once(landing, header).select(*HEADER_FIELDS, *ENVELOPE, stamp)
+    marks = ["malformed"] if "malformed" in landing.columns else []
+    return computed_once(landing, header).select(*HEADER_FIELDS, *ENVELOPE, *marks, stamp)
 
 
 def canonicalize(events: DataFrame, allow_quotes: bool = True) -> DataFrame:
@@ -231,7 +233,10 @@ def assess(
     outcome as partition, it yields all outputs from a single pass. Only schema
     rejects keep their payload.
     """
-    judged = canonicalize(events).withColumns({"__schema": schema_reason(strict)})
+    reason = schema_reason(strict)
+    if "malformed" in events.columns:
+        reason = F.when(F.col("malformed"), F.lit(MALFORMED_LINE)).otherwise(reason)
+    judged = canonicalize(events).withColumn("__schema", reason).drop("malformed")
     judged = judged.withColumn(
         "__business", F.when(F.col("__schema").isNull(), business_reason(strict))
     )
@@ -284,10 +289,12 @@ def run_batch(
     """Store raw events, then assess the stored rows; returns the assessed table.
 
     Raw events are on disk before any rule runs, and each payload is read once
-    per step instead of once per output.
+    per step instead of once per output. They are counted where they are staged:
+    a batch below the minimum fails and leaves the tables of the last one.
     """
-    raw = write_path(extract_event_meta(landing, processing_ts), f"{folder}/raw", fmt=fmt)
-    require_records(raw, minimum)
+    staged = write_path(extract_event_meta(landing, processing_ts), f"{folder}/staged", fmt=fmt)
+    require_records(staged, minimum)
+    raw = publish(staged, f"{folder}/raw", fmt)
     return write_path(
         assess(raw, template, strict), f"{folder}/assessed", fmt=fmt, partition_by=["outcome"]
     )
@@ -329,6 +336,25 @@ def balance(assessed: DataFrame) -> DataFrame:
     )
 
 
+def reject_rates(assessed: DataFrame, limit: float = MAX_REJECT_PERCENTAGE) -> DataFrame:
+    """Two rows from one aggregate: rejects of the header rules, and of the others among what is left."""
+    schema, business = (count_where(F.col("outcome") == kind) for kind in (SCHEMA, BUSINESS))
+    counted = assessed.agg(F.count("*").alias("n"), schema.alias("s"), business.alias("b"))
+    row = F.inline(
+        F.array(
+            *[
+                F.struct(F.lit(step).alias("step"), total.alias("total_input"), F.col(part).alias("total_rejects"))
+                for step, total, part in (
+                    ("Schema Validation", F.col("n"), "s"),
+                    ("Business Validation", F.col("n") - F.col("s"), "b"),
+                )
+            ]
+        )
+    )
+    share = percent("total_rejects", "total_input")
+    return counted.select(row).withColumns({"reject_percentage": share, "exceeds_limit": share > limit})
+
+
 def reject_rate(
     judged: DataFrame,
     rejected: Column,
@@ -368,5 +394,13 @@ def upsert_latest(
     key: str = "event_id",
     newest: Sequence[str] = ("ingest_ts", "kafka_offset"),
 ) -> DataFrame:
-    """Both sides together; of several versions of a key the newest stays."""
-    return latest_per_key(union_all([existing, incoming]), [key], list(newest))
+    """Both sides together; of several versions of a key the newest stays.
+
+    ``existing`` is the result of earlier upserts, one row per key. Only its rows under keys
+    of the batch are ranked; all others pass through, found by the keys alone, which Spark
+    broadcasts when they are few.
+    """
+    keys = incoming.select(key).distinct()
+    touched = existing.join(keys, existing[key].eqNullSafe(keys[key]), "left_semi")
+    rest = existing.join(keys, existing[key].eqNullSafe(keys[key]), "left_anti")
+    return union_all([rest, latest_per_key(union_all([touched, incoming]), [key], list(newest))])

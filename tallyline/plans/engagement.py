@@ -11,8 +11,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyline import schemas
 from tallyline.functions.cleansing import UNKNOWN, or_unknown
 from tallyline.functions.measures import safe_ratio
+from tallyline.operators.governance import evolve_schema
 from tallyline.operators.projections import default_zero, on_date, only_active, with_constants
 from tallyline.operators.windows import latest_per_key
 from tallyline.sources.writers import replace_partition
@@ -157,11 +159,13 @@ def run_day(
     """Replace one day of the daily summary and of the global report.
 
     The global report is made from the stored summary of the day, so the events
-    are read and counted once. Without metadata the summary has no category.
+    are read and counted once. The table always has the category, which is NULL
+    for days written without metadata.
     """
     summary = daily_summary(tile_events, interstitial_events, date)
     if metadata is not None:
         summary = with_category(summary, metadata)
+    summary = evolve_schema(summary, schemas.schema("tile_daily_summary"))
     daily = replace_partition(summary, f"{folder}/daily_summary", "date", date, fmt)
     stored = daily.filter(F.col("date") == F.lit(date).cast("date"))
     kpis = replace_partition(global_kpis(stored), f"{folder}/global_kpis", "date", date, fmt)

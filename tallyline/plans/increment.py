@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from tallyline.operators import governance, history
 from tallyline.operators.quality import QUALITY_THRESHOLD, quality_gate, require
 from tallyline.operators.windows import latest_per_key
-from tallyline.sources.readers import scan_incremental_tagged
-from tallyline.sources.writers import write_path
+from tallyline.sources.readers import EXTRACT_STATUSES, scan_path, tag_extract
+from tallyline.sources.writers import replace_partition, write_path
 
 KEY = "id"
+DATES = ("created_date", "updated_date")
 
 
 class Loaded(NamedTuple):
@@ -24,9 +25,15 @@ class Loaded(NamedTuple):
 
 
 def history_rows(mapped: DataFrame) -> DataFrame:
-    """Mapped records as input of the history merge: the latest version per key."""
-    latest = latest_per_key(mapped, [history.KEY], [history.START, history.CHECKSUM])
-    return latest.drop(history.CURRENT, history.END)
+    """Mapped records as input of the history merge: one row per key and start."""
+    versions = latest_per_key(mapped, [history.KEY, history.START], [history.CHANGE])
+    return versions.drop(history.CURRENT, history.END)
+
+
+def last_processed(control: DataFrame, source_table: str):
+    """The stored bound of a source table, or None before its first load."""
+    row = control.filter(F.col("table_name") == source_table).select("last_processed_date").first()
+    return row[0] if row else None
 
 
 def run_increment(
@@ -35,23 +42,39 @@ def run_increment(
     parent_key: str,
     folder: str,
     source_table: str,
-    since: Column,
     batch_id: str,
+    since: Column | None = None,
     masks: Mapping[str, str] | None = None,
-    previous: DataFrame | None = None,
     now: Column | None = None,
     threshold: float = QUALITY_THRESHOLD,
+    statuses: tuple[str, ...] = EXTRACT_STATUSES,
     fmt: str = "parquet",
 ) -> Loaded:
-    """Extract, check, map and merge the records created since the bound.
+    """Extract, check, map and merge the records created or updated since the bound.
 
-    The extract is stored once and all later steps read it. A quality score below
-    the threshold fails the run before anything reaches the history. A version
-    starts when its record was last changed. ``previous`` is the history so far;
-    the result is stored under a path of this batch.
+    Without ``since`` the stored watermark of the source is the bound, kept for the batch so
+    that it takes the same records when run again; the first load takes all records. Records at the bound are taken again, as others of the same time may have come
+    later; the merge ignores what it knows. The extract is stored once and all later steps read
+    it. A quality score below the threshold fails the run before anything reaches the history.
+    A version starts when its record was last changed. An empty extract after the first load
+    changes nothing. History, lineage and watermark are the same however often a batch runs.
     """
-    tagged = scan_incremental_tagged(source, "created_date", since, source_table, batch_id, now)
+    spark = source.sparkSession
+    control_path = f"{folder}/control"
+    control = scan_path(spark, control_path, fmt) if history.exists(source, control_path) else None
+    if since is None and control is not None:
+        bound_path = f"{folder}/bounds/{batch_id}"
+        if not history.exists(source, bound_path):
+            write_path(control, bound_path, fmt=fmt)
+        bound = last_processed(scan_path(spark, bound_path, fmt), source_table)
+        since = None if bound is None else F.lit(bound).cast(source.schema[DATES[0]].dataType)
+    changed = source if since is None else governance.changed_since(source, since, DATES, inclusive=True)
+    tagged = tag_extract(changed, source_table, batch_id, now, statuses)
     extract = write_path(tagged, f"{folder}/extract/{batch_id}", fmt=fmt)
+    history_path, lineage_path = f"{folder}/history", f"{folder}/lineage"
+    if extract.isEmpty() and control is not None:
+        stored = scan_path(spark, history_path, fmt).drop(history.BUCKET)
+        return Loaded(stored, scan_path(spark, lineage_path, fmt), control)
     gate = quality_gate(extract, [KEY], parent, parent_key, KEY, now, threshold)
     gate = write_path(gate, f"{folder}/quality/{batch_id}", fmt=fmt)
     require(gate, "is_valid")
@@ -64,19 +87,13 @@ def run_increment(
         }
     )
     mapped = governance.map_source_secure(scored, masks, now)
-    incoming = history_rows(mapped)
-    merged = (
-        history.first_versions(incoming)
-        if previous is None
-        else history.scd2_merge(previous, incoming)
-    )
-    stored = write_path(merged, f"{folder}/history/{batch_id}", fmt=fmt)
+    stored = history.merge_stored(history_rows(mapped), history_path, f"{folder}/merged/{batch_id}", fmt=fmt)
     lineage = governance.lineage_rows(
         mapped, "business_key", source_table, "history", "map_source_secure", batch_id,
         F.col("data_quality_score"), now,
     )
-    return Loaded(
-        stored,
-        write_path(lineage, f"{folder}/lineage", mode="append", fmt=fmt),
-        governance.new_watermark(extract, source_table, "created_date", now),
-    )
+    lineage = replace_partition(lineage, lineage_path, "batch_id", batch_id, fmt)
+    mark = governance.new_watermark(extract, source_table, DATES, now)
+    mark = mark if control is None else governance.upsert_watermark(control, mark)
+    mark = write_path(mark, f"{folder}/marks/{batch_id}", fmt=fmt)
+    return Loaded(stored, lineage, write_path(mark, control_path, fmt=fmt))

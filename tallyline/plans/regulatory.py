@@ -13,7 +13,7 @@ from tallyline.functions.measures import count_where
 from tallyline.operators.layout import order_by_keys
 from tallyline.operators.projections import cast_columns, having
 from tallyline.operators.quality import integrity_check, require
-from tallyline.sources.writers import write_path
+from tallyline.sources.writers import publish, write_path
 
 # Flag and default texts of the operational details.
 ACTIVE = "Y"
@@ -192,20 +192,24 @@ def run_reports(
     policy: str = "active_null",
     fmt: str = "parquet",
 ) -> Reports:
-    """Write both reports and check what is stored; a failed check fails the run.
+    """Stage both reports, check what is staged, and publish; a failed check fails the run.
 
-    The checks read the stored reports, so nothing is computed twice.
+    The checks read the staged reports, so nothing is computed twice, and a run that fails
+    leaves the reports of the last good one.
     """
     aml = write_path(
         customer_transactions(customers, accounts, transactions),
-        f"{folder}/aml_customer_transactions",
+        f"{folder}/staged/aml_customer_transactions",
         fmt=fmt,
     )
     report = write_path(
         branch_summary_report(transactions, accounts, branches, details, policy),
-        f"{folder}/branch_summary_report",
+        f"{folder}/staged/branch_summary_report",
         fmt=fmt,
     )
     require(integrity_check(aml, "AML_CUSTOMER_TRANSACTIONS", ["TRANSACTION_ID"]))
     require(integrity_check(report, "BRANCH_SUMMARY_REPORT", ["BRANCH_ID"]))
-    return Reports(aml, report)
+    return Reports(
+        publish(aml, f"{folder}/aml_customer_transactions", fmt),
+        publish(report, f"{folder}/branch_summary_report", fmt),
+    )

@@ -12,6 +12,7 @@ from tallyline.plans import amendments, domain, engagement, regulatory
 from tallyline.queries.registry import DAY, SQL_STAMP, register
 from tallyline.queries.views import daily_summary, query
 from tallyline.sources.workspace import new_path
+from tallyline.sources.writers import write_path
 
 
 def as_of():
@@ -522,18 +523,27 @@ def cluster_layout(spark, folder):
     events = amendments.extract_event_meta(domain.landing(spark, folder)).select(
         "event_id", "event_ts", "loan_id", "kafka_offset"
     )
+    stored = write_path(events, new_path(spark, "cluster_input"))
     path = new_path(spark, "cluster_layout")
-    return layout.clustered_rewrite(events, path, ["loan_id", "event_ts"])
+    return layout.clustered_rewrite(stored, path, ["loan_id", "event_ts", "kafka_offset"])
 
 
-@register("kmeans_partitioning")
+@register(
+    "kmeans_partitioning",
+    query("SELECT BRANCH_ID, TOTAL_TRANSACTIONS, true AS nearest, true AS in_range FROM summary"),
+)
 def kmeans_partitioning(spark, folder):
-    per_account = (
-        domain.transactions(spark, folder)
-        .groupBy("ACCOUNT_ID")
-        .agg(F.count("*").alias("TOTAL_TRANSACTIONS"))
+    """Branches by cluster; no centre may be closer to a branch than its own."""
+    columns = ["BRANCH_ID", "TOTAL_TRANSACTIONS"]
+    rows, centers = clustering.clustered(_branch_summary(spark, folder), columns, k=5, seed=1)
+    laid_out = clustering.by_cluster(rows)
+    own = clustering.distance_to_own(columns, centers)
+    nearest = F.least(*[clustering.distance(columns, center) for center in centers])
+    return laid_out.select(
+        *columns,
+        (own <= nearest * (1 + 1e-9)).alias("nearest"),
+        F.col("prediction").between(0, len(centers) - 1).alias("in_range"),
     )
-    return clustering.kmeans_partitioning(per_account, ["ACCOUNT_ID", "TOTAL_TRANSACTIONS"])
 
 
 # -- set operations ------------------------------------------------------------------------
@@ -541,11 +551,10 @@ def kmeans_partitioning(spark, folder):
 
 @register("union_rejects", query("SELECT * FROM rejects"))
 def union_rejects(spark, folder):
+    """Rejects of both kinds from one judgement of each row."""
     events = amendments.extract_event_meta(domain.landing(spark, folder))
-    valid, schema_rejects = amendments.schema_split(events, strict=True)
-    canonical = amendments.canonicalize(valid)
-    _, business_rejects = amendments.business_split(canonical, strict=True)
-    return sets.union_all([schema_rejects, business_rejects]).drop("processing_ts")
+    assessed = amendments.assess(events, domain.template(spark))
+    return amendments.rejects_of(assessed).drop("processing_ts")
 
 
 @register(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyline import schemas
+from tallyline.functions.protection import change_hash
 from tallyline.operators import governance, history, monitoring
 from tallyline.operators.sets import consolidate, union_all
 from tallyline.plans import domain, increment
@@ -125,78 +126,98 @@ def incremental_predicate(spark, folder):
 
 @register(
     "upsert_watermark",
-    query(f"""SELECT 'orders' AS table_name, {stamp("max(created_date)")} AS last_processed_date,
+    query(f"""SELECT 'orders' AS table_name,
+                     {stamp("max(greatest(created_date, coalesce(updated_date, created_date)))")}
+                         AS last_processed_date,
                      {_NOW} AS updated_timestamp FROM source_records
               UNION ALL SELECT 'events', {stamp("max(ts)")}, '2026-01-14 00:00:00.000000'
               FROM events"""),
 )
 def upsert_watermark(spark, folder):
-    """Two marks of an earlier run, of which one is replaced."""
+    """Two marks of an earlier run, of which one is replaced; an empty and a late batch change nothing."""
     before = F.lit("2026-01-14").cast("timestamp_ntz")
     records = domain.source_records(spark, folder)
     events = domain.table(spark, folder, "events")
     first = records.filter(F.col("created_date") < F.lit("1998-01-01").cast("timestamp_ntz"))
     control = union_all(
         [
-            governance.new_watermark(first, "orders", "created_date", before),
+            governance.new_watermark(first, "orders", increment.DATES, before),
             governance.new_watermark(events, "events", "ts", before),
         ]
     )
-    update = governance.new_watermark(records, "orders", "created_date", now())
-    return governance.upsert_watermark(control, update)
-
-
-_VERSION_KEY = f"""md5(CAST(business_key AS VARCHAR) || '|' || {stamp("effective_start_date")}
-    || '|' || source_checksum)"""
-
-
-_VERSION = """SELECT id AS business_key, {column1} AS new_source_column1, status AS record_status,
-    {start} AS effective_start_date,
-    md5(concat_ws('|', CAST(id AS VARCHAR), {column1}, CAST(column3 AS VARCHAR)))
-        AS source_checksum FROM source_records"""
+    later = F.lit("2026-01-16").cast("timestamp_ntz")
+    updates = [
+        governance.new_watermark(records, "orders", increment.DATES, now()),
+        governance.new_watermark(records.filter("id < 0"), "orders", increment.DATES, later),
+        governance.new_watermark(first, "orders", increment.DATES, later),
+    ]
+    for update in updates:
+        control = governance.upsert_watermark(control, update)
+    return control
+
+
+# State of a record in a batch, its time, and the batch: the early records; most records with the
+# status of pending ones changed; their masked second column changed, for some; a version from
+# before the first one, which comes late.
+_VERSIONS = """
+  SELECT id, column1, column2, status, created_date AS start FROM source_records
+  WHERE created_date < TIMESTAMP '2000-01-01'
+  UNION ALL
+  SELECT id, column1, column2, CASE WHEN status = 'PENDING' THEN 'INACTIVE' ELSE status END,
+         TIMESTAMP '2026-01-15 08:30:00' FROM source_records WHERE status <> 'SUSPENDED'
+  UNION ALL
+  SELECT id, column1, coalesce(column2, '') || '-x',
+         CASE WHEN status = 'PENDING' THEN 'INACTIVE' ELSE status END, TIMESTAMP '2026-01-16 08:30:00'
+  FROM source_records WHERE status <> 'SUSPENDED' AND id % 3 = 0
+  UNION ALL
+  SELECT id, 'older', column2, status, TIMESTAMP '1980-01-01' FROM source_records WHERE id % 5 = 0"""
 
 
 @register(
     "scd2_merge",
     query(f"""
-      SELECT {_VERSION_KEY} AS surrogate_key, business_key,
-             new_source_column1, record_status, source_checksum,
-             {stamp("effective_start_date")} AS effective_start_date, effective_end_date, is_current
+      SELECT business_key, new_source_column1, shown, record_status,
+             {stamp("start")} AS effective_start_date,
+             coalesce({stamp("lead(start) OVER (PARTITION BY business_key ORDER BY start)")},
+                      '9999-12-31 23:59:59.000000') AS effective_end_date,
+             lead(start) OVER (PARTITION BY business_key ORDER BY start) IS NULL AS is_current
       FROM (
-        SELECT o.*, CASE WHEN n.source_checksum <> o.source_checksum
-                         THEN '2026-01-15 08:30:00.000000' ELSE '9999-12-31 23:59:59.000000' END
-                        AS effective_end_date,
-               coalesce(n.source_checksum = o.source_checksum, true) AS is_current
-        FROM old_versions o LEFT JOIN new_versions n ON o.business_key = n.business_key
-        UNION ALL
-        SELECT n.*, '9999-12-31 23:59:59.000000', true
-        FROM new_versions n LEFT JOIN old_versions o ON o.business_key = n.business_key
-        WHERE o.business_key IS NULL OR n.source_checksum <> o.source_checksum)""",
-          old_versions=_VERSION.format(column1="column1", start="created_date")
-          + " WHERE created_date < TIMESTAMP '2000-01-01'",
-          new_versions=_VERSION.format(
-              column1="CASE WHEN status = 'PENDING' THEN column1 || ' changed' ELSE column1 END",
-              start="TIMESTAMP '2026-01-15 08:30:00'")
-          + " WHERE status <> 'SUSPENDED'"),
+        SELECT id AS business_key, column1 AS new_source_column1, left(column2, 1) || '***' AS shown,
+               status AS record_status, start,
+               lag([column1, column2, status]) OVER (PARTITION BY id ORDER BY start)
+                   IS DISTINCT FROM [column1, column2, status] AS is_new
+        FROM versions) WHERE is_new""",
+          versions=_VERSIONS),
 )
 def scd2_merge(spark, folder):
-    """History of the records before 2000, merged with a later state of most records."""
+    """Four batches, the last one late and one run twice; the second column is masked in the history."""
+    records = domain.source_records(spark, folder).select("id", "column1", "column2", "status", "created_date")
 
-    def versions(records, start):
-        return records.select(
+    def versions(rows, start):
+        return rows.select(
             F.col("id").alias("business_key"),
             F.col("column1").alias("new_source_column1"),
+            F.concat(F.substring("column2", 1, 1), F.lit("***")).alias("shown"),
             F.col("status").alias("record_status"),
-            start.alias("effective_start_date"),
-            governance.checksum_md5(["id", "column1", "column3"]).alias("source_checksum"),
+            start.cast("timestamp_ntz").alias("effective_start_date"),
+            change_hash(["id", "column1", "column2", "status"]).alias(history.CHANGE),
         )
 
-    early = domain.source_records(spark, folder).filter(
-        F.col("created_date") < F.lit("2000-01-01").cast("timestamp_ntz")
-    )
-    later = domain.record_changes(spark, folder).filter(F.col("status") != "SUSPENDED")
-    current = history.first_versions(versions(early, F.col("created_date")))
-    return history.scd2_merge(current, versions(later, now()))
+    early = records.filter(F.col("created_date") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    inactive = F.when(F.col("status") == "PENDING", F.lit("INACTIVE")).otherwise(F.col("status"))
+    later = records.filter("status <> 'SUSPENDED'").withColumn("status", inactive)
+    masked = later.filter("id % 3 = 0").withColumn("column2", F.concat(F.coalesce("column2", F.lit("")), F.lit("-x")))
+    late = records.filter("id % 5 = 0").withColumn("column1", F.lit("older"))
+    batches = [
+        versions(later, F.lit("2026-01-15 08:30:00")),
+        versions(masked, F.lit("2026-01-16 08:30:00")),
+        versions(later, F.lit("2026-01-15 08:30:00")),
+        versions(late, F.lit("1980-01-01 00:00:00")),
+    ]
+    state = history.first_versions(versions(early, F.col("created_date")))
+    for batch in batches:
+        state = history.scd2_merge(state, batch)
+    return state.drop(history.SURROGATE, history.CHANGE)
 
 
 @register(
@@ -333,52 +354,59 @@ def consolidate_sources(spark, folder):
 
 
 
+_CHANGED = "2026-01-10 00:00:00"
+
+
 @register(
     "increment_job",
     query(f"""
-      SELECT business_key, new_source_column1, record_status, {stamp("effective_start_date")}
-                 AS effective_start_date, is_current, data_quality_score
+      SELECT business_key, new_source_column1, record_status, {stamp("start")} AS effective_start_date,
+             is_current, lineage_rows, lineage_rows AS lineage_ids, {stamp("last_processed")} AS last_processed
       FROM (
         SELECT id AS business_key, upper(trim(column1)) AS new_source_column1,
                CASE status WHEN 'ACTIVE' THEN 'A' ELSE 'P' END AS record_status,
-               coalesce(updated_date, created_date) AS effective_start_date,
-               NOT (created_date >= TIMESTAMP '2000-01-01' AND status = 'PENDING') AS is_current,
-               CAST(80 AS DOUBLE) AS data_quality_score
-        FROM source_records WHERE status IN ('ACTIVE', 'PENDING')
+               coalesce(updated_date, created_date) AS start, status <> 'PENDING' AS is_current
+        FROM wanted
         UNION ALL
-        SELECT id, upper(trim(column1)) || ' CHANGED', 'P', updated_date + INTERVAL 1 DAY, true, 80
-        FROM source_records WHERE created_date >= TIMESTAMP '2000-01-01' AND status = 'PENDING')"""),
+        SELECT id, upper(trim(column1)) || ' CHANGED', 'P', TIMESTAMP '{_CHANGED}', true
+        FROM wanted WHERE status = 'PENDING') JOIN totals ON true""",
+          wanted="SELECT * FROM source_records WHERE status IN ('ACTIVE', 'PENDING')",
+          mark="""SELECT max(greatest(created_date, coalesce(updated_date, created_date))) AS bound FROM wanted""",
+          totals=f"""SELECT count(*) + count(*) FILTER (WHERE status = 'PENDING'
+                     OR created_date >= bound OR updated_date >= bound) AS lineage_rows,
+                 greatest(any_value(bound), TIMESTAMP '{_CHANGED}') AS last_processed FROM wanted JOIN mark ON true"""),
 )
 def increment_job(spark, folder):
-    """A first load of all records, then the changed ones since 2000.
+    """A first load, changes of old records, the same batch again, and an empty one.
 
-    Four of the five checks pass, as amounts out of range are planted, so the
-    threshold is lower than usual.
+    Five of the six checks pass, as amounts out of range are planted, so the threshold is
+    lower than usual.
     """
-    path = new_path(spark, "increment")
-    parent = domain.table(spark, folder, "orders")
-    loaded = None
-    for batch, records, since in (
-        ("B1", domain.source_records(spark, folder), "1990-01-01"),
-        ("B2", domain.record_changes(spark, folder), "2000-01-01"),
-    ):
+    records, pending = domain.source_records(spark, folder), F.col("status") == "PENDING"
+    later = F.lit(_CHANGED).cast("timestamp_ntz")
+    changed = records.withColumns(
+        {
+            "column1": F.when(pending, F.concat("column1", F.lit(" changed"))).otherwise(F.col("column1")),
+            "updated_date": F.when(pending, later).otherwise(F.col("updated_date")),
+        }
+    )
+    path, parent = new_path(spark, "increment"), domain.table(spark, folder, "orders")
+    batches = (("B1", records), ("B2", changed), ("B2", changed), ("B3", changed.filter("id < 0")))
+    for batch, rows in batches:
         loaded = increment.run_increment(
-            records,
-            parent,
-            "o_orderkey",
-            path,
-            "orders",
-            F.lit(since).cast("timestamp_ntz"),
-            batch,
-            previous=None if loaded is None else loaded.history,
-            now=now(),
-            threshold=0.8,
+            rows, parent, "o_orderkey", path, "orders", batch, now=now(), threshold=0.8
         )
+    lineage = loaded.lineage.agg(
+        F.count("*").alias("lineage_rows"), F.count_distinct("lineage_id").alias("lineage_ids")
+    )
+    mark = loaded.watermark.select("last_processed_date")
     return loaded.history.select(
         "business_key",
         "new_source_column1",
         "record_status",
         "effective_start_date",
         "is_current",
-        "data_quality_score",
+        lineage.select("lineage_rows").scalar().alias("lineage_rows"),
+        lineage.select("lineage_ids").scalar().alias("lineage_ids"),
+        mark.scalar().alias("last_processed"),
     )

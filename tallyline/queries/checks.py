@@ -245,7 +245,8 @@ def amendment_quality_score(spark, folder):
     query(f"""SELECT count(*) AS checks, count(*) FILTER (WHERE ok) AS passed_checks,
                  avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) AS data_quality_score,
                  avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= 0.95 AS is_valid
-              FROM (SELECT bool_and(status = 'PASSED') AS ok FROM profile
+              FROM (SELECT count(*) > 0 AS ok FROM source_records
+                    UNION ALL SELECT bool_and(status = 'PASSED') FROM profile
                     UNION ALL SELECT count(*) = 0 FROM (
                         SELECT id FROM source_records GROUP BY id HAVING count(*) > 1)
                     UNION ALL SELECT out_of_range = 0 FROM ranges
@@ -266,12 +267,24 @@ def quality_gate(spark, folder):
     )
 
 
-@register("kmeans_anomalies")
+@register(
+    "kmeans_anomalies",
+    """SELECT count(*) AS scored, true AS flagged_beyond_limit, true AS any_flagged, true AS share_is_small
+       FROM lineitem""",
+)
 def kmeans_anomalies(spark, folder):
+    """Every row is scored, and flagged exactly when it is beyond the limit of its cluster."""
     lines = domain.table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
     )
-    return clustering.kmeans_anomalies(lines, ["l_quantity", "l_extendedprice"])
+    rows = clustering.scored(lines, ["l_quantity", "l_extendedprice"])
+    flagged = F.count_if("is_anomaly")
+    return rows.agg(
+        F.count("*").alias("scored"),
+        F.bool_and(F.col("is_anomaly") == (F.col("distance") > F.col("limit"))).alias("flagged_beyond_limit"),
+        (flagged > 0).alias("any_flagged"),
+        (flagged <= 0.0105 * F.count("*")).alias("share_is_small"),
+    )
 
 
 def _reconcile_sql(source: str, target: str, key: str, filled: str) -> str:
@@ -383,7 +396,8 @@ def _measured(spark, folder):
     canonical = amendments.canonicalize(valid)
     accepted, _ = amendments.business_split(canonical, strict=True)
     rendered = amendments.render(amendments.attach_template(accepted, domain.template(spark)))
-    write_path(steps.watch(rendered, "Final XML Output"), new_path(spark, "measured"))
+    with steps.action():
+        write_path(steps.watch(rendered, "Final XML Output"), new_path(spark, "measured"))
     return steps.frame(spark, dt.datetime(2026, 1, 15))
 
 

@@ -182,18 +182,8 @@ def amendment_batch(spark, folder):
                    FROM strict_reasons WHERE schema_reason IS NULL)"""),
 )
 def reject_rate_check(spark, folder):
-    events = _events(spark, folder)
-    schema = amendments.schema_reason(strict=True)
-    valid, _ = amendments.schema_split(events, strict=True)
-    business = amendments.business_reason(strict=True)
-    return union_all(
-        [
-            amendments.reject_rate(events, schema.isNotNull(), "Schema Validation"),
-            amendments.reject_rate(
-                amendments.canonicalize(valid), business.isNotNull(), "Business Validation"
-            ),
-        ]
-    )
+    """Rejects of both steps from one judgement of each row."""
+    return amendments.reject_rates(amendments.assess(_events(spark, folder), domain.template(spark)))
 
 
 @register(
@@ -240,9 +230,11 @@ def upsert_latest_event(spark, folder):
                     kafka_offset FROM outcomes"""),
 )
 def amendment_stream(spark, folder):
-    """The landing rows as files, assessed in micro-batches."""
+    """The landing rows as plain lines, payloads as they are, assessed in micro-batches."""
     incoming, out = new_path(spark, "incoming"), new_path(spark, "stream")
-    write_pipe_csv(domain.landing(spark, folder), incoming, null_value="\\N")
+    rows = domain.landing(spark, folder)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in rows.columns]
+    rows.select(F.concat_ws("|", *fields).alias("value")).write.text(incoming)
     landing = stream.landing_stream(spark, incoming, null_value="\\N")
     stream.start(landing, domain.template(spark), out).awaitTermination()
     return stream.assessed(spark, out).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyline.operators.projections import with_constants
 from tallyline.operators import joins, quality
 from tallyline.operators.windows import latest_per_key
 from tallyline.plans import amendments, domain, engagement, regulatory
@@ -318,10 +319,22 @@ def tile_daily_summary(spark, folder):
 _ENRICHED = query(f"SELECT {_DATED}, tile_id, tile_category, {_MEASURES} FROM enriched", **_DAY)
 
 
-@register("tile_category_enrich", _ENRICHED)
+@register(
+    "tile_category_enrich",
+    query(f"""SELECT 'all' AS date, coalesce(t.tile_id, i.tile_id) AS tile_id,
+                     coalesce(m.tile_category, 'UNKNOWN') AS tile_category, {_MEASURES}
+              FROM all_tiles t FULL JOIN all_interstitials i ON t.tile_id = i.tile_id
+              LEFT JOIN current_metadata m ON m.tile_id = coalesce(t.tile_id, i.tile_id)""",
+          all_tiles=_ALL_TILES, all_interstitials=_ALL_INTERSTITIALS),
+)
 def tile_category_enrich(spark, folder):
-    metadata = domain.tile_metadata_history(spark, folder)
-    return engagement.with_category(day_summary(spark, folder), metadata)
+    """Tiles of all days; the metadata has several versions per tile, and inactive ones."""
+    counts = engagement.combined_counts(
+        engagement.tile_counts(domain.tile_events(spark, folder)),
+        engagement.interstitial_counts(domain.interstitial_events(spark, folder)),
+    )
+    dated = with_constants(counts, date="all").select("date", *counts.columns)
+    return engagement.with_category(dated, domain.tile_metadata_history(spark, folder))
 
 
 @register("tile_daily_summary_enriched", _ENRICHED)

@@ -33,10 +33,21 @@ def scan_table(spark, folder):
     return readers.scan_table(spark, "tallyline_orders")
 
 
-@register("scan_pipe_csv", query("SELECT * FROM landing"))
+@register(
+    "scan_pipe_csv",
+    query("""SELECT kafka_key, kafka_partition, kafka_offset, ingest_ts,
+                    'x|"y"' || chr(10) || chr(92) || 'n' || chr(13) || coalesce(payload_json, '') AS payload_json
+             FROM landing WHERE kafka_offset % 2 = 0
+             UNION ALL SELECT * FROM landing WHERE kafka_offset % 2 = 1"""),
+)
 def scan_pipe_csv(spark, folder):
+    """Landing rows, half of them with delimiters, quotes, backslashes and line breaks added, and back."""
     path = new_path(spark, "landing")
-    writers.write_pipe_csv(domain.landing(spark, folder), path, null_value=NULL)
+    odd = F.concat(F.lit('x|"y"\n\\n\r'), F.coalesce("payload_json", F.lit("")))
+    rows = domain.landing(spark, folder).withColumn(
+        "payload_json", F.when(F.col("kafka_offset") % 2 == 0, odd).otherwise(F.col("payload_json"))
+    )
+    writers.write_pipe_csv(rows, path, null_value=NULL)
     return readers.scan_pipe_csv(spark, path, schemas.schema("landing_event"), null_value=NULL)
 
 
@@ -105,16 +116,20 @@ def sink_overwrite_evolving(spark, folder):
     return writers.write_evolving(branch_report(spark, folder), path)
 
 
-@register("sink_partitioned_verified", _AML)
+_PART = """CASE l_orderkey % 6 WHEN 0 THEN 'A&B' WHEN 1 THEN '007' WHEN 2 THEN 'ü b' WHEN 3 THEN 'a=b/c'
+    WHEN 4 THEN '2024-01-05' END"""
+
+
+@register(
+    "sink_partitioned_verified",
+    f"SELECT l_orderkey, l_linenumber, {_PART} AS part FROM lineitem",
+)
 def sink_partitioned_verified(spark, folder):
-    rows = regulatory.customer_transactions(
-        domain.customers(spark, folder),
-        domain.accounts(spark, folder),
-        domain.transactions(spark, folder),
-    )
+    """Line items by a text whose values look like numbers and dates, hold signs, or are NULL."""
+    rows = domain.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_PART).alias("part"))
     path = new_path(spark, "partitioned")
-    writers.write_verified(rows, path, partition_by=["TRANSACTION_TYPE"])
-    return readers.scan_path(spark, path)
+    writers.write_verified(rows, path, partition_by=["part"])
+    return writers.read_back(rows, path)
 
 
 _DAYS = ("2024-01-04", DAY, "2024-01-06")
@@ -135,10 +150,28 @@ def sink_replace_partition(spark, folder):
     return writers.replace_partition(empty, path, "date", _DAYS[2])
 
 
+@register(
+    "sink_replace_partition_text",
+    f"""SELECT l_orderkey, l_linenumber, part, CASE WHEN part = 'A&B' THEN 2 WHEN part IS NULL THEN 3 ELSE 1 END AS run
+        FROM (SELECT l_orderkey, l_linenumber, {_PART} AS part FROM lineitem)
+        WHERE part IS NULL OR part <> 'a=b/c'""",
+)
+def sink_replace_partition_text(spark, folder):
+    """A text partition column: two values replaced, NULL among them, and one emptied."""
+    rows = domain.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_PART).alias("part"))
+    path = new_path(spark, "by-text")
+    writers.write_path(with_constants(rows, run=1), path, partition_by=["part"])
+    writers.replace_partition(with_constants(rows, run=2), path, "part", "A&B")
+    writers.replace_partition(with_constants(rows, run=3), path, "part", None)
+    none = with_constants(rows, run=4).filter("l_orderkey < 0")
+    return writers.replace_partition(none, path, "part", "a=b/c")
+
+
 @register("sink_pipe_csv", query("SELECT * FROM rejects"))
 def sink_pipe_csv(spark, folder):
     landing, template = domain.landing(spark, folder), domain.template(spark)
-    rejects = amendments.process(landing, template).rejects.drop("processing_ts")
+    assessed = amendments.assess(amendments.extract_event_meta(landing), template)
+    rejects = amendments.rejects_of(assessed).drop("processing_ts")
     path = new_path(spark, "rejects")
     writers.write_pipe_csv(rejects, path, null_value=NULL)
     return readers.scan_pipe_csv(spark, path, rejects.schema, null_value=NULL)

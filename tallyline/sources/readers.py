@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 # Fixed value: statuses an incremental extract takes.
 EXTRACT_STATUSES = ("ACTIVE", "PENDING")
@@ -62,18 +62,75 @@ def scan_path(
     return reader.load(path)
 
 
+# How line breaks are written in a field of one line, the escape sign itself first.
+LINE_ESCAPES = {"\\": "\\\\", "\n": "\\n", "\r": "\\r"}
+
+
+def unescaped(value: Column) -> Column:
+    """Text whose line breaks were written as escapes."""
+    parts = F.split(value, r"\\\\", -1)
+    plain = F.transform(
+        parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    )
+    return F.array_join(plain, "\\")
+
+
 def scan_pipe_csv(
     spark: SparkSession, path: str, schema: StructType, null_value: str | None = None
 ) -> DataFrame:
-    """Pipe-delimited file without header, read with a declared schema.
+    """Pipe-delimited file without header, as ``write_pipe_csv`` writes it, with a declared schema.
 
-    ``null_value`` is the text that stands for NULL. With one given, an empty
-    field reads as empty text; without, Spark's rule holds and it reads as NULL.
+    Fields with delimiters or quotes are quoted, quotes inside doubled, and line breaks are
+    escapes, so every row is one line. ``null_value`` is the text that stands for NULL. With
+    one given, an empty field reads as empty text; without, Spark's rule holds and it reads as
+    NULL. A line that does not fit the schema fails the read.
     """
-    reader = spark.read.schema(schema).option("sep", "|").option("header", "false")
+    reader = (
+        spark.read.schema(schema)
+        .option("sep", "|")
+        .option("header", "false")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+    )
     if null_value is not None:
         reader = reader.option("nullValue", null_value).option("emptyValue", "")
-    return reader.csv(path)
+    rows = reader.csv(path)
+    texts = {f.name: unescaped(F.col(f.name)) for f in schema.fields if isinstance(f.dataType, StringType)}
+    return rows.withColumns(texts) if texts else rows
+
+
+def parse_landing(
+    lines: DataFrame, schema: StructType, null_value: str | None = None
+) -> DataFrame:
+    """Landing lines (value) as rows of the schema, and ``malformed``.
+
+    A line is cut at its first delimiters only: the last field is all that is left, delimiters,
+    quotes and backslashes included. A line with too few fields, or whose field does not fit its
+    type, is malformed: it has its text whole in the last field and NULL in the others.
+    """
+    fields = schema.fields
+    parts = F.split("value", r"\|", len(fields))
+    null = F.lit("" if null_value is None else null_value)
+    texts = [F.nullif(F.get(parts, i), null) for i in range(len(fields))]
+    typed = [t.try_cast(f.dataType) for t, f in zip(texts, fields, strict=True)]
+    bad = F.size(parts) < len(fields)
+    for text, value in zip(texts, typed, strict=True):
+        bad = bad | (text.isNotNull() & value.isNull())
+    rows = lines.select("value", bad.alias("malformed"), *[v.alias(f.name) for v, f in zip(typed, fields, strict=True)])
+    *head, last = [f.name for f in fields]
+    return rows.select(
+        *[F.when(~F.col("malformed"), F.col(c)).alias(c) for c in head],
+        F.when(F.col("malformed"), F.col("value")).otherwise(F.col(last)).alias(last),
+        "malformed",
+    )
+
+
+def scan_landing(
+    spark: SparkSession, path: str, schema: StructType, null_value: str | None = None
+) -> DataFrame:
+    """Landing files read line by line; see ``parse_landing``."""
+    return parse_landing(spark.read.text(path), schema, null_value)
 
 
 def scan_incremental(
@@ -109,17 +166,28 @@ def scan_incremental_tagged(
     first one can be split between tasks. ``max_partitions`` merges input tasks
     and is off by default, as it bounds the parallelism of the whole scan.
     """
-    rows = source.filter((F.col(column) >= since) & F.col("status").isin(*statuses))
+    rows = source.filter(F.col(column) >= since)
     if max_partitions is not None:
         rows = rows.coalesce(max_partitions)
-    rows = rows.withColumns(
+    rows = tag_extract(rows, source_table, batch_id, extracted_at, statuses)
+    return rows.orderBy(*order) if order else rows
+
+
+def tag_extract(
+    rows: DataFrame,
+    source_table: str,
+    batch_id: str,
+    extracted_at: Column | None = None,
+    statuses: Sequence[str] = EXTRACT_STATUSES,
+) -> DataFrame:
+    """Rows of the wanted statuses with source, batch and time of their extraction."""
+    return rows.filter(F.col("status").isin(*statuses)).withColumns(
         {
             "extraction_timestamp": F.current_timestamp() if extracted_at is None else extracted_at,
             "source_table": F.lit(source_table),
             "extraction_batch_id": F.lit(batch_id),
         }
     )
-    return rows.orderBy(*order) if order else rows
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: StructType) -> DataFrame:

@@ -8,12 +8,17 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyline.sources.readers import scan_path
+from tallyline.sources.readers import LINE_ESCAPES, scan_path
+
+# Characters that Spark escapes in the names of partition folders, and the
+# folder of NULL.
+ESCAPED_IN_FOLDERS = "\"#%'*/:=?\\{[]^\x7f"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _writer(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str] | None = None):
@@ -58,8 +63,30 @@ def write_path(
     """
     if partition_by and even:
         df = even_files(df, *partition_by)
-    _writer(df, mode, fmt, partition_by).save(path)
-    return scan_path(df.sparkSession, path, fmt)
+    _writer(without_empty(df, partition_by or ()), mode, fmt, partition_by).save(path)
+    return read_back(df, path, fmt, whole=mode != "append")
+
+
+def without_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows, failing on empty text in a partition column: it would be read back as NULL."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    message = F.lit("empty text cannot be a partition value")
+    return df.withColumns({c: F.when(F.col(c) == "", F.raise_error(message)).otherwise(F.col(c)) for c in texts})
+
+
+def read_back(df: DataFrame, path: str, fmt: str = "parquet", whole: bool = True) -> DataFrame:
+    """The stored table with the declared types of ``df``, so that '007' stays text.
+
+    Without ``whole`` the table may hold further columns, which are read as they are.
+    """
+    spark = df.sparkSession
+    if fmt == "delta":
+        return scan_path(spark, path, fmt)
+    fields = {f.name: StructField(f.name, f.dataType, True) for f in df.schema.fields}
+    if not whole:
+        found = scan_path(spark, path, fmt).schema.fields
+        fields |= {f.name: f for f in found if f.name not in fields}
+    return scan_path(spark, path, fmt, StructType(list(fields.values())))
 
 
 def append_path(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -94,40 +121,72 @@ def write_verified(
     return write_path(df, path, mode, fmt, partition_by).count()
 
 
-def partition_folder(path: str, column: str, value: str | dt.date) -> str:
-    return f"{path.rstrip('/')}/{column}={quote(str(value), safe=' -_.')}"
+def partition_folder(path: str, column: str, value: str | dt.date | None) -> str:
+    """The folder that Spark gives a partition value."""
+
+    def name(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_FOLDERS or c < " " else c for c in text)
+
+    folder = NULL_FOLDER if value is None or value == "" else name(str(value))
+    return f"{path.rstrip('/')}/{name(column)}={folder}"
 
 
 def replace_partition(
-    df: DataFrame, path: str, column: str, value: str | dt.date, fmt: str = "parquet"
+    df: DataFrame, path: str, column: str, value: str | dt.date | None, fmt: str = "parquet"
 ) -> DataFrame:
     """Replace the rows of one partition value and leave all others as they are.
 
-    Rows of ``df`` with another value are not written. An empty day replaces the
-    old one too: dynamic overwrite would keep it, so the folder of the value is
-    overwritten by itself.
+    Rows of ``df`` with another value are not written. Spark names the folder and
+    puts it in place once all rows are written. Dynamic overwrite would keep the old
+    rows of an empty day, so the folder of such a day is overwritten by itself.
     """
-    day = df.filter(F.col(column) == F.lit(value))
+    day = without_empty(df.filter(F.col(column).eqNullSafe(F.lit(value))), [column])
     if fmt == "delta":
-        condition = f"{column} = '{value}'"
+        condition = f"{column} IS NULL" if value is None else f"{column} = '{value}'"
         day.write.format(fmt).mode("overwrite").option("replaceWhere", condition).save(path)
     else:
-        day.drop(column).write.format(fmt).mode("overwrite").save(
-            partition_folder(path, column, value)
+        seen = Observation()
+        (
+            day.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.format(fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(column)
+            .save(path)
         )
-    return scan_path(df.sparkSession, path, fmt)
+        if not seen.get.get("rows"):
+            folder = partition_folder(path, column, value)
+            day.drop(column).limit(0).write.format(fmt).mode("overwrite").save(folder)
+    return read_back(df, path, fmt, whole=False)
+
+
+def publish(staged: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Put a stored and checked table in place of the one under a path."""
+    return write_path(staged, path, fmt=fmt)
 
 
 def write_pipe_csv(
     df: DataFrame, path: str, mode: str = "overwrite", null_value: str | None = None
 ) -> None:
-    """Pipe-delimited text without header.
+    """Pipe-delimited text without header, one line per row.
 
-    ``null_value`` is written for NULL and keeps it apart from empty text, which
-    is written as a pair of quotes.
+    Fields with delimiters or quotes are quoted, with quotes inside doubled. Line breaks
+    are written as the escapes of ``LINE_ESCAPES``, which ``scan_pipe_csv`` undoes, as a
+    field of several lines would make files unsplittable. ``null_value`` is written for
+    NULL and keeps it apart from empty text, which is written as a pair of quotes.
     """
+    texts = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, StringType):
+            value = F.col(field.name)
+            for sign, escape in LINE_ESCAPES.items():
+                value = F.replace(value, F.lit(sign), F.lit(escape))
+            texts[field.name] = value
     writer = (
-        df.write.mode(mode)
+        (df.withColumns(texts) if texts else df)
+        .write.mode(mode)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("sep", "|")
         .option("header", "false")
         .option("ignoreLeadingWhiteSpace", "false")
@@ -143,8 +202,3 @@ def write_ordered(
 ) -> DataFrame:
     """Write exactly these columns in this order."""
     return write_path(df.select(*columns), path, mode, fmt)
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    spark: SparkSession = df.sparkSession
-    return spark.createDataFrame([], df.schema)

@@ -7,21 +7,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyline import schemas
 from tallyline.plans.amendments import assess, extract_event_meta
-from tallyline.sources.readers import scan_path
+from tallyline.sources.readers import parse_landing, scan_path
 
 
 def landing_stream(
     spark: SparkSession, folder: str, null_value: str | None = None, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Pipe-delimited landing files as a stream."""
-    reader = (
-        spark.readStream.schema(schemas.schema("landing_event"))
-        .option("sep", "|")
-        .option("maxFilesPerTrigger", files_per_batch)
-    )
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value).option("emptyValue", "")
-    return reader.csv(folder)
+    """Landing files as a stream, cut as ``parse_landing`` does it."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    return parse_landing(lines, schemas.schema("landing_event"), null_value)
 
 
 def start(
@@ -33,7 +27,7 @@ def start(
 ) -> StreamingQuery:
     """Assess what has arrived since the last run, then stop.
 
-    The file sink logs which files belong to a finished micro-batch, so a batch
+    A malformed line is a schema reject that keeps its text. The file sink logs which files belong to a finished micro-batch, so a batch
     that is run again after a failure leaves its rows exactly once.
     """
     rows = assess(extract_event_meta(landing), template, strict)

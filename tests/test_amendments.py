@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.plans import amendments
-from tallyline.sources.writers import write_pipe_csv
 from tallyline.streaming import amendments as stream
 
 HEAD = '"event_type":"MORTGAGE_AMENDMENT","event_ts":"2024-03-01T00:00:00Z","source_system":"S"'
@@ -208,7 +207,13 @@ def test_sent_again(spark):
 
 def test_stream_takes_each_file_once(spark, landing, template, tmp_path):
     files, out = str(tmp_path / "in"), str(tmp_path / "out")
-    write_pipe_csv(landing, files, mode="append", null_value="\\N")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in landing.columns]
+
+    def land(more=()):
+        lines = landing.select(F.concat_ws("|", *fields).alias("value"))
+        lines.union(spark.createDataFrame([(x,) for x in more], "value string")).write.mode("append").text(files)
+
+    land()
 
     def run():
         source = stream.landing_stream(spark, files, null_value="\\N")
@@ -217,8 +222,10 @@ def test_stream_takes_each_file_once(spark, landing, template, tmp_path):
 
     assert run().count() == 12
     assert run().count() == 12
-    write_pipe_csv(landing, files, mode="append", null_value="\\N")
+    land(["k|zero|1|t|{}", "too|few"])
     twice = run()
-    assert twice.count() == 24
+    assert twice.count() == 26
     counted = dict(twice.groupBy("outcome").count().collect())
-    assert counted == {"SCHEMA": 8, "BUSINESS": 12, "RENDERED": 4}
+    assert counted == {"SCHEMA": 10, "BUSINESS": 12, "RENDERED": 4}
+    malformed = twice.filter(F.col("reason") == amendments.MALFORMED_LINE).select("payload_json")
+    assert sorted(r[0] for r in malformed.collect()) == ["k|zero|1|t|{}", "too|few"]

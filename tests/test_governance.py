@@ -75,8 +75,11 @@ def test_watermark(spark, records):
     )
     update = governance.new_watermark(records, "a", "created_date", F.lit(NOW))
     merged = governance.upsert_watermark(control, update)
-    marks = {r["table_name"]: r["last_processed_date"] for r in merged.collect()}
-    assert marks == {"a": dt.datetime(2024, 4, 1), "b": dt.datetime(2023, 1, 1)}
+    empty = governance.new_watermark(records.filter("false"), "a", "created_date", F.lit(NOW))
+    late = governance.new_watermark(records.limit(1), "a", "created_date", F.lit("2030-01-01").cast("timestamp"))
+    for frame in (merged, governance.upsert_watermark(merged, empty), governance.upsert_watermark(merged, late)):
+        marks = {r["table_name"]: r["last_processed_date"] for r in frame.collect()}
+        assert marks == {"a": dt.datetime(2024, 4, 1), "b": dt.datetime(2023, 1, 1)}
 
 
 def test_lineage(records):
@@ -122,7 +125,8 @@ def versions(spark, rows, day):
     return spark.createDataFrame(rows, "business_key long, value string").withColumns(
         {
             history.START: F.lit(day).cast("timestamp"),
-            history.CHECKSUM: F.md5("value"),
+            history.CHECKSUM: F.md5(F.upper("value")),
+            history.CHANGE: F.md5("value"),
         }
     )
 
@@ -157,6 +161,32 @@ def test_history(spark):
     assert len(set(keys)) == len(keys) and third.columns == first.columns
 
 
+def test_late_versions_and_several_of_one_key(spark):
+    first = history.first_versions(versions(spark, [(1, "b")], "2024-02-01"))
+    late = versions(spark, [(1, "a")], "2024-01-01").union(versions(spark, [(1, "c")], "2024-02-15"))
+    for _ in range(2):
+        first = history.scd2_merge(first, late)
+        assert state(first) == [
+            (1, "a", False, "2024-01-01", "2024-02-01"),
+            (1, "b", False, "2024-02-01", "2024-02-15"),
+            (1, "c", True, "2024-02-15", "9999-12-31"),
+        ]
+    assert state(history.scd2_merge(first, late.filter("false"))) == state(first)
+
+
+def test_change_hash_sees_nulls_masks_and_places(spark):
+    rows = [("a", None), (None, "a"), ("a", ""), ("", "a"), ("a|", "b"), ("a", "|b"), ("abc", "x"), ("abzzz", "x")]
+    frame = spark.createDataFrame(rows, "a string, b string")
+    hashes = [r[0] for r in frame.select(governance.change_hash(["a", "b"])).collect()]
+    assert len(set(hashes)) == len(rows)
+
+
+def test_evolving_drops_no_column(spark):
+    target = schemas.schema("template_record")
+    with pytest.raises(ValueError, match="extra"):
+        governance.evolve_schema(spark.sql("select 'k' as template_key, 1 as extra"), target)
+
+
 def test_history_starts_from_nothing(spark):
     batch = versions(spark, [(1, "a")], "2024-01-01")
     nothing = history.first_versions(batch).filter("false")

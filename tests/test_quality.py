@@ -1,6 +1,7 @@
 """Checks, reconciliation, monitoring and clustering on small frames."""
 
 import datetime as dt
+import time
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from tallyline import schemas
 from tallyline.operators import clustering, monitoring, quality, reconciliation
 from tallyline.sources.readers import table_or_empty
 from tallyline.sources.writers import write_path
+from tests.plans import planned
 
 
 @pytest.fixture
@@ -101,9 +103,35 @@ def test_gate(spark):
     )
     parent = spark.range(10)
     gate = quality.quality_gate(good, ["id"], parent, "id", "id", as_of).first()
-    assert tuple(gate) == (5, 5, 1.0, True)
+    assert tuple(gate) == (6, 6, 1.0, True)
     gate = quality.quality_gate(good, ["id"], spark.range(9), "id", "id", as_of).first()
-    assert (gate["passed_checks"], gate["is_valid"]) == (4, False)
+    assert (gate["passed_checks"], gate["is_valid"]) == (5, False)
+    other = good.withColumn("ref", F.col("id") % 3)
+    twice = other.unionByName(other.limit(1))
+    gate = quality.quality_gate(twice, ["id"], spark.range(2), "id", "ref", as_of).first()
+    assert gate["passed_checks"] == 4
+
+
+def test_gate_of_no_rows_is_not_valid(spark):
+    none = spark.createDataFrame([], "id long, column1 string, column2 string, column3 decimal(10,2), created_date timestamp")
+    gate = quality.quality_gate(none, ["id"], spark.range(1), "id", "id", threshold=0.5).first()
+    assert (gate["passed_checks"], gate["is_valid"]) == (5, False)
+
+
+def test_gate_reads_the_table_once(spark, tmp_path):
+    rows = spark.sql("select 1 as id, 'x' as column1, 2.0 as column3, current_timestamp() as created_date")
+    stored = write_path(rows, str(tmp_path / "child"))
+    gate = quality.quality_gate(stored, ["id"], spark.range(9), "id", "id")
+    assert planned(gate).count("FileScan") == 1
+
+
+def test_rate_and_slowness(spark):
+    steps = spark.createDataFrame(
+        [("a", 600, 2.0), ("b", 10, 301.0), ("c", 5, 0.0), ("d", 0, 300.0)],
+        "step_name string, row_count long, duration_seconds double",
+    )
+    found = {r["step_name"]: (r["rows_per_second"], r["is_slow"]) for r in monitoring.throughput(steps).collect()}
+    assert found == {"a": (300.0, False), "b": (10 / 301.0, True), "c": (0.0, False), "d": (0.0, False)}
 
 
 def test_availability_of_a_missing_table(spark):
@@ -165,7 +193,12 @@ def test_step_metrics(spark, tmp_path):
     whole = steps.watch(spark.range(0, 1000, 1, 4), "read")
     part = steps.watch(whole.filter("id < 10"), "filter")
     assert part.columns == ["id"]
-    write_path(part, str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="no action"):
+        steps.frame(spark)
+    time.sleep(0.5)
+    with steps.action():
+        write_path(part, str(tmp_path / "out"))
+    time.sleep(0.5)
     found = monitoring.throughput(steps.frame(spark, dt.datetime(2024, 1, 1))).collect()
     assert [(r["step_name"], r["row_count"]) for r in found] == [("read", 1000), ("filter", 10)]
     assert found[0]["partition_count"] == 4

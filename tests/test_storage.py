@@ -29,18 +29,28 @@ def test_jdbc_options():
 
 
 def test_plain_landing_file(spark, tmp_path):
+    payload = '{"event_id":"e1","note":"a|b \\\\ \\"c\\"","loan_id":"L"}'
     (tmp_path / "landing.dat").write_text(
-        'k1|0|1001|2024-01-01T00:00:00Z|{"event_id":"e1","rate":"3.5"}\nk2|1|1002||\n'
+        f"k1|0|1001|2024-01-01T00:00:00Z|{payload}\nk2|1|1002||\nk3|zero|1|t|x\nk4|1|2\n"
     )
-    found = readers.scan_pipe_csv(spark, str(tmp_path), schemas.schema("landing_event"))
+    found = readers.scan_landing(spark, str(tmp_path), schemas.schema("landing_event"))
     assert rows(found) == [
-        ("k1", 0, 1001, "2024-01-01T00:00:00Z", '{"event_id":"e1","rate":"3.5"}'),
-        ("k2", 1, 1002, None, None),
+        ("k1", 0, 1001, "2024-01-01T00:00:00Z", payload, False),
+        ("k2", 1, 1002, None, None, False),
+        (None, None, None, None, "k3|zero|1|t|x", True),
+        (None, None, None, None, "k4|1|2", True),
     ]
 
 
+def test_lines_that_do_not_fit_fail_the_read(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a|1\nb|two\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        readers.scan_pipe_csv(spark, str(tmp_path), spark.createDataFrame([], "a string, b int").schema).collect()
+
+
 def test_pipe_round_trip(spark, tmp_path):
     values = [("", None), ("a|b", 'q"uote'), ("back\\slash", "{'x'}"), (" spaced ", "\\"), (None, "")]
+    values += [("a\nb", "\r"), ("\\n", '\\"|'), ('"', "\\\\n\n"), ("\\N", "x")]
     frame = spark.createDataFrame(values, "a string, b string")
     writers.write_pipe_csv(frame, str(tmp_path / "p"), null_value="\\N")
     back = readers.scan_pipe_csv(spark, str(tmp_path / "p"), frame.schema, null_value="\\N")
@@ -71,6 +81,25 @@ def test_replace_partition_twice_and_with_an_empty_day(spark, tmp_path):
     assert rows(emptied.select("date", "v")) == [(dt.date(2024, 1, 2), 2)]
 
 
+ODD = ["A&B", "007", "08", "a=b", "ü", "a b", "50%", "x/y", "2024-01-05", "{[", None]
+
+
+def test_partition_values_come_back_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "o")
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(ODD)], "v int, k string")
+    stored = writers.write_path(frame, path, partition_by=["k"])
+    assert rows(stored.select("v", "k")) == rows(frame)
+    for n, value in enumerate(ODD):
+        new = spark.createDataFrame([(100 + n, value)], "v int, k string")
+        stored = writers.replace_partition(new, path, "k", value)
+    assert rows(stored.select("v", "k")) == sorted([(100 + i, v) for i, v in enumerate(ODD)], key=str)
+    for value in ODD:
+        stored = writers.replace_partition(frame.filter("false"), path, "k", value)
+    assert stored.count() == 0
+    with pytest.raises(Exception, match="empty text"):
+        writers.write_path(spark.sql("select 1 as v, '' as k"), path, partition_by=["k"])
+
+
 def test_write_verified_counts_what_is_stored(spark, tmp_path):
     path = str(tmp_path / "v")
     frame = spark.range(100).selectExpr("id", "id % 3 as part")
