@@ -130,7 +130,10 @@ def _letter(low: str, size: int, n: Column) -> Column:
 
 
 def same_shape(value: Column, stream: Column, hexadecimal: Column | None = None) -> Column:
-    """``value`` with other digits and letters, each of its own kind; other characters stay."""
+    """``value`` with other digits and letters, each of its script and case; other characters stay.
+
+    Letters of scripts without a list become Latin ones.
+    """
 
     def other(c: Column, i: Column) -> Column:
         n = _number(stream, i)
@@ -139,12 +142,16 @@ def same_shape(value: Column, stream: Column, hexadecimal: Column | None = None)
             small = F.when(hexadecimal, _letter("a", 6, n)).otherwise(small)
         return (
             F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
-            .when(c.rlike("[a-zà-öø-ÿ]"), small)
-            .when(c.rlike("[A-ZÀ-ÖØ-Þ]"), F.upper(small))
-            .when(c.rlike("[а-я]"), _letter("а", 32, n))
-            .when(c.rlike("[А-Я]"), _letter("А", 32, n))
-            .when(c.rlike("[α-ω]"), _letter("α", 17, n))
-            .when(c.rlike("[Α-Ω]"), _letter("Α", 17, n))
+            .when(c.rlike(r"[\p{IsCyrillic}&&\p{Ll}]"), _letter("а", 32, n))
+            .when(c.rlike(r"\p{IsCyrillic}"), _letter("А", 32, n))
+            .when(c.rlike(r"[\p{IsGreek}&&\p{Ll}]"), _letter("α", 17, n))
+            .when(c.rlike(r"\p{IsGreek}"), _letter("Α", 17, n))
+            .when(c.rlike(r"\p{IsHan}"), _letter("一", 128, n))
+            .when(c.rlike(r"\p{IsHangul}"), _letter("가", 128, n))
+            .when(c.rlike(r"\p{IsHebrew}"), _letter("א", 27, n))
+            .when(c.rlike(r"\p{IsArabic}"), _letter("ب", 19, n))
+            .when(c.rlike(r"\p{Lu}"), F.upper(small))
+            .when(c.rlike(r"\p{L}"), small)
             .otherwise(c)
         )
 

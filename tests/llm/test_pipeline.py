@@ -101,7 +101,7 @@ def test_token_ids(stages):
 
 
 def test_odd_rows_and_an_empty_table(spark, tmp_path):
-    prose = "\n".join(f"Sentence number {k} says what line {k * k} means, nothing else." for k in range(20))
+    prose = "\n".join(" ".join(f"w{k * n}" for n in range(1, 12)) + "." for k in range(10, 30))
     rows = [(None, prose, None, None, None), (1, prose, "en", "a", 5), (1, prose, "en", "a", 5), (2, None, "en", "a", 0), (3, "", None, "b", 0)]
     for name, data in (("odd", rows), ("none", [])):
         path = str(tmp_path / name)

@@ -66,7 +66,7 @@ def test_counts_verdicts_and_kept_lines(spark):
 
 
 def test_clean_prose_is_kept_and_menus_are_rejected(spark):
-    prose = "\n".join(f"Sentence number {k} says what line {k * k} means, nothing else." for k in range(20))
+    prose = "\n".join(" ".join(f"w{k * n}" for n in range(1, 12)) + "." for k in range(10, 30))
     menu = "\n".join(f"Home {k} | News {k} | Sport {k} | Weather {k} |" for k in range(20))
     rows = quality.rate(documents(spark, [prose, menu, prose + "\n" + "Next page"])).orderBy("doc_id").collect()
     assert [r.kept for r in rows] == [True, False, True]
