@@ -1,25 +1,22 @@
 """Connected components, and links between rows that share a bucket.
 
 A bucket is a set of rows with one key. Its pairs are never all listed: each row is first
-compared with the smallest row of its bucket, and rows that these links already put into
-one component need no further comparison. Only rows of different components that still
-share a bucket are compared with each other. A bucket of many components is first divided
-by the other crowded buckets that its rows are in.
+compared with the most central row of its bucket, the one whose buckets hold most rows, and
+rows that these links already put into one component need no further comparison. Of rows
+of different components that still share a bucket, only those pairs leave the join that pass
+a test on small sketches, and these are compared exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.storing import stored
 
-# Components of a bucket above which it is divided.
-CROWD = 100
-# Times a bucket is divided. What is left of it is then compared as it is.
-DIVISIONS = 2
+Near = Callable[[str, str], Column]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -59,56 +56,45 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def shared(buckets: DataFrame) -> DataFrame:
-    """The rows (key, uid) of buckets with more than one uid, and the smallest uid as ``center``."""
+    """The rows (key, uid) of buckets with more than one uid, and the number of their rows."""
     several = (
         buckets.groupBy("key")
-        .agg(F.min("uid").alias("center"), F.max("uid").alias("last"))
-        .where("center <> last")
-        .drop("last")
+        .agg(F.min("uid").alias("low"), F.max("uid").alias("high"), F.count("*").alias("rows"))
+        .where("low <> high")
+        .drop("low", "high")
     )
     return buckets.join(several, "key")
 
 
-def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def with_centers(members: DataFrame) -> DataFrame:
+    """``members`` of ``shared`` with the most central row of each bucket."""
+    weights = members.groupBy("uid").agg(F.sum("rows").alias("weight"))
+    most = members.join(weights, "uid").groupBy("key").agg(F.max(F.struct("weight", "uid")).alias("most"))
+    return members.join(most.select("key", F.col("most.uid").alias("center")), "key")
+
+
+def linked(
+    members: DataFrame, traits: DataFrame, near: Near, confirm: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """(uid, component) by the confirmed links between rows of a bucket.
 
-    ``members`` are the rows of ``shared``, and ``confirm`` keeps of pairs (a, b), a < b,
-    those that link. Rows of a crowded bucket that meet in a bucket without a crowd are
-    compared there; a crowd itself is divided only by the other crowded keys of its rows, so
-    two rows that share nothing but one crowded key are not compared.
+    ``members`` are the rows of ``shared``. ``traits`` has a row for each uid, and
+    ``near(x, y)`` is a condition on ``key`` and on two of its rows, their columns under the
+    prefixes x and y, that every link fulfils. ``confirm`` keeps of pairs (a, b) those that link.
     """
-    star = members.where("uid <> center").select(F.col("center").alias("a"), F.col("uid").alias("b")).distinct()
-    star = stored(star, "star-pairs")
+    pairs = with_centers(members).where("uid <> center")
+    pairs = pairs.select(F.least("center", "uid").alias("a"), F.greatest("center", "uid").alias("b")).distinct()
+    star = stored(pairs, "star-pairs")
     links = stored(confirm(star), "star-links")
-    rest = _apart(members.select("key", "uid"), components(links))
-    rest = rest.withColumn("last", F.col("key"))
-    base = pairs = None
-    for division in range(DIVISIONS + 1):
-        rest = stored(rest, "apart")
-        crowded = rest.select("key", "component").distinct().groupBy("key").count()
-        crowded = stored(crowded.where(F.col("count") > CROWD).select("key"), "crowded")
-        last = division == DIVISIONS or crowded.isEmpty()
-        found = _across(rest if last else rest.join(crowded, "key", "left_anti"))
-        pairs = found if pairs is None else pairs.union(found)
-        if last:
-            break
-        rest = rest.join(crowded, "key")
-        base = rest.select("uid", F.col("key").alias("more")) if base is None else base
-        rest = rest.join(base, "uid").where("more > last")
-        rest = _mixed(rest.select(F.xxhash64("key", "more").alias("key"), "uid", "component", F.col("more").alias("last")))
-    pairs = pairs.distinct().join(star, ["a", "b"], "left_anti")
+    named = members.select("key", "uid").join(components(links), "uid", "left")
+    named = named.withColumn("component", F.coalesce("component", "uid"))
+    rest = stored(_mixed(stored(named, "named")).join(traits, "uid"), "apart")
+    pairs = _across(rest, near).distinct().join(star, ["a", "b"], "left_anti")
     return components(stored(links.union(confirm(stored(pairs, "rest-pairs"))), "links"))
 
 
-def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of buckets that hold more than one component."""
-    named = members.join(labels, "uid", "left").select(
-        "key", "uid", F.coalesce("component", "uid").alias("component")
-    )
-    return _mixed(stored(named, "named"))
-
-
 def _mixed(named: DataFrame) -> DataFrame:
+    """Rows of buckets that hold more than one component."""
     several = (
         named.groupBy("key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -118,12 +104,9 @@ def _mixed(named: DataFrame) -> DataFrame:
     return named.join(several, "key")
 
 
-def _across(named: DataFrame) -> DataFrame:
-    """Pairs of one bucket whose components differ."""
-    other = named.select("key", F.col("uid").alias("b"), F.col("component").alias("other"))
-    return (
-        named.withColumnRenamed("uid", "a")
-        .join(other, "key")
-        .where("a < b and component <> other")
-        .select("a", "b")
-    )
+def _across(rest: DataFrame, near: Near) -> DataFrame:
+    """Pairs of one bucket whose components differ and that are near."""
+    sides = [rest.select("key", *[F.col(c).alias(f"{x}{c}") for c in rest.columns if c != "key"]) for x in "xy"]
+    apart = (F.col("xuid") < F.col("yuid")) & (F.col("xcomponent") != F.col("ycomponent"))
+    found = sides[0].join(sides[1], "key").where(apart & near("x", "y"))
+    return found.select(F.col("xuid").alias("a"), F.col("yuid").alias("b"))

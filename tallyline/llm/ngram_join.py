@@ -11,9 +11,7 @@ difference, and last with the exact sets.
 Words without n-grams agree too, so such empty words give no key. Small sets, which may
 have nothing but an empty word in common, therefore get several sketches with different
 hashes, and large sets use the first PROBES of their words: at the limit of similarity a
-word agrees with a probability of about 0.4, and a pair is missed with one below 1e-7. Where
-it shares its buckets with crowds of other texts it must agree in three words, and the
-probability is below 1e-5.
+word agrees with a probability of 0.36 to 0.5, and a pair is missed with one below 1e-6.
 """
 
 from __future__ import annotations
@@ -32,11 +30,15 @@ from tallyline.llm.clusters import linked, shared
 from tallyline.llm.filters import Picker
 from tallyline.llm.storing import stored
 
-PROBES = 40
+PROBES = 32
+# Low bits of a bucket key that hold the band.
+_BAND = np.uint64(127)
+# Words of the short bit sketch that the bucket join tests.
+SHORT = 8
 # Sets smaller than this link with equal sets only: 2 of 3 are less than 0.75.
 SMALLEST = 3
 
-FEATURES = "doc_id long, row long, n_shingles long, d1 long, d2 long, keys array<long>, sketch array<long>"
+FEATURES = "doc_id long, row long, n_shingles long, d1 long, d2 long, keys array<long>, sketch array<long>, short array<long>"
 
 
 def band_edges(most: int) -> list[int]:
@@ -87,13 +89,16 @@ def bucket_keys(shingles: np.ndarray) -> np.ndarray:
             at = (place.astype(np.int64) + first).ravel()
             np.bitwise_xor.at(words, at, np.tile(content, len(seeds)))
         full = words != 0
-        out.append(arrays.mixed(words[full] ^ salt[full]))
+        out.append(arrays.mixed(words[full] ^ salt[full]) & ~_BAND | np.uint64(band))
     return np.unique(np.concatenate(out)) if out else np.zeros(0, dtype=np.uint64)
 
 
-def bit_sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of 2^c hashed bits, at least two for each n-gram, in words of 64."""
-    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+def bit_sketch(shingles: np.ndarray, words: int | None = None) -> np.ndarray:
+    """Parities of hashed bits, at least two for each n-gram, or folded to ``words`` words of 64.
+
+    The XOR of its halves is the sketch of half the bits, and bounds the difference as well.
+    """
+    bits = max(64 * SHORT, 1 << int(2 * len(shingles) - 1).bit_length()) if words is None else 64 * words
     place = arrays.mixed(shingles ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)
     parity = np.bincount(place.astype(np.int64), minlength=bits).astype(np.uint8) & 1
     return np.packbits(parity, bitorder="little").view(np.uint64)
@@ -102,13 +107,14 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, rows = batch.column(0), batch.column(1)
-        n, d1, d2, keys, sketches = [], [], [], [], []
+        n, d1, d2, keys, sketches, shorts = [], [], [], [], [], []
         for _, found in arrays.shingle_sets(batch.column(2)):
             n.append(len(found))
             d1.append(arrays.mixed(found).sum(dtype=np.uint64))
             d2.append(arrays.mixed(found ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
             keys.append(bucket_keys(found))
             sketches.append(bit_sketch(found) if len(found) else np.zeros(0, np.uint64))
+            shorts.append(np.bitwise_xor.reduce(sketches[-1].reshape(-1, SHORT), axis=0))
         yield pa.RecordBatch.from_arrays(
             [
                 ids,
@@ -118,8 +124,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(arrays.signed(np.array(d2, dtype=np.uint64))),
                 arrays.lists(keys),
                 arrays.lists(sketches),
+                arrays.lists(shorts),
             ],
-            names=["doc_id", "row", "n_shingles", "d1", "d2", "keys", "sketch"],
+            names=["doc_id", "row", "n_shingles", "d1", "d2", "keys", "sketch", "short"],
         )
 
 
@@ -151,6 +158,21 @@ def _distance(a: str, b: str):
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
 
 
+def _band(n):
+    """The band of a size: the last whose lower end is not above it."""
+    edges = F.array(*[F.lit(x) for x in _EDGES])
+    return F.size(F.filter(edges, lambda x: x <= n)) - 1
+
+
+def _near(x: str, y: str):
+    """What every link of a bucket fulfils: sizes, the band of the smaller set, and short sketches."""
+    n = F.col(f"{x}n"), F.col(f"{y}n")
+    sizes = 3 * F.greatest(*n) <= 4 * F.least(*n)
+    band = F.least(f"{x}band", f"{y}band") == F.col("key").bitwiseAND(F.lit(int(_BAND)))
+    bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(SHORT)), F.lit(0))
+    return sizes & band & (7 * bits <= n[0] + n[1])
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
 
@@ -243,7 +265,9 @@ def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         near = near.withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
         return near.where("100 * common >= 75 * (n_a + n_b - common)").select("a", "b")
 
-    labels = linked(members, confirm)
+    shorts = [F.col("short")[k].alias(f"s{k}") for k in range(SHORT)]
+    traits = one.select("uid", F.col("n_shingles").alias("n"), _band(F.col("n_shingles")).alias("band"), *shorts)
+    labels = linked(members, traits, _near, confirm)
     named = classes.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     named = stored(named, "named-classes")
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))

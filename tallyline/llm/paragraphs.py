@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import arrays
 from tallyline.llm.clusters import linked, shared
 from tallyline.llm.filters import Picker
+from tallyline.llm.ngram_join import bit_sketch
 from tallyline.llm.storing import stored
 
 LEAST_WORDS = 25
@@ -30,7 +31,13 @@ SIMILARITY = 0.75
 RECALL = 0.99
 ROWS = 2
 
-UNIT = "row long, doc_id long, kind string, start long, n_words long, d1 long, d2 long, keys array<long>"
+# Words of the bit sketch of a line's shingles, which bounds its difference from others.
+SKETCH_WORDS = 4
+
+UNIT = (
+    "row long, doc_id long, kind string, start long, n_words long, d1 long, d2 long, "
+    "n_shingles int, keys array<long>, sketch array<long>"
+)
 
 
 @cache
@@ -112,8 +119,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = arrays.windows(hashes, arrays.SHINGLE)
             lines = line_ranges(found)
             d1, d2 = _digests(hashes, lines[:, 1], lines[:, 2])
-            keys = [band_keys(np.unique(runs[a : b - arrays.SHINGLE + 1])) for a, b in lines[:, 1:].tolist()]
-            yield _unit_rows(batch, found, "line", lines[:, 0], lines[:, 1], lines[:, 2] - lines[:, 1], d1, d2, keys)
+            sets = [np.unique(runs[a : b - arrays.SHINGLE + 1]) for a, b in lines[:, 1:].tolist()]
+            yield _unit_rows(batch, found, "line", lines[:, 0], lines[:, 1], lines[:, 2] - lines[:, 1], d1, d2, sets)
             starts, texts = [], []
             for k in range(len(found.edges) - 1):
                 a, b = int(found.bounds[k]), int(found.bounds[k + 1])
@@ -127,9 +134,10 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _unit_rows(batch, found, "window", text, start, length, d1, d2, None)
 
 
-def _unit_rows(batch, found, kind, text, start, length, d1, d2, keys) -> pa.RecordBatch:
+def _unit_rows(batch, found, kind, text, start, length, d1, d2, sets) -> pa.RecordBatch:
     rows = pa.array(found.first + text)
     none = pa.nulls(len(text), pa.list_(pa.int64()))
+    known = sets is not None
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(rows),
@@ -139,9 +147,11 @@ def _unit_rows(batch, found, kind, text, start, length, d1, d2, keys) -> pa.Reco
             pa.array(length.astype(np.int64)),
             pa.array(arrays.signed(d1)),
             pa.array(arrays.signed(d2)),
-            none if keys is None else arrays.lists(keys),
+            pa.array([len(s) for s in sets], pa.int32()) if known else pa.nulls(len(text), pa.int32()),
+            arrays.lists([band_keys(s) for s in sets]) if known else none,
+            arrays.lists([bit_sketch(s, SKETCH_WORDS) for s in sets]) if known else none,
         ],
-        names=["row", "doc_id", "kind", "start", "n_words", "d1", "d2", "keys"],
+        names=["row", "doc_id", "kind", "start", "n_words", "d1", "d2", "n_shingles", "keys", "sketch"],
     )
 
 
@@ -170,6 +180,13 @@ def _line_sets(picker: Picker):
     return run
 
 
+def _near(x: str, y: str):
+    """Sizes that a link can have, and a difference that it cannot exceed."""
+    n = F.col(f"{x}n"), F.col(f"{y}n")
+    bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
+    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1])
+
+
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """A row for each paragraph that another document holds as well, or nearly so.
 
@@ -215,7 +232,9 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         either = F.size("s_a") + F.size("s_b") - common
         return pairs.where(common >= SIMILARITY * either).select("a", "b")
 
-    labels = linked(members, confirm)
+    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
+    traits = one.select("uid", F.col("n_shingles").alias("n"), *words)
+    labels = linked(members, traits, _near, confirm)
     named = stored(
         one.select("uid", "d1", "d2")
         .join(labels, "uid", "left")
@@ -230,7 +249,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     line_clusters = named.select("component", "kind", "d1", "d2").join(of_component, "component").drop("component")
     window_clusters = classes.where("kind = 'window' and least <> last").select("first", "kind", "d1", "d2")
     clusters = line_clusters.select("first", "kind", "d1", "d2").unionByName(window_clusters)
-    found = units.drop("keys").join(clusters, ["kind", "d1", "d2"])
+    found = units.drop("keys", "sketch", "n_shingles").join(clusters, ["kind", "d1", "d2"])
     here = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row", "start")
     least = F.nullif(F.col("first.doc_id"), F.lit((1 << 63) - 1))
     return found.select(

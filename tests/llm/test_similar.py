@@ -52,9 +52,12 @@ def test_agrees_with_all_pairs(spark):
     assert found(ngram_join.similar_documents(documents(spark, texts))) == expected(texts)
 
 
-def test_crowds_are_divided(spark, monkeypatch):
-    monkeypatch.setattr(clusters, "CROWD", 3)
-    texts = corpus(6)
+def test_copies_that_differ_from_each_other_about_as_much_as_may_be(spark):
+    rng = random.Random(6)
+    texts = []
+    for size in (30, 80, 150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        texts += [" ".join(edited(rng, words, rng.randint(1, max(2, size // 22)))) for _ in range(80)]
     assert found(ngram_join.similar_documents(documents(spark, texts))) == expected(texts)
 
 
