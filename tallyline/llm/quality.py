@@ -112,7 +112,7 @@ def judge(found: arrays.Words, limits: Limits) -> Judged:
     breaks = np.flatnonzero(data == 0x0A)
     start = np.unique(np.concatenate([found.edges[:-1], breaks + 1]))
     start = start[start < len(data)]
-    end = np.append(start[1:], len(data))
+    end = np.append(start[1:], len(data))[: len(start)]
     end = np.where(data[end - 1] == 0x0A, end - 1, end)
     first = np.searchsorted(found.start, start)
     last = np.searchsorted(found.start, end)

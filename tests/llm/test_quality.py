@@ -72,5 +72,11 @@ def test_clean_prose_is_kept_and_menus_are_rejected(spark):
     assert [r.kept for r in rows] == [True, False, True]
 
 
+def test_texts_without_words_only(spark):
+    for docs in ([None], [""], [None, "", " \n\n "], ["\n"]):
+        rows = quality.rate(documents(spark, docs).coalesce(1), with_text=True).collect()
+        assert all((r.n_words, r.base_failed, r.kept, r.kept_text) == (0, True, False, docs[r.doc_id]) for r in rows)
+
+
 def test_empty_table(spark):
     assert quality.rate(spark.createDataFrame([], COLUMNS)).collect() == []
