@@ -182,13 +182,20 @@ def test_reconciliation_shuffles_counts_once(spark, hot):
         assert {r["match"] for r in found.collect()} == {True, None}
 
 
-def test_history_joins_open_rows_only(spark):
+def test_history_outside_the_batch_streams_through(spark, tmp_path):
     from tallyline.operators import history
-
-    batch = spark.sql(
-        "select 1L as business_key, 'a' as value, timestamp'2024-01-01' as effective_start_date, 'x' as source_checksum"
-    )
-    merged = history.scd2_merge(history.first_versions(batch), batch)
-    with at_scale(spark):
-        plan = planned(merged)
-    assert plan.count("Join") == 1 and "FullOuter" in plan
+    from tallyline.sources.writers import write_path
+
+    def versions(keys, day):
+        return spark.range(*keys).selectExpr(
+            "id as business_key", f"timestamp'{day}' as effective_start_date", "'x' as source_checksum",
+            f"md5('{day}') as change_hash",
+        )
+
+    stored = write_path(history.first_versions(versions((0, 5000), "2024-01-01")), str(tmp_path / "h"))
+    merged = history.scd2_merge(stored, versions((0, 5), "2024-02-01"))
+    plan = planned(merged)
+    assert "FullOuter" not in plan and "LeftAnti" in plan
+    rest = plan[plan.index("Union") :].split("LeftAnti")[0]
+    assert "Exchange hashpartitioning" not in rest
+    assert merged.count() == 5005
