@@ -1,8 +1,8 @@
 """Words and hashes of many texts at once, as NumPy arrays inside tasks.
 
-Texts come as Arrow string arrays. They are worked on in pieces of about a megabyte,
-so that the memory of a task does not depend on how many texts a batch holds. A word is
-a maximal run of bytes other than the six ASCII white-space characters.
+Texts come as Arrow string arrays. They are worked on in pieces of about a quarter of a
+megabyte, so that the memory of a task does not depend on how many texts a batch holds. A
+word is a maximal run of bytes other than the six ASCII white-space characters.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 SHINGLE = 5
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)

@@ -129,8 +129,18 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, and the SHA-256 of the ids and of the bytes they decode to."""
-    found = decode(encode(docs.select(F.col("doc_id").cast("long"), "text"), path, pattern).drop("text"), path, pattern)
+    """doc_id, n_tokens, and the SHA-256 of the ids and of the bytes they decode to.
+
+    Both ways run in one Python worker, batch by batch, so that ids go through Spark once.
+    """
+    there, back = _encode(path, pattern, 1), _decode(path, pattern, 2)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in back(there(batches)):
+            yield batch.select(["doc_id", "ids", "decoded"])
+
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    found = texts.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
