@@ -38,12 +38,10 @@ def rows_of(df):
     return [tuple(r) for r in df.select(names).collect()]
 
 
-def test_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(archives, "RECORDS", 17)
-    monkeypatch.setattr(archives, "RUN_BYTES", 1000)
+def test_round_trip(spark):
     pages = made()
     df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "1 as archive", "2 as uri", "3 as date")
-    assert sorted(rows_of(archives.archive_pages(df.repartition(3)))) == sorted(plain(pages), key=lambda r: r[0])
+    assert sorted(rows_of(archives.archive_pages(df.repartition(3), records=17))) == sorted(plain(pages), key=lambda r: r[0])
 
 
 def test_repeated_rows_and_null_ids(spark):
@@ -85,11 +83,10 @@ def test_broken_archives_raise():
         list(archives.arc_records("x", good.replace(b"\n1 0", b"\n7 0", 1)))
 
 
-def test_every_file_begins_with_its_version(spark, monkeypatch):
-    monkeypatch.setattr(archives, "RECORDS", 5)
+def test_every_file_begins_with_its_version(spark):
     path = new_path(spark, "arc-test")
     df = spark.createDataFrame(made(60), "page_id long, url string, html string")
-    archives.write_arc(df.repartition(2), path)
+    archives.write_arc(df.repartition(2), path, records=5)
     read = archives.read_arc(spark, path)
     per_file = read.groupBy("archive").agg(F.min_by("warc_type", "offset").alias("first"), F.count("*").alias("n")).collect()
     assert len(per_file) >= 12
