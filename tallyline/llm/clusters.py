@@ -74,25 +74,48 @@ def with_centers(members: DataFrame) -> DataFrame:
 
 
 def linked(
-    members: DataFrame, traits: DataFrame, near: Near, confirm: Callable[[DataFrame], DataFrame]
+    members: DataFrame,
+    traits: DataFrame,
+    near: Near,
+    confirm: Callable[[DataFrame], DataFrame],
+    rounds: int = 1,
 ) -> DataFrame:
     """(uid, component) by the confirmed links between rows of a bucket.
 
     ``members`` are the rows of ``shared``. ``traits`` has a row for each uid, and
     ``near(x, y)`` is a condition on ``key`` and on two of its rows, their columns under the
     prefixes x and y, that every link fulfils. ``confirm`` keeps of pairs (a, b) those that link.
+    Each round beyond the first compares the rows of a bucket with another row of it, any
+    one, which joins most of a family whose central row is not like all others.
     """
-    pairs = with_centers(members).where("uid <> center")
-    pairs = pairs.select(F.least("center", "uid").alias("a"), F.greatest("center", "uid").alias("b")).distinct()
-    star = stored(pairs, "star-pairs")
-    links = stored(confirm(star), "star-links")
-    named = members.select("key", "uid").join(components(links), "uid", "left")
-    named = named.withColumn("component", F.coalesce("component", "uid"))
-    rest = stored(_mixed(stored(named, "named")).join(traits, "uid"), "apart")
-    pairs = _across(rest, near).distinct().join(star, ["a", "b"], "left_anti")
+    tested = stored(_with_center(with_centers(members)).distinct(), "star-pairs")
+    links = stored(confirm(tested), "star-links")
+    rest = _apart(members.select("key", "uid"), links)
+    for turn in range(1, rounds):
+        any_one = F.max(F.struct(F.xxhash64("uid", F.lit(turn)), "uid", "component")).alias("any_one")
+        chosen = rest.groupBy("key").agg(any_one)
+        chosen = chosen.select("key", F.col("any_one.uid").alias("center"), F.col("any_one.component").alias("own"))
+        pairs = _with_center(rest.join(chosen, "key").where("component <> own")).distinct()
+        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "star-pairs")
+        links = stored(links.union(confirm(pairs)), "star-links")
+        tested = tested.union(pairs)
+        rest = _apart(rest.select("key", "uid"), links)
+    pairs = _across(rest.join(traits, "uid"), near).distinct().join(tested, ["a", "b"], "left_anti")
     return components(stored(links.union(confirm(stored(pairs, "rest-pairs"))), "links"))
 
 
+def _with_center(rows: DataFrame) -> DataFrame:
+    pairs = rows.where("uid <> center")
+    return pairs.select(F.least("center", "uid").alias("a"), F.greatest("center", "uid").alias("b"))
+
+
+def _apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, uid, component) of the buckets that hold more than one component."""
+    named = members.join(components(links), "uid", "left")
+    named = named.withColumn("component", F.coalesce("component", "uid")).select("key", "uid", "component")
+    return stored(_mixed(stored(named, "named")), "apart")
+
+
 def _mixed(named: DataFrame) -> DataFrame:
     """Rows of buckets that hold more than one component."""
     several = (

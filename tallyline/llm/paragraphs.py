@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from tallyline.llm import arrays
 from tallyline.llm.clusters import linked, shared
 from tallyline.llm.filters import Picker
-from tallyline.llm.ngram_join import bit_sketch
 from tallyline.llm.storing import stored
 
 LEAST_WORDS = 25
@@ -30,12 +29,17 @@ REACH = 26
 SIMILARITY = 0.75
 RECALL = 0.99
 ROWS = 2
+# Rows of a bucket that all others are compared with before pairs are listed.
+ROUNDS = 2
 
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
 SKETCH_WORDS = 4
 
+LINE, WINDOW = 0, 1
+KINDS = {LINE: "line", WINDOW: "window"}
+
 UNIT = (
-    "row long, doc_id long, kind string, start long, n_words long, d1 long, d2 long, "
+    "row long, doc_id long, kind int, start long, n_words long, d1 long, d2 long, "
     "n_shingles int, keys array<long>, sketch array<long>"
 )
 
@@ -48,13 +52,41 @@ def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: in
 
 @cache
 def _functions() -> np.ndarray:
-    return arrays.numbers(ROWS * tuned_bands(), 11)[:, None]
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    least = arrays.mixed(shingles[None, :] ^ _functions()).min(axis=1).reshape(-1, ROWS)
-    salt = arrays.numbers(len(least), 12)
-    return arrays.mixed((least * arrays.numbers(ROWS, 13)).sum(axis=1, dtype=np.uint64) ^ salt)
+    return arrays.numbers(ROWS * tuned_bands(), 11)
+
+
+class Sets:
+    """The distinct shingles of the lines of a piece: ``values[bounds[k] : bounds[k + 1]]`` of line k, sorted."""
+
+    def __init__(self, runs: np.ndarray, first: np.ndarray, end: np.ndarray):
+        length = end - first - arrays.SHINGLE + 1
+        line = np.repeat(np.arange(len(first)), length)
+        place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
+        values = runs[first[line] + place]
+        order = np.lexsort((values, line))
+        values, line = values[order], line[order]
+        new = np.ones(len(values), dtype=bool)
+        new[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
+        self.values, self.line = values[new], line[new]
+        self.bounds = np.searchsorted(self.line, np.arange(len(first) + 1))
+
+    def band_keys(self) -> np.ndarray:
+        """A row of band keys for each line: least hashes, ROWS of them to a band."""
+        n = len(self.bounds) - 1
+        if not n:
+            return np.zeros((0, tuned_bands()), dtype=np.uint64)
+        least = np.stack(
+            [np.minimum.reduceat(arrays.mixed(self.values ^ f), self.bounds[:-1]) for f in _functions()], axis=1
+        ).reshape(n, -1, ROWS)
+        salt = arrays.numbers(least.shape[1], 12)
+        return arrays.mixed((least * arrays.numbers(ROWS, 13)).sum(axis=2, dtype=np.uint64) ^ salt)
+
+    def sketches(self) -> np.ndarray:
+        """A row of SKETCH_WORDS words for each line: parities of hashed bits."""
+        n, bits = len(self.bounds) - 1, 64 * SKETCH_WORDS
+        place = arrays.mixed(self.values ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)
+        parity = np.bincount(self.line * bits + place.astype(np.int64), minlength=n * bits).astype(np.uint8) & 1
+        return np.packbits(parity, bitorder="little").view(np.uint64).reshape(n, SKETCH_WORDS)
 
 
 def line_ranges(found: arrays.Words) -> np.ndarray:
@@ -80,35 +112,16 @@ def window_starts(shingles: np.ndarray) -> np.ndarray:
 
 
 def _digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of runs of words."""
-    out = []
-    for seed in (21, 22):
-        value = arrays.numbers(1, seed)[0]
-        out.append(
-            np.array(
-                [_run(hashes[a:b], value) for a, b in zip(start.tolist(), end.tolist(), strict=True)], dtype=np.uint64
-            )
-        )
-    return out[0], out[1]
-
-
-def _run(hashes: np.ndarray, value: np.uint64) -> int:
-    return int((arrays.mixed(hashes ^ value) * _weights(len(hashes))).sum(dtype=np.uint64))
-
-
-@cache
-def _weights(n: int) -> np.ndarray:
-    return arrays.numbers(n, 23)
-
-
-def _window_digests(hashes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each run of words; runs may overlap."""
+    length = end - start
+    first = np.cumsum(length) - length
+    place = np.arange(int(length.sum())) - np.repeat(first, length)
+    words = hashes[np.repeat(start, length) + place]
+    weights = arrays.numbers(int(length.max(initial=1)), 23)[place]
     out = []
-    for seed in (21, 22):
-        own = arrays.mixed(hashes ^ arrays.numbers(1, seed)[0])
-        total = np.zeros(len(start), dtype=np.uint64)
-        for k, weight in enumerate(_weights(LEAST_WORDS)):
-            total += own[start + k] * weight
-        out.append(arrays.mixed(total))
+    for value in arrays.numbers(2, 21):
+        sums = np.add.reduceat(arrays.mixed(words ^ value) * weights, first) if len(start) else words
+        out.append(arrays.mixed(sums + length.astype(np.uint64)))
     return out[0], out[1]
 
 
@@ -117,10 +130,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in arrays.words(batch.column(2), lower=True):
             hashes = arrays.word_hashes(found)
             runs = arrays.windows(hashes, arrays.SHINGLE)
-            lines = line_ranges(found)
-            d1, d2 = _digests(hashes, lines[:, 1], lines[:, 2])
-            sets = [np.unique(runs[a : b - arrays.SHINGLE + 1]) for a, b in lines[:, 1:].tolist()]
-            yield _unit_rows(batch, found, "line", lines[:, 0], lines[:, 1], lines[:, 2] - lines[:, 1], d1, d2, sets)
+            text, first, end = line_ranges(found).T
+            yield _unit_rows(batch, found, LINE, text, first, end, hashes, Sets(runs, first, end))
             starts, texts = [], []
             for k in range(len(found.edges) - 1):
                 a, b = int(found.bounds[k]), int(found.bounds[k + 1])
@@ -129,32 +140,40 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(np.full(len(chosen), k))
             start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
             text = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-            d1, d2 = _window_digests(hashes, start)
-            length = np.full(len(start), LEAST_WORDS)
-            yield _unit_rows(batch, found, "window", text, start, length, d1, d2, None)
+            yield _unit_rows(batch, found, WINDOW, text, start, start + LEAST_WORDS, hashes, None)
 
 
-def _unit_rows(batch, found, kind, text, start, length, d1, d2, sets) -> pa.RecordBatch:
-    rows = pa.array(found.first + text)
-    none = pa.nulls(len(text), pa.list_(pa.int64()))
-    known = sets is not None
+def _unit_rows(batch, found, kind, text, start, end, hashes, sets: Sets | None) -> pa.RecordBatch:
+    n, rows = len(text), pa.array(found.first + text)
+    d1, d2 = _digests(hashes, start, end)
+    if sets is None:
+        sizes, keys, sketches = pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.list_(pa.int64()))] * 2
+    else:
+        sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
+        keys, sketches = _fixed(sets.band_keys()), _fixed(sets.sketches())
     return pa.RecordBatch.from_arrays(
         [
             batch.column(0).take(rows),
             batch.column(1).take(rows),
-            pa.array([kind] * len(text), pa.string()),
-            pa.array(start - found.bounds[text]),
-            pa.array(length.astype(np.int64)),
+            pa.array(np.full(n, kind, dtype=np.int32)),
+            pa.array((start - found.bounds[text]).astype(np.int64)),
+            pa.array((end - start).astype(np.int64)),
             pa.array(arrays.signed(d1)),
             pa.array(arrays.signed(d2)),
-            pa.array([len(s) for s in sets], pa.int32()) if known else pa.nulls(len(text), pa.int32()),
-            arrays.lists([band_keys(s) for s in sets]) if known else none,
-            arrays.lists([bit_sketch(s, SKETCH_WORDS) for s in sets]) if known else none,
+            sizes,
+            keys,
+            sketches,
         ],
         names=["row", "doc_id", "kind", "start", "n_words", "d1", "d2", "n_shingles", "keys", "sketch"],
     )
 
 
+def _fixed(table: np.ndarray) -> pa.Array:
+    """A list column of the rows of a table."""
+    ends = np.arange(len(table) + 1, dtype=np.int32) * table.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(arrays.signed(table.reshape(-1))))
+
+
 def _line_sets(picker: Picker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,13 +185,16 @@ def _line_sets(picker: Picker):
             for found in arrays.words(rows.column(2), lower=True):
                 hashes = arrays.word_hashes(found)
                 runs = arrays.windows(hashes, arrays.SHINGLE)
-                lines = line_ranges(found)
-                sets = [np.unique(runs[a : b - arrays.SHINGLE + 1]) for a, b in lines[:, 1:].tolist()]
+                text, first, end = line_ranges(found).T
+                sets = Sets(runs, first, end)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column(0).take(pa.array(found.first + lines[:, 0])),
-                        pa.array(lines[:, 1] - found.bounds[lines[:, 0]]),
-                        arrays.lists(sets),
+                        rows.column(0).take(pa.array(found.first + text)),
+                        pa.array((first - found.bounds[text]).astype(np.int64)),
+                        lists,
                     ],
                     names=["row", "start", "shingles"],
                 )
@@ -181,20 +203,23 @@ def _line_sets(picker: Picker):
 
 
 def _near(x: str, y: str):
-    """Sizes that a link can have, and a difference that it cannot exceed."""
+    """Sizes that a link can have, a difference that it cannot exceed, and the first band that agrees."""
+    bands = range(tuned_bands())
+    first = F.coalesce(*[F.when(F.col(f"{x}k{k}") == F.col(f"{y}k{k}"), F.col(f"{x}k{k}")) for k in bands])
     n = F.col(f"{x}n"), F.col(f"{y}n")
     bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1])
+    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1]) & (F.col("key") == first)
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """A row for each paragraph that another document holds as well, or nearly so.
 
     Returned are doc_id, kind (``line`` or ``window``), start and n_words (in words of the
-    document), component_id (the smallest doc_id of the cluster) and removed. Of each cluster the occurrence with the smallest doc_id and
-    start stays, all others are to be removed. Lines belong together at a Jaccard similarity
-    of 0.75 or more of five-word shingles, directly or through others; windows when equal.
-    Words are runs of other than ASCII white space, A-Z in lower case.
+    document), component_id (the smallest doc_id of the cluster) and removed. Of each cluster
+    the occurrence with the smallest doc_id and start stays, all others are to be removed.
+    Lines belong together at a Jaccard similarity of 0.75 or more of five-word shingles,
+    directly or through others; windows when equal. Words are runs of other than ASCII white
+    space, A-Z in lower case.
 
     Null, empty and short texts have no paragraphs; a paragraph repeated in its own document
     only is no row. Rows with one doc_id count as documents of their own unless their texts
@@ -202,19 +227,17 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     empty result.
     """
     source = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long"), "text")
-    units = stored(source.mapInArrow(_units, UNIT), "paragraphs")
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row", "start")
-    classes = units.groupBy("kind", "d1", "d2").agg(
-        F.min(place).alias("first"), F.max("row").alias("last"), F.min("row").alias("least")
-    )
-    lines = units.where("kind = 'line'")
-    line_classes = stored(classes.where("kind = 'line'"), "line-classes")
-    one = lines.join(
-        line_classes.select(F.col("first.row").alias("row"), F.col("first.start").alias("start"), "d1", "d2"),
-        ["row", "start", "d1", "d2"],
-        "left_semi",
-    ).dropDuplicates(["row", "start"])
-    one = stored(one.withColumn("uid", F.monotonically_increasing_id()).drop("doc_id", "kind"), "one-each")
+    units = source.mapInArrow(_units, UNIT).withColumn("uid", F.monotonically_increasing_id())
+    units = stored(units, "paragraphs", "kind")
+    lines = units.where(F.col("kind") == LINE)
+    windows = units.where(F.col("kind") == WINDOW).select("row", "doc_id", "kind", "start", "n_words", "d1", "d2")
+    least, last = F.min("row").alias("least"), F.max("row").alias("last")
+    again = windows.groupBy("d1", "d2").agg(least, last).where("least <> last")
+    windows = windows.join(again.select("d1", "d2"), ["d1", "d2"])
+    windows = windows.withColumnsRenamed({"d1": "cluster", "d2": "part"})
+    line_classes = stored(lines.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
+    one = lines.join(line_classes.select("uid"), "uid", "left_semi")
+    one = stored(one.select("uid", "row", "start", "n_shingles", "keys", "sketch"), "one-each")
     members = stored(shared(one.select("uid", F.explode("keys").alias("key"))), "members")
     wanted = one.join(members.select("uid").distinct(), "uid", "left_semi").select("row", "start", "uid")
     wanted = stored(wanted, "wanted")
@@ -233,25 +256,25 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
         return pairs.where(common >= SIMILARITY * either).select("a", "b")
 
     words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
-    traits = one.select("uid", F.col("n_shingles").alias("n"), *words)
-    labels = linked(members, traits, _near, confirm)
-    named = stored(
-        one.select("uid", "d1", "d2")
-        .join(labels, "uid", "left")
-        .select(F.coalesce("component", "uid").alias("component"), "d1", "d2")
-        .join(line_classes, ["d1", "d2"]),
-        "named",
-    )
-    of_component = named.groupBy("component").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"), F.min("least").alias("least")
-    )
-    of_component = of_component.where("least <> last").select("component", "first")
-    line_clusters = named.select("component", "kind", "d1", "d2").join(of_component, "component").drop("component")
-    window_clusters = classes.where("kind = 'window' and least <> last").select("first", "kind", "d1", "d2")
-    clusters = line_clusters.select("first", "kind", "d1", "d2").unionByName(window_clusters)
-    found = units.drop("keys", "sketch", "n_shingles").join(clusters, ["kind", "d1", "d2"])
-    here = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row", "start")
-    least = F.nullif(F.col("first.doc_id"), F.lit((1 << 63) - 1))
-    return found.select(
-        "doc_id", "kind", "start", "n_words", least.alias("component_id"), (here != F.col("first")).alias("removed")
+    bands = [F.col("keys")[k].alias(f"k{k}") for k in range(tuned_bands())]
+    traits = one.select("uid", F.col("n_shingles").alias("n"), *words, *bands)
+    labels = linked(members, traits, _near, confirm, ROUNDS)
+    named = line_classes.join(labels, "uid", "left").withColumn("cluster", F.coalesce("component", "uid"))
+    named = stored(named, "named")
+    several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
+    of_line = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
+    lines = lines.select("row", "doc_id", "kind", "start", "n_words", "d1", "d2").join(of_line, ["d1", "d2"])
+    lines = lines.drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
+    found = stored(lines.unionByName(windows), "repeated")
+    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row", "start")
+    firsts = found.groupBy("kind", "cluster", "part").agg(F.min(place).alias("first"))
+    kind = F.when(F.col("kind") == LINE, F.lit(KINDS[LINE])).otherwise(F.lit(KINDS[WINDOW]))
+    smallest = F.nullif(F.col("first.doc_id"), F.lit((1 << 63) - 1))
+    return found.join(firsts, ["kind", "cluster", "part"]).select(
+        "doc_id",
+        kind.alias("kind"),
+        "start",
+        "n_words",
+        smallest.alias("component_id"),
+        (place != F.col("first")).alias("removed"),
     )

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from tallyline.sources.workspace import new_path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write the rows as Parquet below ``spark.checkpoint.dir`` and read them back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
