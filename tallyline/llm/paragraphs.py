@@ -1,9 +1,9 @@
 """Repeated paragraphs and passages of documents, with one occurrence of each to stay.
 
-Paragraphs are compared in two shapes. A natural paragraph is a line of at least
-``LEAST_WORDS`` words: MinHash bands, tuned for recall at the similarity that counts, bring
-near-equal ones together, exact Jaccard similarity verifies them, and components of the
-links are the clusters. A passage inside a line has no borders of its own; so windows of
+Paragraphs are compared in two shapes. A natural paragraph is a line, or a block of several
+lines between blank ones, of at least a shingle's words: MinHash bands, tuned for recall at
+the similarity that counts, bring near-equal ones together, exact Jaccard similarity verifies
+them, and components of the links are the clusters. A passage inside a line has no borders of its own; so windows of
 ``LEAST_WORDS`` words are taken as paragraphs as well, beginning where the hash of a shingle
 is the least of REACH neighbours. Equal passages choose equal beginnings, and every passage
 of LEAST_WORDS + REACH - 1 = 50 words holds at least one whole window, wherever it stands.
@@ -35,8 +35,8 @@ ROUNDS = 2
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
 SKETCH_WORDS = 4
 
-LINE, WINDOW = 0, 1
-KINDS = {LINE: "line", WINDOW: "window"}
+LINE, WINDOW, BLOCK = 0, 1, 2
+KINDS = {LINE: "line", WINDOW: "window", BLOCK: "block"}
 
 UNIT = (
     "row long, doc_id long, kind int, start long, n_words long, d1 long, d2 long, "
@@ -89,14 +89,19 @@ class Sets:
         return np.packbits(parity, bitorder="little").view(np.uint64).reshape(n, SKETCH_WORDS)
 
 
-def line_ranges(found: arrays.Words) -> np.ndarray:
-    """(text, first word, end) of the lines with at least LEAST_WORDS words."""
+def natural_ranges(found: arrays.Words) -> np.ndarray:
+    """(text, first word, end, kind) of the lines, and of the blocks of several lines, with a shingle or more."""
     breaks = np.searchsorted(found.start, np.flatnonzero(found.data == 0x0A))
-    cuts = np.unique(np.concatenate([breaks, found.bounds]))
-    first, end = cuts[:-1], cuts[1:]
+    # two line breaks without a word between them
+    blank = breaks[1:][breaks[1:] == breaks[:-1]]
+    lines = np.unique(np.concatenate([breaks, found.bounds]))
+    blocks = np.unique(np.concatenate([blank, found.bounds]))
+    several = np.diff(np.searchsorted(lines, blocks)) > 1
+    first = np.concatenate([lines[:-1], blocks[:-1][several]])
+    end = np.concatenate([lines[1:], blocks[1:][several]])
+    kind = np.repeat([LINE, BLOCK], [len(lines) - 1, int(several.sum())])
     text = np.searchsorted(found.bounds, first, side="right") - 1
-    long_enough = end - first >= LEAST_WORDS
-    return np.stack([text, first, end], axis=1)[long_enough]
+    return np.stack([text, first, end, kind], axis=1)[end - first >= arrays.SHINGLE]
 
 
 def window_starts(shingles: np.ndarray) -> np.ndarray:
@@ -130,8 +135,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in arrays.words(batch.column(2), lower=True):
             hashes = arrays.word_hashes(found)
             runs = arrays.windows(hashes, arrays.SHINGLE)
-            text, first, end = line_ranges(found).T
-            yield _unit_rows(batch, found, LINE, text, first, end, hashes, Sets(runs, first, end))
+            text, first, end, kind = natural_ranges(found).T
+            yield _unit_rows(batch, found, kind, text, first, end, hashes, Sets(runs, first, end))
             starts, texts = [], []
             for k in range(len(found.edges) - 1):
                 a, b = int(found.bounds[k]), int(found.bounds[k + 1])
@@ -140,7 +145,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append(np.full(len(chosen), k))
             start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
             text = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-            yield _unit_rows(batch, found, WINDOW, text, start, start + LEAST_WORDS, hashes, None)
+            kind = np.full(len(text), WINDOW)
+            yield _unit_rows(batch, found, kind, text, start, start + LEAST_WORDS, hashes, None)
 
 
 def _unit_rows(batch, found, kind, text, start, end, hashes, sets: Sets | None) -> pa.RecordBatch:
@@ -155,7 +161,7 @@ def _unit_rows(batch, found, kind, text, start, end, hashes, sets: Sets | None)
         [
             batch.column(0).take(rows),
             batch.column(1).take(rows),
-            pa.array(np.full(n, kind, dtype=np.int32)),
+            pa.array(kind.astype(np.int32)),
             pa.array((start - found.bounds[text]).astype(np.int64)),
             pa.array((end - start).astype(np.int64)),
             pa.array(arrays.signed(d1)),
@@ -185,7 +191,7 @@ def _line_sets(picker: Picker):
             for found in arrays.words(rows.column(2), lower=True):
                 hashes = arrays.word_hashes(found)
                 runs = arrays.windows(hashes, arrays.SHINGLE)
-                text, first, end = line_ranges(found).T
+                text, first, end, _ = natural_ranges(found).T
                 sets = Sets(runs, first, end)
                 lists = pa.ListArray.from_arrays(
                     pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
@@ -194,9 +200,10 @@ def _line_sets(picker: Picker):
                     [
                         rows.column(0).take(pa.array(found.first + text)),
                         pa.array((first - found.bounds[text]).astype(np.int64)),
+                        pa.array((end - first).astype(np.int64)),
                         lists,
                     ],
-                    names=["row", "start", "shingles"],
+                    names=["row", "start", "n_words", "shingles"],
                 )
 
     return run
@@ -214,14 +221,15 @@ def _near(x: str, y: str):
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """A row for each paragraph that another document holds as well, or nearly so.
 
-    Returned are doc_id, kind (``line`` or ``window``), start and n_words (in words of the
+    Returned are doc_id, kind (``line``, ``block`` or ``window``), start and n_words (in words of the
     document), component_id (the smallest doc_id of the cluster) and removed. Of each cluster
-    the occurrence with the smallest doc_id and start stays, all others are to be removed.
-    Lines belong together at a Jaccard similarity of 0.75 or more of five-word shingles,
-    directly or through others; windows when equal. Words are runs of other than ASCII white
+    the occurrence with the smallest doc_id and start stays, all others are to be removed;
+    a line goes before a block of its document, and a block that holds what stays is kept.
+    Lines and blocks belong together at a Jaccard similarity of 0.75 or more of five-word
+    shingles, directly or through others; windows when equal. Words are runs of other than ASCII white
     space, A-Z in lower case.
 
-    Null, empty and short texts have no paragraphs; a paragraph repeated in its own document
+    Null and empty texts and lines of fewer than five words have no paragraphs; a paragraph repeated in its own document
     only is no row. Rows with one doc_id count as documents of their own unless their texts
     are equal too; null doc_ids come last. Other columns are ignored; an empty table gives an
     empty result.
@@ -229,7 +237,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     source = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long"), "text")
     units = source.mapInArrow(_units, UNIT).withColumn("uid", F.monotonically_increasing_id())
     units = stored(units, "paragraphs", "kind")
-    lines = units.where(F.col("kind") == LINE)
+    lines = units.where(F.col("kind") != WINDOW)
     windows = units.where(F.col("kind") == WINDOW).select("row", "doc_id", "kind", "start", "n_words", "d1", "d2")
     least, last = F.min("row").alias("least"), F.max("row").alias("last")
     again = windows.groupBy("d1", "d2").agg(least, last).where("least <> last")
@@ -237,15 +245,16 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     windows = windows.withColumnsRenamed({"d1": "cluster", "d2": "part"})
     line_classes = stored(lines.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
     one = lines.join(line_classes.select("uid"), "uid", "left_semi")
-    one = stored(one.select("uid", "row", "start", "n_shingles", "keys", "sketch"), "one-each")
+    one = stored(one.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
     members = stored(shared(one.select("uid", F.explode("keys").alias("key"))), "members")
-    wanted = one.join(members.select("uid").distinct(), "uid", "left_semi").select("row", "start", "uid")
+    wanted = one.join(members.select("uid").distinct(), "uid", "left_semi")
+    wanted = wanted.select("row", "start", "n_words", "uid")
     wanted = stored(wanted, "wanted")
     picker = Picker(wanted.select("row").distinct())
     sets = source.select("row", F.xxhash64("row"), "text").mapInArrow(
-        _line_sets(picker), "row long, start long, shingles array<long>"
+        _line_sets(picker), "row long, start long, n_words long, shingles array<long>"
     )
-    sets = sets.join(wanted, ["row", "start"]).groupBy("uid").agg(F.first("shingles").alias("shingles"))
+    sets = sets.join(wanted, ["row", "start", "n_words"]).groupBy("uid").agg(F.first("shingles").alias("shingles"))
     sets = stored(sets, "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -266,15 +275,21 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     lines = lines.select("row", "doc_id", "kind", "start", "n_words", "d1", "d2").join(of_line, ["d1", "d2"])
     lines = lines.drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
     found = stored(lines.unionByName(windows), "repeated")
-    place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id"), "row", "start")
-    firsts = found.groupBy("kind", "cluster", "part").agg(F.min(place).alias("first"))
-    kind = F.when(F.col("kind") == LINE, F.lit(KINDS[LINE])).otherwise(F.lit(KINDS[WINDOW]))
+    found = found.withColumn("shape", F.col("kind") == WINDOW)
+    doc_id = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id")
+    place = F.struct(doc_id, "kind", "row", "start", "n_words")
+    firsts = found.groupBy("shape", "cluster", "part").agg(F.min(place).alias("first"))
+    kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
     smallest = F.nullif(F.col("first.doc_id"), F.lit((1 << 63) - 1))
-    return found.join(firsts, ["kind", "cluster", "part"]).select(
+    meets = (F.col("start") < F.col("first.start") + F.col("first.n_words")) & (
+        F.col("first.start") < F.col("start") + F.col("n_words")
+    )
+    holds_first = (F.col("kind") == BLOCK) & (F.col("row") == F.col("first.row")) & meets
+    return found.join(firsts, ["shape", "cluster", "part"]).select(
         "doc_id",
-        kind.alias("kind"),
+        kinds[F.col("kind")].alias("kind"),
         "start",
         "n_words",
         smallest.alias("component_id"),
-        (place != F.col("first")).alias("removed"),
+        ((place != F.col("first")) & ~holds_first).alias("removed"),
     )

@@ -130,3 +130,31 @@ def test_null_ids_repeated_rows_and_empty_tables(spark):
     lines = sorted(((r.doc_id or -1, r.start, r.component_id, r.removed) for r in rows if r.kind == "line"))
     assert lines == [(-1, 0, 7, True), (7, 0, 7, False), (7, 0, 7, False), (8, 1, 7, True)]
     assert paragraphs.repeated_paragraphs(spark.createDataFrame([], COLUMNS)).collect() == []
+
+
+def result_rows(spark, texts):
+    rows = paragraphs.repeated_paragraphs(documents(spark, texts)).collect()
+    return {(r.doc_id, r.kind, r.start, r.n_words, r.component_id, r.removed) for r in rows}
+
+
+def test_short_lines_and_wrapped_blocks_are_paragraphs(spark):
+    rng = random.Random(21)
+    short, long, five = fresh(rng, 24), fresh(rng, 60), fresh(rng, 5)
+    wrapped = "\n".join(" ".join(long[k : k + 4]) for k in range(0, 60, 4))
+    texts = [
+        " ".join(fresh(rng, 30)) + "\n" + " ".join(short),
+        " ".join(short[:-1]) + " other\n" + " ".join(fresh(rng, 40)),
+        " ".join(long),
+        " ".join(fresh(rng, 9)) + "\n \n" + wrapped.replace(long[30], "other") + "\n\n" + " ".join(fresh(rng, 9)),
+        " ".join(five) + "\n" + " ".join(fresh(rng, 90)),
+        " ".join(fresh(rng, 90)) + "\n" + " ".join(five),
+    ]
+    found = {x for x in result_rows(spark, texts) if x[1] != "window"}
+    assert found == {
+        (0, "line", 30, 24, 0, False),
+        (1, "line", 0, 24, 0, True),
+        (2, "line", 0, 60, 2, False),
+        (3, "block", 9, 60, 2, True),
+        (4, "line", 0, 5, 4, False),
+        (5, "line", 90, 5, 4, True),
+    }
