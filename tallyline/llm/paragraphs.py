@@ -27,7 +27,7 @@ from tallyline.llm.storing import stored
 LEAST_WORDS = 25
 REACH = 26
 SIMILARITY = 0.75
-RECALL = 0.99
+RECALL = 1 - 1e-6
 ROWS = 2
 # Rows of a bucket that all others are compared with before pairs are listed.
 ROUNDS = 2
