@@ -7,6 +7,13 @@ them, and components of the links are the clusters. A passage inside a line has
 ``LEAST_WORDS`` words are taken as paragraphs as well, beginning where the hash of a shingle
 is the least of REACH neighbours. Equal passages choose equal beginnings, and every passage
 of LEAST_WORDS + REACH - 1 = 50 words holds at least one whole window, wherever it stands.
+
+Passages that repeat with changes are compared at seeds: shingles with the least hash of
+SEED_REACH neighbours, which two texts share where SEED_REACH + SHINGLE - 1 = 20 words are
+unchanged. Around a seed that another text has too, passages of PASSAGE_WORDS words are laid
+with the seed at each of PLACES, so that one of them lies inside any repeated passage of 65
+words around the seed. Those with the same seed at the same place are aligned, and are joined
+and verified as lines are.
 """
 
 from __future__ import annotations
@@ -35,14 +42,26 @@ ROUNDS = 2
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
 SKETCH_WORDS = 4
 
-LINE, WINDOW, BLOCK = 0, 1, 2
-KINDS = {LINE: "line", WINDOW: "window", BLOCK: "block"}
+# Words of a passage that may have changes, where its seed stands in it, and the reach of a seed.
+PASSAGE_WORDS = 50
+PLACES = (0, 15, 30, 45)
+SEED_REACH = 16
+# Added to the uids of passages, which are linked together with lines.
+PASSAGE_UID = 1 << 62
+
+LINE, WINDOW, BLOCK, PASSAGE = 0, 1, 2, 3
+KINDS = {LINE: "line", WINDOW: "window", BLOCK: "block", PASSAGE: "passage"}
 
 UNIT = (
     "row long, doc_id long, kind int, start long, n_words long, d1 long, d2 long, "
     "n_shingles int, keys array<long>, sketch array<long>"
 )
 
+PASSAGE_ROW = (
+    "row long, doc_id long, start long, n_words long, lead boolean, key long, d1 long, d2 long, "
+    "n_shingles int, sketch array<long>"
+)
+
 
 @cache
 def tuned_bands(similarity: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> int:
@@ -109,13 +128,98 @@ def window_starts(shingles: np.ndarray) -> np.ndarray:
     places = len(shingles) - (LEAST_WORDS - arrays.SHINGLE)
     if places <= 0:
         return np.zeros(0, dtype=np.int64)
-    open_ = shingles[:places]
-    if places <= REACH:
-        return np.array([int(open_.argmin())])
-    least = np.lib.stride_tricks.sliding_window_view(open_, REACH).argmin(axis=1)
+    return _minima(shingles[:places], REACH)
+
+
+def _minima(values: np.ndarray, reach: int) -> np.ndarray:
+    """Places that hold the least value of some ``reach`` neighbours."""
+    if len(values) <= reach:
+        return np.array([int(values.argmin())])
+    least = np.lib.stride_tricks.sliding_window_view(values, reach).argmin(axis=1)
     return np.unique(least + np.arange(len(least)))
 
 
+def _seeds_of(found: arrays.Words, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and place, in the words of the piece, of the seeds of texts that can hold a passage."""
+    texts, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(len(found.edges) - 1):
+        a, b = int(found.bounds[k]), int(found.bounds[k + 1])
+        if b - a >= PASSAGE_WORDS:
+            places.append(a + _minima(runs[a : b - arrays.SHINGLE + 1], SEED_REACH))
+            texts.append(np.full(len(places[-1]), k))
+    return np.concatenate(texts), np.concatenate(places)
+
+
+def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for found in arrays.words(batch.column(1), lower=True):
+            runs = arrays.windows(arrays.word_hashes(found), arrays.SHINGLE)
+            text, place = _seeds_of(found, runs)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(found.first + text)), pa.array(arrays.signed(runs[place]))],
+                names=["row", "seed"],
+            )
+
+
+def _passage_places(found: arrays.Words, runs: np.ndarray, seeds: Picker) -> tuple[np.ndarray, ...]:
+    """Text, first word and key of the passages around seeds that other texts may have too."""
+    text, place = _seeds_of(found, runs)
+    seed = arrays.signed(runs[place])
+    kept = np.flatnonzero(seeds.may_want(seed, long_hashes(seed)))
+    text, place = np.repeat(text[kept], len(PLACES)), np.repeat(place[kept], len(PLACES))
+    start = place - np.tile(PLACES, len(kept))
+    salt = np.tile(arrays.numbers(len(PLACES), 31), len(kept))
+    inside = (start >= found.bounds[text]) & (start + PASSAGE_WORDS <= found.bounds[text + 1])
+    return text[inside], start[inside], arrays.mixed(runs[place[inside]] ^ salt[inside])
+
+
+def _passages(seeds: Picker):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in arrays.words(batch.column(2), lower=True):
+                hashes = arrays.word_hashes(found)
+                runs = arrays.windows(hashes, arrays.SHINGLE)
+                text, start, key = _passage_places(found, runs, seeds)
+                one, lead, of = np.unique(start, return_index=True, return_inverse=True)
+                d1, d2 = _digests(hashes, one, one + PASSAGE_WORDS)
+                sets = Sets(runs, one, one + PASSAGE_WORDS)
+                rows, of = pa.array(found.first + text), of.reshape(-1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array((start - found.bounds[text]).astype(np.int64)),
+                        pa.array(np.full(len(text), PASSAGE_WORDS, dtype=np.int64)),
+                        pa.array(lead[of] == np.arange(len(text))),
+                        pa.array(arrays.signed(key)),
+                        pa.array(arrays.signed(d1[of])),
+                        pa.array(arrays.signed(d2[of])),
+                        pa.array(np.diff(sets.bounds).astype(np.int32)[of]),
+                        _fixed(sets.sketches()[of]),
+                    ],
+                    names=["row", "doc_id", "start", "n_words", "lead", "key", "d1", "d2", "n_shingles", "sketch"],
+                )
+
+    return run
+
+
+def long_hashes(values: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of longs."""
+    p1, p2, p3, p4, p5 = (
+        np.uint64(x)
+        for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return x << np.uint64(n) | x >> np.uint64(64 - n)
+
+    x = turned(values.view(np.uint64) * p2, 31) * p1 ^ (p5 + np.uint64(42 + 8))
+    x = turned(x, 27) * p1 + p4
+    for shift, factor in ((33, p2), (29, p3)):
+        x = (x ^ x >> np.uint64(shift)) * factor
+    return arrays.signed(x ^ x >> np.uint64(32))
+
+
 def _digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of each run of words; runs may overlap."""
     length = end - start
@@ -180,7 +284,7 @@ def _fixed(table: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(arrays.signed(table.reshape(-1))))
 
 
-def _line_sets(picker: Picker):
+def _sets(picker: Picker, seeds: Picker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, second = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -192,6 +296,10 @@ def _line_sets(picker: Picker):
                 hashes = arrays.word_hashes(found)
                 runs = arrays.windows(hashes, arrays.SHINGLE)
                 text, first, end, _ = natural_ranges(found).T
+                of_passage, start, _ = _passage_places(found, runs, seeds)
+                start, lead = np.unique(start, return_index=True)
+                text = np.concatenate([text, of_passage[lead]])
+                first, end = np.concatenate([first, start]), np.concatenate([end, start + PASSAGE_WORDS])
                 sets = Sets(runs, first, end)
                 lists = pa.ListArray.from_arrays(
                     pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
@@ -210,23 +318,29 @@ def _line_sets(picker: Picker):
 
 
 def _near(x: str, y: str):
-    """Sizes that a link can have, a difference that it cannot exceed, and the first band that agrees."""
+    """Sizes that a link can have, a difference that it cannot exceed, and the first band that agrees.
+
+    Passages have no bands, only the keys of their seeds.
+    """
     bands = range(tuned_bands())
     first = F.coalesce(*[F.when(F.col(f"{x}k{k}") == F.col(f"{y}k{k}"), F.col(f"{x}k{k}")) for k in bands])
     n = F.col(f"{x}n"), F.col(f"{y}n")
     bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1]) & (F.col("key") == first)
+    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1]) & (F.col("key") == F.coalesce(first, "key"))
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     """A row for each paragraph that another document holds as well, or nearly so.
 
-    Returned are doc_id, kind (``line``, ``block`` or ``window``), start and n_words (in words of the
+    Returned are doc_id, kind (``line``, ``block``, ``window`` or
+    ``passage``), start and n_words (in words of the
     document), component_id (the smallest doc_id of the cluster) and removed. Of each cluster
     the occurrence with the smallest doc_id and start stays, all others are to be removed;
-    a line goes before a block of its document, and a block that holds what stays is kept.
+    a line goes before a block of its document, and blocks and passages that overlap what
+    stays in its document are kept.
     Lines and blocks belong together at a Jaccard similarity of 0.75 or more of five-word
-    shingles, directly or through others; windows when equal. Words are runs of other than ASCII white
+    shingles, directly or through others; windows when equal; passages of 50 words around a
+    shared seed as lines do, and only if not all of them are equal. Words are runs of other than ASCII white
     space, A-Z in lower case.
 
     Null and empty texts and lines of fewer than five words have no paragraphs; a paragraph repeated in its own document
@@ -247,12 +361,27 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     one = lines.join(line_classes.select("uid"), "uid", "left_semi")
     one = stored(one.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
     members = stored(shared(one.select("uid", F.explode("keys").alias("key"))), "members")
+    seeds = source.select("row", "text").mapInArrow(_seeds, "row long, seed long")
+    common = seeds.groupBy("seed").agg(least, last).where("least <> last").select("seed")
+    seeds = Picker(stored(common, "seeds"))
+    passages = source.mapInArrow(_passages(seeds), PASSAGE_ROW)
+    passages = passages.withColumn("uid", F.monotonically_increasing_id() + F.lit(PASSAGE_UID))
+    passages = stored(passages, "passages")
+    passage_classes = stored(
+        passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes"
+    )
+    keyed = passages.select("d1", "d2", "key").distinct().join(passage_classes, ["d1", "d2"]).select("uid", "key")
+    passage_members = stored(shared(keyed), "passage-members")
+    one_passage = passages.join(passage_members.select("uid").distinct(), "uid", "left_semi")
+    one_passage = one_passage.select(*[c if c != "keys" else F.lit(None).cast("array<long>").alias(c) for c in one.columns])
+    one = one.unionByName(stored(one_passage, "one-passage-each"))
+    members = members.unionByName(passage_members)
     wanted = one.join(members.select("uid").distinct(), "uid", "left_semi")
     wanted = wanted.select("row", "start", "n_words", "uid")
     wanted = stored(wanted, "wanted")
     picker = Picker(wanted.select("row").distinct())
     sets = source.select("row", F.xxhash64("row"), "text").mapInArrow(
-        _line_sets(picker), "row long, start long, n_words long, shingles array<long>"
+        _sets(picker, seeds), "row long, start long, n_words long, shingles array<long>"
     )
     sets = sets.join(wanted, ["row", "start", "n_words"]).groupBy("uid").agg(F.first("shingles").alias("shingles"))
     sets = stored(sets, "sets")
@@ -274,8 +403,15 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     of_line = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
     lines = lines.select("row", "doc_id", "kind", "start", "n_words", "d1", "d2").join(of_line, ["d1", "d2"])
     lines = lines.drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
-    found = stored(lines.unionByName(windows), "repeated")
-    found = found.withColumn("shape", F.col("kind") == WINDOW)
+    named = stored(passage_classes.join(labels, "uid").withColumnRenamed("component", "cluster"), "named-passages")
+    several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
+    of_passage = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
+    passages = passages.where("lead").join(of_passage, ["d1", "d2"])
+    passages = passages.select(
+        "row", "doc_id", F.lit(PASSAGE).alias("kind"), "start", "n_words", "cluster", F.lit(0).cast("long").alias("part")
+    )
+    found = stored(lines.unionByName(windows).unionByName(passages), "repeated")
+    found = found.withColumn("shape", F.when(F.col("kind") == BLOCK, LINE).otherwise(F.col("kind")))
     doc_id = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id")
     place = F.struct(doc_id, "kind", "row", "start", "n_words")
     firsts = found.groupBy("shape", "cluster", "part").agg(F.min(place).alias("first"))
@@ -284,7 +420,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     meets = (F.col("start") < F.col("first.start") + F.col("first.n_words")) & (
         F.col("first.start") < F.col("start") + F.col("n_words")
     )
-    holds_first = (F.col("kind") == BLOCK) & (F.col("row") == F.col("first.row")) & meets
+    holds_first = F.col("kind").isin(BLOCK, PASSAGE) & (F.col("row") == F.col("first.row")) & meets
     return found.join(firsts, ["shape", "cluster", "part"]).select(
         "doc_id",
         kinds[F.col("kind")].alias("kind"),

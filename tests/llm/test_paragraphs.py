@@ -149,7 +149,7 @@ def test_short_lines_and_wrapped_blocks_are_paragraphs(spark):
         " ".join(five) + "\n" + " ".join(fresh(rng, 90)),
         " ".join(fresh(rng, 90)) + "\n" + " ".join(five),
     ]
-    found = {x for x in result_rows(spark, texts) if x[1] != "window"}
+    found = {x for x in result_rows(spark, texts) if x[1] in ("line", "block")}
     assert found == {
         (0, "line", 30, 24, 0, False),
         (1, "line", 0, 24, 0, True),
@@ -162,3 +162,23 @@ def test_short_lines_and_wrapped_blocks_are_paragraphs(spark):
 
 def test_a_link_at_the_limit_is_missed_once_in_a_million():
     assert (1 - paragraphs.SIMILARITY**paragraphs.ROWS) ** paragraphs.tuned_bands() <= 1e-6
+
+
+def test_passages_with_changed_words_are_found(spark):
+    rng = random.Random(33)
+    texts = []
+    for _ in range(6):
+        passage = fresh(rng, 140)
+        for every in (None, 35):
+            copy = [f"new{rng.random()}" if every and k % every == every // 2 else w for k, w in enumerate(passage)]
+            texts.append(" ".join(fresh(rng, rng.randrange(150, 250)) + copy + fresh(rng, rng.randrange(150, 250))))
+    found = [x for x in result_rows(spark, texts) if x[1] == "passage"]
+    assert {x[0] for x in found} == set(range(12))
+    assert {x[4] for x in found} == set(range(0, 12, 2))
+    assert all(x[3] == paragraphs.PASSAGE_WORDS and x[5] == (x[0] % 2 == 1) for x in found)
+
+
+def test_long_hashes_are_those_of_spark(spark):
+    values = [0, 1, -1, 2**63 - 1, -(2**63), 123456789012345]
+    rows = spark.createDataFrame([(v,) for v in values], "v long").selectExpr("xxhash64(v) h").collect()
+    assert paragraphs.long_hashes(np.array(values, dtype=np.int64)).tolist() == [r.h for r in rows]
