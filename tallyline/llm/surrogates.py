@@ -6,7 +6,7 @@ from a keyed digest: digits become digits, letters become letters of their scrip
 card numbers keep their layout and check digit, mail addresses of one domain stay together,
 and names get names of the gender that their title tells. Two entities never share a
 surrogate, and no surrogate is an entity of the corpus: whoever collides takes the next
-digest until nobody does.
+digest until nobody does. Initials, of which there are few, become other initials.
 
 Only column expressions are used. The patterns run once per text, and texts without
 entities are never shuffled.
@@ -14,6 +14,8 @@ entities are never shuffled.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,12 @@ SYLLABLES = {
 
 SCRIPTS = {"latin": r"^\p{IsLatin}", "cyrillic": r"^\p{IsCyrillic}", "greek": r"^\p{IsGreek}"}
 
+# A word of a name, with capitals inside or without, and initials before it.
+_INITIALS = r"(?:\p{Lu}\.-?){1,4}"
+_NAME = rf"(?:{_INITIALS} ?){{0,2}}(?:\p{{Lu}}(?:[\p{{Ll}}'\-]|’(?=\p{{Lu}})){{1,30}}){{1,5}}"
+# Letters that initials can be, each alphabet in a row.
+_ALPHABETS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ")
+
 # What counts as an entity. Each pattern begins where a longer match cannot.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}])",
@@ -60,11 +68,14 @@ PATTERNS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w.\-])\d{4}(?:[ \-]?\d{4}){2}[ \-]?\d{1,7}(?![\w\-])",
     "secret": r"(?<!\w)(?:[0-9a-f]{32,64}|[0-9A-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?!\w)",
-    "name": rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}[\p{{Ll}}'\-]{{1,30}}(?: \p{{Lu}}[\p{{Ll}}'\-]{{1,30}}){{0,2}}(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME}){{0,2}}(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Texts that cannot hold an entity are known by this alone.
-HINT = rf"[0-9@]|(?<!\p{{L}})(?:{_TITLES})(?!\p{{L}})"
+HINT = (
+    rf"[0-9@]|(?<!\p{{L}})(?:{_TITLES})(?!\p{{L}})"
+    r"|[a-f]{32}|[A-F]{32}|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{36}|sk-[A-Za-z]{20}"
+)
 TITLE = rf"^({_TITLES})\.? "
 # Rounds of new digests after which entities that still collide raise an error.
 ROUNDS = 50
@@ -200,6 +211,13 @@ def _surrogate(key: str) -> Column:
     )
 
 
+def _other_initials(plain: Column, key: str) -> Column:
+    """Initials moved on in their alphabet by a number from the key; of other letters the same shape."""
+    turn = int(hashlib.sha256(f"{key}\0initials".encode()).hexdigest(), 16) % 23 + 1
+    moved = F.translate(plain, "".join(_ALPHABETS), "".join(a[turn:] + a[:turn] for a in _ALPHABETS))
+    return F.when(moved == plain, same_shape(plain, _stream(key, F.lit("initials"), plain))).otherwise(moved)
+
+
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``entities`` (kind, plain, gender; each once) with ``surrogate``, unlike all others and all entities.
 
@@ -309,7 +327,8 @@ def replacements(values: DataFrame, key: str = KEY) -> DataFrame:
         ).alias("place", "plain"),
     )
     parts = stored(parts, "entity-parts")
-    entities = parts.groupBy("kind", "plain").agg(F.min("told").alias("low"), F.max("told").alias("high"))
+    initials = (F.col("kind") == "name") & F.col("plain").rlike(rf"^{_INITIALS}$")
+    entities = parts.where(~initials).groupBy("kind", "plain").agg(F.min("told").alias("low"), F.max("told").alias("high"))
     gender = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit("open"))
     given = assign(entities.select("kind", "plain", gender.alias("gender")), key)
     formatted = _formatted(F.col("kind"), F.col("value"), F.col("surrogate"))
@@ -317,8 +336,13 @@ def replacements(values: DataFrame, key: str = KEY) -> DataFrame:
     joined = F.array_join(F.transform(whole, lambda x: x["new"]), " ")
     title = F.regexp_extract("value", TITLE, 0)
     return (
-        parts.join(given, ["kind", "plain"])
-        .withColumn("new", F.when(F.col("kind") == "name", F.col("surrogate")).otherwise(formatted))
+        parts.join(given, ["kind", "plain"], "left")
+        .withColumn(
+            "new",
+            F.when(initials, _other_initials(F.col("plain"), key))
+            .when(F.col("kind") == "name", F.col("surrogate"))
+            .otherwise(formatted),
+        )
         .groupBy("value")
         .agg(joined.alias("replacement"))
         .select("value", F.concat(title, "replacement").alias("replacement"))
