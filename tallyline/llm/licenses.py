@@ -13,7 +13,9 @@ not worked out.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,36 @@ NOTICES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "All-rights-reserved": "All rights reserved.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
+    "or (at your option) any later version.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+    "License, or (at your option) any later version.",
+    "LGPL-3.0-or-later": "This library is free software: you can redistribute it and/or modify it under the terms of "
+    "the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+    "License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of "
+    "the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+    "License, or (at your option) any later version.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+    "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "EPL-1.0": "All rights reserved. This program and the accompanying materials are made available under the terms "
+    "of the Eclipse Public License v1.0 which accompanies this distribution, and is available at "
+    "http://www.eclipse.org/legal/epl-v10.html",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC-BY-3.0": "This work is licensed under a Creative Commons Attribution 3.0 Unported License.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+    "International License.",
 }
+# Words of the parts of a whole text that are templates of their own, so that a cut text is found by what is left.
+PART_WORDS = 100
+# Templates of fewer words have shingles of two, of which enough are left when the first word differs.
+SHORT_WORDS = 8
 
 # Words are runs of ASCII letters and digits and of bytes beyond ASCII.
 BETWEEN = np.ones(256, dtype=bool)
@@ -63,9 +94,27 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES.items()), "license string, text string")
 
 
+def texts() -> dict[str, str]:
+    """Whole licence texts, and their parts of PART_WORDS words; the last part ends with the text."""
+    out = {}
+    for file in sorted((files("tallyline.llm") / "licence_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        out[f"{name}-whole"] = text
+        words = re.findall(r"[^\W_]+", text)
+        starts = [*range(0, len(words) - PART_WORDS, PART_WORDS), max(0, len(words) - PART_WORDS)]
+        for k, at in enumerate(starts):
+            out[f"{name}-part-{k + 1}"] = " ".join(words[at : at + PART_WORDS])
+    return out
+
+
+def all_templates(spark: SparkSession) -> DataFrame:
+    """The notices, whole texts and parts of texts."""
+    return spark.createDataFrame(list((NOTICES | texts()).items()), "license string, text string")
+
+
 def shape(n_words: int) -> tuple[int, int, int]:
     """Words of a shingle, step and words of a window for templates of a length."""
-    size = min(n_words, arrays.SHINGLE)
+    size = min(n_words, arrays.SHINGLE if n_words >= SHORT_WORDS else 2)
     step = max(1, (n_words - size + 1) // 4)
     return size, step, n_words + step - 1
 
@@ -106,15 +155,17 @@ def _windows(known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = known.value  # words of the templates -> their shingles, sorted
         sizes = sorted({shape(n)[0] for n in classes})
+        of_size = {k: np.unique(np.concatenate([v for n, v in classes.items() if shape(n)[0] == k])) for k in sizes}
         for batch in batches:
             out = []
             for found in arrays.words(batch.column(2), lower=True, between=BETWEEN):
                 hashes = arrays.word_hashes(found, BETWEEN)
                 owner = np.repeat(np.arange(len(found.edges) - 1), np.diff(found.bounds))
                 runs = {k: arrays.windows(hashes, k) for k in sizes}
+                hits = {k: np.flatnonzero(np.isin(runs[k], of_size[k])) for k in sizes}
                 for n, wanted in classes.items():
                     size, step, width = shape(n)
-                    at = np.flatnonzero(np.isin(runs[size], wanted))
+                    at = hits[size][np.isin(runs[size][hits[size]], wanted)]
                     at = at[owner[at] == owner[at + size - 1]]
                     text = owner[at]
                     place = at - found.bounds[text]
@@ -155,7 +206,7 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, license, containment, word_start and windows: a row for each notice a document holds.
 
     ``templates`` (license, text) is a maintained list; templates without words match nothing.
-    Shingles have five words, or all words of a shorter template; case and punctuation do
+    Shingles have five words, or two of a template of fewer than SHORT_WORDS; case and punctuation do
     not count. ``containment`` is the largest share of a template's shingles in one window,
     LEAST or more, ``word_start`` the first word of the first such window, and ``windows``
     the number of windows that contain enough. Null and empty texts hold no notice. Each row

@@ -210,7 +210,7 @@ FROM firsts
 
 def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices in all documents."""
-    return licenses.scan(_table(spark, folder, "documents"), licenses.notices(spark))
+    return licenses.scan(_table(spark, folder, "documents"), licenses.all_templates(spark))
 
 
 QUERIES["op6_license_scans"] = op6_license_scans

@@ -89,3 +89,21 @@ def test_words_are_what_the_scan_sees():
     for found in arrays.words(pa.array(["CC BY-NC 4.0.", "é-ß"]), lower=True, between=licenses.BETWEEN):
         got = [bytes(found.data[a:b]).decode() for a, b in zip(found.start, found.end, strict=True)]
         assert got == ["cc", "by", "nc", "4", "0", "é", "ß"]
+
+
+def test_whole_and_cut_texts_and_changed_short_notices(spark):
+    texts = licenses.texts()
+    gpl = words(texts["GPL-2.0-whole"])
+    docs = [
+        "so " + texts["BSD-3-Clause-whole"],
+        " ".join(gpl[1000:1400]),
+        "Licensed under the MIT License",
+        "Released under the BSD License",
+        " ".join(f"w{k}" for k in range(300)),
+    ]
+    rows = licenses.scan(documents(spark, docs), licenses.all_templates(spark)).collect()
+    found = {(r.doc_id, r.license) for r in rows}
+    assert (0, "BSD-3-Clause-whole") in found
+    assert {(1, f"GPL-2.0-part-{k}") for k in (11, 12, 13, 14)} <= found and (1, "GPL-2.0-whole") not in found
+    assert {x for x in found if x[0] > 1} == {(2, "MIT")}
+    assert len(rows) == len(found)
