@@ -103,7 +103,7 @@ def _plan(wanted: DataFrame, sums: DataFrame) -> DataFrame:
         "source",
         "source_size",
         "target",
-        F.coalesce(F.expr("floor(target + 0.5) div source_size"), F.lit(0)).alias("whole"),
+        F.expr("CASE WHEN source_size > 0 THEN floor(target + 0.5) div source_size ELSE 0L END").alias("whole"),
     )
     plan = plan.withColumn("part", F.floor(F.col("target") + 0.5) - F.col("whole") * F.col("source_size"))
     before = F.sum("range_size").over(

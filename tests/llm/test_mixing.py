@@ -68,3 +68,9 @@ def test_repeated_rows_and_empty_tables(spark):
     assert len(rows) == 10 and all(r.taken <= 2 * r["size"] for r in rows)
     assert mixing.mix(spark.createDataFrame([], COLUMNS)).collect() == []
     assert mixing.mix(documents(spark, [None, ""])).agg(F.sum("taken")).first()[0] == 0
+    empty = documents(spark, ["a b c", "", None, "d"], ["x", "y", "y", "x"])
+    rows = mixing.mix(empty).collect()
+    assert {(r.source, r.source_size, r.target) for r in rows} == {("x", 4, 6.0), ("y", 0, 0.0)}
+    assert sum(r.taken for r in rows) == 6
+    same = spark.createDataFrame([(1, "a b c", "x")] * 500, "doc_id long, text string, source string")
+    assert mixing.mix(same).agg(F.sum("taken")).first()[0] == 2250
