@@ -29,6 +29,9 @@ DATA_CLASS = "INTERNAL"
 OPEN_END = "9999-12-31 23:59:59"
 ANONYMIZED = "ANONYMIZED"
 
+# Columns of a source record whose change makes a new version.
+TRACKED = ("id", "column1", "column2", "column3", "status")
+
 # Names of the masking rules.
 MASKS = {"HASH": mask_hash, "PARTIAL_MASK": mask_partial, "PREFIX_MASK": mask_prefix4}
 
@@ -55,15 +58,18 @@ def map_source_secure(
     masks: Mapping[str, str] | None = None,
     now: Column | None = None,
     as_of: Column | None = None,
+    change_key: str | None = None,
 ) -> DataFrame:
-    """Masked record with history, checksum, batch and retention columns.
+    """Masked record with history, checksum, batch and retention columns, fifteen in all.
 
-    ``source_checksum`` covers the masked values as the target holds them; ``change_hash`` is
-    taken before masking and over all tracked columns, and tells one version from another.
-    The input carries ``data_quality_score`` and ``extraction_batch_id``.
+    ``source_checksum`` covers the masked values as the target holds them. With a secret
+    ``change_key`` a ``change_hash`` follows, a keyed hash of all tracked columns before
+    masking, which tells one version of a history from another and nothing to those without
+    the key. The input carries ``data_quality_score`` and ``extraction_batch_id``.
     """
-    tracked = ["id", "column1", "column2", "column3", "status"]
-    masked = mask_columns(df.withColumn("__change", change_hash(tracked)), masks or {})
+    if change_key is not None:
+        df = df.withColumn("__change", change_hash(TRACKED, change_key))
+    masked = mask_columns(df, masks or {})
     start_type = masked.schema["created_date"].dataType
     checked = ["id", "column1", "column2", "column3"]
     return masked.select(
@@ -79,10 +85,10 @@ def map_source_secure(
         F.lit(OPEN_END).cast(start_type).alias("effective_end_date"),
         "data_quality_score",
         checksum_md5(checked).alias("source_checksum"),
-        F.col("__change").alias("change_hash"),
         F.col("extraction_batch_id").alias("batch_id"),
         F.lit(DATA_CLASS).alias("data_classification"),
         retention_date(as_of).alias("retention_date"),
+        *([] if change_key is None else [F.col("__change").alias("change_hash")]),
     )
 
 

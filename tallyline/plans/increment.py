@@ -43,6 +43,7 @@ def run_increment(
     folder: str,
     source_table: str,
     batch_id: str,
+    change_key: str,
     since: Column | None = None,
     masks: Mapping[str, str] | None = None,
     now: Column | None = None,
@@ -55,7 +56,8 @@ def run_increment(
     Without ``since`` the stored watermark of the source is the bound, kept for the batch so
     that it takes the same records when run again; the first load takes all records. Records at the bound are taken again, as others of the same time may have come
     later; the merge ignores what it knows. The extract is stored once and all later steps read
-    it. A quality score below the threshold fails the run before anything reaches the history.
+    it. ``change_key`` is the secret of the hash that tells versions apart; the history needs the
+    same one on every run. A quality score below the threshold fails the run before anything reaches the history.
     A version starts when its record was last changed. An empty extract after the first load
     changes nothing. History, lineage and watermark are the same however often a batch runs.
     """
@@ -86,7 +88,7 @@ def run_increment(
             "created_date": F.coalesce("updated_date", "created_date"),
         }
     )
-    mapped = governance.map_source_secure(scored, masks, now)
+    mapped = governance.map_source_secure(scored, masks, now, change_key=change_key)
     stored = history.merge_stored(history_rows(mapped), history_path, f"{folder}/merged/{batch_id}", fmt=fmt)
     lineage = governance.lineage_rows(
         mapped, "business_key", source_table, "history", "map_source_secure", batch_id,

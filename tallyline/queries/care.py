@@ -394,7 +394,7 @@ def increment_job(spark, folder):
     batches = (("B1", records), ("B2", changed), ("B2", changed), ("B3", changed.filter("id < 0")))
     for batch, rows in batches:
         loaded = increment.run_increment(
-            rows, parent, "o_orderkey", path, "orders", batch, now=now(), threshold=0.8
+            rows, parent, "o_orderkey", path, "orders", batch, "secret", now=now(), threshold=0.8
         )
     lineage = loaded.lineage.agg(
         F.count("*").alias("lineage_rows"), F.count_distinct("lineage_id").alias("lineage_ids")

@@ -101,6 +101,7 @@ def test_increment_job(spark, tmp_path):
             str(tmp_path),
             "orders",
             batch,
+            "secret",
             since=since,
             masks={"column2": "HASH"},
             now=F.lit("2026-01-15").cast("timestamp_ntz"),
