@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import (
     archives,
     bpe,
+    lexical,
     licenses,
     mixing,
     ngram_join,
@@ -232,6 +233,41 @@ def op4_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["op4_pii_surrogates"] = op4_pii_surrogates
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+QUERIES["op11_lexical_search"] = op11_lexical_search
+SQL["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+filled AS (SELECT row, doc_id, w, len(w)::BIGINT AS n FROM words WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM filled),
+asked AS (
+  SELECT row_number() OVER () AS item, item_id, unnest(list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+occurring AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM filled)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM occurring, totals GROUP BY term),
+scored AS (
+  SELECT item, any_value(item_id) AS item_id, f.row, any_value(f.doc_id) AS doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // length))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN occurring o USING (term) JOIN filled f ON f.row = o.row, totals
+  GROUP BY item, f.row),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
