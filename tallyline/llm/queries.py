@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import (
     archives,
     bpe,
+    contamination,
     lexical,
     licenses,
     mixing,
@@ -268,6 +269,46 @@ SELECT * FROM ranked WHERE rank <= 50
 """
 
 
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words that benchmark items hold as well."""
+    found = contamination.scan(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES["op12_decontamination"] = op12_decontamination
+SQL["op12_decontamination"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+asked AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, list_aggregate(w[i:i + 9], 'string_agg', ' ') AS g
+  FROM asked, unnest(range(1, greatest(len(w) - 8, 2))) AS r(i) WHERE len(w) > 0),
+placed AS (
+  SELECT row, n, i, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS g
+  FROM docs, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS r(i)),
+found AS (SELECT row, p.n, i, item_id FROM placed p JOIN windows v ON p.g = v.g AND p.n = v.n),
+hit AS (SELECT row, count(DISTINCT k) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS k FROM found) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT row, item_id FROM found) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
