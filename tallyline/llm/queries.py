@@ -13,6 +13,7 @@ from tallyline.llm import (
     archives,
     bpe,
     contamination,
+    divergence,
     lexical,
     licenses,
     mixing,
@@ -309,6 +310,47 @@ FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
 
 
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How the sources of each language differ from one another and from the language."""
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+QUERIES["op13_source_divergence"] = op13_source_divergence
+SQL["op13_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS (SELECT row, lang, source, unnest(w) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS in_lang FROM words GROUP BY ALL HAVING count(DISTINCT row) >= 30),
+sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(in_lang)::HUGEINT AS all_lang FROM kept GROUP BY lang),
+used AS (
+  SELECT w.lang, source, w.term, count(*)::HUGEINT AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, sum(n)::HUGEINT AS all_group FROM used GROUP BY ALL),
+filled AS (
+  SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (coalesce(all_group, 0) + 5 * v))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (in_lang + 5)) // (all_lang + 5 * v))::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN totals t USING (lang, source)
+  LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+sums AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value
+  FROM filled x JOIN filled y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM filled WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM every)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
