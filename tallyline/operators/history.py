@@ -1,13 +1,20 @@
-"""History table: a closed row per past version, an open row per key."""
+"""History table: a closed row per past version, an open row per key that is still there.
+
+A record's history is a line of events: versions, each with the time from which it holds, and
+departures, after which no version holds until the record comes back. A version ends where
+the next event starts. Departures are not rows of the history; they are seen where a version
+ends and no other one starts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyline.functions.protection import checksum_md5
 from tallyline.operators.governance import OPEN_END
-from tallyline.sources.readers import scan_path
+from tallyline.sources import keyed
 from tallyline.sources.writers import write_path
 
 KEY = "business_key"
@@ -15,8 +22,7 @@ START, END, CURRENT = "effective_start_date", "effective_end_date", "is_current"
 CHECKSUM = "source_checksum"
 CHANGE = "change_hash"
 SURROGATE = "surrogate_key"
-BUCKET = "key_bucket"
-BUCKETS = 64
+CLOSED, REPLACED = "closed", "replaced"
 
 
 def surrogate_key() -> Column:
@@ -28,10 +34,6 @@ def surrogate_key() -> Column:
     return checksum_md5([F.col(KEY), start, F.col(CHANGE)])
 
 
-def key_bucket(buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int")
-
-
 def first_versions(incoming: DataFrame) -> DataFrame:
     """Open history rows for records never seen before."""
     kind = incoming.schema[START].dataType
@@ -39,66 +41,181 @@ def first_versions(incoming: DataFrame) -> DataFrame:
     return rows.select(surrogate_key().alias(SURROGATE), "*")
 
 
-def scd2_merge(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """History after a batch of versions, any number per business key.
+def _departures(departed: DataFrame | None, like: DataFrame) -> DataFrame:
+    """(key, start) of departures, none by default."""
+    if departed is None:
+        return like.select(KEY, START).limit(0)
+    return departed.select(F.col(KEY).cast(like.schema[KEY].dataType), F.col(START).cast(like.schema[START].dataType))
 
-    A version is new when its change hash differs from that of the version before it by start
-    date. Each version ends where the next one of its key starts, and the last is open; so a
-    version that arrives late becomes a closed row between its neighbours. Running the same
-    batch again changes nothing. Rows of keys that the batch does not name pass through; only
-    keys are needed to find them.
+
+def _timeline(
+    stored: DataFrame, incoming: DataFrame, departed: DataFrame, known: DataFrame | None = None
+) -> DataFrame:
+    """All events of the keys, each with its end, after a batch.
+
+    ``known`` are departures stored before. Added columns: ``__fresh`` for events of the
+    batch, ``__gone`` for departures, ``__end`` and ``__open``, the end and state that the row
+    had before. A version equal to the event before it and a departure of what is not there are
+    no events.
     """
-    columns = history.columns
-    keys = incoming.select(KEY).distinct()
-    touched = history.join(keys, KEY, "left_semi").select(*columns, F.lit(0).alias("__origin"))
-    fresh = first_versions(incoming).select(*columns, F.lit(1).alias("__origin"))
-    by_start = Window.partitionBy(KEY).orderBy(START, "__origin", CHANGE)
-    versions = touched.unionByName(fresh).withColumn("__before", F.lag(CHANGE).over(by_start))
-    same = F.coalesce(F.col(CHANGE) == F.col("__before"), F.lit(False))
-    versions = versions.filter(~((F.col("__origin") == 1) & same))
-    following = F.lead(START).over(by_start)
-    kind = history.schema[END].dataType
-    ended = versions.withColumn("__next", following).withColumns(
+    columns = stored.columns
+    by_key = Window.partitionBy(KEY).orderBy(START)
+    follows = F.lead(START).over(by_key)
+    ends = stored.withColumn("__next", follows).filter(
+        ~F.col(CURRENT) & ~F.coalesce(F.col("__next") == F.col(END), F.lit(False))
+    )
+    gaps = ends.select(KEY, F.col(END).alias(START))
+    gaps = gaps if known is None else gaps.unionByName(known)
+
+    def leaving(events: DataFrame, fresh: bool) -> DataFrame:
+        return events.select(KEY, START, F.lit(fresh).alias("__fresh"), F.lit(True).alias("__gone"))
+
+    events = stored.select(
+        *columns, F.lit(False).alias("__fresh"), F.lit(False).alias("__gone"),
+        F.col(END).alias("__end"), F.col(CURRENT).alias("__open"),
+    )
+    fresh = first_versions(incoming).select(*columns, F.lit(True).alias("__fresh"), F.lit(False).alias("__gone"))
+    for part in (fresh, leaving(gaps, False), leaving(departed, True)):
+        events = events.unionByName(part, allowMissingColumns=True)
+    by_start = Window.partitionBy(KEY).orderBy(START, "__fresh", CHANGE)
+    state = F.struct("__gone", CHANGE)
+    events = events.withColumn("__before", F.lag(state).over(by_start))
+    same = F.col("__before").eqNullSafe(state)
+    nothing_left = F.col("__gone") & F.col("__before").isNull()
+    events = events.filter(~((F.col("__fresh") | F.col("__gone")) & (same | nothing_left)))
+    kind = stored.schema[END].dataType
+    return events.withColumn("__next", F.lead(START).over(by_start)).withColumns(
         {
             END: F.coalesce(F.col("__next"), F.lit(OPEN_END).cast(kind)),
             CURRENT: F.col("__next").isNull(),
         }
     )
-    rest = history.join(keys, KEY, "left_anti")
-    return rest.select(*columns).unionByName(ended.select(*columns))
+
+
+def scd2_merge(history: DataFrame, incoming: DataFrame, departed: DataFrame | None = None) -> DataFrame:
+    """History after a batch of versions and departures, any number per business key.
+
+    A version is new when its change hash differs from that of the version before it by start
+    date. Each version ends where the next event of its key starts, and the last is open; so a
+    version that arrives late becomes a closed row between its neighbours. ``departed`` (key,
+    start) closes the version that holds at that time; a record that comes back has a new
+    version even if it has not changed. Running the same batch again changes nothing. NULL is a
+    key like others. Rows of keys that the batch does not name pass through; only keys are
+    needed to find them.
+    """
+    columns = history.columns
+    leaving = _departures(departed, history)
+    keys = incoming.select(KEY).union(leaving.select(KEY))
+    touched = keyed.of_keys(history, keys, KEY)
+    after = _timeline(touched, incoming, leaving).filter(~F.col("__gone"))
+    return keyed.of_keys(history, keys, KEY, "left_anti").select(*columns).unionByName(after.select(*columns))
+
+
+def closed_rows(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:
+    """Stored rows of past versions, as the last run to touch them left them; None before there are any."""
+    last = keyed.runs(spark, path)[-1].number
+    rows = keyed.scan_part(spark, path, CLOSED, schema, 0, last, fmt)
+    if rows is None:
+        return None
+    kept = StructType([schema[SURROGATE]])
+    replaced = keyed.scan_part(spark, path, REPLACED, kept, 0, last, fmt)
+    if replaced is not None:
+        replaced = replaced.groupBy(F.col(SURROGATE).alias("__key")).agg(F.max(keyed.RUN).alias("__run"))
+        old = (rows[SURROGATE] == replaced["__key"]) & (rows[keyed.RUN] < replaced["__run"])
+        rows = rows.join(replaced, old, "left_anti")
+    return rows.drop(keyed.RUN)
+
+
+def read_stored(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The whole history below a path."""
+    current = keyed.heads(spark, path, schema, KEY, fmt=fmt).filter(~F.col(keyed.GONE)).drop(keyed.GONE)
+    closed = closed_rows(spark, path, schema, fmt)
+    return current if closed is None else current.unionByName(closed)
+
+
+def open_keys(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """Keys with an open row."""
+    return keyed.heads(spark, path, schema, KEY, fmt=fmt).filter(~F.col(keyed.GONE)).select(KEY)
 
 
 def merge_stored(
-    incoming: DataFrame, path: str, staging: str, buckets: int = BUCKETS, fmt: str = "parquet"
+    incoming: DataFrame,
+    path: str,
+    staging: str,
+    buckets: int | None = None,
+    fmt: str = "parquet",
+    departed: DataFrame | None = None,
 ) -> DataFrame:
     """Merge a batch into the history below ``path`` and return the whole history.
 
-    The table is partitioned by a bucket of its keys. Only buckets that the batch names are
-    read and written: merged under ``staging`` first, then put in place of the old ones, so a
-    failure before that leaves the history as it was and one after it is mended by running the
-    batch again. The list of buckets is bounded by their number.
+    Open rows are a keyed table (``keyed``), with a mark for keys that left. Closed rows are only ever added,
+    in a folder per run and sorted by their end, so that a reader of some period skips the
+    files of others. What a run writes is what it changes: an open row and a closed one for
+    each new version. Closed rows are read only if a version starts before the last known event
+    of its key, and from its start on; a closed row that such a version cuts short is added
+    again and the old one named in ``replaced``. The changes are worked out once, below ``staging``, which is
+    removed in the end. Nothing counts before the run is finished, and a batch that changes
+    nothing writes nothing.
     """
     spark = incoming.sparkSession
-    versions = incoming.withColumn(BUCKET, key_bucket(buckets))
-    if not exists(incoming, path):
-        merged = scd2_merge(first_versions(versions).limit(0), versions)
-    else:
-        named = [r[0] for r in versions.select(BUCKET).distinct().collect()]
-        stored = scan_path(spark, path, fmt, first_versions(versions).schema)
-        merged = scd2_merge(stored.filter(F.col(BUCKET).isin(named)), versions)
-    staged = write_path(merged, staging, fmt=fmt)
-    (
-        staged.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .save(path)
+    schema = first_versions(incoming).schema
+    known, leaving = None, _departures(departed, incoming)
+    stored = spark.createDataFrame([], schema)
+    done = keyed.runs(spark, path)
+    if done:
+        events = incoming.select(KEY, START).unionByName(leaving)
+        mine = write_path(keyed.heads(spark, path, schema, KEY, events, fmt), f"{staging}/heads", fmt=fmt)
+        stored = mine.filter(~F.col(keyed.GONE)).drop(keyed.GONE)
+        known = mine.filter(keyed.GONE).select(KEY, START)
+        first = events.groupBy(F.col(KEY).alias("__key")).agg(F.min(START).alias("__first"))
+        late = mine.join(first, mine[KEY].eqNullSafe(first["__key"])).filter(F.col("__first") < F.col(START))
+        late = write_path(late.select(KEY, "__first"), f"{staging}/late", fmt=fmt)
+        since = late.agg(F.min("__first")).first()[0]
+        closed = closed_rows(spark, path, schema, fmt) if since is not None else None
+        if closed is not None:
+            kind = schema[END].dataType
+            stored = stored.unionByName(keyed.of_keys(closed.filter(F.col(END) >= F.lit(since).cast(kind)), late, KEY))
+    after = _timeline(stored, incoming, leaving, known)
+    moved = F.col(END) != F.col("__end")
+    after = after.withColumns(
+        {
+            "__head": F.col(CURRENT) & F.col("__fresh"),
+            "__closed": ~F.col("__gone") & ~F.col(CURRENT) & (F.col("__fresh") | moved),
+            "__replaced": F.coalesce(~F.col("__open") & moved, F.lit(False)),
+        }
+    )
+    changed = write_path(after.filter("__head or __closed"), f"{staging}/changes", fmt=fmt)
+    sums = [F.coalesce(F.sum(F.col(c).cast("int")), F.lit(0)) for c in ("__head", "__closed", "__replaced")]
+    n_heads, n_closed, n_replaced = changed.agg(*sums).first()
+    if not done or n_heads or n_closed:
+        _write_run(changed, path, schema, buckets, fmt, n_closed, n_replaced)
+    keyed.remove(spark, staging)
+    return read_stored(spark, path, schema, fmt)
+
+
+def _write_run(
+    changed: DataFrame, path: str, schema: StructType, buckets: int | None, fmt: str, n_closed: int, n_replaced: int
+) -> None:
+    spark = changed.sparkSession
+    done = keyed.runs(spark, path)
+    number = done[-1].number + 1 if done else 1
+    gone = F.col("__gone")
+    heads = changed.filter("__head").withColumns(
+        {END: F.when(gone, F.col(START)).otherwise(F.col(END)), CURRENT: ~gone, keyed.GONE: gone}
     )
-    return scan_path(spark, path, fmt, staged.schema).drop(BUCKET)
+    run = keyed.write_heads(heads.select(*schema.names, keyed.GONE), path, KEY, number, buckets, fmt)
+    for part, count, columns in ((CLOSED, n_closed, schema.names), (REPLACED, n_replaced, [SURROGATE])):
+        folder = keyed.folder_of(path, part, number)
+        if count:
+            rows = changed.filter(f"__{part}").select(*columns)
+            rows = rows.sortWithinPartitions(END) if part == CLOSED else rows
+            rows.write.format(fmt).mode("overwrite").save(folder)
+        else:
+            keyed.remove(spark, folder)  # what a failed run may have left
+    keyed.finish(spark, path, run)
+    keyed.compact(spark, path, schema, KEY, buckets, fmt)
 
 
 def exists(df: DataFrame, path: str) -> bool:
     """Whether anything is stored below a path of any file system that Spark reads."""
-    jvm = df.sparkSession._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(folder)
+    return keyed.exists(df.sparkSession, path)
