@@ -33,6 +33,8 @@ LEAST_DOCS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 TOP = 50
+# Counts of texts that a task gathers before it adds them up.
+GATHERED = 1 << 18
 # Rows of one group that a task gathers before it cuts them down to their skyband.
 BUFFER = 1 << 14
 # Parts of a group's terms whose skybands are merged before the last ranking.
@@ -54,25 +56,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.zeros(batch.num_rows, dtype=np.int64)
         lists = heads["row_list"].combine_chunks()
         group[lists.flatten().to_numpy()] = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-        parts = []
+        parts, gathered = [], 0
         for first, row, term, count, _ in terms.per_text(batch.column(2), BETWEEN):
             parts.append(
                 pa.table({"g": group[first + row], "term": term, "n": count, "docs": np.ones(len(count), np.int64)})
             )
+            gathered += len(count)
+            if gathered > GATHERED:
+                parts, gathered = [_added_up(parts)], 0
         if not parts:
             continue
-        total = pa.concat_tables(parts).group_by(["g", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+        total = _added_up(parts)
         yield from pa.table(
             {
                 "lang": heads["lang"].take(total["g"]),
                 "source": heads["source"].take(total["g"]),
                 "term": pc.cast(pc.cast(total["term"], pa.binary()), pa.string()),
-                "n": total["n_sum"],
-                "docs": total["docs_sum"],
+                "n": total["n"],
+                "docs": total["docs"],
             }
         ).to_batches(1 << 16)
 
 
+def _added_up(parts: list[pa.Table]) -> pa.Table:
+    total = pa.concat_tables(parts).group_by(["g", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+    return total.select(["g", "term", "n_sum", "docs_sum"]).rename_columns(["g", "term", "n", "docs"])
+
+
 def group_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences of each term of a group, and documents that hold it.
 
