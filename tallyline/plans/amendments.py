@@ -26,6 +26,7 @@ from tallyline.functions.text import (
 from tallyline.operators.projections import computed_once, split_by_reason
 from tallyline.operators.sets import union_all
 from tallyline.operators.windows import latest_per_key
+from tallyline.sources import keyed
 from tallyline.sources.writers import publish, write_path, write_pipe_csv
 
 # Payload keys.
@@ -404,3 +405,43 @@ def upsert_latest(
     touched = existing.join(keys, existing[key].eqNullSafe(keys[key]), "left_semi")
     rest = existing.join(keys, existing[key].eqNullSafe(keys[key]), "left_anti")
     return union_all([rest, latest_per_key(union_all([touched, incoming]), [key], list(newest))])
+
+
+def upsert_stored(
+    incoming: DataFrame,
+    path: str,
+    staging: str,
+    key: str = "event_id",
+    newest: Sequence[str] = ("ingest_ts", "kafka_offset"),
+    deleted: Column | None = None,
+    buckets: int | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Upsert a batch into the keyed table below ``path`` and return the rows that are there.
+
+    Of the batch and the stored rows of its keys the newest stays per key, a stored one where
+    both are equally new; so a batch that runs again, or arrives late, changes nothing. A newest
+    row for which ``deleted`` is true takes its key away. Such a key stays as a mark, so that
+    an older row that arrives afterwards does not bring it back. Only rows that change are
+    written; all files of earlier runs stay as they are. ``staging`` is removed in the end.
+    """
+    spark = incoming.sparkSession
+    columns = incoming.columns
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    fresh = incoming.withColumns({keyed.GONE: gone, "__fresh": F.lit(1)})
+    done = keyed.runs(spark, path)
+    rows = fresh
+    if done:
+        known = keyed.heads(spark, path, incoming.schema, key, incoming, fmt)
+        rows = rows.unionByName(known.withColumn("__fresh", F.lit(0)))
+    # a mark of a key that was never there is kept too: its row may arrive later
+    order = [*newest, F.asc("__fresh")]
+    changed = latest_per_key(rows, [key], order).filter("__fresh = 1").drop("__fresh")
+    changed = write_path(changed.select(*columns, keyed.GONE), staging, fmt=fmt)
+    if not done or not changed.isEmpty():
+        number = done[-1].number + 1 if done else 1
+        keyed.finish(spark, path, keyed.write_heads(changed, path, key, number, buckets, fmt))
+        keyed.compact(spark, path, incoming.schema, key, buckets, fmt)
+    keyed.remove(spark, staging)
+    present = keyed.heads(spark, path, incoming.schema, key, fmt=fmt)
+    return present.filter(~F.col(keyed.GONE)).select(*columns)

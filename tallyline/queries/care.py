@@ -410,3 +410,32 @@ def increment_job(spark, folder):
         lineage.select("lineage_ids").scalar().alias("lineage_ids"),
         mark.scalar().alias("last_processed"),
     )
+
+
+@register(
+    "increment_departures",
+    query(f"""SELECT id AS business_key, CASE status WHEN 'ACTIVE' THEN 'A' ELSE 'P' END AS record_status,
+                {stamp("coalesce(updated_date, created_date)")} AS effective_start_date,
+                CASE WHEN id % 10 = 2 THEN {_NOW} WHEN id % 10 = 1 AND status = 'ACTIVE' THEN '{_CHANGED}.000000'
+                     ELSE '9999-12-31 23:59:59.000000' END AS effective_end_date,
+                NOT (id % 10 = 2 OR id % 10 = 1 AND status = 'ACTIVE') AS is_current
+              FROM source_records WHERE status IN ('ACTIVE', 'PENDING')"""),
+)
+def increment_departures(spark, folder):
+    """A first load, then records that turn inactive and records that vanish, loaded twice."""
+    records = domain.source_records(spark, folder)
+    turned = (F.col("id") % 10 == 1) & (F.col("status") == "ACTIVE")
+    later = records.filter("id % 10 <> 2").withColumns(
+        {
+            "updated_date": F.when(turned, F.lit(_CHANGED).cast("timestamp_ntz")).otherwise(F.col("updated_date")),
+            "status": F.when(turned, F.lit("INACTIVE")).otherwise(F.col("status")),
+        }
+    )
+    path, parent = new_path(spark, "departures"), domain.table(spark, folder, "orders")
+    for batch, rows in (("B1", records), ("B2", later), ("B2", later)):
+        loaded = increment.run_increment(
+            rows, parent, "o_orderkey", path, "orders", batch, "secret", now=now(), threshold=0.8, whole=True
+        )
+    return loaded.history.select(
+        "business_key", "record_status", "effective_start_date", "effective_end_date", "is_current"
+    )

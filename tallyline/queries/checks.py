@@ -332,6 +332,31 @@ def reconcile_counts_keys(spark, folder):
     )
 
 
+_KNOWN_REGION = """SELECT TRANSACTION_ID AS id, CASE WHEN TRANSACTION_TYPE <> 'P' THEN 'KNOWN'
+    ELSE 'UNKNOWN' END AS REGION FROM transactions"""
+
+
+@register(
+    "reconcile_by_digest",
+    _reconcile_sql(
+        query("SELECT TRANSACTION_ID AS id FROM transactions"),
+        query(f"{_KNOWN_REGION} WHERE TRANSACTION_ID % 500 <> 3 UNION ALL SELECT -TRANSACTION_ID - 1, 'KNOWN'"
+              " FROM transactions WHERE TRANSACTION_ID % 5000 = 7"),
+        "id",
+        _FILLED,
+    ),
+)
+def reconcile_by_digest(spark, folder):
+    """All transactions against a target that lacks a few and holds a few others."""
+    rows = domain.transactions(spark, folder)
+    region = F.when(F.col("TRANSACTION_TYPE") != "P", "KNOWN").otherwise("UNKNOWN")
+    kept = rows.filter("TRANSACTION_ID % 500 <> 3").select("TRANSACTION_ID", region.alias("REGION"))
+    more = rows.filter("TRANSACTION_ID % 5000 = 7").selectExpr("-TRANSACTION_ID - 1 as TRANSACTION_ID", "'KNOWN' as REGION")
+    return reconciliation.reconcile_by_digest(
+        rows, kept.unionByName(more), "TRANSACTION_ID", reconciliation.populated("REGION")
+    )
+
+
 @register(
     "full_reload",
     _reconcile_sql(

@@ -224,6 +224,34 @@ def upsert_latest_event(spark, folder):
     ).select("event_id", "ingest_ts", "kafka_offset", "prior_rate")
 
 
+@register(
+    "upsert_stored_events",
+    query("""SELECT event_id, ingest_ts, kafka_offset, prior_rate FROM (
+               SELECT *, row_number() OVER (PARTITION BY event_id
+                      ORDER BY ingest_ts DESC, kafka_offset DESC) AS n
+               FROM sent WHERE event_id <> '' AND loan_id <> ''
+                           AND event_type = 'MORTGAGE_AMENDMENT')
+             WHERE n = 1 AND (ingest_ts <> '2024-02-01T00:00:00Z' OR kafka_offset % 7 <> 0)""",
+          sent=_sent_sql()),
+)
+def upsert_stored_events(spark, folder):
+    """A stored table after events, those sent again, some taken back, and old ones arriving once more."""
+
+    def valid(landing):
+        events = amendments.extract_event_meta(landing).drop("processing_ts")
+        canonical = amendments.canonicalize(amendments.schema_split(events, strict=True)[0])
+        return canonical.select("event_id", "ingest_ts", "kafka_offset", "prior_rate")
+
+    first, again = valid(domain.landing(spark, folder)), valid(domain.resent(spark, folder))
+    late = F.lit("2024-02-01T00:00:01Z")
+    back = again.filter("kafka_offset % 7 = 0").withColumns({"ingest_ts": late, "prior_rate": F.lit(None).cast("string")})
+    path = new_path(spark, "events")
+    for k, batch in enumerate((first, again, again, back, first)):
+        taken_back = F.col("ingest_ts") == late
+        found = amendments.upsert_stored(batch, path, new_path(spark, f"events-{k}"), deleted=taken_back)
+    return found
+
+
 @register(
     "amendment_stream",
     query("""SELECT outcome, coalesce(schema_reason, business_reason) AS reason, event_id, loan_id,
