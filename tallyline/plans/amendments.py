@@ -26,7 +26,7 @@ from tallyline.functions.text import (
 from tallyline.operators.projections import computed_once, split_by_reason
 from tallyline.operators.sets import union_all
 from tallyline.operators.windows import latest_per_key
-from tallyline.sources import keyed
+from tallyline.sources import keyed, releases
 from tallyline.sources.writers import publish, write_path, write_pipe_csv
 
 # Payload keys.
@@ -296,11 +296,43 @@ def run_batch(
     staged = write_path(extract_event_meta(landing, processing_ts), f"{folder}/staged", fmt=fmt)
     require_records(staged, minimum)
     raw = publish(staged, f"{folder}/raw", fmt)
+    keyed.remove(raw.sparkSession, f"{folder}/staged")
     return write_path(
         assess(raw, template, strict), f"{folder}/assessed", fmt=fmt, partition_by=["outcome"]
     )
 
 
+def release_batch(
+    landing: DataFrame,
+    template: DataFrame,
+    folder: str,
+    strict: bool = True,
+    processing_ts: Column | None = None,
+    fmt: str = "parquet",
+    minimum: int = 1,
+    database: str | None = None,
+) -> DataFrame:
+    """``run_batch`` as one release: raw and assessed events are published together, each written once."""
+
+    def check(name: str, rows: DataFrame) -> None:
+        if name == "raw":
+            require_records(rows, minimum)
+
+    written = releases.release(
+        landing.sparkSession,
+        folder,
+        {
+            "raw": lambda _: extract_event_meta(landing, processing_ts),
+            "assessed": lambda done: assess(done["raw"], template, strict),
+        },
+        check=check,
+        partition_by={"assessed": ["outcome"]},
+        database=database,
+        fmt=fmt,
+    )
+    return written["assessed"]
+
+
 def write_outputs(assessed: DataFrame, folder: str, null_value: str | None = None) -> None:
     """Reject records and documents of an assessed table as pipe-delimited files."""
     write_pipe_csv(rejects_of(assessed), f"{folder}/rejects", null_value=null_value)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import digests, governance, history
 from tallyline.operators.quality import QUALITY_THRESHOLD, quality_gate, require
 from tallyline.operators.windows import latest_per_key
+from tallyline.sources import keyed
 from tallyline.sources.readers import EXTRACT_STATUSES, scan_path, tag_extract
 from tallyline.sources.writers import replace_partition, write_path
 
@@ -145,4 +146,7 @@ def run_increment(
     mark = governance.new_watermark(extract, source_table, DATES, now)
     mark = mark if control is None else governance.upsert_watermark(control, mark)
     mark = write_path(mark, f"{folder}/marks/{batch_id}", fmt=fmt)
-    return Loaded(stored, lineage, write_path(mark, control_path, fmt=fmt))
+    mark = write_path(mark, control_path, fmt=fmt)
+    for name in ("marks", "departed"):
+        keyed.remove(spark, f"{folder}/{name}/{batch_id}")
+    return Loaded(stored, lineage, mark)

@@ -13,6 +13,7 @@ from tallyline.functions.measures import count_where
 from tallyline.operators.layout import order_by_keys
 from tallyline.operators.projections import cast_columns, having
 from tallyline.operators.quality import integrity_check, require
+from tallyline.sources import keyed, releases
 from tallyline.sources.writers import publish, write_path
 
 # Flag and default texts of the operational details.
@@ -209,7 +210,42 @@ def run_reports(
     )
     require(integrity_check(aml, "AML_CUSTOMER_TRANSACTIONS", ["TRANSACTION_ID"]))
     require(integrity_check(report, "BRANCH_SUMMARY_REPORT", ["BRANCH_ID"]))
-    return Reports(
+    reports = Reports(
         publish(aml, f"{folder}/aml_customer_transactions", fmt),
         publish(report, f"{folder}/branch_summary_report", fmt),
     )
+    keyed.remove(aml.sparkSession, f"{folder}/staged")
+    return reports
+
+
+def release_reports(
+    customers: DataFrame,
+    accounts: DataFrame,
+    transactions: DataFrame,
+    branches: DataFrame,
+    details: DataFrame,
+    folder: str,
+    policy: str = "active_null",
+    fmt: str = "parquet",
+    database: str | None = None,
+) -> Reports:
+    """Both reports as one release: written once, checked, and published together or not at all.
+
+    The same reports and checks as ``run_reports``, for readers that go through
+    ``releases.read`` or the catalog tables of ``database``.
+    """
+    keys = {"aml_customer_transactions": "TRANSACTION_ID", "branch_summary_report": "BRANCH_ID"}
+    written = releases.release(
+        transactions.sparkSession,
+        folder,
+        {
+            "aml_customer_transactions": lambda _: customer_transactions(customers, accounts, transactions),
+            "branch_summary_report": lambda _: branch_summary_report(
+                transactions, accounts, branches, details, policy
+            ),
+        },
+        check=lambda name, rows: require(integrity_check(rows, name.upper(), [keys[name]])),
+        database=database,
+        fmt=fmt,
+    )
+    return Reports(*written.values())

@@ -142,15 +142,12 @@ def amendment_balance(spark, folder):
     return amendments.balance(_assessed(spark, folder))
 
 
-@register(
-    "amendment_batch",
-    query("""SELECT reject_type AS outcome, reason, event_id, loan_id, payload_json AS text
+_OUTPUTS = query("""SELECT reject_type AS outcome, reason, event_id, loan_id, payload_json AS text
              FROM rejects
-             UNION ALL SELECT 'RENDERED', NULL, event_id, loan_id, xml_text FROM documents_out"""),
-)
-def amendment_batch(spark, folder):
-    """All outputs of the batch, from its one stored table."""
-    assessed = _assessed(spark, folder)
+             UNION ALL SELECT 'RENDERED', NULL, event_id, loan_id, xml_text FROM documents_out""")
+
+
+def _outputs(assessed):
     rejects = amendments.rejects_of(assessed).select(
         F.col("reject_type").alias("outcome"),
         "reason",
@@ -168,6 +165,21 @@ def amendment_batch(spark, folder):
     return union_all([rejects, rendered])
 
 
+@register("amendment_batch", _OUTPUTS)
+def amendment_batch(spark, folder):
+    """All outputs of the batch, from its one stored table."""
+    return _outputs(_assessed(spark, folder))
+
+
+@register("amendment_release", _OUTPUTS)
+def amendment_release(spark, folder):
+    """The same outputs from a batch whose tables are published together."""
+    released = amendments.release_batch(
+        domain.landing(spark, folder), domain.template(spark), new_path(spark, "amendments")
+    )
+    return _outputs(released)
+
+
 @register(
     "reject_rate_check",
     query("""SELECT *, CAST(total_rejects AS DOUBLE) / total_input * 100 AS reject_percentage,

@@ -409,18 +409,17 @@ def null_counts(spark, folder):
 # -- the jobs as a whole ---------------------------------------------------------------------
 
 
-@register(
-    "regulatory_job",
-    query(f"""SELECT {_REPORT}, CAST(NULL AS BIGINT) AS TRANSACTION_ID FROM report
+_JOB_ROWS = query(f"""SELECT {_REPORT}, CAST(NULL AS BIGINT) AS TRANSACTION_ID FROM report
               UNION ALL SELECT a.BRANCH_ID, NAME, NULL, CAST(AMOUNT AS DOUBLE), TRANSACTION_TYPE,
                      CAST(TRANSACTION_DATE AS VARCHAR), TRANSACTION_ID
               FROM transactions x JOIN accounts a ON x.ACCOUNT_ID = a.ACCOUNT_ID
-              JOIN customers c ON a.CUSTOMER_ID = c.CUSTOMER_ID"""),
-)
-def regulatory_job(spark, folder):
-    """Both reports of the job, written, checked and read back."""
+              JOIN customers c ON a.CUSTOMER_ID = c.CUSTOMER_ID""")
+
+
+def _job_rows(spark, folder, job):
+    """Both reports that a job wrote, in one frame."""
     transactions, accounts, branches = regulatory_tables(spark, folder)
-    written = regulatory.run_reports(
+    written = job(
         domain.customers(spark, folder),
         accounts,
         transactions,
@@ -443,6 +442,23 @@ def regulatory_job(spark, folder):
     return report.unionByName(rows)
 
 
+@register("regulatory_job", _JOB_ROWS)
+def regulatory_job(spark, folder):
+    """Both reports of the job, written, checked and read back."""
+    return _job_rows(spark, folder, regulatory.run_reports)
+
+
+@register("regulatory_release", _JOB_ROWS)
+def regulatory_release(spark, folder):
+    """The same reports, written once and published together, by a second run."""
+
+    def twice(*tables):
+        regulatory.release_reports(*tables)
+        return regulatory.release_reports(*tables)
+
+    return _job_rows(spark, folder, twice)
+
+
 @register(
     "engagement_job",
     query(f"""SELECT {_DATED}, tile_category, CAST(sum(unique_tile_views) AS BIGINT)
