@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ def change_hash(columns: Sequence[Column | str], key: str = "change") -> Column:
     for c in columns:
         text = _col(c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
+    return hmac_sha256(F.concat_ws("|", *parts), key.encode())
 
 
 def mask_hash(value: Column | str) -> Column:
@@ -44,6 +46,44 @@ def mask_hash(value: Column | str) -> Column:
     return F.sha2(_col(value).cast("string"), 256)
 
 
+class MaskKey(NamedTuple):
+    """A secret and the name under which its masks are known."""
+
+    id: str
+    secret: bytes
+
+
+# Block length of SHA-256 and the pads of HMAC.
+_BLOCK, _INNER, _OUTER = 64, 0x36, 0x5C
+
+
+def hmac_sha256(value: Column | str, secret: bytes) -> Column:
+    """HMAC-SHA-256 of the text form, in hexadecimal; NULL stays NULL.
+
+    The pads are worked out here and enter the plan as bytes, so whoever may read plans may
+    compute masks, as anyone may who runs the job. The secret itself is not in the plan unless
+    it is shorter than a block and the reader undoes the pad.
+    """
+    block = (hashlib.sha256(secret).digest() if len(secret) > _BLOCK else secret).ljust(_BLOCK, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (_INNER, _OUTER))
+    text = F.encode(_col(value).cast("string"), "UTF-8")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, text), 256))), 256)
+
+
+def mask_hmac(value: Column | str, key: MaskKey) -> Column:
+    """Keyed mask ``id:hash``: equal values share it, and without the secret it cannot be found by trial.
+
+    A new key gives new masks; the id says which key a stored one was made with.
+    """
+    return F.concat(F.lit(f"{key.id}:"), hmac_sha256(value, key.secret))
+
+
+def mask_matches(value: Column | str, masked: Column | str, keys: Sequence[MaskKey]) -> Column:
+    """Whether a mask is that of the value under the key it names; NULL for an unknown key."""
+    of_key = [F.when(F.startswith(_col(masked), F.lit(f"{k.id}:")), mask_hmac(value, k) == _col(masked)) for k in keys]
+    return F.coalesce(*of_key)
+
+
 def mask_prefix(value: Column | str, keep: int, filler: str) -> Column:
     """First ``keep`` characters followed by a fixed filler; NULL stays NULL."""
     return F.concat(F.substring(_col(value), 1, keep), F.lit(filler))

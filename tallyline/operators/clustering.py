@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -14,7 +13,12 @@ from tallyline.operators.layout import partition_by_key
 from tallyline.sources.workspace import new_path
 from tallyline.sources.writers import write_path
 
-_FEATURES = "__features"
+ROUNDS = 20
+# How far centres may move in the last round.
+TOLERANCE = 1e-4
+MILLION = 1_000_000
+# Type in whose text form features are hashed.
+EXACT = "decimal(38,9)"
 Centers = list[list[float]]
 
 
@@ -26,24 +30,83 @@ def _value(column: str) -> Column:
     return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
 
 
-def fit_centers(df: DataFrame, columns: Sequence[str], k: int, seed: int) -> Centers:
-    """Centres of the clusters; only the features are read.
+def _squares(columns: Sequence[str], center: Sequence[float]) -> Column:
+    parts = [(_value(c) - F.lit(x)) * (_value(c) - F.lit(x)) for c, x in zip(columns, center, strict=True)]
+    return sum(parts[1:], parts[0])
 
-    The first centres are sampled by partition, so another file layout may give others.
+
+def first_centers(df: DataFrame, columns: Sequence[str], k: int, seed: int) -> Centers:
+    """k rows to start from, far from one another, the same for every layout of the table.
+
+    The first one has the least keyed hash of its features. Each round draws the next one with a
+    chance in proportion to its squared distance from the nearest so far: the row with the
+    least -ln(u) / distance, where u is made of the keyed hash. A round is one pass with a
+    minimum, and brings one row to the driver. Rows with equal features count as one in the
+    draw; with fewer than k different rows there are fewer centres.
+    """
+    features = [_value(c).alias(c) for c in columns]
+    texts = [F.col(c).cast(EXACT).cast("string") for c in columns]
+    rows = df.select(*features)
+    centers: Centers = []
+    for turn in range(k):
+        digest = F.md5(F.concat_ws("|", F.lit(f"{seed}:{turn}"), *texts))
+        u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+        if centers:
+            nearest = F.least(*[_squares(columns, c) for c in centers]) if len(centers) > 1 else _squares(columns, centers[0])
+            drawn = rows.withColumn("__d", nearest).filter("__d > 0").withColumn("__key", -F.log(u) / F.col("__d"))
+        else:
+            drawn = rows.withColumn("__key", u)
+        found = drawn.agg(F.min(F.struct("__key", *columns)).alias("row")).first()["row"]
+        if found is None:
+            break
+        centers.append([found[c] for c in columns])
+    return centers
+
+
+def fit_centers(df: DataFrame, columns: Sequence[str], k: int, seed: int, rounds: int = ROUNDS) -> Centers:
+    """Centres of the clusters, the same for every layout of the table; only the features are read.
+
+    Features are stored once and rounds read them. Sums are exact, of whole parts and of
+    millionths, so they do not depend on the order of rows; a sum beyond 2^63 fails. Only the
+    k sums of a round reach the driver. A cluster that loses all its rows keeps its centre.
     """
     inputs = df.select(*[_value(c).alias(c) for c in columns])
-    vectors = VectorAssembler(inputCols=list(columns), outputCol=_FEATURES).transform(inputs)
-    model = KMeans(k=k, seed=seed, featuresCol=_FEATURES).fit(vectors.select(_FEATURES))
-    return [[float(x) for x in center] for center in model.clusterCenters()]
+    stored = write_path(inputs, new_path(df.sparkSession, "features"))
+    centers = first_centers(stored, columns, k, seed)
+    for _ in range(rounds if centers else 0):
+        sums = with_nearest(stored, columns, centers, "__number").groupBy("__number").agg(
+            F.count("*").alias("__n"),
+            *[F.sum(F.floor(c)).alias(f"{c}__whole") for c in columns],
+            *[F.sum(F.floor((F.col(c) - F.floor(c)) * MILLION + 0.5)).alias(f"{c}__rest") for c in columns],
+        )
+        moved = list(centers)
+        for row in sums.collect():
+            totals = [MILLION * row[f"{c}__whole"] + row[f"{c}__rest"] for c in columns]
+            moved[row["__number"]] = [total / (MILLION * row["__n"]) for total in totals]
+        steps = [math.dist(a, b) for a, b in zip(centers, moved, strict=True)]
+        centers = moved
+        if max(steps) <= TOLERANCE:
+            break
+    return centers
+
+
+def with_nearest(df: DataFrame, columns: Sequence[str], centers: Centers, name: str) -> DataFrame:
+    """Rows with the number of the nearest centre, the first of several."""
+    if not centers:
+        return df.withColumn(name, F.lit(None).cast("int"))
+    squares = {f"__square_{k}": _squares(columns, c) for k, c in enumerate(centers)}
+    least = F.least(*squares) if len(squares) > 1 else F.col("__square_0")
+    number = F.coalesce(*[F.when(F.col(s) == least, F.lit(k)) for k, s in enumerate(squares)])
+    return df.withColumns(squares).withColumn(name, number).drop(*squares)
 
 
 def distance(columns: Sequence[str], center: Sequence[float]) -> Column:
-    squares = [F.pow(_value(c) - F.lit(x), F.lit(2.0)) for c, x in zip(columns, center, strict=True)]
-    return F.sqrt(sum(squares[1:], squares[0]))
+    return F.sqrt(_squares(columns, center))
 
 
 def distance_to_own(columns: Sequence[str], centers: Centers, name: str = "prediction") -> Column:
-    return F.coalesce(*[F.when(F.col(name) == i, distance(columns, c)) for i, c in enumerate(centers)])
+    own = [F.when(F.col(name) == i, distance(columns, c)) for i, c in enumerate(centers)]
+    return F.coalesce(*own) if own else F.lit(None).cast("double")
 
 
 def clustered(
@@ -51,9 +114,7 @@ def clustered(
 ) -> tuple[DataFrame, Centers]:
     """Rows with the number of the nearest centre, the first of several, and the centres."""
     centers = fit_centers(df, columns, k, seed)
-    each = F.array(*[distance(columns, c) for c in centers])
-    number = (F.array_position(each, F.array_min(each)) - 1).cast("int")
-    return df.withColumn(name, number), centers
+    return with_nearest(df, columns, centers, name), centers
 
 
 def by_cluster(rows: DataFrame, name: str = "prediction") -> DataFrame:

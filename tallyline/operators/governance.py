@@ -19,7 +19,16 @@ from tallyline.functions.cleansing import (
     retention_date,
     upper_trim,
 )
-from tallyline.functions.protection import change_hash, checksum_md5, encrypt, mask_hash, mask_partial, mask_prefix4
+from tallyline.functions.protection import (
+    MaskKey,
+    change_hash,
+    checksum_md5,
+    encrypt,
+    mask_hash,
+    mask_hmac,
+    mask_partial,
+    mask_prefix4,
+)
 from tallyline.operators.joins import scalar_backfill, single_row_lookup
 from tallyline.operators.windows import latest_per_key
 
@@ -59,6 +68,7 @@ def map_source_secure(
     now: Column | None = None,
     as_of: Column | None = None,
     change_key: str | None = None,
+    mask_key: MaskKey | None = None,
 ) -> DataFrame:
     """Masked record with history, checksum, batch and retention columns, fifteen in all.
 
@@ -69,7 +79,7 @@ def map_source_secure(
     """
     if change_key is not None:
         df = df.withColumn("__change", change_hash(TRACKED, change_key))
-    masked = mask_columns(df, masks or {})
+    masked = mask_columns(df, masks or {}, mask_key)
     start_type = masked.schema["created_date"].dataType
     checked = ["id", "column1", "column2", "column3"]
     return masked.select(
@@ -95,10 +105,17 @@ def map_source_secure(
 # -- protection and retention --------------------------------------------------------
 
 
-def mask_columns(df: DataFrame, masks: Mapping[str, str]) -> DataFrame:
-    """Apply a masking rule per column; columns the frame lacks are passed over."""
+def mask_columns(df: DataFrame, masks: Mapping[str, str], key: MaskKey | None = None) -> DataFrame:
+    """Apply a masking rule per column; columns the frame lacks are passed over.
+
+    The rule ``HMAC`` needs a key. ``HASH`` is without one, so short values can be found by
+    trying all of them.
+    """
+    rules = MASKS if key is None else {**MASKS, "HMAC": lambda value: mask_hmac(value, key)}
+    if "HMAC" in masks.values() and key is None:
+        raise ValueError("the rule HMAC needs a key")
     return df.withColumns(
-        {c: MASKS[rule](F.col(c)) for c, rule in masks.items() if c in df.columns}
+        {c: rules[rule](F.col(c)) for c, rule in masks.items() if c in df.columns}
     )
 
 

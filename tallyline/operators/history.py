@@ -59,23 +59,27 @@ def _timeline(
     no events.
     """
     columns = stored.columns
-    by_key = Window.partitionBy(KEY).orderBy(START)
-    follows = F.lead(START).over(by_key)
-    ends = stored.withColumn("__next", follows).filter(
-        ~F.col(CURRENT) & ~F.coalesce(F.col("__next") == F.col(END), F.lit(False))
-    )
-    gaps = ends.select(KEY, F.col(END).alias(START))
-    gaps = gaps if known is None else gaps.unionByName(known)
+    follows = F.lead(START).over(Window.partitionBy(KEY).orderBy(START))
+    left = ~F.col(CURRENT) & ~F.coalesce(F.col("__next") == F.col(END), F.lit(False))
+    own = [*[F.col(c) for c in columns], F.lit(False).alias("__fresh"), F.lit(False).alias("__gone")]
+    nothing = [
+        (F.col(KEY) if c == KEY else F.col(END) if c == START else F.lit(None)).cast(stored.schema[c].dataType).alias(c)
+        for c in columns
+    ]
+    row = F.struct(*own, F.col(END).alias("__end"), F.col(CURRENT).alias("__open"))
+    gap = F.struct(
+        *nothing, F.lit(False).alias("__fresh"), F.lit(True).alias("__gone"),
+        F.lit(None).cast(stored.schema[END].dataType).alias("__end"), F.lit(None).cast("boolean").alias("__open"),
+    )
+    # a row, and where it ends without a next one the departure after it, from one reading of the rows
+    with_next = stored.withColumn("__next", follows)
+    events = with_next.select(F.inline(F.when(left, F.array(row, gap)).otherwise(F.array(row))))
 
     def leaving(events: DataFrame, fresh: bool) -> DataFrame:
         return events.select(KEY, START, F.lit(fresh).alias("__fresh"), F.lit(True).alias("__gone"))
 
-    events = stored.select(
-        *columns, F.lit(False).alias("__fresh"), F.lit(False).alias("__gone"),
-        F.col(END).alias("__end"), F.col(CURRENT).alias("__open"),
-    )
     fresh = first_versions(incoming).select(*columns, F.lit(True).alias("__fresh"), F.lit(False).alias("__gone"))
-    for part in (fresh, leaving(gaps, False), leaving(departed, True)):
+    for part in (fresh, leaving(departed, True), *([] if known is None else [leaving(known, False)])):
         events = events.unionByName(part, allowMissingColumns=True)
     by_start = Window.partitionBy(KEY).orderBy(START, "__fresh", CHANGE)
     state = F.struct("__gone", CHANGE)

@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 from tallyline.functions.cleansing import processing_timestamp
 from tallyline.functions.measures import count_where, percent
 from tallyline.operators.reconciliation import populated
+from tallyline.sources.writers import write_path
 
 # Limits of the alerts, step duration and age of an audit.
 STALE_AFTER_DAYS = 90
 STEP_SECONDS_LIMIT = 300.0
 
 
+STEP_METRICS = (
+    "step_name string, row_count bigint, partition_count int, duration_seconds double, measured_at timestamp"
+)
+
+
 class Limit(NamedTuple):
     """Bound of a metric; ``minimum`` says whether the metric must stay above it."""
 
@@ -86,11 +92,39 @@ class StepMetrics:
             (step, seen.get["row_count"], seen.get["partition_count"], self._seconds, stamp)
             for step, seen in self._steps
         ]
-        return spark.createDataFrame(
-            rows,
-            "step_name string, row_count bigint, partition_count int, duration_seconds double, "
-            "measured_at timestamp",
-        )
+        return spark.createDataFrame(rows, STEP_METRICS)
+
+
+class TimedSteps:
+    """Steps of a job that are each stored by an action of their own, timed and counted there.
+
+    ``store`` writes a step below ``folder`` and returns the stored rows for the next one, so the
+    time of a step is that of its own work. The jobs of a step carry its tag,
+    which shows in the user interface and can be cancelled by name. Rows are counted in what is
+    stored, so a task that runs twice is counted once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, fmt: str = "parquet") -> None:
+        self._spark, self._folder, self._fmt = spark, folder, fmt
+        self._rows: list[tuple[str, int, int, float]] = []
+
+    def store(self, df: DataFrame, step: str) -> DataFrame:
+        context, tag = self._spark.sparkContext, f"step: {step}".replace(",", " ")
+        context.addJobTag(tag)
+        try:
+            start = time.monotonic()
+            stored = write_path(df, f"{self._folder}/step-{len(self._rows)}", fmt=self._fmt)
+            seconds = time.monotonic() - start
+            count = stored.count()
+        finally:
+            context.removeJobTag(tag)
+        self._rows.append((step, count, len(stored.inputFiles()), seconds))
+        return stored
+
+    def frame(self, now: dt.datetime | None = None) -> DataFrame:
+        """One row per step, its partitions being the files it wrote."""
+        stamp = now or dt.datetime.now()
+        return self._spark.createDataFrame([(*row, stamp) for row in self._rows], STEP_METRICS)
 
 
 def throughput(metrics: DataFrame, limit: float = STEP_SECONDS_LIMIT) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
@@ -17,7 +17,7 @@ from tallyline.functions.measures import safe_ratio
 from tallyline.operators.governance import evolve_schema
 from tallyline.operators.projections import default_zero, on_date, only_active, with_constants
 from tallyline.operators.windows import latest_per_key
-from tallyline.sources.writers import replace_partition
+from tallyline.sources.writers import replace_partition, replace_partitions
 
 # Measures of the daily summary and the rows they count users of.
 TILE_MEASURES = {
@@ -46,7 +46,7 @@ RATES = {
 
 
 def distinct_users(
-    events: DataFrame, measures: Mapping[str, str], by: str = "tile_id", user: str = "user_id"
+    events: DataFrame, measures: Mapping[str, str], by: str | Sequence[str] = "tile_id", user: str = "user_id"
 ) -> DataFrame:
     """Distinct users per group for several conditions at once.
 
@@ -59,14 +59,15 @@ def distinct_users(
     """
     met = {name: F.coalesce(F.expr(sql), F.lit(False)) for name, sql in measures.items()}
     counted = reduce(or_, met.values())
+    groups = [by] if isinstance(by, str) else list(by)
     flagged = events.select(
-        by,
+        *groups,
         F.when(counted, F.col(user)).alias(user),
         *[condition.cast("int").alias(name) for name, condition in met.items()],
     )
-    per_user = flagged.groupBy(by, user).agg(*[F.max(name).alias(name) for name in met])
+    per_user = flagged.groupBy(*groups, user).agg(*[F.max(name).alias(name) for name in met])
     known = F.col(user).isNotNull()
-    return per_user.groupBy(by).agg(
+    return per_user.groupBy(*groups).agg(
         *[F.sum(F.when(known, F.col(name)).otherwise(0)).alias(name) for name in met]
     )
 
@@ -170,3 +171,63 @@ def run_day(
     stored = daily.filter(F.col("date") == F.lit(date).cast("date"))
     kpis = replace_partition(global_kpis(stored), f"{folder}/global_kpis", "date", date, fmt)
     return Reports(daily, kpis)
+
+
+def touched_days(
+    events: Sequence[DataFrame], arrival: str, since: Column | None = None, timestamp: str = "event_ts"
+) -> list[dt.date]:
+    """Days of the events that arrived from ``since`` on, of all without it; NULL is no day."""
+    days = None
+    for rows in events:
+        recent = rows if since is None else rows.filter(F.col(arrival) >= since)
+        found = recent.select(F.to_date(timestamp).alias("day"))
+        days = found if days is None else days.union(found)
+    return sorted(r[0] for r in days.filter("day is not null").distinct().collect())
+
+
+def daily_summaries(tile_events: DataFrame, interstitial_events: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """``daily_summary`` of several days from one pass over the events."""
+    sides = []
+    for events, measures in ((tile_events, TILE_MEASURES), (interstitial_events, INTERSTITIAL_MEASURES)):
+        day = F.to_date("event_ts")
+        # the range reaches the scan, the list leaves out the days between
+        rows = events.filter(day.between(F.lit(min(days)), F.lit(max(days))) & day.isin(*days))
+        sides.append(distinct_users(rows.withColumn("date", day), measures, ["date", "tile_id"]))
+    tiles, interstitials = sides
+    same = (tiles["date"] == interstitials["date"]) & (tiles["tile_id"] == interstitials["tile_id"])
+    both = tiles.join(interstitials, same, "full_outer").select(
+        F.coalesce(tiles["date"], interstitials["date"]).alias("date"),
+        F.coalesce(tiles["tile_id"], interstitials["tile_id"]).alias("tile_id"),
+        *[tiles[m] for m in TILE_MEASURES],
+        *[interstitials[m] for m in INTERSTITIAL_MEASURES],
+    )
+    return default_zero(both, [*TILE_MEASURES, *INTERSTITIAL_MEASURES])
+
+
+def run_arrivals(
+    tile_events: DataFrame,
+    interstitial_events: DataFrame,
+    folder: str,
+    arrival: str,
+    since: Column | None = None,
+    metadata: DataFrame | None = None,
+    fmt: str = "parquet",
+) -> Reports | None:
+    """Replace the days that events arrived for since a bound, late ones included.
+
+    Such a day is made anew from all its events; all of them are replaced in one write per
+    report, a day that is left without rows is emptied, and no other day is touched. Without
+    arrivals nothing is written and there is no result. The days are as many as a history has,
+    and their list is the only thing that reaches the driver.
+    """
+    days = touched_days([tile_events, interstitial_events], arrival, since)
+    if not days:
+        return None
+    summary = daily_summaries(tile_events, interstitial_events, days)
+    if metadata is not None:
+        summary = with_category(summary, metadata)
+    summary = evolve_schema(summary, schemas.schema("tile_daily_summary"))
+    daily = replace_partitions(summary, f"{folder}/daily_summary", "date", days, fmt)
+    stored = daily.filter(F.col("date").isin(*days))
+    kpis = replace_partitions(global_kpis(stored), f"{folder}/global_kpis", "date", days, fmt)
+    return Reports(daily, kpis)

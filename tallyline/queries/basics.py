@@ -305,6 +305,25 @@ def mask_hash(spark, folder):
     return domain.source_records(spark, folder).select("id", masked)
 
 
+_MASK_KEY = protection.MaskKey("k1", b"not a secret")
+_PADS = [bytes(b ^ pad for b in _MASK_KEY.secret.ljust(64, b"\0")).hex() for pad in (0x36, 0x5C)]
+
+
+@register(
+    "mask_hmac",
+    query(f"""SELECT id, 'k1:' || sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || encode(column2))))
+                AS column2, column2 IS NOT NULL OR NULL AS matches FROM source_records"""),
+)
+def mask_hmac(spark, folder):
+    masked = domain.source_records(spark, folder).select(
+        "id", protection.mask_hmac("column2", _MASK_KEY).alias("masked"), "column2"
+    )
+    return masked.select(
+        "id", F.col("masked").alias("column2"),
+        protection.mask_matches("column2", "masked", [protection.MaskKey("k0", b"old"), _MASK_KEY]).alias("matches"),
+    )
+
+
 @register(
     "mask_partial",
     query("SELECT CUSTOMER_ID, substr(NAME, 1, 2) || '***' AS NAME FROM customers"),
@@ -528,6 +547,44 @@ def cluster_layout(spark, folder):
     return layout.clustered_rewrite(stored, path, ["loan_id", "event_ts", "kafka_offset"])
 
 
+@register(
+    "morton_layout",
+    query("""SELECT event_id, event_ts, loan_id, kafka_offset FROM meta"""),
+)
+def morton_layout(spark, folder):
+    events = amendments.extract_event_meta(domain.landing(spark, folder)).select(
+        "event_id", "event_ts", "loan_id", "kafka_offset"
+    )
+    stored = write_path(events, new_path(spark, "morton_input"))
+    return layout.morton_rewrite(stored, new_path(spark, "morton_layout"), ["loan_id", "event_ts"])
+
+
+def _drawn_sql(turn: int) -> str:
+    u = f"""(('0x' || substr(md5('7:{turn}|' || CAST(CAST(x AS DECIMAL(38,9)) AS VARCHAR) || '|'
+        || CAST(CAST(y AS DECIMAL(38,9)) AS VARCHAR)), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0"""
+    if not turn:
+        return f"SELECT x, y FROM features ORDER BY {u}, x, y LIMIT 1"
+    squares = [f"(SELECT pow(f.x - c.x, 2) + pow(f.y - c.y, 2) FROM c{k} c)" for k in range(turn)]
+    nearest = f"least({', '.join(squares)})"
+    return f"SELECT x, y FROM features f WHERE {nearest} > 0 ORDER BY -ln({u}) / {nearest}, x, y LIMIT 1"
+
+
+@register(
+    "kmeans_seeding",
+    query(" UNION ALL ".join(f"SELECT {k} AS place, x AS BRANCH_ID, y AS TOTAL_TRANSACTIONS FROM c{k}" for k in range(3)),
+          features="""SELECT CAST(BRANCH_ID AS DOUBLE) AS x, CAST(TOTAL_TRANSACTIONS AS DOUBLE) AS y FROM summary""",
+          **{f"c{k}": _drawn_sql(k) for k in range(3)}),
+)
+def kmeans_seeding(spark, folder):
+    """The rows that clustering starts from, whatever the layout."""
+    columns = ["BRANCH_ID", "TOTAL_TRANSACTIONS"]
+    rows = _branch_summary(spark, folder).repartition(5)
+    centers = clustering.first_centers(rows, columns, 3, 7)
+    return spark.createDataFrame(
+        [(k, *c) for k, c in enumerate(centers)], "place int, BRANCH_ID double, TOTAL_TRANSACTIONS double"
+    )
+
+
 @register(
     "kmeans_partitioning",
     query("SELECT BRANCH_ID, TOTAL_TRANSACTIONS, true AS nearest, true AS in_range FROM summary"),

@@ -216,7 +216,7 @@ def scd2_merge(spark, folder):
     ]
     state = history.first_versions(versions(early, F.col("created_date")))
     for batch in batches:
-        state = history.scd2_merge(state, batch)
+        state = write_path(history.scd2_merge(state, batch), new_path(spark, "merged"))
     return state.drop(history.SURROGATE, history.CHANGE)
 
 

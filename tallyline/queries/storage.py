@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyline import schemas
 from tallyline.operators.projections import with_constants
 from tallyline.plans import amendments, domain, regulatory
+from tallyline.plans.engagement import INTERSTITIAL_MEASURES, TILE_MEASURES, run_arrivals
 from tallyline.queries.basics import RECORD_COLUMNS, _branch_summary, now, stamp
 from tallyline.queries.events import _events
 from tallyline.queries.registry import DAY, register
@@ -167,6 +168,38 @@ def sink_replace_partition_text(spark, folder):
     return writers.replace_partition(none, path, "part", "a=b/c")
 
 
+def _late_sql(events: str, measures: dict[str, str]) -> str:
+    counts = ", ".join(
+        f"count(DISTINCT CASE WHEN {sql} THEN user_id END) AS {name}" for name, sql in measures.items()
+    )
+    return f"SELECT CAST(event_ts AS DATE) AS date, tile_id, {counts} FROM {events} WHERE event_ts IS NOT NULL GROUP BY ALL"
+
+
+@register(
+    "sink_late_days",
+    query(f"""SELECT CAST(coalesce(t.date, i.date) AS VARCHAR) AS date, coalesce(t.tile_id, i.tile_id) AS tile_id,
+                {", ".join(f"coalesce({m}, 0) AS {m}" for m in [*TILE_MEASURES, *INTERSTITIAL_MEASURES])}
+              FROM ({_late_sql("tile_events", TILE_MEASURES)}) t
+              FULL JOIN ({_late_sql("interstitial_events", INTERSTITIAL_MEASURES)}) i
+              ON t.date = i.date AND t.tile_id = i.tile_id"""),
+)
+def sink_late_days(spark, folder):
+    """All days of what came in time, then the days that late events belong to."""
+    late = F.lit("2030-01-01").cast("timestamp")
+    events = [
+        rows.withColumn(
+            "arrived_ts", F.when(F.col("event_id").cast("long") % 97 == 0, late).otherwise(F.col("event_ts"))
+        )
+        for rows in (domain.tile_events(spark, folder), domain.interstitial_events(spark, folder))
+    ]
+    path = new_path(spark, "late")
+    in_time = [rows.filter(F.col("arrived_ts") < late) for rows in events]
+    run_arrivals(*in_time, path, "arrived_ts")
+    return run_arrivals(*events, path, "arrived_ts", late).daily.select(
+        F.col("date").cast("string").alias("date"), "tile_id", *TILE_MEASURES, *INTERSTITIAL_MEASURES
+    )
+
+
 @register("sink_pipe_csv", query("SELECT * FROM rejects"))
 def sink_pipe_csv(spark, folder):
     landing, template = domain.landing(spark, folder), domain.template(spark)

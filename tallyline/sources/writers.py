@@ -160,6 +160,37 @@ def replace_partition(
     return read_back(df, path, fmt, whole=False)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, column: str, values: Sequence[str | dt.date], fmt: str = "parquet"
+) -> DataFrame:
+    """Replace the rows of several partition values in one write and leave all others as they are.
+
+    Rows of ``df`` with another value are not written. A value without rows is emptied: dynamic
+    overwrite would keep what it had, so its folder is overwritten by itself.
+    """
+    if not values:
+        return read_back(df, path, fmt, whole=False)
+    rows = without_empty(df.filter(F.col(column).isin(*values)), [column])
+    if fmt == "delta":
+        named = ", ".join(f"'{v}'" for v in values)
+        rows.write.format(fmt).mode("overwrite").option("replaceWhere", f"{column} IN ({named})").save(path)
+        return read_back(df, path, fmt, whole=False)
+    seen = Observation()
+    counts = [F.count(F.when(F.col(column) == F.lit(v), 1)).alias(f"n{k}") for k, v in enumerate(values)]
+    (
+        rows.observe(seen, *counts)
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column)
+        .save(path)
+    )
+    for k, value in enumerate(values):
+        if not seen.get.get(f"n{k}"):
+            rows.drop(column).limit(0).write.format(fmt).mode("overwrite").save(partition_folder(path, column, value))
+    return read_back(df, path, fmt, whole=False)
+
+
 def publish(staged: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Put a stored and checked table in place of the one under a path."""
     return write_path(staged, path, fmt=fmt)
