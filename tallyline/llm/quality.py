@@ -1,14 +1,15 @@
 """Quality rules that look at lines first and then at what is left of a document.
 
 Each line is judged for itself: it fails when it does not end in punctuation or is full of
-symbols, when it looks like navigation, when it holds a boilerplate phrase, or when it
-repeats an earlier line.
+symbols, when it looks like navigation, when a boilerplate phrase makes up much of it, or when
+it repeats an earlier line.
 Failing lines are removed, and a document that loses more than a share of its text, or that
 fails the base rules as it came, is rejected.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,32 +29,46 @@ class Limits(NamedTuple):
     separator_share: float = 0.2
     symbol_share: float = 0.3
     lost_share: float = 0.5
+    # A phrase counts where it makes up at least this share of the line's words.
+    phrase_share: float = 0.25
 
 
 SYMBOLS = b"#*$%&|<>"
-# Last characters of a sentence or a quotation.
-ENDS = ".!?:;\"')]…”»。！？"
+# Last characters of a sentence: marks that end one in some script, quotation marks, and all
+# that open or close brackets and quotations, as languages use them in both roles.
+MARKS = ".!?:;\"'…。！？；：｡।॥؟۔؛։።᙮"
+ENDS = MARKS + "".join(
+    chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Pe", "Pf", "Pi") and chr(c) not in MARKS
+)
 # Words that stand between the entries of a menu.
 SEPARATORS = ("|", ">", "»", "·", "•", "/", "::", "<", "›")
-# Phrases of page furniture, in lower-case ASCII.
-BOILERPLATE = (
-    b"lorem ipsum",
-    b"enable javascript",
-    b"javascript is disabled",
-    b"cookie policy",
-    b"privacy policy",
-    b"terms of use",
-    b"terms of service",
-    b"all rights reserved",
-    b"sign in to",
-    b"log in to",
-    b"subscribe to our newsletter",
-    b"skip to content",
-)
+# Phrases of page furniture by language, with A-Z in lower case.
+PHRASES = {
+    "en": (
+        "lorem ipsum",
+        "enable javascript",
+        "javascript is disabled",
+        "cookie policy",
+        "privacy policy",
+        "terms of use",
+        "terms of service",
+        "all rights reserved",
+        "sign in to",
+        "log in to",
+        "subscribe to our newsletter",
+        "skip to content",
+    ),
+    "de": ("alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "cookies akzeptieren", "zum inhalt springen"),
+    "fr": ("tous droits réservés", "mentions légales", "politique de confidentialité", "accepter les cookies", "aller au contenu"),
+    "es": ("todos los derechos reservados", "aviso legal", "política de privacidad", "aceptar cookies", "saltar al contenido"),
+}
+BOILERPLATE = tuple(p.encode() for phrases in PHRASES.values() for p in phrases)
 
 _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[list(SYMBOLS)] = 1
-_ENDS = [x.encode() for x in ENDS]
+_ONE_BYTE_END = np.zeros(256, dtype=bool)
+_ONE_BYTE_END[[ord(x) for x in ENDS if ord(x) < 0x80]] = True
+_WIDE_ENDS = np.array([int.from_bytes(x.encode(), "big") for x in ENDS if ord(x) >= 0x80])
 _SEPARATORS = [x.encode() for x in SEPARATORS]
 _IN_LINE = arrays._BYTE.copy()
 _IN_LINE[0x0A] = 0
@@ -93,7 +108,7 @@ class Judged(NamedTuple):
     stays: np.ndarray
 
 
-def judge(found: arrays.Words, limits: Limits) -> Judged:
+def judge(found: arrays.Words, limits: Limits, phrases: tuple[bytes, ...] = BOILERPLATE) -> Judged:
     data, texts = found.data, len(found.edges) - 1
     n_words = np.diff(found.bounds)
     owner = np.repeat(np.arange(texts), n_words)
@@ -129,11 +144,12 @@ def judge(found: arrays.Words, limits: Limits) -> Judged:
     np.cumsum(_SYMBOL[data], out=symbols[1:])
     stays &= symbols[end] - symbols[start] <= limits.symbol_share * (last - first)
     lower = arrays._LOWER[data].tobytes()
-    for phrase in BOILERPLATE:
+    for phrase in phrases:
+        size = len(phrase.split())
         at = lower.find(phrase)
         while at >= 0:
             line = int(np.searchsorted(start, at, side="right")) - 1
-            if line >= 0 and at + len(phrase) <= end[line]:
+            if line >= 0 and at + len(phrase) <= end[line] and size >= limits.phrase_share * (last[line] - first[line]):
                 stays[line] = False
             at = lower.find(phrase, at + 1)
     line_chars = char_sums[end] - char_sums[start]
@@ -159,12 +175,18 @@ def _zero_outside(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 def _ends_well(data: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Whether the last word of a line ends in punctuation."""
-    flags = np.zeros(len(end), dtype=bool)
-    for mark in _ENDS:
-        hit = end >= len(mark)
-        for k, byte in enumerate(reversed(mark)):
-            hit = hit & (data[np.maximum(end - 1 - k, 0)] == byte)
-        flags |= hit
+    last = data[end - 1] if len(end) else np.zeros(0, np.uint8)
+    flags = _ONE_BYTE_END[last]
+    # of the other characters the last four bytes, of which those before the character's do not count
+    wide = np.flatnonzero(last >= 0x80)
+    code = np.zeros(len(wide), dtype=np.int64)
+    begun = np.zeros(len(wide), dtype=bool)
+    for k in range(4):
+        at = end[wide] - 1 - k
+        byte = np.where(at >= 0, data[np.maximum(at, 0)], 0).astype(np.int64)
+        code |= np.where(begun, 0, byte << (8 * k))
+        begun |= (byte & 0xC0) != 0x80
+    flags[wide] = np.isin(code, _WIDE_ENDS)
     return flags
 
 
@@ -188,11 +210,11 @@ def _kept_text(data: np.ndarray, judged: Judged, k: int) -> str:
     ).decode("utf-8", errors="replace")
 
 
-def _rated(at: int, limits: Limits, with_text: bool):
+def _rated(at: int, limits: Limits, phrases: tuple[bytes, ...], with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found in arrays.words(batch.column(at)):
-                judged = judge(found, limits)
+                judged = judge(found, limits, phrases)
                 rows = batch.slice(found.first, len(found.edges) - 1)
                 columns = [*rows.columns, *(pa.array(x) for x in judged.counts.values())]
                 if with_text:
@@ -210,9 +232,14 @@ def _rated(at: int, limits: Limits, with_text: bool):
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars")
 
 
-def rate(docs: DataFrame, limits: Limits = Limits(), with_text: bool = False) -> DataFrame:
+def rate(
+    docs: DataFrame, limits: Limits = Limits(), with_text: bool = False, phrases: tuple[bytes, ...] = BOILERPLATE
+) -> DataFrame:
     """``docs`` with the counts of ``COUNTS``, base_failed, kept and, if asked for, kept_text.
 
+    ``phrases`` are those of page furniture, as UTF-8 with A-Z in lower case; one fails a line only where
+    it makes up a share of it, so that a sentence may mention it.
+
     Earlier columns of these names are replaced; others stay. ``lost_chars`` are the word
     characters of lines that fail, ``kept_text`` is the text without them (as it came when
     no line fails). A document is kept when it passes the base rules and loses at most
@@ -223,7 +250,7 @@ def rate(docs: DataFrame, limits: Limits = Limits(), with_text: bool = False) ->
     docs = docs.drop(*ADDED, "base_failed", "kept", "kept_text")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema = f"{fields}, {COUNTS}" + ", kept_text string" * with_text
-    rated = docs.mapInArrow(_rated(docs.columns.index("text"), limits, with_text), schema)
+    rated = docs.mapInArrow(_rated(docs.columns.index("text"), limits, phrases, with_text), schema)
     failed = (F.col("n_words") < limits.least_words) | (
         100 * F.col("n_repeat_words") > limits.repeated_percent * F.col("n_words")
     )

@@ -144,10 +144,18 @@ parsed AS (
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 judged AS (
   SELECT doc_id, again, len(list_aggregate(w, 'string_agg', '')) AS chars,
-    again OR NOT regexp_matches(w[-1], '[.!?:;"'')\]…”»。！？]$')
+    again OR NOT regexp_matches(w[-1], '[.!?:;"''…。！？；：｡।॥؟۔؛։።᙮\p{Pe}\p{Pf}\p{Pi}]$')
       OR len([x for x in w if x IN ('|', '>', '»', '·', '•', '/', '::', '<', '›')]) > 0.2 * len(w)
       OR len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.3 * len(w)
-      OR regexp_matches(line, '(?i)lorem ipsum|enable javascript|javascript is disabled|cookie policy|privacy policy|terms of use|terms of service|all rights reserved|sign in to|log in to|subscribe to our newsletter|skip to content') AS fails
+      OR len([p for p in [
+        'lorem ipsum', 'enable javascript', 'javascript is disabled', 'cookie policy', 'privacy policy', 'terms of use',
+        'terms of service', 'all rights reserved', 'sign in to', 'log in to', 'subscribe to our newsletter',
+        'skip to content', 'alle rechte vorbehalten', 'datenschutzerklärung', 'nutzungsbedingungen',
+        'cookies akzeptieren', 'zum inhalt springen', 'tous droits réservés', 'mentions légales',
+        'politique de confidentialité', 'accepter les cookies', 'aller au contenu', 'todos los derechos reservados',
+        'aviso legal', 'política de privacidad', 'aceptar cookies', 'saltar al contenido']
+        IF contains(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), p)
+          AND len(string_split(p, ' ')) >= 0.25 * len(w)]) > 0 AS fails
   FROM parsed),
 by_doc AS (
   SELECT doc_id, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars

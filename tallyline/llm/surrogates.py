@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.storing import stored
@@ -77,8 +77,10 @@ HINT = (
     r"|[a-f]{32}|[A-F]{32}|AKIA[A-Z]{16}|gh[pousr]_[A-Za-z]{36}|sk-[A-Za-z]{20}"
 )
 TITLE = rf"^({_TITLES})\.? "
-# Rounds of new digests after which entities that still collide raise an error.
-ROUNDS = 50
+# Rounds of new digests after which the local part of an address and a domain grow by a letter a round.
+GROWS_AFTER = 3
+# Rounds after which numbers that still collide change places with one another.
+SWAPS_AFTER = 12
 
 
 def luhn(digits: Column) -> Column:
@@ -197,11 +199,13 @@ def _surrogate(key: str) -> Column:
     body = number.substr(F.lit(1), F.length(plain) - 1)
     card = F.concat(body, ((10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
     octets = F.array(*[(_number(stream, k) % 254 + 1).cast("string") for k in range(4)])
-    local, domain = F.split_part(plain, F.lit("@"), F.lit(1)), F.split_part(plain, F.lit("@"), F.lit(2))
-    of_domain = _stream(key, F.lit("domain"), domain)
-    host = F.concat(same_shape(F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), of_domain), F.lit(".example"))
+    more = F.array(*[_letter("a", 26, _number(stream, 100 + k)) for k in range(SWAPS_AFTER)])
+    grown = F.array_join(F.slice(more, F.lit(1), F.greatest(F.col("attempt") - GROWS_AFTER, F.lit(0))), "")
+    local = F.concat(same_shape(F.split_part(plain, F.lit("@"), F.lit(1)), stream), grown)
+    host = F.concat(same_shape(F.regexp_extract(plain, r"^(.*)\.[^.]*$", 1), stream), grown, F.lit(".example"))
     return (
-        F.when(kind == "email", F.concat(same_shape(local, stream), F.lit("@"), host))
+        F.when(kind == "email", F.concat(local, F.lit("@"), F.col("host")))
+        .when(kind == "domain", host)
         .when(kind == "ip", F.array_join(octets, "."))
         .when(kind == "card", card)
         .when(kind.isin("phone", "ssn"), number)
@@ -212,9 +216,13 @@ def _surrogate(key: str) -> Column:
 
 
 def _other_initials(plain: Column, key: str) -> Column:
-    """Initials moved on in their alphabet by a number from the key; of other letters the same shape."""
-    turn = int(hashlib.sha256(f"{key}\0initials".encode()).hexdigest(), 16) % 23 + 1
-    moved = F.translate(plain, "".join(_ALPHABETS), "".join(a[turn:] + a[:turn] for a in _ALPHABETS))
+    """Each initial as another letter of its alphabet, told by the key; of other letters the same shape."""
+    others = ""
+    for alphabet in _ALPHABETS:
+        # the letters in a ring whose order depends on the key: each becomes the next one
+        ring = sorted(alphabet, key=lambda c: hashlib.sha256(f"{key}\0initials\0{c}".encode()).digest())
+        others += "".join(ring[(ring.index(c) + 1) % len(ring)] for c in alphabet)
+    moved = F.translate(plain, "".join(_ALPHABETS), others)
     return F.when(moved == plain, same_shape(plain, _stream(key, F.lit("initials"), plain))).otherwise(moved)
 
 
@@ -222,12 +230,17 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``entities`` (kind, plain, gender; each once) with ``surrogate``, unlike all others and all entities.
 
     Of entities with one surrogate the smallest keeps it; the others, and those that got
-    some entity's own spelling, go on to the next digest.
+    some entity's own spelling, go on to the next digest. Addresses and domains grow longer from
+    the third round on, and names by a syllable a round, so that any number of them find one.
+    Numbers cannot grow: those that have found none after twelve rounds, as their format has few
+    values left, take one another's in a ring. ``host`` is the domain that an address gets.
     """
+    if "host" not in entities.columns:
+        entities = entities.withColumn("host", F.lit(None).cast("string"))
     own = stored(entities.select("kind", "plain"), "entities")
     done = None
     open_ = stored(entities.withColumn("attempt", F.lit(0)), "open")
-    for _ in range(ROUNDS):
+    for _ in range(SWAPS_AFTER):
         tried = stored(open_.withColumn("surrogate", _surrogate(key)), "tried")
         least = tried.groupBy("kind", "surrogate").agg(F.min("plain").alias("keeper"))
         taken = own.withColumnRenamed("plain", "surrogate")
@@ -244,8 +257,27 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         rest = tried.join(good.select("kind", "plain"), ["kind", "plain"], "left_anti").drop("surrogate")
         open_ = stored(rest.withColumn("attempt", F.col("attempt") + 1), "open")
         if open_.isEmpty():
-            return done.select("kind", "plain", "surrogate")
-    raise ValueError("entities of a type are more than its format can tell apart")
+            break
+    else:
+        done = done.select("kind", "plain", "surrogate").unionByName(_swapped(open_, key))
+    return done.select("kind", "plain", "surrogate")
+
+
+def _swapped(left: DataFrame, key: str) -> DataFrame:
+    """Entities that found no surrogate, each with the spelling of the next one of its format.
+
+    No other entity has these spellings as its surrogate. Rings are by kind, length and leading
+    digits, so one is no larger than the values of eight digits; the next one is found among
+    neighbours in keyed order.
+    """
+    place = F.sha2(F.concat_ws("\u0000", F.lit(key), F.lit("ring"), "plain"), 256)
+    rows = left.select("kind", "plain", F.length("plain").alias("size"), place.alias("place"))
+    ring = Window.partitionBy("kind", "size", F.substring("plain", 1, F.greatest(F.col("size") - 8, F.lit(1))))
+    following = F.lead("plain").over(ring.orderBy("place", "plain"))
+    first = F.min_by("plain", F.struct("place", "plain")).over(ring)
+    given = rows.withColumn("surrogate", F.coalesce(following, first))
+    alone = F.raise_error(F.lit("an entity is the last of its format, and no other value is left for it"))
+    return given.select("kind", "plain", F.when(F.col("surrogate") == F.col("plain"), alone).otherwise(F.col("surrogate")).alias("surrogate"))
 
 
 def _formatted(kind: Column, value: Column, surrogate: Column) -> Column:
@@ -330,7 +362,12 @@ def replacements(values: DataFrame, key: str = KEY) -> DataFrame:
     initials = (F.col("kind") == "name") & F.col("plain").rlike(rf"^{_INITIALS}$")
     entities = parts.where(~initials).groupBy("kind", "plain").agg(F.min("told").alias("low"), F.max("told").alias("high"))
     gender = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit("open"))
-    given = assign(entities.select("kind", "plain", gender.alias("gender")), key)
+    entities = stored(entities.select("kind", "plain", gender.alias("gender")), "typed-entities")
+    domain = F.when(F.col("kind") == "email", F.split_part("plain", F.lit("@"), F.lit(2)))
+    domains = entities.select(F.lit("domain").alias("kind"), domain.alias("plain"), F.lit("open").alias("gender"))
+    hosts = assign(domains.where("plain is not null").distinct(), key)
+    hosts = hosts.select(F.col("plain").alias("domain"), F.col("surrogate").alias("host"))
+    given = assign(entities.withColumn("domain", domain).join(hosts, "domain", "left").drop("domain"), key)
     formatted = _formatted(F.col("kind"), F.col("value"), F.col("surrogate"))
     whole = F.array_sort(F.collect_list(F.struct("place", "new")))
     joined = F.array_join(F.transform(whole, lambda x: x["new"]), " ")

@@ -1,10 +1,12 @@
 import random
 import re
 
+import regex
+
 from tallyline.llm import quality
-from tests.llm.helpers import COLUMNS, WORD, documents
+from tests.llm.helpers import COLUMNS, WORD, documents, lower
 
-ENDS = re.compile(r"[.!?:;\"')\]…”»。！？]$")
+ENDS = regex.compile(r"[.!?:;\"'…。！？；：｡।॥؟۔؛։።᙮\p{Pe}\p{Pf}\p{Pi}]$")
 
 
 def plain(text):
@@ -23,7 +25,8 @@ def plain(text):
         seen.add(line)
         fails |= sum(w in quality.SEPARATORS for w in own) > 0.2 * len(own)
         fails |= len(re.findall(r"[#*$%&|<>]", line)) > 0.3 * len(own)
-        fails |= any(p.decode() in line.lower() for p in quality.BOILERPLATE)
+        phrases = [p.decode() for p in quality.BOILERPLATE]
+        fails |= any(p in lower(line) and len(p.split()) >= 0.25 * len(own) for p in phrases)
         if fails:
             lost += sum(map(len, own))
         else:
@@ -37,6 +40,7 @@ def plain(text):
 def texts(n=200, seed=8):
     rng = random.Random(seed)
     lines = ["Menu | Home | About |", "All rights reserved.", "Please enable JavaScript!", "é è ç.", " \t", "", "# $ % done."]
+    lines += ["Tous droits réservés.", "Il a lu la politique de confidentialité et les conditions avant de signer.", "„So.“", "sagte er ‘so’", "क ख।", "؟ نعم؟", "a ］", "b⸥", "c†", "𝄞"]
     out = []
     for _ in range(n):
         own = []
@@ -72,6 +76,20 @@ def test_clean_prose_is_kept_and_menus_are_rejected(spark):
     assert [r.kept for r in rows] == [True, False, True]
 
 
+def test_dialogue_and_sentences_about_policies_are_kept(spark):
+    names = ["Anna", "Ben", "Clara", "David", "Emma", "Felix", "Greta", "Hans", "Ida", "Jan"]
+    dialogue = "\n".join(f"„{n} kam heute an und blieb bis zum Abend bei uns, sagte {n}so.“" for n in names)
+    news = "\n".join(
+        f"The regulator told company {n} that its privacy policy and terms of use misled {n} readers for years." for n in names
+    )
+    footer = "\n".join(f"Company {n} privacy policy" for n in range(60))
+    docs = documents(spark, [dialogue, news, footer])
+    lost = [r.lost_chars / r.word_chars for r in quality.rate(docs).orderBy("doc_id").collect()]
+    assert lost == [0, 0, 1]
+    rows = quality.rate(docs, phrases=(b"kam heute an und blieb",)).orderBy("doc_id").collect()
+    assert [r.lost_chars / r.word_chars for r in rows] == [1, 0, 1]
+
+
 def test_texts_without_words_only(spark):
     for docs in ([None], [""], [None, "", " \n\n "], ["\n"]):
         rows = quality.rate(documents(spark, docs).coalesce(1), with_text=True).collect()

@@ -1,5 +1,8 @@
+import random
 import re
+import string
 
+import regex
 from pyspark.sql import functions as F
 
 from tallyline.llm import surrogates
@@ -140,3 +143,99 @@ def test_names_with_inner_capitals_and_initials_are_replaced_whole(spark):
     smith = given[3].split(" ")[1]
     assert given[5].split(" ")[1] == given[8].split(" ")[1]
     assert rows[-2][0].startswith(f"Mr {smith} ") and rows[-1][0] == f"Mr {smith}’s"
+
+
+def test_many_entities_of_a_short_format_all_find_a_surrogate(spark):
+    mails = [f"{c}@d.com" for c in string.ascii_lowercase] + [f"{k}@{c}.com" for k in range(3) for c in "abcdefghijklmnop"]
+    rows = results(spark, [f"to {m} now" for m in mails])
+    new = [re.fullmatch(r"to (\S+@\S+\.example) now", t).group(1) for t, _ in rows]
+    assert len(set(new)) == len(mails) and not set(new) & set(mails)
+    domains = {}
+    for old, made in zip(mails, new, strict=True):
+        domains.setdefault(old.split("@")[1], set()).add(made.split("@")[1])
+    # one surrogate for each domain, and another one for every domain
+    assert all(len(x) == 1 for x in domains.values())
+    assert len(set.union(*domains.values())) == len(domains) == 16
+
+
+def test_numbers_of_a_full_format_change_places(spark, monkeypatch):
+    """All values of a format are taken: none is free, so entities get one another's."""
+    monkeypatch.setattr(surrogates, "SWAPS_AFTER", 2)
+    entities = spark.createDataFrame([("ssn", f"1{k:02}", "open") for k in range(100)], "kind string, plain string, gender string")
+    rows = surrogates.assign(entities).collect()
+    assert len({r.surrogate for r in rows}) == 100 and all(r.surrogate != r.plain for r in rows)
+
+
+def test_each_initial_is_another_letter(spark):
+    letters = [f"Mr {c}. Smith" for c in string.ascii_uppercase]
+    for key in ("one", "two"):
+        new = [re.fullmatch(r"Mr ([A-Z])\. \w+", t).group(1) for t, _ in results(spark, letters, key=key)]
+        assert sorted(new) == list(string.ascii_uppercase) and not [a for a, b in zip(new, string.ascii_uppercase) if a == b]
+        # not a shift of the alphabet
+        assert len({(ord(a) - ord(b)) % 26 for a, b in zip(new, string.ascii_uppercase, strict=True)}) > 3
+
+
+def random_texts(n=150, seed=12):
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: "".join(rng.choice("abcdeéß") for _ in range(rng.randrange(1, 9)))
+    cards = [x for x in (digits(16) for _ in range(400)) if right(x)]
+    makers = [
+        lambda: f"{word()}.{rng.randrange(9)}@{rng.choice(['a', 'b', 'mail'])}.{rng.choice(['com', 'org'])}",
+        lambda: f"{rng.randrange(256)}.{rng.randrange(256)}.{rng.randrange(4)}.{rng.randrange(300)}",
+        lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        lambda: f"+{rng.randrange(1, 50)} ({digits(3)}) {digits(3)}-{digits(4)}",
+        lambda: rng.choice(cards),
+        lambda: digits(16),
+        lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([31, 32, 40]))),
+        lambda: rng.choice(["Mr ", "Mrs. ", "Dr "]) + rng.choice(["Smith", "Anna Roy", "J. Weber", "O'Brien"]),
+        lambda: "DE" + digits(2) + (" " + digits(4)) * 4 + " " + digits(2),
+        word,
+    ]
+    return [rng.choice([" ", "\n", ", "]).join(rng.choice(makers)() for _ in range(rng.randrange(12))) for _ in range(n)]
+
+
+def plain_kind(value):
+    """The type of a found string, by the first pattern that fits all of it; None if it is no entity."""
+    if regex.match(surrogates.TITLE, value, regex.ASCII):
+        return "name"
+    for kind, pattern in surrogates.PATTERNS.items():
+        if kind != "name" and regex.fullmatch(pattern, value, regex.ASCII):
+            return kind if kind != "card" or right(re.sub(r"\D", "", value)) else None
+    return None
+
+
+def plain_spelling(kind, value):
+    if kind in ("phone", "card", "ssn"):
+        return re.sub(r"\D", "", value)
+    return value.lower() if kind == "email" else value
+
+
+def test_texts_agree_with_a_plain_replacement(spark):
+    """Entities found one by one, each replaced by what its first mention got, and everything else left."""
+    texts = [None, "", *random_texts()]
+    new, old = {}, {}
+    for before, (after, n) in zip(texts, results(spark, texts), strict=True):
+        if not before:
+            assert (after, n) == (before, 0)
+            continue
+        mentions = [m for m in regex.finditer(surrogates.ANY, before, regex.ASCII) if plain_kind(m.group())]
+        assert n == len(mentions)
+        at, rest = 0, after
+        for m, following in zip(mentions, [*mentions[1:], None], strict=True):
+            assert rest.startswith(before[at : m.start()])
+            rest = rest[m.start() - at :]
+            kept = before[m.end() : following.start() if following else None]
+            end = rest.index(kept, 1) if kept and following else len(rest) - len(kept)
+            kind, made = plain_kind(m.group()), rest[:end]
+            key = kind, plain_spelling(kind, m.group())
+            if kind != "name":
+                assert new.setdefault(key, plain_spelling(kind, made)) == plain_spelling(kind, made)
+                assert old.setdefault((kind, plain_spelling(kind, made)), key) == key
+                assert plain_kind(made) == kind and made != m.group()
+            if kind in ("ssn", "phone", "card"):
+                assert re.sub(r"\d", "0", made) == re.sub(r"\d", "0", m.group())
+            rest, at = rest[end:], m.end()
+        assert rest == before[at:]
+    assert not {(k, v) for k, v in new} & set(old)
+    assert {k for k, _ in new} >= {"email", "ip", "ssn", "phone", "card", "secret", "iban"}
