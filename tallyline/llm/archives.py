@@ -32,8 +32,10 @@ FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-# Records of an archive, after which a new file begins.
+# Records of an archive, and bytes of its records, after which a new file begins. A file is a
+# row of the writer and one of the reader, so a task's memory is a few times its bytes.
 RECORDS = 4096
+FILE_BYTES = 1 << 24
 # Payloads of fewer bytes are stored as they are.
 LEAST_REVISIT = 100
 # Bytes of records that a task hands to Spark at once.
@@ -67,18 +69,19 @@ def version_block(version: int, name: str, date: str = DATE) -> str:
     return " ".join([*head, str(len(body))]) + "\n" + body
 
 
-def _arc_lines(records: int):
+def _arc_files(records: int, file_bytes: int):
+    """The contents of files, each of a version block and the records after it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        version, n = 1 + task % 2, 0
+        version, files = 1 + task % 2, 0
         out, held = [], 0
         for batch in batches:
             for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if n % records == 0:
-                    out.append(version_block(version, f"pages-{task}-{n // records}.arc"))
-                n += 1
+                if not out:
+                    out.append(version_block(version, f"pages-{task}-{files}.arc"))
                 payload = html or ""
                 size = len(payload.encode())
                 lines = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}"]
@@ -87,30 +90,27 @@ def _arc_lines(records: int):
                 http = "\r\n".join(lines) + "\r\n\r\n"
                 head = [_field(url, "unknown:"), "0.0.0.0", DATE, "text/html"]
                 if version == 2:
-                    head += ["200", "-", "-", "0", f"pages-{task}.arc"]
+                    head += ["200", "-", "-", "0", f"pages-{task}-{files}.arc"]
                 out.append(" ".join([*head, str(len(http.encode()) + size)]) + "\n" + http + payload)
                 held += size
-                if held >= RUN_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-                    out, held = [], 0
+                if len(out) > records or held >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)], pa.string())], names=["value"])
+                    out, held, files = [], 0, files + 1
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array(["\n".join(out)], pa.string())], names=["value"])
 
     return run
 
 
-def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> None:
+def write_arc(pages: DataFrame, path: str, records: int = RECORDS, file_bytes: int = FILE_BYTES) -> None:
     """Write ``pages`` (page_id, url, html) as ARC files of either version, a version per task.
 
-    Each file begins with a version block, as the writer starts a file every ``records`` + 1 rows.
+    A file is full after ``records`` records or ``file_bytes`` bytes of payloads; a larger page
+    has a file of its own or ends one.
     """
-    lines = pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_arc_lines(records), "value string")
-    (
-        lines.write.option("lineSep", "\n")
-        .options(**GZIP)
-        .option("maxRecordsPerFile", records + 1)
-        .text(path)
-    )
+    rows = pages.select(F.col("page_id").cast("long"), "url", "html")
+    files = rows.mapInArrow(_arc_files(records, file_bytes), "value string")
+    files.write.option("lineSep", "\n").options(**GZIP).option("maxRecordsPerFile", 1).text(path)
 
 
 def _opened(content: bytes):
@@ -257,10 +257,23 @@ def with_revisits(records: DataFrame) -> DataFrame:
     )
 
 
-def _warc_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lines = pa.array([warc_record(x) for x in batch.to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([lines], names=["value"])
+def _warc_files(file_bytes: int):
+    """The contents of files, without their last line break."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                record = warc_record(batch.slice(k, 1).to_pylist()[0])
+                out.append(record)
+                held += len(record)
+                if held >= file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(out)], pa.binary())], names=["value"])
+                    out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([b"\r\n".join(out)], pa.binary())], names=["value"])
+
+    return run
 
 
 def warc_record(x: dict) -> bytes:
@@ -289,10 +302,10 @@ def warc_record(x: dict) -> bytes:
     return head.encode() + block + b"\r\n"
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Write ``records`` (as of ``read_arc``, with refers_to_id) as gzipped WARC files."""
-    lines = records.mapInArrow(_warc_lines, "value binary").select(F.col("value").cast("string"))
-    lines.write.option("lineSep", "\r\n").options(**GZIP).text(path)
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``records`` (as of ``read_arc``, with refers_to_id) as gzipped WARC files of about ``file_bytes`` bytes."""
+    files = records.mapInArrow(_warc_files(file_bytes), "value binary").select(F.col("value").cast("string"))
+    files.write.option("lineSep", "\r\n").options(**GZIP).option("maxRecordsPerFile", 1).text(path)
 
 
 def warc_records(archive: str, content: bytes) -> Iterator[dict]:

@@ -7,7 +7,8 @@ repetitions of all its documents, and of one more repetition the documents that
 in a seeded order, up to the target; the document on the border gives a part of its words.
 
 The order is never sorted as a whole: sizes are added up for each of 4,096 ranges of the
-order, and only the documents of the range with the border are added up one by one.
+order, then for as many ranges of the one with the border, and only the documents of the
+range within it, one in 16 million of a source, are added up one by one.
 """
 
 from __future__ import annotations
@@ -79,42 +80,60 @@ def mix(
     size = word_count("doc.text")
     sums = stored(rows.groupBy("source", "range").agg(F.sum(size).alias("range_size")), "range-sizes")
     wanted = targets(weigh(sums.groupBy("source").agg(F.sum("range_size").alias("source_size"))), share, epochs)
-    plan = stored(_plan(wanted, sums), "mix-plan")
+    plan = stored(_with_border(_plan(wanted), sums.select("source", "range", "range_size"), ""), "mix-plan")
     joined = rows.withColumnRenamed("source", "own").join(plan, F.col("own").eqNullSafe(F.col("source")))
+    joined = joined.withColumn("inner_range", F.substring("place", RANGE_DIGITS + 1, RANGE_DIGITS)).drop("own")
     at_border = F.coalesce(F.col("range") == F.col("border"), F.lit(False))
-    plain = joined.where(~at_border).withColumn("size", size)
-    plain = plain.withColumn("extra", F.when(F.col("range") < F.col("border"), F.col("size")).otherwise(0))
+    inner = joined.where(at_border).groupBy("source", F.col("inner_range").alias("range"))
+    inner = stored(inner.agg(F.sum(size).alias("range_size")), "inner-sizes")
+    borders = _with_border(plan.drop("source_size", "target", "whole"), inner, "inner_")
+    borders = stored(borders.select(F.col("source").alias("own"), "inner_border", "inner_before"), "inner-plan")
+    joined = joined.join(borders, F.col("own").eqNullSafe(F.col("source"))).drop("own")
+    in_inner = at_border & F.coalesce(F.col("inner_range") == F.col("inner_border"), F.lit(False))
+    earlier = (F.col("range") < F.col("border")) | (at_border & (F.col("inner_range") < F.col("inner_border")))
+    plain = joined.where(~in_inner).withColumn("size", size)
+    plain = plain.withColumn("extra", F.when(earlier, F.col("size")).otherwise(0))
     running = F.sum("size").over(
         Window.partitionBy("source")
         .orderBy("place", "doc.doc_id", "size", F.xxhash64("doc.text"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    left = F.col("part") - F.col("before") - F.coalesce(running, F.lit(0))
-    near = joined.where(at_border).withColumn("size", size)
+    left = F.col("part") - F.col("inner_before") - F.coalesce(running, F.lit(0))
+    near = joined.where(in_inner).withColumn("size", size)
     near = near.withColumn("extra", F.greatest(F.least(left, F.col("size")), F.lit(0)))
     return plain.unionByName(near).select(
         "doc.*", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken")
     )
 
 
-def _plan(wanted: DataFrame, sums: DataFrame) -> DataFrame:
-    """Per source its whole repetitions, the words beyond them, and the range in which these end."""
+def _plan(wanted: DataFrame) -> DataFrame:
+    """Per source its whole repetitions, and the words beyond them."""
     plan = wanted.select(
         "source",
         "source_size",
         "target",
         F.expr("CASE WHEN source_size > 0 THEN floor(target + 0.5) div source_size ELSE 0L END").alias("whole"),
     )
-    plan = plan.withColumn("part", F.floor(F.col("target") + 0.5) - F.col("whole") * F.col("source_size"))
+    return plan.withColumn("part", F.floor(F.col("target") + 0.5) - F.col("whole") * F.col("source_size"))
+
+
+def _with_border(plan: DataFrame, sums: DataFrame, name: str) -> DataFrame:
+    """``plan`` with the range in which a source's words end, and its words before that range.
+
+    ``sums`` (source, range, range_size) are ranges in order; inner ones begin where the outer
+    border's range does. The columns are ``border`` and ``before``, with ``name`` before them.
+    """
+    base = F.col("before") if name else F.lit(0)
     before = F.sum("range_size").over(
         Window.partitionBy("own").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     )
     border = (
         sums.withColumnRenamed("source", "own")
-        .withColumn("before", F.coalesce(before, F.lit(0)))
+        .withColumn("running", F.coalesce(before, F.lit(0)))
         .join(plan, F.col("own").eqNullSafe(F.col("source")))
-        .where("before < part and part <= before + range_size")
-        .select("own", F.col("range").alias("border"), "before")
+        .withColumn("so_far", base + F.col("running"))
+        .where("so_far < part and part <= so_far + range_size")
+        .select("own", F.col("range").alias(f"{name}border"), F.col("so_far").alias(f"{name}before"))
     )
     return plan.join(border, F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
 

@@ -36,7 +36,13 @@ SLACK = 1e-9
 
 def whole_numbers(vectors: DataFrame, column: str, scale: int = SCALE) -> DataFrame:
     """vec_id and ``v``, the components times ``scale`` rounded down; rows that take part only."""
-    scaled = F.transform(column, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
+    message = F.lit("a component is too large to be a whole number of 64 bits")
+
+    def whole(x):
+        y = F.floor(F.lit(float(scale)) * x.cast("double"))
+        return F.when(F.abs(F.lit(float(scale)) * x.cast("double")) < 2.0**63, y).otherwise(F.raise_error(message))
+
+    scaled = F.transform(column, whole)
     finite = ~F.exists(
         column, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
     )
@@ -66,19 +72,30 @@ def _products(width: int):
     return run
 
 
+def _added_up(rows: pa.Table) -> pa.Table:
+    """The sum of the rows of one column's products."""
+    flat = rows["sums"].combine_chunks().flatten().to_numpy().reshape(len(rows), -1)
+    return pa.table({"i": rows["i"].slice(0, 1), "sums": pa.array([flat.sum(axis=0)], pa.list_(pa.float64()))})
+
+
 def rotation(vectors: DataFrame, width: int) -> np.ndarray:
-    """Right singular vectors of all rows by falling singular value; only width² sums reach the driver."""
+    """Right singular vectors of all rows by falling singular value.
+
+    The products of columns are added up by task and then row by row of the table of sums, of
+    which only the ``width`` rows reach the driver, as arrays.
+    """
+    if not width:
+        return np.zeros((0, 0))
     sums = (
         vectors.select("v")
         .mapInArrow(_products(width), "i long, sums array<double>")
-        .select("i", F.posexplode("sums"))
-        .groupBy("i", "pos")
-        .agg(F.sum("col"))
-        .collect()
+        .groupBy("i")
+        .applyInArrow(_added_up, "i long, sums array<double>")
+        .toArrow()
     )
     gram = np.zeros((width, width))
-    for i, j, x in sums:
-        gram[i, j] = x
+    for i, row in zip(sums["i"].to_pylist(), sums["sums"], strict=True):
+        gram[i] = row.values.to_numpy()
     return np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1].copy()
 
 
@@ -166,6 +183,25 @@ def _compare(queries: pd.DataFrame, vectors: pd.DataFrame, turn, width: int, k:
     )
 
 
+def meetings(queries: DataFrame, longest_of: DataFrame, last: int) -> DataFrame:
+    """(part, range, longest) of the groups of queries and ranges of vectors that have something to compare.
+
+    By lengths alone: in some query of the group the range's longest vector could reach the
+    query's limit. A group is represented by its largest ratio of length and limit.
+    """
+    reach = F.when(F.col("least") > 0, F.col("length") / F.col("least")).otherwise(F.lit(float("inf")))
+    groups = queries.groupBy("part").agg(F.max(reach).alias("reach"))
+    pairs = groups.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(last)))).join(longest_of, "range")
+    within = F.col("reach") * F.col("longest") * (1 + 2 * SLACK) >= 1
+    return stored(pairs.where(within | F.col("reach").isNull()).select("part", "range", "longest"), "meetings")
+
+
+def copied(ordered: DataFrame, meeting: DataFrame) -> DataFrame:
+    """Vectors once for each group of queries that their range meets, and not at all where it meets none."""
+    parts = meeting.groupBy("range").agg(F.collect_list("part").alias("parts"))
+    return ordered.join(parts, "range").withColumn("part", F.explode("parts")).drop("parts")
+
+
 def top_k(vectors: DataFrame, column: str = "embedding", every: int = 100, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id and score: the k highest scores of each query against all other rows.
 
@@ -192,21 +228,20 @@ def top_k(vectors: DataFrame, column: str = "embedding", every: int = 100, k: in
     queries = queries.mapInPandas(
         _first_limits(longest, turn, width, k), "uid long, vec_id long, v array<long>, least double"
     )
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    # queries that need vectors of like length share a group, so that groups can do without short ones
     groups = max(1, -(-n_queries // GROUP_QUERIES))
-    queries = queries.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(groups)).cast("int"))
+    queries = queries.withColumn("length", length).withColumn("need", F.try_divide("least", "length"))
+    queries = queries.repartitionByRange(groups, F.desc_nulls_last("need"), "uid")
+    queries = stored(queries.withColumn("part", F.spark_partition_id()).drop("need"), "queries")
     ordered = rows.repartitionByRange(ranges, F.desc("length"), "vec_id", "uid")
     ordered = stored(ordered.withColumn("range", F.spark_partition_id()), "ranges")
     longest_of = ordered.groupBy("range").agg(F.max("length").alias("longest"))
     last = ordered.agg(F.max("range")).first()[0] or 0
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    queries = stored(queries.withColumn("length", length), "queries")
-    queries = (
-        queries.withColumn("range", F.explode(F.sequence(F.lit(0), F.lit(last))))
-        .join(longest_of, "range")
-        .where(F.col("length") * F.col("longest") * (1 + SLACK) >= F.col("least"))
-        .drop("longest", "length")
-    )
-    copies = ordered.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    meeting = meetings(queries, longest_of, last)
+    queries = queries.join(meeting, "part").select("range", "uid", "vec_id", "v", "least", "length", "part", "longest")
+    queries = queries.where(F.col("length") * F.col("longest") * (1 + SLACK) >= F.col("least")).drop("longest", "length")
+    copies = copied(ordered, meeting)
     found = (
         queries.groupBy("range", "part")
         .cogroup(copies.groupBy("range", "part"))

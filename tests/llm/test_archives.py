@@ -91,3 +91,18 @@ def test_every_file_begins_with_its_version(spark):
     per_file = read.groupBy("archive").agg(F.min_by("warc_type", "offset").alias("first"), F.count("*").alias("n")).collect()
     assert len(per_file) >= 12
     assert {r["first"] for r in per_file} == {"warcinfo"} and max(r["n"] for r in per_file) <= 6
+
+
+def test_files_are_full_by_bytes(spark):
+    pages = [(k, f"http://{k}.example", chr(97 + k % 26) * (300_000 if k % 10 else 3_000_000)) for k in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2)
+    arc, warc = new_path(spark, "arc-bytes"), new_path(spark, "warc-bytes")
+    archives.write_arc(df, arc, file_bytes=1_000_000)
+    archives.write_warc(archives.read_arc(spark, arc).withColumn("refers_to_id", F.lit(None).cast("string")), warc, 1_000_000)
+    for path, read in ((arc, archives.read_arc), (warc, archives.read_warc)):
+        sizes = read(spark, path).groupBy("archive").agg(F.sum("payload_bytes").alias("bytes"), F.max("payload_bytes").alias("largest"))
+        sizes = sizes.collect()
+        # beyond the limit only by the record that reached it
+        assert len(sizes) > 15 and all(r["bytes"] < 1_000_000 + r["largest"] + 1000 for r in sizes)
+    found = archives.read_warc(spark, warc).where("record_type = 'response'").collect()
+    assert sorted(r.page_id for r in found) == list(range(60))

@@ -63,3 +63,20 @@ def test_large_numbers_and_empty_tables(spark):
     df = spark.createDataFrame([(0, [3e4, 1.0]), (1, [2e4, -1.0])], "vec_id long, embedding array<double>")
     assert rows_of(topk.top_k(df)) == [(0, 1, 1, 1024 * 30_000 * 1024 * 20_000 - 1024 * 1024)]
     assert topk.top_k(df.where("vec_id < 0")).collect() == []
+
+
+def test_copies_fall_where_bounds_prune(spark):
+    """Groups of queries that need long vectors do not meet the ranges of short ones."""
+    ordered = spark.createDataFrame([(r, f"v{r}{k}") for r in range(5) for k in range(10)], "range int, name string")
+    longest = spark.createDataFrame([(r, 100.0 / 10**r) for r in range(5)], "range int, longest double")
+    needs = [(0, 1.0, 50.0), (0, 2.0, 150.0), (1, 1.0, 0.5), (2, 1.0, float("-inf")), (3, 0.0, 5.0)]
+    queries = spark.createDataFrame(needs, "part int, length double, least double")
+    met = topk.meetings(queries, longest, 4)
+    assert sorted((r["part"], r["range"]) for r in met.collect()) == [(0, 0), *[(1, r) for r in range(3)], *[(2, r) for r in range(5)]]
+    assert topk.copied(ordered, met).count() == 90 < 5 * 10 * 4
+
+
+def test_components_beyond_64_bits_raise(spark):
+    df = spark.createDataFrame([(0, [1e17, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(df).collect()
