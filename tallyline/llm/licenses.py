@@ -19,7 +19,7 @@ from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import arrays
@@ -76,6 +76,8 @@ NOTICES = {
     "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
     "International License.",
 }
+# How the name of a template ends that is not the licence itself.
+ENDING = "-(whole|part-[0-9]+|header|text)$"
 # Words of the parts of a whole text that are templates of their own, so that a cut text is found by what is left.
 PART_WORDS = 100
 # Templates of fewer words have shingles of two, of which enough are left when the first word differs.
@@ -213,10 +215,91 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
     of ``docs`` is scanned for itself, so repeated rows give repeated rows; other columns are
     ignored; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    templates = stored(
-        templates.select(F.col("license").cast("string"), "text").mapInArrow(_templates, TEMPLATE), "templates"
+    return _matches(docs, _prepared(templates)).select("doc_id", "license", "containment", "word_start", "windows")
+
+
+def resolve(docs: DataFrame, templates: DataFrame) -> DataFrame:
+    """doc_id, license, kind, share, first_word, last_word and templates: a row for each licence of a document.
+
+    Headers, whole texts and parts of a text in ``templates`` stand for their licence, as the ending of
+    their name says. Licences share passages, so a text holds templates of others as well: a
+    match gives way to one of another licence that it meets, if that licence's templates hold what its own says, and
+    explain more words of the document; licences that explain equally many are all named. ``kind`` is
+    ``text`` where a whole text or a part of one was found and ``notice`` elsewhere; ``share`` is
+    how much of the text, or of the best notice, was found; first and last word tell where.
+
+    Nulls, repeated rows and empty tables are as in ``scan``. The matches of a document, which are
+    compared with one another, are at most as many as there are templates.
+    """
+    licence = F.regexp_replace("license", ENDING, "")
+    prepared = _prepared(templates)
+    n_parts = prepared.where(F.col("license").rlike("-part-[0-9]+$")).groupBy(licence.alias("licence")).agg(
+        F.count("*").alias("n_parts")
+    )
+    matches = _matches(docs, prepared).withColumn("licence", licence).join(_said_by(prepared), "license", "left")
+    words = F.sum(F.col("containment") * F.col("n_words")).over(Window.partitionBy("uid", "licence"))
+    end = F.col("best_start") + F.col("n_words")
+    rows = matches.withColumn("explains", F.round(words, 6)).groupBy("uid").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.collect_list(
+            F.struct(
+                "licence", "license", "containment", F.col("best_start").alias("start"), end.alias("end"), "explains",
+                F.coalesce("said_by", F.array().cast("array<string>")).alias("said_by"),
+            )
+        ).alias("matches"),
+    )
+
+    def gives_way(r):
+        def better(o):
+            meets = (o["start"] < r["end"]) & (r["start"] < o["end"])
+            return F.array_contains(r["said_by"], o["licence"]) & (o["explains"] > r["explains"]) & meets
+
+        return F.exists("matches", better)
+
+    kept = rows.select("uid", "doc_id", F.inline(F.filter("matches", lambda r: ~gives_way(r))))
+    whole, part = F.col("license").endswith("-whole"), F.col("license").rlike("-part-[0-9]+$")
+    found = kept.groupBy("uid", "licence").agg(
+        F.first("doc_id").alias("doc_id"),
+        F.max(F.when(whole, F.col("containment"))).alias("whole"),
+        F.sum(F.when(part, F.col("containment"))).alias("parts"),
+        F.max(F.when(~whole & ~part, F.col("containment"))).alias("notice"),
+        F.min("start").alias("first_word"),
+        (F.max("end") - 1).alias("last_word"),
+        F.count("*").alias("templates"),
     )
+    of_text = F.greatest("whole", F.col("parts") / F.col("n_parts"))
+    return found.join(F.broadcast(n_parts), "licence", "left").select(
+        "doc_id",
+        F.col("licence").alias("license"),
+        F.when(of_text.isNotNull(), F.lit("text")).otherwise(F.lit("notice")).alias("kind"),
+        F.coalesce(of_text, "notice").alias("share"),
+        "first_word",
+        "last_word",
+        "templates",
+    )
+
+
+def _prepared(templates: DataFrame) -> DataFrame:
+    rows = templates.select(F.col("license").cast("string"), "text")
+    return stored(rows.mapInArrow(_templates, TEMPLATE), "templates")
+
+
+def _said_by(prepared: DataFrame) -> DataFrame:
+    """(license, said_by): for each template the other licences whose templates hold enough of its shingles."""
+    each = prepared.select(
+        "license", F.regexp_replace("license", ENDING, "").alias("licence"), F.size("shingles").alias("n"),
+        F.explode("shingles").alias("shingle"),
+    )
+    others = each.select(F.col("licence").alias("other"), "shingle").distinct()
+    counted = each.join(others, "shingle").where("licence <> other").groupBy("license", "other", "n").count()
+    return counted.where(F.col("count") >= LEAST * F.col("n")).groupBy("license").agg(
+        F.collect_list("other").alias("said_by")
+    )
+
+
+def _matches(docs: DataFrame, templates: DataFrame) -> DataFrame:
+    """The rows of ``scan`` with the row's uid, the template's words, and where its best window begins."""
+    spark = docs.sparkSession
     n = templates.agg(F.sum(F.size("shingles"))).first()[0] or 0
     if n > MOST_SHINGLES:
         raise ValueError(f"{n} shingles of templates; scan in runs of at most {MOST_SHINGLES}")
@@ -248,6 +331,7 @@ def scan(docs: DataFrame, templates: DataFrame) -> DataFrame:
             F.max("containment").alias("containment"),
             F.min("word_start").alias("word_start"),
             F.count("*").alias("windows"),
+            F.min(F.struct(-F.col("containment"), F.col("word_start").alias("at")))["at"].alias("best_start"),
+            F.first("class").alias("n_words"),
         )
-        .select("doc_id", "license", "containment", "word_start", "windows")
     )

@@ -220,8 +220,8 @@ FROM firsts
 
 
 def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
-    """Licence notices in all documents."""
-    return licenses.scan(_table(spark, folder, "documents"), licenses.all_templates(spark))
+    """Licences of all documents, by notices, whole texts and parts of texts."""
+    return licenses.resolve(_table(spark, folder, "documents"), licenses.all_templates(spark))
 
 
 QUERIES["op6_license_scans"] = op6_license_scans

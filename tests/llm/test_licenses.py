@@ -107,3 +107,34 @@ def test_whole_and_cut_texts_and_changed_short_notices(spark):
     assert {(1, f"GPL-2.0-part-{k}") for k in (11, 12, 13, 14)} <= found and (1, "GPL-2.0-whole") not in found
     assert {x for x in found if x[0] > 1} == {(2, "MIT")}
     assert len(rows) == len(found)
+
+
+def test_matches_resolve_to_licences(spark):
+    texts = licenses.texts()
+    gpl = words(texts["GPL-2.0-whole"])
+    docs = [
+        texts["LGPL-2.1-whole"],
+        "so " + texts["ISC-whole"],
+        " ".join(gpl[1000:1400]),
+        "one two. " + licenses.NOTICES["MIT"] + " three. " + licenses.NOTICES["GPL-3.0-or-later"],
+        " ".join(f"w{k}" for k in range(300)),
+        None,
+        texts["MIT-whole"] + " and then " + texts["BSD-3-Clause-whole"],
+    ]
+    df = documents(spark, docs)
+    rows = licenses.resolve(df, licenses.all_templates(spark)).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.doc_id, {})[r.license] = r
+    assert len(rows) == sum(map(len, found.values()))
+    assert {k: set(v) for k, v in found.items() if k != 2} == {
+        0: {"LGPL-2.1"}, 1: {"ISC"}, 3: {"MIT", "GPL-3.0-or-later"}, 6: {"MIT", "BSD-3-Clause", "All-rights-reserved"},
+    }
+    lgpl = found[0]["LGPL-2.1"]
+    assert (lgpl.kind, lgpl.share, lgpl.first_word) == ("text", 1.0, 0) and lgpl.last_word > 4000
+    assert found[1]["ISC"].share == 1.0 and found[3]["MIT"].kind == "notice"
+    assert "GPL-2.0" in found[2] and 0.1 < found[2]["GPL-2.0"].share < 0.3
+    best = max(r.share for r in found[2].values())
+    assert found[2]["GPL-2.0"].share >= 0.9 * best
+    # the scan itself names every template
+    assert licenses.scan(df, licenses.all_templates(spark)).where("doc_id = 0").count() > 50
