@@ -263,8 +263,8 @@ def _warc_files(file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                record = warc_record(batch.slice(k, 1).to_pylist()[0])
+            for row in (x for at in range(0, batch.num_rows, 64) for x in batch.slice(at, 64).to_pylist()):
+                record = warc_record(row)
                 out.append(record)
                 held += len(record)
                 if held >= file_bytes:
