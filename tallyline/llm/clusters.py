@@ -55,8 +55,14 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def shared(buckets: DataFrame) -> DataFrame:
-    """The rows (key, uid) of buckets with more than one uid, and the number of their rows."""
+def shared(buckets: DataFrame, once: bool = False) -> DataFrame:
+    """The rows (key, uid) of buckets with more than one uid, and the number of their rows.
+
+    ``once`` says that no row is there twice, so that counting tells buckets of more than one.
+    """
+    if once:
+        several = buckets.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
+        return buckets.join(several, "key")
     several = (
         buckets.groupBy("key")
         .agg(F.min("uid").alias("low"), F.max("uid").alias("high"), F.count("*").alias("rows"))

@@ -13,7 +13,12 @@ SEED_REACH neighbours, which two texts share where SEED_REACH + SHINGLE - 1 = 20
 unchanged. Around a seed that another text has too, passages of PASSAGE_WORDS words are laid
 with the seed at each of PLACES, so that one of them lies inside any repeated passage of 65
 words around the seed. Those with the same seed at the same place are aligned, and are joined
-and verified as lines are.
+and verified as lines are. A seed whose surroundings are the same wherever it stands has no
+passages, as all of them are equal.
+
+What is stored per occurrence are its place and two digests. Band keys are stored for one
+line of each class of equal ones, and shingles and sketches of passages are worked out only
+for those that share a seed with another one. Tables are deleted when they have been read.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import arrays
 from tallyline.llm.clusters import linked, shared
 from tallyline.llm.filters import Picker
-from tallyline.llm.storing import stored
+from tallyline.llm.storing import free, stored
 
 LEAST_WORDS = 25
 REACH = 26
@@ -57,10 +62,8 @@ UNIT = (
     "n_shingles int, keys array<long>, sketch array<long>"
 )
 
-PASSAGE_ROW = (
-    "row long, doc_id long, start long, n_words long, lead boolean, key long, d1 long, d2 long, "
-    "n_shingles int, sketch array<long>"
-)
+PASSAGE_ROW = "row long, doc_id long, start long, n_words long, lead boolean, key long, d1 long, d2 long"
+SET_ROW = "uid long, n_shingles int, sketch array<long>, shingles array<long>"
 
 
 @cache
@@ -150,14 +153,42 @@ def _seeds_of(found: arrays.Words, runs: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(texts), np.concatenate(places)
 
 
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2^64."""
+    base = int(arrays.numbers(1, 41)[0])
+    steps = np.full((2, n), base, dtype=np.uint64)
+    steps[1] = pow(base, -1, 1 << 64)
+    steps[:, 0] = 1
+    return tuple(np.multiply.accumulate(steps, axis=1))
+
+
+def _surroundings(found: arrays.Words, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of the words that passages around a seed can hold, and of its place among them."""
+    n = len(hashes) + 1
+    powers, inverse = (p[:n] for p in _powers(1 << max(16, n.bit_length())))
+    total = np.zeros(n, dtype=np.uint64)
+    np.cumsum(arrays.mixed(hashes) * powers[:-1], out=total[1:])
+    start = np.maximum(place - max(PLACES), found.bounds[text])
+    end = np.minimum(place + PASSAGE_WORDS, found.bounds[text + 1])
+    words = (total[end] - total[start]) * inverse[start]
+    return arrays.mixed(words + ((place - start) * 128 + (end - place)).astype(np.uint64))
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for found in arrays.words(batch.column(1), lower=True):
-            runs = arrays.windows(arrays.word_hashes(found), arrays.SHINGLE)
+            hashes = arrays.word_hashes(found)
+            runs = arrays.windows(hashes, arrays.SHINGLE)
             text, place = _seeds_of(found, runs)
+            around = _surroundings(found, hashes, text, place)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(found.first + text)), pa.array(arrays.signed(runs[place]))],
-                names=["row", "seed"],
+                [
+                    batch.column(0).take(pa.array(found.first + text)),
+                    pa.array(arrays.signed(runs[place])),
+                    pa.array(arrays.signed(around)),
+                ],
+                names=["row", "seed", "around"],
             )
 
 
@@ -182,7 +213,6 @@ def _passages(seeds: Picker):
                 text, start, key = _passage_places(found, runs, seeds)
                 one, lead, of = np.unique(start, return_index=True, return_inverse=True)
                 d1, d2 = _digests(hashes, one, one + PASSAGE_WORDS)
-                sets = Sets(runs, one, one + PASSAGE_WORDS)
                 rows, of = pa.array(found.first + text), of.reshape(-1)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -194,10 +224,8 @@ def _passages(seeds: Picker):
                         pa.array(arrays.signed(key)),
                         pa.array(arrays.signed(d1[of])),
                         pa.array(arrays.signed(d2[of])),
-                        pa.array(np.diff(sets.bounds).astype(np.int32)[of]),
-                        _fixed(sets.sketches()[of]),
                     ],
-                    names=["row", "doc_id", "start", "n_words", "lead", "key", "d1", "d2", "n_shingles", "sketch"],
+                    names=["row", "doc_id", "start", "n_words", "lead", "key", "d1", "d2"],
                 )
 
     return run
@@ -284,39 +312,43 @@ def _fixed(table: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(arrays.signed(table.reshape(-1))))
 
 
-def _sets(picker: Picker, seeds: Picker):
+def _picked(picker: Picker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first, second = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             kept = np.flatnonzero(picker.may_want(first, second))
-            if not len(kept):
-                continue
-            rows = batch.take(pa.array(kept))
-            for found in arrays.words(rows.column(2), lower=True):
-                hashes = arrays.word_hashes(found)
-                runs = arrays.windows(hashes, arrays.SHINGLE)
-                text, first, end, _ = natural_ranges(found).T
-                of_passage, start, _ = _passage_places(found, runs, seeds)
-                start, lead = np.unique(start, return_index=True)
-                text = np.concatenate([text, of_passage[lead]])
-                first, end = np.concatenate([first, start]), np.concatenate([end, start + PASSAGE_WORDS])
-                sets = Sets(runs, first, end)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0).take(pa.array(found.first + text)),
-                        pa.array((first - found.bounds[text]).astype(np.int64)),
-                        pa.array((end - first).astype(np.int64)),
-                        lists,
-                    ],
-                    names=["row", "start", "n_words", "shingles"],
-                )
+            if len(kept):
+                yield batch.select([0, 2]).take(pa.array(kept))
 
     return run
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of the wanted ranges of texts, given by their first words, lengths and uids."""
+    for batch in batches:
+        lengths = batch.column(1).value_lengths().to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), lengths)
+        start, n_words, uid = (batch.column(k).flatten().to_numpy() for k in (1, 2, 3))
+        for found in arrays.words(batch.column(0), lower=True):
+            own = slice(*np.searchsorted(row, [found.first, found.first + len(found.edges) - 1]))
+            if own.start == own.stop:
+                continue
+            runs = arrays.windows(arrays.word_hashes(found), arrays.SHINGLE)
+            first = found.bounds[row[own] - found.first] + start[own]
+            sets = Sets(runs, first, first + n_words[own])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(uid[own]),
+                    pa.array(np.diff(sets.bounds).astype(np.int32)),
+                    _fixed(sets.sketches()),
+                    pa.ListArray.from_arrays(
+                        pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
+                    ),
+                ],
+                names=["uid", "n_shingles", "sketch", "shingles"],
+            )
+
+
 def _near(x: str, y: str):
     """Sizes that a link can have, a difference that it cannot exceed, and the first band that agrees.
 
@@ -351,39 +383,46 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     source = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long"), "text")
     units = source.mapInArrow(_units, UNIT).withColumn("uid", F.monotonically_increasing_id())
     units = stored(units, "paragraphs", "kind")
-    lines = units.where(F.col("kind") != WINDOW)
-    windows = units.where(F.col("kind") == WINDOW).select("row", "doc_id", "kind", "start", "n_words", "d1", "d2")
+    place = ["row", "doc_id", "kind", "start", "n_words", "d1", "d2"]
+    windows = units.where(F.col("kind") == WINDOW).select(*place)
     least, last = F.min("row").alias("least"), F.max("row").alias("last")
     again = windows.groupBy("d1", "d2").agg(least, last).where("least <> last")
-    windows = windows.join(again.select("d1", "d2"), ["d1", "d2"])
+    windows = stored(windows.join(again.select("d1", "d2"), ["d1", "d2"]), "windows")
     windows = windows.withColumnsRenamed({"d1": "cluster", "d2": "part"})
-    line_classes = stored(lines.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
-    one = lines.join(line_classes.select("uid"), "uid", "left_semi")
+    natural = units.where(F.col("kind") != WINDOW)
+    lines = stored(natural.select(*place), "lines")
+    line_classes = stored(natural.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
+    one = natural.join(line_classes.select("uid"), "uid", "left_semi")
     one = stored(one.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
-    members = stored(shared(one.select("uid", F.explode("keys").alias("key"))), "members")
-    seeds = source.select("row", "text").mapInArrow(_seeds, "row long, seed long")
-    common = seeds.groupBy("seed").agg(least, last).where("least <> last").select("seed")
-    seeds = Picker(stored(common, "seeds"))
-    passages = source.mapInArrow(_passages(seeds), PASSAGE_ROW)
+    free(units)
+    members = stored(shared(one.select("uid", F.explode("keys").alias("key")), once=True), "members")
+
+    seeds = source.select("row", "text").mapInArrow(_seeds, "row long, seed long, around long")
+    near, far = F.min("around").alias("near"), F.max("around").alias("far")
+    differing = seeds.groupBy("seed").agg(least, last, near, far).where("least <> last and near <> far")
+    differing = stored(differing.select("seed"), "seeds")
+    passages = source.mapInArrow(_passages(Picker(differing)), PASSAGE_ROW)
     passages = passages.withColumn("uid", F.monotonically_increasing_id() + F.lit(PASSAGE_UID))
     passages = stored(passages, "passages")
+    free(differing)
     passage_classes = stored(
         passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes"
     )
     keyed = passages.select("d1", "d2", "key").distinct().join(passage_classes, ["d1", "d2"]).select("uid", "key")
-    passage_members = stored(shared(keyed), "passage-members")
+    passage_members = stored(shared(keyed, once=True), "passage-members")
     one_passage = passages.join(passage_members.select("uid").distinct(), "uid", "left_semi")
-    one_passage = one_passage.select(*[c if c != "keys" else F.lit(None).cast("array<long>").alias(c) for c in one.columns])
-    one = one.unionByName(stored(one_passage, "one-passage-each"))
     members = members.unionByName(passage_members)
-    wanted = one.join(members.select("uid").distinct(), "uid", "left_semi")
-    wanted = wanted.select("row", "start", "n_words", "uid")
-    wanted = stored(wanted, "wanted")
-    picker = Picker(wanted.select("row").distinct())
-    sets = source.select("row", F.xxhash64("row"), "text").mapInArrow(
-        _sets(picker, seeds), "row long, start long, n_words long, shingles array<long>"
+
+    wanted = one.select("uid", "row", "start", "n_words").unionByName(one_passage.select("uid", "row", "start", "n_words"))
+    wanted = wanted.join(members.select("uid").distinct(), "uid", "left_semi")
+    ranges = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n_words", "uid")).alias("ranges"))
+    ranges = stored(ranges, "wanted")
+    # a row may be there more than once
+    texts = source.select("row", F.xxhash64("row"), "text").mapInArrow(
+        _picked(Picker(ranges.select("row"))), "row long, text string"
     )
-    sets = sets.join(wanted, ["row", "start", "n_words"]).groupBy("uid").agg(F.first("shingles").alias("shingles"))
+    texts = texts.join(ranges, "row").groupBy("row").agg(F.first("text").alias("text"), F.first("ranges").alias("ranges"))
+    sets = texts.select("text", "ranges.start", "ranges.n_words", "ranges.uid").mapInArrow(_sets, SET_ROW)
     sets = stored(sets, "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -395,15 +434,19 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
 
     words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
     bands = [F.col("keys")[k].alias(f"k{k}") for k in range(tuned_bands())]
-    traits = one.select("uid", F.col("n_shingles").alias("n"), *words, *bands)
+    of_lines = one.join(members.select("uid").distinct(), "uid", "left_semi")
+    none = F.lit(None).cast("array<long>").alias("keys")
+    of_passages = sets.where(F.col("uid") >= PASSAGE_UID).select("uid", "n_shingles", "sketch", none)
+    traits = of_lines.select("uid", "n_shingles", "sketch", "keys").unionByName(of_passages)
+    traits = traits.select("uid", F.col("n_shingles").alias("n"), *words, *bands)
     labels = linked(members, traits, _near, confirm, ROUNDS)
     named = line_classes.join(labels, "uid", "left").withColumn("cluster", F.coalesce("component", "uid"))
     named = stored(named, "named")
     several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
     of_line = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
-    lines = lines.select("row", "doc_id", "kind", "start", "n_words", "d1", "d2").join(of_line, ["d1", "d2"])
-    lines = lines.drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
+    lines = lines.join(of_line, ["d1", "d2"]).drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
     named = stored(passage_classes.join(labels, "uid").withColumnRenamed("component", "cluster"), "named-passages")
+    free(one, sets, ranges)
     several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
     of_passage = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
     passages = passages.where("lead").join(of_passage, ["d1", "d2"])

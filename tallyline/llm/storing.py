@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tallyline.sources.keyed import remove
 from tallyline.sources.workspace import new_path
 
 
@@ -12,4 +13,12 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_path = path
+    return back
+
+
+def free(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these frames, once nothing that reads them is still to come."""
+    for df in frames:
+        remove(df.sparkSession, df.stored_path)
