@@ -26,6 +26,8 @@ SCALE = 1024
 RANGE_ROWS = 8192
 GROUP_QUERIES = 1024
 BLOCK = 1024
+# Ranges of the length that queries need of a vector, by which they are grouped.
+NEEDS = 64
 # Longest vectors that give each query its first limit.
 FIRST = 2048
 # Shares of the coordinates after which partial sums are tested.
@@ -231,9 +233,16 @@ def top_k(vectors: DataFrame, column: str = "embedding", every: int = 100, k: in
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     # queries that need vectors of like length share a group, so that groups can do without short ones
     groups = max(1, -(-n_queries // GROUP_QUERIES))
-    queries = queries.withColumn("length", length).withColumn("need", F.try_divide("least", "length"))
-    queries = queries.repartitionByRange(groups, F.desc_nulls_last("need"), "uid")
-    queries = stored(queries.withColumn("part", F.spark_partition_id()).drop("need"), "queries")
+    need = F.coalesce(F.try_divide("least", "length"), F.lit(float("inf")))
+    queries = stored(queries.withColumn("length", length).withColumn("need", need), "asked")
+    bands = min(groups, NEEDS)
+    bounds = []
+    if bands > 1:
+        shares = F.array(*[F.lit(x / bands) for x in range(1, bands)])
+        bounds = queries.agg(F.percentile_approx("need", shares, F.lit(10_000))).first()[0] or []
+    band = sum((F.when(F.col("need") >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
+    each = -(-groups // bands)
+    queries = queries.withColumn("part", (band * each + F.pmod(F.xxhash64("uid"), F.lit(each))).cast("int")).drop("need")
     ordered = rows.repartitionByRange(ranges, F.desc("length"), "vec_id", "uid")
     ordered = stored(ordered.withColumn("range", F.spark_partition_id()), "ranges")
     longest_of = ordered.groupBy("range").agg(F.max("length").alias("longest"))
