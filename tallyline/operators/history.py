@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tallyline.functions.protection import checksum_md5
 from tallyline.operators.governance import OPEN_END
@@ -48,52 +48,80 @@ def _departures(departed: DataFrame | None, like: DataFrame) -> DataFrame:
     return departed.select(F.col(KEY).cast(like.schema[KEY].dataType), F.col(START).cast(like.schema[START].dataType))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The rows without what can be worked out again: surrogate keys made here, and the text of hexadecimal hashes."""
+    own = F.coalesce(F.col(SURROGATE) == surrogate_key(), F.lit(False))
+    rows = rows.withColumns({"__own": own, SURROGATE: F.when(~own, F.col(SURROGATE))})
+    for k, c in enumerate(_hashes(rows)):
+        code = F.unhex(c)
+        rows = rows.withColumns({f"__code{k}": code, c: F.when(F.lower(F.hex(code)) == F.col(c), None).otherwise(F.col(c))})
+    return rows
+
+
+def _unpacked(rows: DataFrame) -> DataFrame:
+    """What ``_packed`` was given."""
+    hashes = _hashes(rows)
+    rows = rows.withColumns({c: F.coalesce(c, F.lower(F.hex(f"__code{k}"))) for k, c in enumerate(hashes)})
+    rows = rows.withColumn(SURROGATE, F.when(F.col("__own"), surrogate_key()).otherwise(F.col(SURROGATE)))
+    return rows.drop("__own", *[f"__code{k}" for k in range(len(hashes))])
+
+
+def _hashes(rows: DataFrame) -> list[str]:
+    return [c for c in (CHANGE, CHECKSUM) if c in rows.columns and isinstance(rows.schema[c].dataType, StringType)]
+
+
 def _timeline(
     stored: DataFrame, incoming: DataFrame, departed: DataFrame, known: DataFrame | None = None
 ) -> DataFrame:
-    """All events of the keys, each with its end, after a batch.
+    """All events of the keys, each with its end, after a batch; rows of keys without events in it as they were.
 
     ``known`` are departures stored before. Added columns: ``__fresh`` for events of the
     batch, ``__gone`` for departures, ``__end`` and ``__open``, the end and state that the row
     had before. A version equal to the event before it and a departure of what is not there are
-    no events.
+    no events. Rows are dealt out by key once, for all steps.
     """
     columns = stored.columns
-    follows = F.lead(START).over(Window.partitionBy(KEY).orderBy(START))
-    left = ~F.col(CURRENT) & ~F.coalesce(F.col("__next") == F.col(END), F.lit(False))
-    own = [*[F.col(c) for c in columns], F.lit(False).alias("__fresh"), F.lit(False).alias("__gone")]
-    nothing = [
-        (F.col(KEY) if c == KEY else F.col(END) if c == START else F.lit(None)).cast(stored.schema[c].dataType).alias(c)
-        for c in columns
-    ]
-    row = F.struct(*own, F.col(END).alias("__end"), F.col(CURRENT).alias("__open"))
-    gap = F.struct(
-        *nothing, F.lit(False).alias("__fresh"), F.lit(True).alias("__gone"),
-        F.lit(None).cast(stored.schema[END].dataType).alias("__end"), F.lit(None).cast("boolean").alias("__open"),
-    )
-    # a row, and where it ends without a next one the departure after it, from one reading of the rows
-    with_next = stored.withColumn("__next", follows)
-    events = with_next.select(F.inline(F.when(left, F.array(row, gap)).otherwise(F.array(row))))
+    kind = stored.schema[END].dataType
 
-    def leaving(events: DataFrame, fresh: bool) -> DataFrame:
-        return events.select(KEY, START, F.lit(fresh).alias("__fresh"), F.lit(True).alias("__gone"))
+    def events_of(rows: DataFrame, fresh: bool, gone: bool) -> DataFrame:
+        return rows.withColumns({"__fresh": F.lit(fresh), "__gone": F.lit(gone)})
 
-    fresh = first_versions(incoming).select(*columns, F.lit(True).alias("__fresh"), F.lit(False).alias("__gone"))
-    for part in (fresh, leaving(departed, True), *([] if known is None else [leaving(known, False)])):
+    events = events_of(_packed(stored), False, False)
+    # a new version's surrogate key is made after the rows have moved
+    fresh = _packed(incoming.withColumn(SURROGATE, F.lit(None).cast("string"))).withColumn("__own", F.lit(True))
+    parts = [events_of(fresh, True, False), events_of(departed, True, True)]
+    for part in [*parts, *([] if known is None else [events_of(known, False, True)])]:
         events = events.unionByName(part, allowMissingColumns=True)
+    events = _unpacked(events.repartition(KEY).withColumn("__own", F.coalesce("__own", F.lit(False))))
+
+    row = ~F.col("__fresh") & ~F.col("__gone")
+    rows_first = Window.partitionBy(KEY).orderBy(row.desc(), START, END)
+    follows = F.lead(F.when(row, F.col(START))).over(rows_first)
+    events = events.withColumns({"__next": follows, "__named": F.bool_or("__fresh").over(Window.partitionBy(KEY))})
+    left = row & F.col("__named") & ~F.col(CURRENT) & ~F.coalesce(F.col("__next") == F.col(END), F.lit(False))
+    # a row, and where it ends without a next one the departure after it, from one reading of the rows
+    both = F.array(F.lit(False), F.lit(True))
+    events = events.withColumn("__gap", F.explode(F.when(left, both).otherwise(F.array(F.lit(False)))))
+    at = F.when(F.col("__gap"), F.col(END).cast(stored.schema[START].dataType)).otherwise(F.col(START))
+    values = {c: F.when(~F.col("__gap"), F.col(c)) for c in columns if c not in (KEY, START)}
+    old = {"__end": F.when(row & ~F.col("__gap"), F.col(END)), "__open": F.when(row & ~F.col("__gap"), F.col(CURRENT))}
+    events = events.withColumns(values | old | {START: at, "__gone": F.col("__gone") | F.col("__gap")})
+
     by_start = Window.partitionBy(KEY).orderBy(START, "__fresh", CHANGE)
     state = F.struct("__gone", CHANGE)
     events = events.withColumn("__before", F.lag(state).over(by_start))
     same = F.col("__before").eqNullSafe(state)
     nothing_left = F.col("__gone") & F.col("__before").isNull()
     events = events.filter(~((F.col("__fresh") | F.col("__gone")) & (same | nothing_left)))
-    kind = stored.schema[END].dataType
-    return events.withColumn("__next", F.lead(START).over(by_start)).withColumns(
+    after = events.withColumn("__next", F.lead(START).over(by_start))
+    end = F.coalesce(F.col("__next"), F.lit(OPEN_END)).cast(kind)
+    after = after.withColumns(
         {
-            END: F.coalesce(F.col("__next"), F.lit(OPEN_END).cast(kind)),
-            CURRENT: F.col("__next").isNull(),
+            END: F.when(F.col("__named"), end).otherwise(F.col(END)),
+            CURRENT: F.when(F.col("__named"), F.col("__next").isNull()).otherwise(F.col(CURRENT)),
         }
     )
+    return after.select(*columns, "__fresh", "__gone", "__end", "__open")
 
 
 def scd2_merge(history: DataFrame, incoming: DataFrame, departed: DataFrame | None = None) -> DataFrame:
@@ -104,15 +132,12 @@ def scd2_merge(history: DataFrame, incoming: DataFrame, departed: DataFrame | No
     version that arrives late becomes a closed row between its neighbours. ``departed`` (key,
     start) closes the version that holds at that time; a record that comes back has a new
     version even if it has not changed. Running the same batch again changes nothing. NULL is a
-    key like others. Rows of keys that the batch does not name pass through; only keys are
-    needed to find them.
+    key like others. Rows of keys that the batch does not name pass through as they are. History
+    and batch are dealt out by key once, whatever their sizes; ``merge_stored`` is for batches
+    that are small beside the history.
     """
-    columns = history.columns
-    leaving = _departures(departed, history)
-    keys = incoming.select(KEY).union(leaving.select(KEY))
-    touched = keyed.of_keys(history, keys, KEY)
-    after = _timeline(touched, incoming, leaving).filter(~F.col("__gone"))
-    return keyed.of_keys(history, keys, KEY, "left_anti").select(*columns).unionByName(after.select(*columns))
+    after = _timeline(history, incoming, _departures(departed, history)).filter(~F.col("__gone"))
+    return after.select(*history.columns)
 
 
 def closed_rows(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame | None:

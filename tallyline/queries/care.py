@@ -216,7 +216,8 @@ def scd2_merge(spark, folder):
     ]
     state = history.first_versions(versions(early, F.col("created_date")))
     for batch in batches:
-        state = write_path(history.scd2_merge(state, batch), new_path(spark, "merged"))
+        # hexadecimal hashes are most of a row, and zstd halves them
+        state = write_path(history.scd2_merge(state, batch), new_path(spark, "merged"), codec="zstd")
     return state.drop(history.SURROGATE, history.CHANGE)
 
 

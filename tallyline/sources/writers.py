@@ -55,15 +55,18 @@ def write_path(
     fmt: str = "parquet",
     partition_by: Sequence[str] | None = None,
     even: bool = False,
+    codec: str | None = None,
 ) -> DataFrame:
     """Write under a path and return the stored table.
 
     ``even`` groups rows by the partition columns first. It costs a shuffle and
-    pays when every task holds many partition values; few values need none.
+    pays when every task holds many partition values; few values need none. ``codec`` is
+    the compression of the files, the session's by default.
     """
     if partition_by and even:
         df = even_files(df, *partition_by)
-    _writer(without_empty(df, partition_by or ()), mode, fmt, partition_by).save(path)
+    writer = _writer(without_empty(df, partition_by or ()), mode, fmt, partition_by)
+    (writer if codec is None else writer.option("compression", codec)).save(path)
     return read_back(df, path, fmt, whole=mode != "append")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyline.operators import digests, history, reconciliation
 from tallyline.plans import amendments
 from tallyline.sources import keyed
-from tests.plans import planned
+from tests.plans import at_scale, planned
 
 START = dt.datetime(2024, 1, 1)
 END = dt.datetime(9999, 12, 31, 23, 59, 59)
@@ -241,3 +241,30 @@ def test_only_differing_partitions_are_read_again(spark, tmp_path):
     pruned = [line for line in planned(found).splitlines() if "FileScan" in line]
     assert pruned
     assert all(f"(part#" in line and f"= {part})" in line.split("PartitionFilters")[1] for line in pruned)
+
+
+def test_a_merge_moves_rows_once_and_packed(spark):
+    """One exchange whatever the sizes; hashes of any form, surrogate keys of others and keys not named stay as they are."""
+    odd = ["AB12", "0a1", "zz", "", None, "ab12"]
+    rows = spark.createDataFrame([(k, START, f"v{k}", h) for k, h in enumerate(odd)] + [(None, START, "n", "00")], VERSION)
+    old = history.first_versions(rows).withColumn(
+        history.SURROGATE, F.expr("CASE business_key WHEN 1 THEN 'mine' WHEN 2 THEN NULL ELSE surrogate_key END")
+    )
+    # no open row and an end of its own, but not in the batch
+    lone = history.first_versions(batch(spark, [(70, 1, "x")])).withColumns(
+        {"is_current": F.lit(None).cast("boolean"), "effective_end_date": F.lit(None).cast("timestamp_ntz")}
+    )
+    old = old.unionByName(lone)
+    old = spark.createDataFrame(old.collect(), old.schema)
+    merged = history.scd2_merge(old, batch(spark, [(0, 5, "ff00")]))
+    found = {(r.business_key, r.change_hash): r for r in merged.collect()}
+    before = {(r.business_key, r.change_hash): r for r in old.collect()}
+    fresh = found.pop((0, "ff00"))
+    assert fresh.surrogate_key == history.first_versions(batch(spark, [(0, 5, "ff00")])).first().surrogate_key
+    closed, was = found.pop((0, "AB12")), before.pop((0, "AB12"))
+    assert closed.surrogate_key == was.surrogate_key and not closed.is_current
+    assert found == before
+
+    with at_scale(spark):
+        plan = planned(history.scd2_merge(old, batch(spark, [(0, 5, "ff00")]), departures(spark, [(1, 4)])))
+    assert plan.count("Exchange hashpartitioning") == 1
