@@ -193,7 +193,7 @@ def merge_stored(
     done = keyed.runs(spark, path)
     if done:
         events = incoming.select(KEY, START).unionByName(leaving)
-        mine = write_path(keyed.heads(spark, path, schema, KEY, events, fmt), f"{staging}/heads", fmt=fmt)
+        mine = write_path(keyed.heads(spark, path, schema, KEY, events, fmt), f"{staging}/heads", fmt=fmt, codec=keyed.codec(fmt))
         stored = mine.filter(~F.col(keyed.GONE)).drop(keyed.GONE)
         known = mine.filter(keyed.GONE).select(KEY, START)
         first = events.groupBy(F.col(KEY).alias("__key")).agg(F.min(START).alias("__first"))
@@ -213,7 +213,7 @@ def merge_stored(
             "__replaced": F.coalesce(~F.col("__open") & moved, F.lit(False)),
         }
     )
-    changed = write_path(after.filter("__head or __closed"), f"{staging}/changes", fmt=fmt)
+    changed = write_path(after.filter("__head or __closed"), f"{staging}/changes", fmt=fmt, codec=keyed.codec(fmt))
     sums = [F.coalesce(F.sum(F.col(c).cast("int")), F.lit(0)) for c in ("__head", "__closed", "__replaced")]
     n_heads, n_closed, n_replaced = changed.agg(*sums).first()
     if not done or n_heads or n_closed:
@@ -238,7 +238,7 @@ def _write_run(
         if count:
             rows = changed.filter(f"__{part}").select(*columns)
             rows = rows.sortWithinPartitions(END) if part == CLOSED else rows
-            rows.write.format(fmt).mode("overwrite").save(folder)
+            keyed.writer(rows, fmt).save(folder)
         else:
             keyed.remove(spark, folder)  # what a failed run may have left
     keyed.finish(spark, path, run)

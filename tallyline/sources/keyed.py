@@ -71,6 +71,17 @@ def finish(spark: SparkSession, path: str, run: Run) -> None:
     files.create(marker, False).close()
 
 
+def codec(fmt: str) -> str | None:
+    """Compression of stored rows, much of which are keys and hashes that zstd halves."""
+    return "zstd" if fmt == "parquet" else None
+
+
+def writer(rows: DataFrame, fmt: str):
+    """A writer in place of what is there."""
+    out = rows.write.format(fmt).mode("overwrite")
+    return out.option("compression", codec(fmt)) if codec(fmt) else out
+
+
 def folder_of(path: str, part: str, number: int) -> str:
     return f"{path}/{part}/{RUN}={number:08d}"
 
@@ -124,10 +135,14 @@ def heads(
 
 
 def of_keys(rows: DataFrame, keys: DataFrame | None, key: str, how: str = "left_semi") -> DataFrame:
-    """Rows whose key is among the keys (or is not), NULL being a key like others."""
+    """Rows whose key is among the keys (or is not), NULL being a key like others.
+
+    Keys may repeat: neither join needs them once, and making them so would take a shuffle and
+    a table of them in each task.
+    """
     if keys is None:
         return rows
-    named = keys.select(F.col(key).alias("__key")).distinct()
+    named = keys.select(F.col(key).alias("__key"))
     return rows.join(named, rows[key].eqNullSafe(named["__key"]), how)
 
 
@@ -140,7 +155,7 @@ def write_heads(
     """
     spark = changed.sparkSession
     if runs(spark, path):
-        changed.write.format(fmt).mode("overwrite").save(folder_of(path, CHANGES, number))
+        writer(changed, fmt).save(folder_of(path, CHANGES, number))
         return Run(number, 0)
     return _write_base(changed, path, key, number, buckets or 1 + size_of(changed) // BUCKET_BYTES, fmt)
 
@@ -152,7 +167,7 @@ def size_of(stored: DataFrame) -> int:
 
 def _write_base(rows: DataFrame, path: str, key: str, number: int, buckets: int, fmt: str) -> Run:
     placed = even_files(rows.withColumn(BUCKET, key_bucket(key, buckets)), BUCKET)
-    placed.write.format(fmt).mode("overwrite").partitionBy(BUCKET).save(folder_of(path, BASE, number))
+    writer(placed, fmt).partitionBy(BUCKET).save(folder_of(path, BASE, number))
     return Run(number, buckets)
 
 

@@ -268,3 +268,24 @@ def test_a_merge_moves_rows_once_and_packed(spark):
     with at_scale(spark):
         plan = planned(history.scd2_merge(old, batch(spark, [(0, 5, "ff00")]), departures(spark, [(1, 4)])))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_keys_are_dealt_out_once(spark):
+    """Keys that repeat, and NULL, find and leave out rows without an aggregate of their own."""
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k long, v string")
+    keys = spark.createDataFrame([(1,), (1,), (None,), (None,), (3,)], "k long")
+    with at_scale(spark):
+        for how, expected in (("left_semi", ["a", "n"]), ("left_anti", ["b"])):
+            found = keyed.of_keys(rows, keys, "k", how)
+            plan = planned(found)
+            assert plan.count("Exchange hashpartitioning") == 2 and "Aggregate" not in plan
+            assert sorted(r.v for r in found.collect()) == expected
+
+
+def test_stored_rows_are_small(spark, tmp_path):
+    """All files of heads, changes and closed rows are written with zstd."""
+    path = tmp_path / "h"
+    for n, value in enumerate("ab"):
+        history.merge_stored(batch(spark, [(1, n, value), (2, 0, "a")]), str(path), str(tmp_path / f"s{n}"))
+    assert {p.suffixes[-2] for p in files(path)} == {".zstd"}
+    assert files(path / "closed")
