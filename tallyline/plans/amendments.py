@@ -465,7 +465,9 @@ def upsert_stored(
     rows = fresh
     if done:
         known = keyed.heads(spark, path, incoming.schema, key, incoming, fmt)
-        rows = rows.unionByName(known.withColumn("__fresh", F.lit(0)))
+        # dealt out before they are ranked: sorting for the ranking in the tasks that join would
+        # add to their memory, and the known rows are one per key already
+        rows = rows.unionByName(known.withColumn("__fresh", F.lit(0))).repartition(key)
     # a mark of a key that was never there is kept too: its row may arrive later
     order = [*newest, F.asc("__fresh")]
     changed = latest_per_key(rows, [key], order).filter("__fresh = 1").drop("__fresh")
