@@ -61,7 +61,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
         if not parts:
             continue
-        total = pa.concat_tables(parts).group_by(["g", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+        # one thread: each further one would hold terms of its own
+        total = pa.concat_tables(parts).group_by(["g", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
         yield from pa.table(
             {
                 "lang": heads["lang"].take(total["g"]),
