@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 # Characters after which a text is cut at the next safe place.
 CUT_AT = 1 << 16
 # Texts are handed back to Spark in runs of about this many characters.
-RUN_CHARS = 1 << 22
+RUN_CHARS = 1 << 20
 
 
 @cache

@@ -94,3 +94,11 @@ def test_long_texts_are_cut_where_no_match_reaches_across():
     pieces = list(bpe.cut(text, 200))
     assert len(pieces) > 20
     assert [x for p in pieces for x in plain.encode_ordinary(p)] == plain.encode_ordinary(text)
+
+
+def test_a_run_of_texts_is_small():
+    """Ids are handed on for about a million characters at a time, however many texts a batch holds."""
+    texts = pa.RecordBatch.from_pydict({"text": ["ab " * 200_000] * 6})
+    found = list(bpe._encode(RANKS, public_tokenizers.PATTERN, 0)(iter([texts])))
+    assert [b.num_rows for b in found] == [2, 2, 2]
+    assert len({tuple(x) for b in found for x in b.column(1).to_pylist()}) == 1
