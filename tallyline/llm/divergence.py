@@ -33,6 +33,8 @@ LEAST_DOCS = 30
 SMOOTHING = 5
 SCALE = 1_000_000_000
 TOP = 50
+# Terms of texts that a task gathers before it adds them up; Spark adds up what it hands on.
+GATHERED = 1 << 19
 # Rows of one group that a task gathers before it cuts them down to their skyband.
 BUFFER = 1 << 14
 # Parts of a group's terms whose skybands are merged before the last ranking.
@@ -46,7 +48,7 @@ SUMS = "lang string, a int, b int, value long"
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences, and documents, of each term in the groups of a batch."""
+    """Occurrences, and documents, of each term in the groups of a batch, in parts of about GATHERED terms of texts."""
     for batch in batches:
         groups = pa.table({"lang": batch.column(0), "source": batch.column(1)})
         groups = groups.append_column("row", pa.array(np.arange(batch.num_rows)))
@@ -54,24 +56,33 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = np.zeros(batch.num_rows, dtype=np.int64)
         lists = heads["row_list"].combine_chunks()
         group[lists.flatten().to_numpy()] = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-        parts = []
+        parts, gathered = [], 0
         for first, row, term, count, _ in terms.per_text(batch.column(2), BETWEEN):
             parts.append(
                 pa.table({"g": group[first + row], "term": term, "n": count, "docs": np.ones(len(count), np.int64)})
             )
-        if not parts:
-            continue
-        # one thread: each further one would hold terms of its own
-        total = pa.concat_tables(parts).group_by(["g", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+            gathered += len(count)
+            if gathered >= GATHERED:
+                yield from _added(parts, heads)
+                parts, gathered = [], 0
+        if parts:
+            yield from _added(parts, heads)
+
+
+def _added(parts: list[pa.Table], heads: pa.Table) -> Iterator[pa.RecordBatch]:
+    # one thread: each further one would hold terms of its own
+    total = pa.concat_tables(parts).group_by(["g", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    for at in range(0, len(total), 1 << 16):
+        part = total.slice(at, 1 << 16)
         yield from pa.table(
             {
-                "lang": heads["lang"].take(total["g"]),
-                "source": heads["source"].take(total["g"]),
-                "term": pc.cast(pc.cast(total["term"], pa.binary()), pa.string()),
-                "n": total["n_sum"],
-                "docs": total["docs_sum"],
+                "lang": heads["lang"].take(part["g"]),
+                "source": heads["source"].take(part["g"]),
+                "term": pc.cast(pc.cast(part["term"], pa.binary()), pa.string()),
+                "n": part["n_sum"],
+                "docs": part["docs_sum"],
             }
-        ).to_batches(1 << 16)
+        ).to_batches()
 
 
 def group_counts(docs: DataFrame) -> DataFrame:

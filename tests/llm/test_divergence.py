@@ -69,6 +69,20 @@ def test_audit_agrees_with_all_shares(spark, seed, top):
     assert found(divergence.audit(frame(spark, docs).repartition(9), 12, top)) == expected
 
 
+def test_terms_of_a_batch_are_added_up_in_parts(monkeypatch):
+    docs = [("en", f"s{k % 2}", f"every text {chr(97 + k)}") for k in range(20)]
+    batch = divergence.pa.RecordBatch.from_arrays([*map(divergence.pa.array, zip(*docs, strict=True))], ["lang", "source", "text"])
+    monkeypatch.setattr(divergence, "GATHERED", 8)
+    monkeypatch.setattr(divergence.terms.arrays, "PIECE_BYTES", 24)
+    parts = [part.to_pylist() for part in divergence._counted(iter([batch]))]
+    assert len(parts) == 5 and max(map(len, parts)) <= 12
+    total = Counter()
+    for row in sum(parts, []):
+        total[row["source"], row["term"]] += row["n"]
+        assert row["n"] == row["docs"]
+    assert total["s0", "every"] == total["s1", "text"] == 10 and sum(total.values()) == 60
+
+
 def test_small_buffers_and_blocks(spark, monkeypatch):
     docs = made(3)
     expected = plain(docs, 5, 6)
