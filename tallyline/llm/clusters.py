@@ -14,18 +14,33 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.storing import stored
+from tallyline.llm.storing import free, stored
 
 Near = Callable[[str, str], Column]
 
+# Rounds by which rows are named before they are compared further.
+SOME_ROUNDS = 2
+
 
 def components(links: DataFrame) -> DataFrame:
-    """(uid, component) of every node of ``links`` (a, b); a component is named by its smallest node.
+    """(uid, component) of every node of ``links`` (a, b); a component is named by its smallest node."""
+    return named_by_least(contracted(links))
+
+
+def named_by_least(edges: DataFrame) -> DataFrame:
+    """(uid, component) of every node of ``contracted`` links."""
+    ends = edges.select(F.col("b").alias("uid"), F.col("b").alias("component")).distinct()
+    return edges.select(F.col("a").alias("uid"), F.col("b").alias("component")).union(ends)
+
+
+def contracted(links: DataFrame, most: int | None = None) -> DataFrame:
+    """Links (a, b) that join the same nodes, from each node to the smallest one of its component.
 
     Each round hands the larger neighbours of a node to its smallest one and then joins
     the smaller ones there (large-star and small-star), which takes few rounds whatever the
     shape. Rounds are written to the shared folder; only a count and a sum reach the driver.
-    No links give no rows, and links of a node with itself are ignored.
+    No links give no rows, and links of a node with itself are ignored. After ``most`` rounds
+    links that do not lead to the smallest node yet are returned as they are.
     """
     edges = stored(
         links.where("a <> b")
@@ -33,22 +48,22 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    state = _state(edges)
-    while state[0]:
+    state, rounds = _state(edges), 0
+    while state[0] and rounds != most:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.union(edges.join(least, "a").select("a", F.col("m").alias("b")))
         large = stored(large.where("a <> b").distinct(), "edges")
+        free(edges)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = stored(small.union(least).distinct(), "edges")
-        before, state = state, _state(edges)
+        free(large)
+        before, state, rounds = state, _state(edges), rounds + 1
         if state == before:
             break
-    return edges.select(F.col("a").alias("uid"), F.col("b").alias("component")).union(
-        edges.select(F.col("b").alias("uid"), F.col("b").alias("component")).distinct()
-    )
+    return edges
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -110,6 +125,43 @@ def linked(
     return components(stored(links.union(confirm(stored(pairs, "rest-pairs"))), "links"))
 
 
+def linked_by_stars(
+    stars: DataFrame, members: DataFrame, traits: DataFrame, near: Near, confirm: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """(uid, component) as ``linked`` gives them, where buckets hold many families of many rows.
+
+    ``stars`` are buckets (key, uid) finer than those of ``members``, mostly of one family each;
+    the rows of each are compared with the smallest one. ``near`` does not look at the key, and all
+    pairs are put to it before ``confirm`` is. Components are worked out of those found before.
+    """
+    several = stars.groupBy("key").agg(F.min("uid").alias("center"), F.count("*").alias("rows")).where("rows > 1")
+    pairs = stored(_with_center(stars.join(several, "key")).distinct(), "star-pairs")
+    sides = [traits.select(*[F.col(c).alias(f"{x}{c}") for c in traits.columns]) for x in "xy"]
+    tested = pairs.join(sides[0], F.col("a") == F.col("xuid")).join(sides[1], F.col("b") == F.col("yuid"))
+    tested = stored(tested.where(near("x", "y")).select("a", "b"), "near-pairs")
+    free(pairs)
+    # not to the end, as what these rounds leave apart costs only further comparisons
+    edges = contracted(confirm(tested), SOME_ROUNDS)
+    known = stored(named_by_least(edges).groupBy("uid").agg(F.min("component").alias("component")), "known")
+    named = members.select("key", "uid").join(known, "uid", "left")
+    named = stored(named.withColumn("component", F.coalesce("component", "uid")), "named")
+    rest = stored(_mixed(named), "apart")
+    free(named)
+    pairs = _across(rest.join(traits, "uid"), near).distinct().join(tested, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "rest-pairs")
+    free(rest, tested)
+    links = edges.union(confirm(pairs))
+    for x in "ab":
+        links = links.join(known.select(F.col("uid").alias(x), F.col("component").alias(f"{x}_known")), x, "left")
+    links = links.select(F.coalesce("a_known", "a").alias("a"), F.coalesce("b_known", "b").alias("b"))
+    joined = components(links)
+    free(pairs, edges)
+    known = known.union(joined.select("uid", F.col("uid").alias("component")))
+    known = known.groupBy("uid").agg(F.min("component").alias("known"))
+    joined = joined.select(F.col("uid").alias("known"), "component")
+    return known.join(joined, "known", "left").select("uid", F.coalesce("component", "known").alias("component"))
+
+
 def _with_center(rows: DataFrame) -> DataFrame:
     pairs = rows.where("uid <> center")
     return pairs.select(F.least("center", "uid").alias("a"), F.greatest("center", "uid").alias("b"))

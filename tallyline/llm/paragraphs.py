@@ -17,14 +17,15 @@ and verified as lines are. A seed whose surroundings are the same wherever it st
 passages, as all of them are equal.
 
 What is stored per occurrence are its place and two digests. Band keys are stored for one
-line of each class of equal ones, and shingles and sketches of passages are worked out only
-for those that share a seed with another one. Tables are deleted when they have been read.
+line of each class of equal ones, and sketches of passages for one of each class that shares a
+seed with another one. Shingles are worked out from the texts again for a share of the pairs at
+a time, of those that sketches leave. Tables are deleted when they have been read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import arrays
-from tallyline.llm.clusters import linked, shared
+from tallyline.llm.clusters import linked_by_stars, shared
 from tallyline.llm.filters import Picker
 from tallyline.llm.storing import free, stored
 
@@ -41,8 +42,10 @@ REACH = 26
 SIMILARITY = 0.75
 RECALL = 1 - 1e-6
 ROWS = 2
-# Rows of a bucket that all others are compared with before pairs are listed.
-ROUNDS = 2
+# Least hashes of a passage, by which those with one seed are dealt out before pairs are listed.
+HASHES = 3
+# Shares of the pairs whose shingles are there at a time.
+BATCHES = 3
 
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
 SKETCH_WORDS = 4
@@ -63,7 +66,8 @@ UNIT = (
 )
 
 PASSAGE_ROW = "row long, doc_id long, start long, n_words long, lead boolean, key long, d1 long, d2 long"
-SET_ROW = "uid long, n_shingles int, sketch array<long>, shingles array<long>"
+TRAITS_ROW = "uid long, n_shingles int, sketch array<long>, least array<long>"
+SET_ROW = "uid long, shingles array<long>"
 
 
 @cache
@@ -103,6 +107,13 @@ class Sets:
         salt = arrays.numbers(least.shape[1], 12)
         return arrays.mixed((least * arrays.numbers(ROWS, 13)).sum(axis=2, dtype=np.uint64) ^ salt)
 
+    def least(self) -> np.ndarray:
+        """A row of HASHES least hashes for each line."""
+        if len(self.bounds) == 1:
+            return np.zeros((0, HASHES), dtype=np.uint64)
+        values = arrays.numbers(HASHES, 51)
+        return np.stack([np.minimum.reduceat(arrays.mixed(self.values ^ f), self.bounds[:-1]) for f in values], axis=1)
+
     def sketches(self) -> np.ndarray:
         """A row of SKETCH_WORDS words for each line: parities of hashed bits."""
         n, bits = len(self.bounds) - 1, 64 * SKETCH_WORDS
@@ -323,8 +334,8 @@ def _picked(picker: Picker):
     return run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of the wanted ranges of texts, given by their first words, lengths and uids."""
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Sets]]:
+    """The wanted ranges of texts, given by their first words, lengths and uids."""
     for batch in batches:
         lengths = batch.column(1).value_lengths().to_numpy()
         row = np.repeat(np.arange(batch.num_rows), lengths)
@@ -335,30 +346,29 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             runs = arrays.windows(arrays.word_hashes(found), arrays.SHINGLE)
             first = found.bounds[row[own] - found.first] + start[own]
-            sets = Sets(runs, first, first + n_words[own])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(uid[own]),
-                    pa.array(np.diff(sets.bounds).astype(np.int32)),
-                    _fixed(sets.sketches()),
-                    pa.ListArray.from_arrays(
-                        pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values))
-                    ),
-                ],
-                names=["uid", "n_shingles", "sketch", "shingles"],
-            )
+            yield pa.array(uid[own]), Sets(runs, first, first + n_words[own])
 
 
-def _near(x: str, y: str):
-    """Sizes that a link can have, a difference that it cannot exceed, and the first band that agrees.
+def _traits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes, sketches and least hashes of the shingles of the wanted ranges."""
+    for uid, sets in _sets(batches):
+        sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
+        columns = [uid, sizes, _fixed(sets.sketches()), _fixed(sets.least())]
+        yield pa.RecordBatch.from_arrays(columns, names=["uid", "n_shingles", "sketch", "least"])
 
-    Passages have no bands, only the keys of their seeds.
-    """
-    bands = range(tuned_bands())
-    first = F.coalesce(*[F.when(F.col(f"{x}k{k}") == F.col(f"{y}k{k}"), F.col(f"{x}k{k}")) for k in bands])
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of the wanted ranges."""
+    for uid, sets in _sets(batches):
+        lists = pa.ListArray.from_arrays(pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values)))
+        yield pa.RecordBatch.from_arrays([uid, lists], names=["uid", "shingles"])
+
+
+def _near(x: str, y: str):
+    """Sizes that a link can have, and a difference that it cannot exceed."""
     n = F.col(f"{x}n"), F.col(f"{y}n")
     bits = sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(SKETCH_WORDS)), F.lit(0))
-    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1]) & (F.col("key") == F.coalesce(first, "key"))
+    return (3 * F.greatest(*n) <= 4 * F.least(*n)) & (7 * bits <= n[0] + n[1])
 
 
 def repeated_paragraphs(docs: DataFrame) -> DataFrame:
@@ -392,10 +402,12 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     natural = units.where(F.col("kind") != WINDOW)
     lines = stored(natural.select(*place), "lines")
     line_classes = stored(natural.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
-    one = natural.join(line_classes.select("uid"), "uid", "left_semi")
-    one = stored(one.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
+    each = natural.join(line_classes.select("uid"), "uid", "left_semi")
+    each = stored(each.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
     free(units)
-    members = stored(shared(one.select("uid", F.explode("keys").alias("key")), once=True), "members")
+    members = stored(shared(each.select("uid", F.explode("keys").alias("key")), once=True), "members")
+    one = stored(each.drop("keys").join(members.select("uid").distinct(), "uid", "left_semi"), "one-each")
+    free(each)
 
     seeds = source.select("row", "text").mapInArrow(_seeds, "row long, seed long, around long")
     near, far = F.min("around").alias("near"), F.max("around").alias("far")
@@ -405,52 +417,62 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     passages = passages.withColumn("uid", F.monotonically_increasing_id() + F.lit(PASSAGE_UID))
     passages = stored(passages, "passages")
     free(differing)
-    passage_classes = stored(
-        passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes"
-    )
-    keyed = passages.select("d1", "d2", "key").distinct().join(passage_classes, ["d1", "d2"]).select("uid", "key")
+    classes = stored(passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes")
+    keyed = passages.select("d1", "d2", "key").distinct().join(classes, ["d1", "d2"]).select("uid", "key")
     passage_members = stored(shared(keyed, once=True), "passage-members")
-    one_passage = passages.join(passage_members.select("uid").distinct(), "uid", "left_semi")
-    members = members.unionByName(passage_members)
-
-    wanted = one.select("uid", "row", "start", "n_words").unionByName(one_passage.select("uid", "row", "start", "n_words"))
-    wanted = wanted.join(members.select("uid").distinct(), "uid", "left_semi")
-    ranges = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n_words", "uid")).alias("ranges"))
-    ranges = stored(ranges, "wanted")
-    # a row may be there more than once
-    texts = source.select("row", F.xxhash64("row"), "text").mapInArrow(
-        _picked(Picker(ranges.select("row"))), "row long, text string"
-    )
-    texts = texts.join(ranges, "row").groupBy("row").agg(F.first("text").alias("text"), F.first("ranges").alias("ranges"))
-    sets = texts.select("text", "ranges.start", "ranges.n_words", "ranges.uid").mapInArrow(_sets, SET_ROW)
-    sets = stored(sets, "sets")
+    passage_classes = stored(classes.join(passage_members.select("uid").distinct(), "uid", "left_semi"), "passage-classes")
+    free(classes)
+    # of passages, from here on, the class instead of digests
+    all_passages, of_class = passages, passage_classes.select("d1", "d2", F.col("uid").alias("class"))
+    passages = all_passages.where("lead").join(of_class, ["d1", "d2"])
+    passages = stored(passages.select("row", "doc_id", "start", "n_words", "class", (F.col("uid") == F.col("class")).alias("first")), "passages")
+    free(all_passages)
+    passage_classes = passage_classes.select("uid", "least", "last")
+
+    one_passage = passages.where("first").select(F.col("class").alias("uid"), "row", "start", "n_words")
+    places = one.select("uid", "row", "start", "n_words").unionByName(one_passage)
+    picker = Picker(places.select("row").distinct())
+
+    def of_texts(wanted: DataFrame, work, schema: str) -> DataFrame:
+        ranges = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n_words", "uid")).alias("ranges"))
+        texts = source.select("row", F.xxhash64("row"), "text").mapInArrow(_picked(picker), "row long, text string")
+        # a row may be there more than once
+        texts = texts.join(ranges, "row").groupBy("row").agg(F.first("text").alias("text"), F.first("ranges").alias("ranges"))
+        return texts.select("text", "ranges.start", "ranges.n_words", "ranges.uid").mapInArrow(work, schema)
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        for x in "ab":
-            pairs = pairs.join(sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"s_{x}")), x)
-        common = F.size(F.array_intersect("s_a", "s_b"))
-        either = F.size("s_a") + F.size("s_b") - common
-        return pairs.where(common >= SIMILARITY * either).select("a", "b")
-
+        parts = []
+        for k in range(BATCHES):
+            part = pairs.where(F.pmod(F.xxhash64("a"), F.lit(BATCHES)) == k)
+            uids = part.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+            sets = stored(of_texts(places.join(uids, "uid", "left_semi"), _shingles, SET_ROW), "sets")
+            for x in "ab":
+                part = part.join(sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"s_{x}")), x)
+            common = F.size(F.array_intersect("s_a", "s_b"))
+            either = F.size("s_a") + F.size("s_b") - common
+            parts.append(stored(part.where(common >= SIMILARITY * either).select("a", "b"), "confirmed"))
+            free(sets)
+        return reduce(DataFrame.unionByName, parts)
+
+    of_passages = stored(of_texts(one_passage, _traits, TRAITS_ROW), "passage-traits")
+    finer = F.explode(F.transform("least", lambda h, k: F.xxhash64("key", h, k))).alias("key")
+    stars = passage_members.join(of_passages.select("uid", "least"), "uid").select(finer, "uid")
+    stars = members.select("key", "uid").unionByName(stars)
+    members = members.unionByName(passage_members)
     words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
-    bands = [F.col("keys")[k].alias(f"k{k}") for k in range(tuned_bands())]
-    of_lines = one.join(members.select("uid").distinct(), "uid", "left_semi")
-    none = F.lit(None).cast("array<long>").alias("keys")
-    of_passages = sets.where(F.col("uid") >= PASSAGE_UID).select("uid", "n_shingles", "sketch", none)
-    traits = of_lines.select("uid", "n_shingles", "sketch", "keys").unionByName(of_passages)
-    traits = traits.select("uid", F.col("n_shingles").alias("n"), *words, *bands)
-    labels = linked(members, traits, _near, confirm, ROUNDS)
+    traits = one.select("uid", "n_shingles", "sketch").unionByName(of_passages.select("uid", "n_shingles", "sketch"))
+    traits = traits.select("uid", F.col("n_shingles").alias("n"), *words)
+    labels = linked_by_stars(stars, members, traits, _near, confirm)
     named = line_classes.join(labels, "uid", "left").withColumn("cluster", F.coalesce("component", "uid"))
     named = stored(named, "named")
     several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
     of_line = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
     lines = lines.join(of_line, ["d1", "d2"]).drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
     named = stored(passage_classes.join(labels, "uid").withColumnRenamed("component", "cluster"), "named-passages")
-    free(one, sets, ranges)
+    free(one, of_passages)
     several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
-    of_passage = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
-    passages = passages.where("lead").join(of_passage, ["d1", "d2"])
-    passages = passages.select(
+    of_passage = named.join(several.where("low <> high"), "cluster").select(F.col("uid").alias("class"), "cluster")
+    passages = passages.join(of_passage, "class").select(
         "row", "doc_id", F.lit(PASSAGE).alias("kind"), "start", "n_words", "cluster", F.lit(0).cast("long").alias("part")
     )
     found = stored(lines.unionByName(windows).unionByName(passages), "repeated")

@@ -1,9 +1,13 @@
 import random
+import time
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tallyline.llm import paragraphs
+from tallyline.llm import clusters, paragraphs, storing
 from tests.llm.helpers import COLUMNS, WORD, component_of, documents, lower, shingles
 
 
@@ -182,3 +186,53 @@ def test_long_hashes_are_those_of_spark(spark):
     values = [0, 1, -1, 2**63 - 1, -(2**63), 123456789012345]
     rows = spark.createDataFrame([(v,) for v in values], "v long").selectExpr("xxhash64(v) h").collect()
     assert paragraphs.long_hashes(np.array(values, dtype=np.int64)).tolist() == [r.h for r in rows]
+
+
+def plain_components(links):
+    least = {x: x for link in links for x in link}
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def test_links_of_stars_and_of_the_rest_give_all_components(spark):
+    rng = random.Random(5)
+    keys = [(k, u) for u in range(120) for k in rng.sample(range(12), 2)]
+    right = {(a, b) for a in range(120) for b in range(a + 1, 120) if rng.random() < 0.1}
+    shared = {(a, b) for k, a in keys for m, b in keys if k == m and a < b}
+    asked = []
+
+    def confirm(pairs):
+        asked.append(pairs.count())
+        return pairs.join(spark.createDataFrame(sorted(right), "a long, b long"), ["a", "b"])
+
+    near = lambda x, y: (F.col(f"{x}n") - F.col(f"{y}n")) % 7 != 0
+    links = {(a, b) for a, b in shared & right if (a - b) % 7}
+    members = spark.createDataFrame(keys, "key long, uid long")
+    stars = spark.createDataFrame([(100 * k + u % 3, u) for k, u in keys], "key long, uid long")
+    traits = spark.range(120).selectExpr("id as uid", "id as n")
+    found = clusters.linked_by_stars(stars, members, traits, near, confirm).collect()
+    expected = plain_components(links)
+    assert {r.uid: r.component for r in found} == expected and len(found) == len(expected)
+    assert sum(asked) <= sum((a - b) % 7 != 0 for a, b in shared)
+
+
+def test_work_tables_and_shuffles_end_once_read(spark, tmp_path, monkeypatch):
+    local = [Path(str(d)) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    shuffled = lambda: {f for d in local for f in d.rglob("shuffle_*.data")}
+    before = shuffled()
+    storing.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    rng = random.Random(34)
+    passage = fresh(rng, 140)
+    texts = [" ".join(fresh(rng, 160) + ["new" if k == 60 * n else w for k, w in enumerate(passage)]) for n in range(3)]
+    monkeypatch.setattr(storing, "new_path", lambda _, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}-{rng.random()}"))
+    assert {x[0] for x in result_rows(spark, texts) if x[1] == "passage"} == {0, 1, 2}
+    names = Counter(d.name.split("-0.")[0].rsplit("-", 1)[0] for d in tmp_path.iterdir())
+    assert not names.keys() & {"paragraphs", "sets", "star-pairs", "near-pairs", "apart", "rest-pairs"}
+    assert names["edges"] <= 1 and names["passages"] == 1
