@@ -36,6 +36,7 @@ from tallyline.llm import arrays
 from tallyline.llm.clusters import linked_by_stars, shared
 from tallyline.llm.filters import Picker
 from tallyline.llm.storing import free, stored
+from tallyline.sources.keyed import remove
 
 LEAST_WORDS = 25
 REACH = 26
@@ -81,6 +82,17 @@ def _functions() -> np.ndarray:
     return arrays.numbers(ROWS * tuned_bands(), 11)
 
 
+def _by_line(values: np.ndarray, line: np.ndarray, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both sorted by line, then by value: by one number made of the line and the value's first bits if these tell."""
+    bits = max(1, (lines - 1).bit_length())
+    joint = line.astype(np.uint64) << np.uint64(64 - bits) | values >> np.uint64(bits)
+    order = np.argsort(joint)
+    joint, ordered = joint[order], values[order]
+    if np.any((joint[1:] == joint[:-1]) & (ordered[1:] != ordered[:-1])):
+        order = np.lexsort((values, line))
+    return values[order], line[order]
+
+
 class Sets:
     """The distinct shingles of the lines of a piece: ``values[bounds[k] : bounds[k + 1]]`` of line k, sorted."""
 
@@ -89,8 +101,7 @@ class Sets:
         line = np.repeat(np.arange(len(first)), length)
         place = np.arange(len(line)) - np.repeat(np.cumsum(length) - length, length)
         values = runs[first[line] + place]
-        order = np.lexsort((values, line))
-        values, line = values[order], line[order]
+        values, line = _by_line(values, line, len(first))
         new = np.ones(len(values), dtype=bool)
         new[1:] = (values[1:] != values[:-1]) | (line[1:] != line[:-1])
         self.values, self.line = values[new], line[new]
@@ -398,6 +409,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     least, last = F.min("row").alias("least"), F.max("row").alias("last")
     again = windows.groupBy("d1", "d2").agg(least, last).where("least <> last")
     windows = stored(windows.join(again.select("d1", "d2"), ["d1", "d2"]), "windows")
+    remove(units.sparkSession, f"{units.stored_path}/kind={WINDOW}")
     windows = windows.withColumnsRenamed({"d1": "cluster", "d2": "part"})
     natural = units.where(F.col("kind") != WINDOW)
     lines = stored(natural.select(*place), "lines")
@@ -418,7 +430,7 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     passages = stored(passages, "passages")
     free(differing)
     classes = stored(passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes")
-    keyed = passages.select("d1", "d2", "key").distinct().join(classes, ["d1", "d2"]).select("uid", "key")
+    keyed = passages.select("d1", "d2", "key").join(classes.select("d1", "d2", "uid"), ["d1", "d2"]).select("uid", "key").distinct()
     passage_members = stored(shared(keyed, once=True), "passage-members")
     passage_classes = stored(classes.join(passage_members.select("uid").distinct(), "uid", "left_semi"), "passage-classes")
     free(classes)
