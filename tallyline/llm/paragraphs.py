@@ -16,10 +16,13 @@ words around the seed. Those with the same seed at the same place are aligned, a
 and verified as lines are. A seed whose surroundings are the same wherever it stands has no
 passages, as all of them are equal.
 
-What is stored per occurrence are its place and two digests. Band keys are stored for one
-line of each class of equal ones, and sketches of passages for one of each class that shares a
-seed with another one. Shingles are worked out from the texts again for a share of the pairs at
-a time, of those that sketches leave. Tables are deleted when they have been read.
+The texts are gone through four times, and what is found is told from the rest as early as can
+be. First, 64-bit numbers alone are dealt out in blocks: of paragraphs and their rows, of bands
+and their lines, of seeds and their surroundings. That tells which of them are shared. Then
+shingles are worked out of one of each line that shares a band, and of one of each of the
+surroundings of a seed that has several, whose passages are compared in the task that gets the
+seed. The last pass gives the places of those that have a cluster. Tables are deleted when they
+have been read.
 """
 
 from __future__ import annotations
@@ -32,20 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm import arrays
-from tallyline.llm.clusters import linked_by_stars, shared
+from tallyline.llm import aligned, arrays
+from tallyline.llm.clusters import contracted, linked_by_stars, named_by_least
 from tallyline.llm.filters import Picker
 from tallyline.llm.storing import free, stored
-from tallyline.sources.keyed import remove
 
 LEAST_WORDS = 25
 REACH = 26
 SIMILARITY = 0.75
 RECALL = 1 - 1e-6
 ROWS = 2
-# Least hashes of a passage, by which those with one seed are dealt out before pairs are listed.
-HASHES = 3
-# Shares of the pairs whose shingles are there at a time.
+# Shares of the seeds whose surroundings are dealt out at a time.
 BATCHES = 3
 
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
@@ -55,20 +55,24 @@ SKETCH_WORDS = 4
 PASSAGE_WORDS = 50
 PLACES = (0, 15, 30, 45)
 SEED_REACH = 16
-# Added to the uids of passages, which are linked together with lines.
-PASSAGE_UID = 1 << 62
 
 LINE, WINDOW, BLOCK, PASSAGE = 0, 1, 2, 3
 KINDS = {LINE: "line", WINDOW: "window", BLOCK: "block", PASSAGE: "passage"}
 
-UNIT = (
-    "row long, doc_id long, kind int, start long, n_words long, d1 long, d2 long, "
-    "n_shingles int, keys array<long>, sketch array<long>"
-)
+# Kinds of blocks, the numbers of their rows, and what stays of equal ones.
+LINES, WINDOWS, BANDS, SEEDS = range(4)
+WIDTHS = {LINES: 2, WINDOWS: 2, BANDS: 2, SEEDS: 3}
+REDUCED = {LINES: aligned.ends, WINDOWS: aligned.ends, BANDS: aligned.distinct, SEEDS: aligned.ends}
 
-PASSAGE_ROW = "row long, doc_id long, start long, n_words long, lead boolean, key long, d1 long, d2 long"
-TRAITS_ROW = "uid long, n_shingles int, sketch array<long>, least array<long>"
-SET_ROW = "uid long, shingles array<long>"
+# Words on either side of a seed's first that its passages reach, and their shingles.
+BEFORE = max(PLACES)
+AROUND = BEFORE + PASSAGE_WORDS - arrays.SHINGLE + 1
+# A row has the seed, a hash of the surroundings, the uids of the passages (0: none), and the shingles.
+STRETCH = 2 + len(PLACES) + AROUND
+
+SHARED = "kind int, a long, b long"
+LINE_ROW = "uid long, n_shingles int, sketch array<long>, shingles array<long>"
+PLACE_ROW = "row long, doc_id long, kind int, start long, n_words long, uid long, part long"
 
 
 @cache
@@ -113,18 +117,11 @@ class Sets:
         if not n:
             return np.zeros((0, tuned_bands()), dtype=np.uint64)
         least = np.stack(
-            [np.minimum.reduceat(arrays.mixed(self.values ^ f), self.bounds[:-1]) for f in _functions()], axis=1
+            [np.minimum.reduceat(self.values * f, self.bounds[:-1]) for f in _functions()], axis=1
         ).reshape(n, -1, ROWS)
         salt = arrays.numbers(least.shape[1], 12)
         return arrays.mixed((least * arrays.numbers(ROWS, 13)).sum(axis=2, dtype=np.uint64) ^ salt)
 
-    def least(self) -> np.ndarray:
-        """A row of HASHES least hashes for each line."""
-        if len(self.bounds) == 1:
-            return np.zeros((0, HASHES), dtype=np.uint64)
-        values = arrays.numbers(HASHES, 51)
-        return np.stack([np.minimum.reduceat(arrays.mixed(self.values ^ f), self.bounds[:-1]) for f in values], axis=1)
-
     def sketches(self) -> np.ndarray:
         """A row of SKETCH_WORDS words for each line: parities of hashed bits."""
         n, bits = len(self.bounds) - 1, 64 * SKETCH_WORDS
@@ -164,14 +161,37 @@ def _minima(values: np.ndarray, reach: int) -> np.ndarray:
     return np.unique(least + np.arange(len(least)))
 
 
-def _seeds_of(found: arrays.Words, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text and place, in the words of the piece, of the seeds of texts that can hold a passage."""
+def _sliding(values: np.ndarray, reach: int, least) -> np.ndarray:
+    """The least (or greatest) of each ``reach`` neighbours."""
+    size = 1
+    while size < reach:
+        step = min(size, reach - size)
+        values, size = least(values[:-step], values[step:]), size + step
+    return values
+
+
+def minima(values: np.ndarray, first: np.ndarray, end: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and place of the least values of some ``reach`` neighbours in each text, of equal ones the first."""
+    one_by_one = (first < end) & (end - first < reach)
     texts, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k in range(len(found.edges) - 1):
-        a, b = int(found.bounds[k]), int(found.bounds[k + 1])
-        if b - a >= PASSAGE_WORDS:
-            places.append(a + _minima(runs[a : b - arrays.SHINGLE + 1], SEED_REACH))
-            texts.append(np.full(len(places[-1]), k))
+    whole = np.flatnonzero(end - first >= reach)
+    if len(whole):
+        least = _sliding(values, reach, np.minimum)
+        inside = np.zeros(len(least) + 1, dtype=np.int64)
+        inside[first[whole]] += 1
+        inside[end[whole] - reach + 1] -= 1
+        least[np.cumsum(inside[:-1]) == 0] = 0
+        none = np.zeros(reach - 1, dtype=np.uint64)
+        place = np.flatnonzero(_sliding(np.concatenate([none, least, none]), reach, np.maximum) == values)
+        text = np.searchsorted(first, place, side="right") - 1
+        equal = (values[place[1:]] == values[place[:-1]]) & (np.diff(place) < reach) & (text[1:] == text[:-1])
+        one_by_one[text[1:][equal]] = True
+        kept = ~one_by_one[text]
+        texts.append(text[kept])
+        places.append(place[kept])
+    for k in np.flatnonzero(one_by_one):
+        places.append(first[k] + _minima(values[first[k] : end[k]], reach))
+        texts.append(np.full(len(places[-1]), k))
     return np.concatenate(texts), np.concatenate(places)
 
 
@@ -185,74 +205,243 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.multiply.accumulate(steps, axis=1))
 
 
-def _surroundings(found: arrays.Words, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of the words that passages around a seed can hold, and of its place among them."""
-    n = len(hashes) + 1
-    powers, inverse = (p[:n] for p in _powers(1 << max(16, n.bit_length())))
-    total = np.zeros(n, dtype=np.uint64)
-    np.cumsum(arrays.mixed(hashes) * powers[:-1], out=total[1:])
-    start = np.maximum(place - max(PLACES), found.bounds[text])
-    end = np.minimum(place + PASSAGE_WORDS, found.bounds[text + 1])
-    words = (total[end] - total[start]) * inverse[start]
-    return arrays.mixed(words + ((place - start) * 128 + (end - place)).astype(np.uint64))
+class Runs:
+    """Hashes of runs of words, from sums over all words before."""
+
+    def __init__(self, hashes: np.ndarray):
+        n = len(hashes) + 1
+        self.powers, self.inverse = (p[:n] for p in _powers(1 << max(16, n.bit_length())))
+        self.total = np.zeros(n, dtype=np.uint64)
+        np.cumsum(arrays.mixed(hashes) * self.powers[:-1], out=self.total[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.total[end] - self.total[start]) * self.inverse[start]
+
+    def uids(self, start: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
+        """A hash of each run that stands for it; the same run is another one for another kind."""
+        return arrays.mixed(self.of(start, end) + (end - start).astype(np.uint64) ^ arrays.numbers(kind + 1, 61)[kind])
+
+    def around(self, found: arrays.Words, text: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """A hash of the words that passages around a seed can hold, and of its place among them."""
+        start = np.maximum(place - BEFORE, found.bounds[text])
+        end = np.minimum(place + PASSAGE_WORDS, found.bounds[text + 1])
+        return arrays.mixed(self.of(start, end) + ((place - start) * 128 + (end - place)).astype(np.uint64))
+
+
+class Piece:
+    """Texts of a piece with the hashes of their words and shingles."""
+
+    def __init__(self, found: arrays.Words, rows: np.ndarray):
+        self.found, self.rows = found, rows[found.first : found.first + len(found.edges) - 1].view(np.uint64)
+        hashes = arrays.word_hashes(found)
+        self.shingles, self.runs = arrays.windows(hashes, arrays.SHINGLE), Runs(hashes)
+        self.hashes = hashes
+
+    def lines(self) -> tuple[np.ndarray, ...]:
+        """Text, first word, end, kind and uid of natural paragraphs."""
+        text, first, end, kind = natural_ranges(self.found).T
+        return text, first, end, kind, self.runs.uids(first, end, LINE)
+
+    def windows(self) -> tuple[np.ndarray, ...]:
+        """Text, first word, end and uid of windows."""
+        bounds = self.found.bounds
+        text, start = minima(self.shingles, bounds[:-1], np.maximum(bounds[:-1], bounds[1:] - LEAST_WORDS + 1), REACH)
+        return text, start, start + LEAST_WORDS, self.runs.uids(start, start + LEAST_WORDS, WINDOW)
 
+    def seeds(self) -> tuple[np.ndarray, ...]:
+        """Text, place and shingle of the seeds of texts that can hold a passage."""
+        first, end = self.found.bounds[:-1], self.found.bounds[1:]
+        end = np.where(end - first < PASSAGE_WORDS, first, end - arrays.SHINGLE + 1)
+        text, place = minima(self.shingles, first, end, SEED_REACH)
+        return text, place, self.shingles[place]
 
-def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def passages(self, text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each seed first word and uid of the passages around it, and whether they are inside the text."""
+        start = place[:, None] - np.array(PLACES)
+        inside = (start >= self.found.bounds[text][:, None]) & (start + PASSAGE_WORDS <= self.found.bounds[text + 1][:, None])
+        at = np.where(inside, start, 0)
+        return start, self.runs.uids(at, at + PASSAGE_WORDS * inside, PASSAGE), inside
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[tuple[pa.RecordBatch, Piece]]:
     for batch in batches:
-        for found in arrays.words(batch.column(1), lower=True):
-            hashes = arrays.word_hashes(found)
-            runs = arrays.windows(hashes, arrays.SHINGLE)
-            text, place = _seeds_of(found, runs)
-            around = _surroundings(found, hashes, text, place)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(found.first + text)),
-                    pa.array(arrays.signed(runs[place])),
-                    pa.array(arrays.signed(around)),
-                ],
-                names=["row", "seed", "around"],
-            )
+        rows = batch.column(0).to_numpy()
+        for found in arrays.words(batch.column(text), lower=True):
+            yield batch, Piece(found, rows)
+
+
+def _numbers(parts: int):
+    """Blocks of the numbers by which it is told what several texts share."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+        for _, piece in _pieces(batches):
+            text, first, end, _, line = piece.lines()
+            one, at = np.unique(line, return_index=True)
+            keys = Sets(piece.shingles, first[at], end[at]).band_keys()
+            own, _, _, window = piece.windows()
+            holder, place, seed = piece.seeds()
+            around = piece.runs.around(piece.found, holder, place)
+            yield {
+                LINES: np.stack([line, piece.rows[text]], axis=1),
+                WINDOWS: np.stack([window, piece.rows[own]], axis=1),
+                BANDS: np.stack([keys.reshape(-1), np.repeat(one, keys.shape[1])], axis=1),
+                SEEDS: np.stack([seed, around, piece.rows[holder]], axis=1),
+            }
+
+    return lambda batches: aligned.blocks(found(batches), parts, REDUCED)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of lines and windows that several texts hold the uid, of bands with several lines key and uid,
+    of seeds with several surroundings in several texts the seed and one occurrence of each of these."""
+    found = aligned.tables(batches, WIDTHS)
+    for kind, table in found.items():
+        if not len(table):
+            continue
+        table = REDUCED[kind](table)
+        first = np.flatnonzero(np.append(True, table[1:, 0] != table[:-1, 0]))
+        sizes = np.diff(np.append(first, len(table)))
+        low, high = (f.reduceat(table[:, -1], first) for f in (np.minimum, np.maximum))
+        several = low != high
+        if kind == SEEDS:
+            several &= table[first, 1] != table[first + sizes - 1, 1]
+        if kind in (LINES, WINDOWS):
+            a = b = table[first[several], 0]
+        else:
+            table = table[np.repeat(several, sizes)]
+            if kind == SEEDS and len(table):
+                table = table[np.append(True, (table[1:, :2] != table[:-1, :2]).any(axis=1))]
+            a, b = table[:, 0], occurrences(*table.T) if kind == SEEDS else table[:, 1]
+        columns = [pa.array(np.full(len(a), kind, np.int32)), pa.array(arrays.signed(a)), pa.array(arrays.signed(b))]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b"])
+
+
+def occurrences(seed: np.ndarray, around: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """A hash of a seed's surroundings in a text."""
+    return arrays.mixed(arrays.mixed(arrays.mixed(seed) ^ around) ^ row)
+
+
+def _wanted(picker: Picker, values: np.ndarray) -> np.ndarray:
+    values = arrays.signed(values)
+    return picker.may_want(values, long_hashes(values))
+
+
+def _line_sets(picker: Picker):
+    """Sizes, sketches and shingles of the wanted lines."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, piece in _pieces(batches):
+            _, first, end, _, line = piece.lines()
+            line, at = np.unique(line, return_index=True)
+            kept = _wanted(picker, line)
+            sets = Sets(piece.shingles, first[at[kept]], end[at[kept]])
+            lists = pa.ListArray.from_arrays(pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values)))
+            sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
+            columns = [pa.array(arrays.signed(line[kept])), sizes, _fixed(sets.sketches()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "n_shingles", "sketch", "shingles"])
+
+    return run
 
-def _passage_places(found: arrays.Words, runs: np.ndarray, seeds: Picker) -> tuple[np.ndarray, ...]:
-    """Text, first word and key of the passages around seeds that other texts may have too."""
-    text, place = _seeds_of(found, runs)
-    seed = arrays.signed(runs[place])
-    kept = np.flatnonzero(seeds.may_want(seed, long_hashes(seed)))
-    text, place = np.repeat(text[kept], len(PLACES)), np.repeat(place[kept], len(PLACES))
-    start = place - np.tile(PLACES, len(kept))
-    salt = np.tile(arrays.numbers(len(PLACES), 31), len(kept))
-    inside = (start >= found.bounds[text]) & (start + PASSAGE_WORDS <= found.bounds[text + 1])
-    return text[inside], start[inside], arrays.mixed(runs[place[inside]] ^ salt[inside])
 
+def _stretches(picker: Picker, parts: int, batch: int):
+    """Blocks of the words around the wanted occurrences of seeds, of a share of the seeds."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
+        for _, piece in _pieces(batches):
+            text, place, seed = piece.seeds()
+            around = piece.runs.around(piece.found, text, place)
+            kept = (arrays.mixed(seed) >> np.uint64(32)) % np.uint64(BATCHES) == batch
+            kept[kept] = _wanted(picker, occurrences(seed[kept], around[kept], piece.rows[text[kept]]))
+            text, place, seed, around = text[kept], place[kept], seed[kept], around[kept]
+            _, uid, inside = piece.passages(text, place)
+            at = np.clip(place[:, None] + np.arange(-BEFORE, AROUND - BEFORE), 0, max(0, len(piece.shingles) - 1))
+            yield {0: np.column_stack([seed, around, np.where(inside, uid, np.uint64(0)), piece.shingles[at]])}
+
+    return lambda batches: aligned.blocks(found(batches), parts, {0: _one_of_each})
+
+
+def _one_of_each(stretches: np.ndarray) -> np.ndarray:
+    order = np.lexsort((stretches[:, 1], stretches[:, 0]))
+    seed, around = stretches[order, 0], stretches[order, 1]
+    return stretches[order[np.append(True, (seed[1:] != seed[:-1]) | (around[1:] != around[:-1]))]]
+
+
+def _passage_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of passages with one seed at one place."""
+    stretches = aligned.tables(batches, {0: STRETCH})[0]
+    if not len(stretches):
+        return
+    stretches = _one_of_each(stretches)
+    for k, place in enumerate(PLACES):
+        own = np.flatnonzero(stretches[:, 2 + k])
+        own = own[np.lexsort((stretches[own, 2 + k], stretches[own, 0]))]
+        seed, uid = stretches[own, 0], stretches[own, 2 + k]
+        if not len(own):
+            continue
+        new = np.append(True, (seed[1:] != seed[:-1]) | (uid[1:] != uid[:-1]))
+        own, seed, uid = own[new], seed[new], uid[new]
+        # of one passage there is nothing to compare
+        alone = np.append(True, seed[1:] != seed[:-1])
+        several = np.flatnonzero(~(alone & np.append(alone[1:], True)))
+        start = 2 + len(PLACES) + BEFORE - place
+        sets = stretches[own[several], start : start + PASSAGE_WORDS - arrays.SHINGLE + 1]
+        a, b = aligned.links(seed[several], uid[several], sets)
+        yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(a)), pa.array(arrays.signed(b))], names=["a", "b"])
+
+
+def _places(seeds: Picker, named: Picker):
+    """Places of the paragraphs, windows and passages that may have a cluster."""
 
-def _passages(seeds: Picker):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for found in arrays.words(batch.column(2), lower=True):
-                hashes = arrays.word_hashes(found)
-                runs = arrays.windows(hashes, arrays.SHINGLE)
-                text, start, key = _passage_places(found, runs, seeds)
-                one, lead, of = np.unique(start, return_index=True, return_inverse=True)
-                d1, d2 = _digests(hashes, one, one + PASSAGE_WORDS)
-                rows, of = pa.array(found.first + text), of.reshape(-1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((start - found.bounds[text]).astype(np.int64)),
-                        pa.array(np.full(len(text), PASSAGE_WORDS, dtype=np.int64)),
-                        pa.array(lead[of] == np.arange(len(text))),
-                        pa.array(arrays.signed(key)),
-                        pa.array(arrays.signed(d1[of])),
-                        pa.array(arrays.signed(d2[of])),
-                    ],
-                    names=["row", "doc_id", "start", "n_words", "lead", "key", "d1", "d2"],
+        for batch, piece in _pieces(batches, 2):
+            own, start, stop, window = piece.windows()
+            holder, place, seed = piece.seeds()
+            kept = _wanted(seeds, seed)
+            holder = holder[kept]
+            begin, passage, inside = piece.passages(holder, place[kept])
+            holder = np.repeat(holder, inside.sum(axis=1))
+            begin, at = np.unique(begin[inside], return_index=True)
+            passage, holder = passage[inside][at], holder[at]
+            text, first, end, kind, uid = (
+                np.concatenate(x)
+                for x in zip(
+                    piece.lines(),
+                    (own, start, stop, np.full(len(own), WINDOW), window),
+                    (holder, begin, begin + PASSAGE_WORDS, np.full(len(holder), PASSAGE), passage),
                 )
+            )
+            kept = _wanted(named, uid)
+            text, first, end, kind, uid = text[kept], first[kept], end[kept], kind[kept], uid[kept]
+            # windows are equal by a second hash, too
+            part = np.zeros(len(uid), dtype=np.uint64)
+            windows = kind == WINDOW
+            part[windows] = _second(piece.hashes, first[windows])
+            rows = pa.array(piece.found.first + text)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(kind.astype(np.int32)),
+                    pa.array((first - piece.found.bounds[text]).astype(np.int64)),
+                    pa.array((end - first).astype(np.int64)),
+                    pa.array(arrays.signed(uid)),
+                    pa.array(arrays.signed(part)),
+                ],
+                names=["row", "doc_id", "kind", "start", "n_words", "uid", "part"],
+            )
 
     return run
 
 
+def _second(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Another hash of windows."""
+    words = arrays.mixed(hashes ^ arrays.numbers(1, 21)[0])
+    sums = np.zeros(len(start), dtype=np.uint64)
+    for k, weight in enumerate(arrays.numbers(LEAST_WORDS, 23)):
+        sums += words[start + k] * weight
+    return arrays.mixed(sums)
+
+
 def long_hashes(values: np.ndarray) -> np.ndarray:
     """Spark's xxhash64 of longs."""
     p1, p2, p3, p4, p5 = (
@@ -270,111 +459,12 @@ def long_hashes(values: np.ndarray) -> np.ndarray:
     return arrays.signed(x ^ x >> np.uint64(32))
 
 
-def _digests(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of each run of words; runs may overlap."""
-    length = end - start
-    first = np.cumsum(length) - length
-    place = np.arange(int(length.sum())) - np.repeat(first, length)
-    words = hashes[np.repeat(start, length) + place]
-    weights = arrays.numbers(int(length.max(initial=1)), 23)[place]
-    out = []
-    for value in arrays.numbers(2, 21):
-        sums = np.add.reduceat(arrays.mixed(words ^ value) * weights, first) if len(start) else words
-        out.append(arrays.mixed(sums + length.astype(np.uint64)))
-    return out[0], out[1]
-
-
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for found in arrays.words(batch.column(2), lower=True):
-            hashes = arrays.word_hashes(found)
-            runs = arrays.windows(hashes, arrays.SHINGLE)
-            text, first, end, kind = natural_ranges(found).T
-            yield _unit_rows(batch, found, kind, text, first, end, hashes, Sets(runs, first, end))
-            starts, texts = [], []
-            for k in range(len(found.edges) - 1):
-                a, b = int(found.bounds[k]), int(found.bounds[k + 1])
-                chosen = window_starts(runs[a : max(a, b - arrays.SHINGLE + 1)])
-                starts.append(a + chosen)
-                texts.append(np.full(len(chosen), k))
-            start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-            text = np.concatenate(texts) if texts else np.zeros(0, np.int64)
-            kind = np.full(len(text), WINDOW)
-            yield _unit_rows(batch, found, kind, text, start, start + LEAST_WORDS, hashes, None)
-
-
-def _unit_rows(batch, found, kind, text, start, end, hashes, sets: Sets | None) -> pa.RecordBatch:
-    n, rows = len(text), pa.array(found.first + text)
-    d1, d2 = _digests(hashes, start, end)
-    if sets is None:
-        sizes, keys, sketches = pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.list_(pa.int64()))] * 2
-    else:
-        sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
-        keys, sketches = _fixed(sets.band_keys()), _fixed(sets.sketches())
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column(0).take(rows),
-            batch.column(1).take(rows),
-            pa.array(kind.astype(np.int32)),
-            pa.array((start - found.bounds[text]).astype(np.int64)),
-            pa.array((end - start).astype(np.int64)),
-            pa.array(arrays.signed(d1)),
-            pa.array(arrays.signed(d2)),
-            sizes,
-            keys,
-            sketches,
-        ],
-        names=["row", "doc_id", "kind", "start", "n_words", "d1", "d2", "n_shingles", "keys", "sketch"],
-    )
-
-
 def _fixed(table: np.ndarray) -> pa.Array:
     """A list column of the rows of a table."""
     ends = np.arange(len(table) + 1, dtype=np.int32) * table.shape[1]
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(arrays.signed(table.reshape(-1))))
 
 
-def _picked(picker: Picker):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first, second = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            kept = np.flatnonzero(picker.may_want(first, second))
-            if len(kept):
-                yield batch.select([0, 2]).take(pa.array(kept))
-
-    return run
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Sets]]:
-    """The wanted ranges of texts, given by their first words, lengths and uids."""
-    for batch in batches:
-        lengths = batch.column(1).value_lengths().to_numpy()
-        row = np.repeat(np.arange(batch.num_rows), lengths)
-        start, n_words, uid = (batch.column(k).flatten().to_numpy() for k in (1, 2, 3))
-        for found in arrays.words(batch.column(0), lower=True):
-            own = slice(*np.searchsorted(row, [found.first, found.first + len(found.edges) - 1]))
-            if own.start == own.stop:
-                continue
-            runs = arrays.windows(arrays.word_hashes(found), arrays.SHINGLE)
-            first = found.bounds[row[own] - found.first] + start[own]
-            yield pa.array(uid[own]), Sets(runs, first, first + n_words[own])
-
-
-def _traits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes, sketches and least hashes of the shingles of the wanted ranges."""
-    for uid, sets in _sets(batches):
-        sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
-        columns = [uid, sizes, _fixed(sets.sketches()), _fixed(sets.least())]
-        yield pa.RecordBatch.from_arrays(columns, names=["uid", "n_shingles", "sketch", "least"])
-
-
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of the wanted ranges."""
-    for uid, sets in _sets(batches):
-        lists = pa.ListArray.from_arrays(pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values)))
-        yield pa.RecordBatch.from_arrays([uid, lists], names=["uid", "shingles"])
-
-
 def _near(x: str, y: str):
     """Sizes that a link can have, and a difference that it cannot exceed."""
     n = F.col(f"{x}n"), F.col(f"{y}n")
@@ -402,96 +492,49 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     empty result.
     """
     source = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long"), "text")
-    units = source.mapInArrow(_units, UNIT).withColumn("uid", F.monotonically_increasing_id())
-    units = stored(units, "paragraphs", "kind")
-    place = ["row", "doc_id", "kind", "start", "n_words", "d1", "d2"]
-    windows = units.where(F.col("kind") == WINDOW).select(*place)
-    least, last = F.min("row").alias("least"), F.max("row").alias("last")
-    again = windows.groupBy("d1", "d2").agg(least, last).where("least <> last")
-    windows = stored(windows.join(again.select("d1", "d2"), ["d1", "d2"]), "windows")
-    remove(units.sparkSession, f"{units.stored_path}/kind={WINDOW}")
-    windows = windows.withColumnsRenamed({"d1": "cluster", "d2": "part"})
-    natural = units.where(F.col("kind") != WINDOW)
-    lines = stored(natural.select(*place), "lines")
-    line_classes = stored(natural.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "line-classes")
-    each = natural.join(line_classes.select("uid"), "uid", "left_semi")
-    each = stored(each.select("uid", "row", "start", "n_words", "n_shingles", "keys", "sketch"), "one-each")
-    free(units)
-    members = stored(shared(each.select("uid", F.explode("keys").alias("key")), once=True), "members")
-    one = stored(each.drop("keys").join(members.select("uid").distinct(), "uid", "left_semi"), "one-each")
-    free(each)
-
-    seeds = source.select("row", "text").mapInArrow(_seeds, "row long, seed long, around long")
-    near, far = F.min("around").alias("near"), F.max("around").alias("far")
-    differing = seeds.groupBy("seed").agg(least, last, near, far).where("least <> last and near <> far")
-    differing = stored(differing.select("seed"), "seeds")
-    passages = source.mapInArrow(_passages(Picker(differing)), PASSAGE_ROW)
-    passages = passages.withColumn("uid", F.monotonically_increasing_id() + F.lit(PASSAGE_UID))
-    passages = stored(passages, "passages")
-    free(differing)
-    classes = stored(passages.groupBy("d1", "d2").agg(F.min("uid").alias("uid"), least, last), "passage-classes")
-    keyed = passages.select("d1", "d2", "key").distinct().join(classes, ["d1", "d2"]).select("uid", "key")
-    passage_members = stored(shared(keyed, once=True), "passage-members")
-    passage_classes = stored(classes.join(passage_members.select("uid").distinct(), "uid", "left_semi"), "passage-classes")
-    free(classes)
-    # of passages, from here on, the class instead of digests
-    all_passages, of_class = passages, passage_classes.select("d1", "d2", F.col("uid").alias("class"))
-    passages = all_passages.where("lead").join(of_class, ["d1", "d2"])
-    passages = stored(passages.select("row", "doc_id", "start", "n_words", "class", (F.col("uid") == F.col("class")).alias("first")), "passages")
-    free(all_passages)
-    passage_classes = passage_classes.select("uid", "least", "last")
-
-    one_passage = passages.where("first").select(F.col("class").alias("uid"), "row", "start", "n_words")
-    places = one.select("uid", "row", "start", "n_words").unionByName(one_passage)
-    picker = Picker(places.select("row").distinct())
-
-    def of_texts(wanted: DataFrame, work, schema: str) -> DataFrame:
-        ranges = wanted.groupBy("row").agg(F.collect_list(F.struct("start", "n_words", "uid")).alias("ranges"))
-        texts = source.select("row", F.xxhash64("row"), "text").mapInArrow(_picked(picker), "row long, text string")
-        # a row may be there more than once
-        texts = texts.join(ranges, "row").groupBy("row").agg(F.first("text").alias("text"), F.first("ranges").alias("ranges"))
-        return texts.select("text", "ranges.start", "ranges.n_words", "ranges.uid").mapInArrow(work, schema)
+    texts, spark = source.select("row", "text"), docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    numbers = aligned.dealt(texts.mapInArrow(_numbers(parts), aligned.BLOCK), parts)
+    numbers = stored(numbers.mapInArrow(_shared, SHARED), "shared", "kind")
+    several = lambda kind, a="a", b="b": numbers.where(F.col("kind") == kind).select(F.col("a").alias(a), F.col("b").alias(b))
+
+    members = several(BANDS, "key", "uid")
+    sets = texts.mapInArrow(_line_sets(Picker(members.select("uid").distinct())), LINE_ROW)
+    sets = sets.groupBy("uid").agg(F.first(F.struct("n_shingles", "sketch", "shingles")).alias("set")).select("uid", "set.*")
+    sets = stored(sets, "line-sets")
+    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
+    traits = sets.select("uid", F.col("n_shingles").alias("n"), *words)
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        parts = []
-        for k in range(BATCHES):
-            part = pairs.where(F.pmod(F.xxhash64("a"), F.lit(BATCHES)) == k)
-            uids = part.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-            sets = stored(of_texts(places.join(uids, "uid", "left_semi"), _shingles, SET_ROW), "sets")
-            for x in "ab":
-                part = part.join(sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"s_{x}")), x)
-            common = F.size(F.array_intersect("s_a", "s_b"))
-            either = F.size("s_a") + F.size("s_b") - common
-            parts.append(stored(part.where(common >= SIMILARITY * either).select("a", "b"), "confirmed"))
-            free(sets)
-        return reduce(DataFrame.unionByName, parts)
-
-    of_passages = stored(of_texts(one_passage, _traits, TRAITS_ROW), "passage-traits")
-    finer = F.explode(F.transform("least", lambda h, k: F.xxhash64("key", h, k))).alias("key")
-    stars = passage_members.join(of_passages.select("uid", "least"), "uid").select(finer, "uid")
-    stars = members.select("key", "uid").unionByName(stars)
-    members = members.unionByName(passage_members)
-    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
-    traits = one.select("uid", "n_shingles", "sketch").unionByName(of_passages.select("uid", "n_shingles", "sketch"))
-    traits = traits.select("uid", F.col("n_shingles").alias("n"), *words)
-    labels = linked_by_stars(stars, members, traits, _near, confirm)
-    named = line_classes.join(labels, "uid", "left").withColumn("cluster", F.coalesce("component", "uid"))
-    named = stored(named, "named")
-    several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
-    of_line = named.join(several.where("low <> high"), "cluster").select("d1", "d2", "cluster")
-    lines = lines.join(of_line, ["d1", "d2"]).drop("d1", "d2").withColumn("part", F.lit(0).cast("long"))
-    named = stored(passage_classes.join(labels, "uid").withColumnRenamed("component", "cluster"), "named-passages")
-    free(one, of_passages)
-    several = named.groupBy("cluster").agg(F.min("least").alias("low"), F.max("last").alias("high"))
-    of_passage = named.join(several.where("low <> high"), "cluster").select(F.col("uid").alias("class"), "cluster")
-    passages = passages.join(of_passage, "class").select(
-        "row", "doc_id", F.lit(PASSAGE).alias("kind"), "start", "n_words", "cluster", F.lit(0).cast("long").alias("part")
-    )
-    found = stored(lines.unionByName(windows).unionByName(passages), "repeated")
+        for x in "ab":
+            pairs = pairs.join(sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"s_{x}")), x)
+        common = F.size(F.array_intersect("s_a", "s_b"))
+        either = F.size("s_a") + F.size("s_b") - common
+        return stored(pairs.where(common >= SIMILARITY * either).select("a", "b"), "confirmed")
+
+    of_line = linked_by_stars(members, members, traits, _near, confirm)
+    equal = several(LINES, "uid").select("uid")
+    of_line = stored(of_line.join(equal, "uid", "full").select("uid", F.coalesce("component", "uid").alias("cluster")), "named")
+    free(sets)
+
+    occurring = Picker(several(SEEDS).select("b"))
+    links = []
+    for k in range(BATCHES):
+        stretches = aligned.dealt(texts.mapInArrow(_stretches(occurring, parts, k), aligned.BLOCK), parts)
+        links.append(stored(stretches.mapInArrow(_passage_links, "a long, b long"), "passage-links"))
+    edges = contracted(reduce(DataFrame.unionByName, links))
+    of_passage = named_by_least(edges).withColumnRenamed("component", "cluster")
+
+    windows = several(WINDOWS, "uid", "cluster")
+    named = stored(of_line.unionByName(of_passage).unionByName(windows), "clusters")
+    places = source.mapInArrow(_places(Picker(several(SEEDS).select("a").distinct()), Picker(named.select("uid"))), PLACE_ROW)
+    found = stored(places.join(named, "uid").drop("uid"), "passages")
+    free(numbers, of_line, named, edges, *links)
     found = found.withColumn("shape", F.when(F.col("kind") == BLOCK, LINE).otherwise(F.col("kind")))
     doc_id = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id")
     place = F.struct(doc_id, "kind", "row", "start", "n_words")
-    firsts = found.groupBy("shape", "cluster", "part").agg(F.min(place).alias("first"))
+    least, last = F.min("row").alias("least"), F.max("row").alias("last")
+    firsts = found.groupBy("shape", "cluster", "part").agg(F.min(place).alias("first"), least, last).where("least <> last")
     kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
     smallest = F.nullif(F.col("first.doc_id"), F.lit((1 << 63) - 1))
     meets = (F.col("start") < F.col("first.start") + F.col("first.n_words")) & (
