@@ -33,7 +33,12 @@ Reduce = Callable[[np.ndarray], np.ndarray]
 
 
 def _sorted(table: np.ndarray) -> np.ndarray:
-    return table[np.lexsort(table.T[::-1])]
+    """By the first number, which mostly tells, and then by the others."""
+    table = table[np.argsort(table[:, 0])]
+    equal = table[1:, 0] == table[:-1, 0]
+    tied = np.flatnonzero(np.append(False, equal) | np.append(equal, False)) if len(table) else equal
+    table[tied] = table[tied[np.lexsort(table[tied].T[::-1])]]
+    return table
 
 
 def _changes(table: np.ndarray) -> np.ndarray:

@@ -33,6 +33,27 @@ def named_by_least(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("uid"), F.col("b").alias("component")).union(ends)
 
 
+def components_by_some_rounds(links: DataFrame) -> DataFrame:
+    """(uid, component) of every node; a component is named by one of its nodes.
+
+    Of many components most are settled after some rounds. Each node then goes to its smallest neighbour, and
+    what is left to join are those neighbours, where a node has several of them or is one itself.
+    """
+    edges = contracted(links, SOME_ROUNDS)
+    known = stored(edges.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("other")), "known")
+    several = known.where("b <> other").select("a", F.col("b").alias("m"))
+    open_ = edges.join(several, "a").select(F.col("m").alias("a"), "b")
+    passed = known.select("a", "b").join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
+    rest = contracted(open_.union(passed))
+    joined = named_by_least(rest).select(F.col("uid").alias("b"), "component")
+    ends = edges.select("b").distinct().select(F.col("b").alias("uid"), "b")
+    nodes = known.select(F.col("a").alias("uid"), "b").union(ends)
+    named = nodes.join(joined, "b", "left").select("uid", F.coalesce("component", "b").alias("component")).distinct()
+    named = stored(named, "components")
+    free(edges, known, rest)
+    return named
+
+
 def contracted(links: DataFrame, most: int | None = None) -> DataFrame:
     """Links (a, b) that join the same nodes, from each node to the smallest one of its component.
 

@@ -28,7 +28,7 @@ have been read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import aligned, arrays
-from tallyline.llm.clusters import contracted, linked_by_stars, named_by_least
+from tallyline.llm.clusters import components_by_some_rounds, linked_by_stars
 from tallyline.llm.filters import Picker
 from tallyline.llm.storing import free, stored
 
@@ -45,8 +45,6 @@ REACH = 26
 SIMILARITY = 0.75
 RECALL = 1 - 1e-6
 ROWS = 2
-# Shares of the seeds whose surroundings are dealt out at a time.
-BATCHES = 3
 
 # Words of the bit sketch of a line's shingles, which bounds its difference from others.
 SKETCH_WORDS = 4
@@ -343,15 +341,14 @@ def _line_sets(picker: Picker):
     return run
 
 
-def _stretches(picker: Picker, parts: int, batch: int):
-    """Blocks of the words around the wanted occurrences of seeds, of a share of the seeds."""
+def _stretches(picker: Picker, parts: int):
+    """Blocks of the words around the wanted occurrences of seeds."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, np.ndarray]]:
         for _, piece in _pieces(batches):
             text, place, seed = piece.seeds()
             around = piece.runs.around(piece.found, text, place)
-            kept = (arrays.mixed(seed) >> np.uint64(32)) % np.uint64(BATCHES) == batch
-            kept[kept] = _wanted(picker, occurrences(seed[kept], around[kept], piece.rows[text[kept]]))
+            kept = _wanted(picker, occurrences(seed, around, piece.rows[text]))
             text, place, seed, around = text[kept], place[kept], seed[kept], around[kept]
             _, uid, inside = piece.passages(text, place)
             at = np.clip(place[:, None] + np.arange(-BEFORE, AROUND - BEFORE), 0, max(0, len(piece.shingles) - 1))
@@ -518,18 +515,15 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     free(sets)
 
     occurring = Picker(several(SEEDS).select("b"))
-    links = []
-    for k in range(BATCHES):
-        stretches = aligned.dealt(texts.mapInArrow(_stretches(occurring, parts, k), aligned.BLOCK), parts)
-        links.append(stored(stretches.mapInArrow(_passage_links, "a long, b long"), "passage-links"))
-    edges = contracted(reduce(DataFrame.unionByName, links))
-    of_passage = named_by_least(edges).withColumnRenamed("component", "cluster")
+    stretches = aligned.dealt(texts.mapInArrow(_stretches(occurring, parts), aligned.BLOCK), parts)
+    links = stored(stretches.mapInArrow(_passage_links, "a long, b long"), "passage-links")
+    of_passage = components_by_some_rounds(links)
 
     windows = several(WINDOWS, "uid", "cluster")
-    named = stored(of_line.unionByName(of_passage).unionByName(windows), "clusters")
+    named = stored(of_line.union(of_passage).unionByName(windows), "clusters")
     places = source.mapInArrow(_places(Picker(several(SEEDS).select("a").distinct()), Picker(named.select("uid"))), PLACE_ROW)
     found = stored(places.join(named, "uid").drop("uid"), "passages")
-    free(numbers, of_line, named, edges, *links)
+    free(numbers, of_line, of_passage, named, links)
     found = found.withColumn("shape", F.when(F.col("kind") == BLOCK, LINE).otherwise(F.col("kind")))
     doc_id = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc_id")
     place = F.struct(doc_id, "kind", "row", "start", "n_words")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tallyline.llm import aligned, paragraphs
+from tallyline.llm import aligned, clusters, paragraphs
 from tests.llm.helpers import component_of
 
 
@@ -73,3 +73,15 @@ def test_minima_of_a_piece_are_those_of_its_texts():
             expected |= {(k, min(range(s, min(b, s + reach)), key=lambda i: (values[i], i))) for s in starts}
         text, place = paragraphs.minima(values, first, end, reach)
         assert sorted(zip(text.tolist(), place.tolist())) == sorted(expected)
+
+
+def test_components_after_some_rounds_are_those_of_all_links(spark):
+    rng = np.random.default_rng(6)
+    order = rng.permutation(300).tolist()
+    links = list(zip(order[:99], order[1:100])) + rng.integers(100, 250, (90, 2)).tolist() + [[order[200], order[201]]] * 2
+    found = clusters.components_by_some_rounds(spark.createDataFrame(links, "a long, b long")).collect()
+    links = [(a, b) for a, b in links if a != b]
+    nodes = {x for link in links for x in link}
+    expected = component_of(nodes, links)
+    assert sorted(r.uid for r in found) == sorted(nodes)
+    assert len({(r.component, expected[r.uid]) for r in found}) == len({r.component for r in found}) == len(set(expected.values()))
