@@ -16,18 +16,18 @@ words around the seed. Those with the same seed at the same place are aligned, a
 and verified as lines are. A seed whose surroundings are the same wherever it stands has no
 passages, as all of them are equal.
 
-The texts are gone through four times, and what is found is told from the rest as early as can
+The texts are gone through six times, and what is found is told from the rest as early as can
 be. First, 64-bit numbers alone are dealt out in blocks: of paragraphs and their rows, of bands
 and their lines, of seeds and their surroundings. That tells which of them are shared. Then
-shingles are worked out of one of each line that shares a band, and of one of each of the
-surroundings of a seed that has several, whose passages are compared in the task that gets the
+sketches are worked out of the lines that share a band, shingles of those whose
+sketches allow a link, and of one of each of the surroundings of a seed that has several, whose passages are compared in the task that gets the
 seed. The last pass gives the places of those that have a cluster. Tables are deleted when they
 have been read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -69,7 +69,8 @@ AROUND = BEFORE + PASSAGE_WORDS - arrays.SHINGLE + 1
 STRETCH = 2 + len(PLACES) + AROUND
 
 SHARED = "kind int, a long, b long"
-LINE_ROW = "uid long, n_shingles int, sketch array<long>, shingles array<long>"
+TRAITS_ROW = "uid long, n_shingles int, sketch array<long>"
+SET_ROW = "uid long, shingles array<long>"
 PLACE_ROW = "row long, doc_id long, kind int, start long, n_words long, uid long, part long"
 
 
@@ -324,19 +325,37 @@ def _wanted(picker: Picker, values: np.ndarray) -> np.ndarray:
     return picker.may_want(values, long_hashes(values))
 
 
-def _line_sets(picker: Picker):
-    """Sizes, sketches and shingles of the wanted lines."""
+def _line_sets(picker: Picker) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.Array, Sets]]]:
+    """The wanted lines with their shingles."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, Sets]]:
         for _, piece in _pieces(batches):
             _, first, end, _, line = piece.lines()
             line, at = np.unique(line, return_index=True)
             kept = _wanted(picker, line)
-            sets = Sets(piece.shingles, first[at[kept]], end[at[kept]])
+            yield pa.array(arrays.signed(line[kept])), Sets(piece.shingles, first[at[kept]], end[at[kept]])
+
+    return run
+
+
+def _traits(picker: Picker):
+    """Sizes and sketches of the wanted lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for uid, sets in _line_sets(picker)(batches):
+            columns = [uid, pa.array(np.diff(sets.bounds).astype(np.int32)), _fixed(sets.sketches())]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "n_shingles", "sketch"])
+
+    return run
+
+
+def _shingles(picker: Picker):
+    """The shingles of the wanted lines."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for uid, sets in _line_sets(picker)(batches):
             lists = pa.ListArray.from_arrays(pa.array(sets.bounds.astype(np.int32)), pa.array(arrays.signed(sets.values)))
-            sizes = pa.array(np.diff(sets.bounds).astype(np.int32))
-            columns = [pa.array(arrays.signed(line[kept])), sizes, _fixed(sets.sketches()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["uid", "n_shingles", "sketch", "shingles"])
+            yield pa.RecordBatch.from_arrays([uid, lists], names=["uid", "shingles"])
 
     return run
 
@@ -496,23 +515,27 @@ def repeated_paragraphs(docs: DataFrame) -> DataFrame:
     several = lambda kind, a="a", b="b": numbers.where(F.col("kind") == kind).select(F.col("a").alias(a), F.col("b").alias(b))
 
     members = several(BANDS, "key", "uid")
-    sets = texts.mapInArrow(_line_sets(Picker(members.select("uid").distinct())), LINE_ROW)
-    sets = sets.groupBy("uid").agg(F.first(F.struct("n_shingles", "sketch", "shingles")).alias("set")).select("uid", "set.*")
-    sets = stored(sets, "line-sets")
-    words = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
-    traits = sets.select("uid", F.col("n_shingles").alias("n"), *words)
+    traits = texts.mapInArrow(_traits(Picker(members.select("uid").distinct())), TRAITS_ROW)
+    traits = traits.groupBy("uid").agg(F.first(F.struct("n_shingles", "sketch")).alias("own"))
+    words = [F.col("own.sketch")[k].alias(f"s{k}") for k in range(SKETCH_WORDS)]
+    traits = stored(traits.select("uid", F.col("own.n_shingles").alias("n"), *words), "line-traits")
 
     def confirm(pairs: DataFrame) -> DataFrame:
+        uids = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
+        sets = texts.mapInArrow(_shingles(Picker(uids)), SET_ROW).groupBy("uid").agg(F.first("shingles").alias("shingles"))
+        sets = stored(sets, "sets")
         for x in "ab":
             pairs = pairs.join(sets.select(F.col("uid").alias(x), F.col("shingles").alias(f"s_{x}")), x)
         common = F.size(F.array_intersect("s_a", "s_b"))
         either = F.size("s_a") + F.size("s_b") - common
-        return stored(pairs.where(common >= SIMILARITY * either).select("a", "b"), "confirmed")
+        confirmed = stored(pairs.where(common >= SIMILARITY * either).select("a", "b"), "confirmed")
+        free(sets)
+        return confirmed
 
     of_line = linked_by_stars(members, members, traits, _near, confirm)
     equal = several(LINES, "uid").select("uid")
     of_line = stored(of_line.join(equal, "uid", "full").select("uid", F.coalesce("component", "uid").alias("cluster")), "named")
-    free(sets)
+    free(traits)
 
     occurring = Picker(several(SEEDS).select("b"))
     stretches = aligned.dealt(texts.mapInArrow(_stretches(occurring, parts), aligned.BLOCK), parts)
